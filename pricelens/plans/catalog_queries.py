@@ -1,3 +1,4 @@
 """Imports every module that registers queries (order = report order)."""
 
 from pricelens.plans import q_offers  # noqa: F401
+from pricelens.plans import q_catalog  # noqa: F401

@@ -23,6 +23,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Broadcast only what the planner can prove small: the static estimate
     # and AQE's runtime shuffle statistics both check against this bound.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
