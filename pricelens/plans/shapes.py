@@ -35,6 +35,16 @@ def first_per_group(df: DataFrame, keys: list[str], order: list, cols: list[str]
     return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
+def last_per_group(df: DataFrame, keys: list[str], order: list, cols: list[str] | None = None
+                   ) -> DataFrame:
+    """Row with the largest ``order`` per ``keys`` (``max_by``; partial aggregation)."""
+    cols = cols or [c for c in df.columns if c not in keys]
+    okey = F.struct(*[o.alias(f"_o{i}") if isinstance(o, Column) else F.col(o).alias(f"_o{i}")
+                      for i, o in enumerate(order)])
+    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), okey).alias("_r"))
+    return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
+
+
 def top_k_per_group(df: DataFrame, keys: list[str], order: list, k: int,
                     rank_col: str = "rn") -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*_cols(order))
