@@ -3,3 +3,4 @@
 from pricelens.plans import q_offers  # noqa: F401
 from pricelens.plans import q_catalog  # noqa: F401
 from pricelens.plans import q_deals  # noqa: F401
+from pricelens.plans import q_state  # noqa: F401

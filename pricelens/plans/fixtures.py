@@ -163,6 +163,8 @@ def oracle_with(sql: str, views=None) -> str:
         views = [v for v in VIEW_ORDER if v in sql]
     ctes = ",\n".join(f"{v} AS ({VIEWS[v].strip()})" for v in _closure(views))
     body = sql.strip()
+    if not ctes:
+        return body
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
