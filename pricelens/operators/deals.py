@@ -19,7 +19,6 @@ from pricelens.functions.numeric import dbl, has_text, pround
 from pricelens.functions.pack import normalize_name_col, unit_price_struct
 from pricelens.operators.filters import facet, search_name, vendor_ids
 from pricelens.operators.matching import keyword_join, match_keywords
-from pricelens.plans.shapes import first_per_group, last_per_group
 
 
 def _offers(products: DataFrame, vendors: DataFrame) -> DataFrame:
@@ -210,16 +209,20 @@ def price_matrix(products: DataFrame, vendors: DataFrame, search: str, baseline_
     aggregates over the chosen offers (no unpartitioned window anywhere).
     """
     o = matrix_groups(matrix_offers(products, vendors, search, category, brand))
-    # display fields: first offer of the group in (product_name, product_id) order
-    disp = first_per_group(o, ["group_key"], [F.col("product_name"), F.col("product_id")],
-                           ["product_name", "brand", "category", "upc"])
-    disp = disp.select("group_key", F.col("product_name").alias("display_name"),
-                       F.col("brand").alias("group_brand"), F.col("category").alias("group_category"),
-                       F.col("upc").alias("group_upc"))
-    # one offer per vendor per group: the last in (product_name, product_id) order wins
+    # One pass over the offers per (group, vendor): the vendor's last offer in
+    # (product_name, product_id) order is its matrix entry, its first offer is a
+    # candidate for the group's display fields (the group's first offer overall).
     keep = ["vendor_name", "product_name", "sku", "upc", "unit_price", "case_price", "pack_size_raw",
             "in_stock", "image_url", "product_url", "description", "product_id"]
-    chosen = last_per_group(o, ["group_key", "vendor_slug"], ["product_name", "product_id"], keep)
+    okey = F.struct("product_name", "product_id")
+    per = o.groupBy("group_key", "vendor_slug").agg(
+        F.max_by(F.struct(*keep), okey).alias("_last"),
+        F.min_by(F.struct("product_name", "product_id", "brand", "category", "upc"), okey).alias("_first"))
+    per = per.select("group_key", "vendor_slug", *[F.col(f"_last.{c}").alias(c) for c in keep], "_first")
+    disp = per.groupBy("group_key").agg(F.min("_first").alias("_d")).select(
+        "group_key", F.col("_d.product_name").alias("display_name"), F.col("_d.brand").alias("group_brand"),
+        F.col("_d.category").alias("group_category"), F.col("_d.upc").alias("group_upc"))
+    chosen = per.drop("_first")
     chosen = chosen.withColumn("price", dbl("unit_price"))
     g = chosen.groupBy("group_key").agg(
         F.count(F.lit(1)).alias("vendor_count"),

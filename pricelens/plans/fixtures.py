@@ -128,22 +128,49 @@ VIEW_DEPS = {
 }
 
 
+_RAW: dict = {}
+_VIEWS: dict = {}
+
+
+def _key(spark: SparkSession, sf_dir: str):
+    return (id(spark), os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir)
+
+
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The parquet table as a DataFrame (footer read once per session and folder)."""
+    k = _key(spark, sf_dir) + (name,)
+    if k not in _RAW:
+        _RAW[k] = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return _RAW[k]
+
+
 def register_tables(spark: SparkSession, sf_dir: str, names=None) -> None:
     for t in names or RAW_TABLES:
         p = os.path.join(sf_dir, f"{t}.parquet")
         if os.path.exists(p) or "://" in sf_dir:
-            spark.read.parquet(p).createOrReplaceTempView(t)
+            raw_table(spark, sf_dir, t).createOrReplaceTempView(t)
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Register raw tables and all fixture views; return the views as DataFrames."""
-    register_tables(spark, sf_dir)
-    out = {}
-    for name in VIEW_ORDER:
-        df = spark.sql(VIEWS[name])
-        df.createOrReplaceTempView(name)
-        out[name] = spark.table(name)
-    return out
+class FixtureViews:
+    """Lazily built fixture views of one data folder (a view is analysed once and
+    reused; every execution still scans the parquet files in full)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getitem__(self, name: str) -> DataFrame:
+        k = _key(self.spark, self.sf_dir) + (name,)
+        if k not in _VIEWS:
+            for dep in VIEW_DEPS[name]:
+                self[dep].createOrReplaceTempView(dep)
+            register_tables(self.spark, self.sf_dir, [t for t in RAW_TABLES if t in VIEWS[name]])
+            _VIEWS[k] = self.spark.sql(VIEWS[name])
+        return _VIEWS[k]
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> FixtureViews:
+    """The fixture views of ``sf_dir`` (a mapping name -> DataFrame, built on demand)."""
+    return FixtureViews(spark, sf_dir)
 
 
 def _closure(names) -> list[str]:
@@ -168,3 +195,14 @@ def oracle_with(sql: str, views=None) -> str:
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
+
+
+def materialize_views(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> None:
+    """Write the fixture views of ``sf_dir`` as parquet tables under ``out_dir`` (a shared
+    folder on a cluster) and serve later lookups from them - the way the snapshot is a
+    maintained table that dashboards read, instead of a view re-derived per query."""
+    fv = FixtureViews(spark, sf_dir)
+    for n in names or VIEW_ORDER:
+        path = os.path.join(out_dir, n)
+        fv[n].write.mode("overwrite").parquet(path)
+        _VIEWS[_key(spark, sf_dir) + (n,)] = spark.read.parquet(path)

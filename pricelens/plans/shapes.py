@@ -55,18 +55,29 @@ def global_rank(df: DataFrame, order: list, rank_col: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
     """1-based row number over a total order, computed without a single-partition window.
 
-    ``order`` must be a total order (include unique tie-breakers).
+    One range-partitioned sort; a row's place inside its partition comes from
+    ``monotonically_increasing_id`` (partition index in the high bits, position in
+    the low bits).  The sorted data is checkpointed to the shared checkpoint folder
+    so the per-partition counts and the rows come from the *same* evaluation
+    (range bounds are sampled, and a re-evaluation after a shuffle may sample
+    differently).  ``order`` must be a total order (include unique tie-breakers).
     """
+    from pricelens.session import ensure_checkpoint_dir
+
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *_cols(order)).withColumn("_pid", F.spark_partition_id())
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    pid = F.spark_partition_id()
+    ranged = (df.repartitionByRange(n, *_cols(order)).sortWithinPartitions(*_cols(order))
+              .withColumn("_pid", pid)
+              .withColumn("_lrn", F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33) + 1)
+              .checkpoint(eager=True))
+    counts = ranged.groupBy("_pid").agg(F.max("_lrn").alias("_n"))
     # one row per partition: bounded by the partition count, safe to broadcast
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                            F.lit(0))).select("_pid", "_off")
-    local = ranged.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*_cols(order))))
-    return (local.join(F.broadcast(offsets), "_pid")
+    return (ranged.join(F.broadcast(offsets), "_pid")
             .withColumn(rank_col, (F.col("_off") + F.col("_lrn")).cast("bigint"))
             .drop("_pid", "_off", "_lrn"))
 
