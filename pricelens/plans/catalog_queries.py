@@ -5,3 +5,4 @@ from pricelens.plans import q_catalog  # noqa: F401
 from pricelens.plans import q_deals  # noqa: F401
 from pricelens.plans import q_state  # noqa: F401
 from pricelens.plans import q_confidence  # noqa: F401
+from pricelens.plans import q_sources  # noqa: F401
