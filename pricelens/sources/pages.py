@@ -176,7 +176,9 @@ def extract_tiles(pages: DataFrame, rules: DataFrame, url: str = "url", html: st
     j = pages.withColumn("site", host).join(rules, "site")
     tiles = j.select("*", F.posexplode(F.regexp_extract_all(F.col(html), F.col("tile"), F.lit(1)))
                      .alias("tile_pos", "_t"))
-    fld = lambda r: F.when(F.col(r).isNotNull(), F.regexp_extract(F.col("_t"), F.col(r), F.lit(1)))
+    # per-site patterns are data: regexp_extract with a pattern column
+    fld = lambda r: F.when(F.col(r).isNotNull(), F.call_function("regexp_extract", F.col("_t"), F.col(r),
+                                                                  F.lit(1)))
     t = tiles.select(*[c for c in pages.columns if c != html], "site", (F.col("tile_pos") + 1).alias("tile_pos"),
                      html_text(fld("name")).alias("_raw_name"), fld("price").alias("_price_text"),
                      fld("link").alias("_link"), fld("image").alias("_img"), "base_url", "sku_prefix")
