@@ -145,3 +145,17 @@ def q_quota(spark, sf):
     from pricelens.plans.fixtures import register_tables
     register_tables(spark, sf, ["events"])
     return S.quota(spark.table("events"), 2)
+
+
+@query("agg_source_breakdown_merged", f"""
+WITH c AS (SELECT product_id, product, manufacturer, category, price_per_unit FROM catalog),
+m AS (SELECT 'epallet_scrape' AS source FROM c
+      UNION ALL SELECT 'upload:small.csv' FROM catalog WHERE category = 'SMALL')
+SELECT source, count(*) AS count,
+       {R("count(*) / CAST((SELECT count(*) FROM m) AS DOUBLE) * 100", 1)} AS pct FROM m GROUP BY source""")
+def q_source_breakdown_merged(spark, sf):
+    from pricelens.operators.catalog import source_breakdown
+    c = V(spark, sf)["catalog"].select("product_id", "product", "manufacturer", "category", "price_per_unit")
+    up = c.filter(F.col("category") == "SMALL").select("product", "manufacturer", "category", "price_per_unit",
+                                                        F.col("product_id").alias("upload_row"))
+    return source_breakdown(S.merge_upload(c, up, "small.csv", "2026-12-01", order=[F.col("upload_row")]))

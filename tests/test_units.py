@@ -233,3 +233,11 @@ def test_best_prices_plan_has_no_window(spark):
     plan = best_prices(p)._jdf.queryExecution().optimizedPlan().toString()
     # the only windows are the snapshot fold's; the per-UPC pick is an aggregate
     assert "min_by" in plan
+
+
+def test_upload_audit(spark):
+    cat = spark.createDataFrame([(1, "a", 2.0)], "product_id long, product string, price_per_unit double")
+    up = spark.createDataFrame([("b", "x"), ("c", "y")], "product string, extra string")
+    row = S.upload_audit(cat, up, "f.csv", "2026-12-01").first()
+    assert row["rows_added"] == 2 and row["total_after"] == 3
+    assert row["columns_matched"] == ["product"] and row["columns_missing"] == ["price_per_unit", "product_id"]
