@@ -48,7 +48,9 @@ def last_per_group(df: DataFrame, keys: list[str], order: list, cols: list[str]
 def top_k_per_group(df: DataFrame, keys: list[str], order: list, k: int,
                     rank_col: str = "rn") -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*_cols(order))
-    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
+    # filter directly on row_number (that shape becomes a map-side WindowGroupLimit), then widen
+    return (df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
+            .withColumn(rank_col, F.col(rank_col).cast("bigint")))
 
 
 def global_rank(df: DataFrame, order: list, rank_col: str = "rank",
