@@ -13,11 +13,11 @@ later unchanged loads; ``price_changed`` describes the latest load only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.functions.numeric import count_if, dbl, pround
-from pricelens.plans.shapes import (combine_scalars, global_rank, last_per_group, top_k_per_group,
+from pricelens.plans.shapes import (combine_scalars, global_rank, lag_by_key, last_per_group, top_k_per_group,
                                      with_scalars)
 
 KEY = ["vendor_id", "sku"]
@@ -29,11 +29,10 @@ def _ord(cols, desc=False):
 
 
 def with_change_flags(obs: DataFrame, key=KEY, order=OBS_ORDER, price: str = "unit_price") -> DataFrame:
-    """Per observation: previous price in arrival order and whether the price changed
-    (both prices present and different).  The only window of the fold: ``lag``
-    needs the predecessor, partitioned by the offer key."""
-    w = Window.partitionBy(*key).orderBy(*_ord(order))
-    o = obs.withColumn("prev_price", F.lag(price).over(w))
+    """Per observation: previous price in arrival order, whether there was a previous
+    observation, and whether the price changed (both prices present and different).
+    The predecessor comes from ``lag_by_key`` (range-partitioned, skew-safe)."""
+    o = lag_by_key(obs, key, order, [price]).withColumnRenamed(f"prev_{price}", "prev_price")
     return o.withColumn("changed", F.col(price).isNotNull() & F.col("prev_price").isNotNull()
                         & (F.col(price) != F.col("prev_price")))
 
@@ -70,15 +69,14 @@ def upsert(current: DataFrame, batch: DataFrame, key=KEY, order=OBS_ORDER, price
                                                           F.lit(False).alias("price_changed"))
     cur = current.select(*key, F.col(price).alias("_cur_price"), F.col("last_price").alias("_cur_last"),
                          F.col("first_seen_at").alias("_cur_first"), F.lit(True).alias("_exists"))
-    w = Window.partitionBy(*key).orderBy(*_ord(order))
     seen = now if now is not None else F.col("captured_at")
-    x = (b.join(cur, key, "left")
-         .withColumn("_seq", F.row_number().over(w))
-         .withColumn("_prev", F.when(F.col("_seq") == 1, F.col("_cur_price")).otherwise(F.lag(price).over(w)))
+    # predecessor inside the batch (skew-safe lag); a key's first batch row compares with the stored price
+    x = (lag_by_key(b, key, order, [price]).join(cur, key, "left")
+         .withColumn("_prev", F.when(F.col("has_prev"), F.col(f"prev_{price}")).otherwise(F.col("_cur_price")))
          .withColumn("changed", F.col(price).isNotNull() & F.col("_prev").isNotNull()
                      & (F.col(price) != F.col("_prev")))
          .withColumn("_seen", seen))
-    outcomes = x.select(*key, F.when(F.col("_exists").isNull() & (F.col("_seq") == 1), F.lit("new"))
+    outcomes = x.select(*key, F.when(F.col("_exists").isNull() & ~F.col("has_prev"), F.lit("new"))
                         .when(F.col("changed"), F.lit("updated")).otherwise(F.lit("unchanged")).alias("action"),
                         F.col("changed").alias("price_changed")).unionByName(skipped)
     okey = F.struct(*[F.col(c) for c in order])
@@ -182,12 +180,11 @@ def run_stats(obs: DataFrame, run_key=("run_id", "vendor_id"), key=KEY, order=OB
     """Per run: found, new (first sighting of the key), updated / price changes
     (price differs from the key's previous observation), errors (no price),
     status completed / partial (or an override such as failed/running), duration."""
-    w = Window.partitionBy(*key).orderBy(*_ord(order))
-    o = obs.withColumn("prev_price", F.lag("unit_price").over(w)).withColumn("seq", F.row_number().over(w))
+    o = lag_by_key(obs, key, order, ["unit_price"]).withColumnRenamed("prev_unit_price", "prev_price")
     moved = F.coalesce(F.col("unit_price") != F.col("prev_price"), F.lit(False))
     g = o.groupBy(*run_key).agg(
         F.count(F.lit(1)).alias("products_found"),
-        count_if(F.col("seq") == 1).alias("products_new"),
+        count_if(~F.col("has_prev")).alias("products_new"),
         count_if(moved).alias("products_updated"),
         count_if(moved).alias("price_changes"),
         count_if(F.col("unit_price").isNull()).alias("errors"),

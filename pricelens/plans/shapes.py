@@ -96,3 +96,44 @@ def combine_scalars(*frames: DataFrame) -> DataFrame:
     for f in frames[1:]:
         out = with_scalars(out, f)
     return out
+
+
+def lag_by_key(df: DataFrame, key: list[str], order: list[str], cols: list[str], prefix: str = "prev_",
+               num_partitions: int | None = None) -> DataFrame:
+    """Previous row's ``cols`` within each key in ``order`` (``prev_<c>``) and ``has_prev``,
+    without putting a key's rows into one task.
+
+    Rows are range-partitioned and sorted on (key, order), so a key holding a large
+    share of the table spreads over many partitions.  The lag is taken inside each
+    (partition, key) group; the first row of a group takes the last row of the
+    previous non-empty partition when that row has the same key (a table of one row
+    per partition, broadcast).  The sorted rows are checkpointed to the shared
+    checkpoint folder so the per-partition boundaries and the rows come from one
+    evaluation.  ``key`` + ``order`` must identify a row.
+    """
+    from pricelens.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col(c) for c in [*key, *order]]
+    r = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_pos", F.monotonically_increasing_id())
+         .checkpoint(eager=True))
+    w = Window.partitionBy("_pid", *key).orderBy("_pos")
+    local = r.select("*", *[F.lag(c).over(w).alias(f"_l_{c}") for c in cols],
+                     (F.row_number().over(w) == 1).alias("_first"))
+    last = r.groupBy("_pid").agg(F.max_by(F.struct(*[F.col(c) for c in [*key, *cols]]), F.col("_pos")).alias("_last"))
+    # one row per non-empty partition: bounded by the partition count
+    before = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_pb"))
+    j = local.join(F.broadcast(before), "_pid", "left")
+    same = F.lit(True)
+    for c in key:
+        same = same & F.coalesce(F.col(f"_pb.{c}") == F.col(c), F.lit(False))
+    cont = F.col("_first") & same
+    out = j.select(*df.columns,
+                   *[F.when(F.col("_first"), F.when(cont, F.col(f"_pb.{c}"))).otherwise(F.col(f"_l_{c}"))
+                     .alias(f"{prefix}{c}") for c in cols],
+                   (~F.col("_first") | cont).alias("has_prev"))
+    return out

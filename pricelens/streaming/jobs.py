@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from pricelens.functions.numeric import dbl, pround
 from pricelens.operators.state import KEY, OBS_ORDER, snapshot, upsert
+from pricelens.plans.shapes import lag_by_key
 
 # ── STR-01 ───────────────────────────────────────────────────────────────
 EVENT_SCHEMA = ("vendor_id bigint, sku string, captured_at timestamp_ntz, run_seq bigint, run_line int, "
@@ -51,12 +52,9 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str
     out = os.path.join(root, f"v={batch_id:012d}")
     new.write.mode("overwrite").parquet(out)
     # change events of this batch (price moved vs the previous observation of the key)
-    from pyspark.sql import Window
     cur = current.select(*key, F.col("unit_price").alias("_cur"))
-    w = Window.partitionBy(*key).orderBy(*order)
-    x = (batch.filter(F.col("sku").isNotNull()).join(cur, key, "left")
-         .withColumn("_seq", F.row_number().over(w))
-         .withColumn("old_price", F.when(F.col("_seq") == 1, F.col("_cur")).otherwise(F.lag("unit_price").over(w)))
+    x = (lag_by_key(batch.filter(F.col("sku").isNotNull()), key, order, ["unit_price"]).join(cur, key, "left")
+         .withColumn("old_price", F.when(F.col("has_prev"), F.col("prev_unit_price")).otherwise(F.col("_cur")))
          .filter(F.col("unit_price").isNotNull() & F.col("old_price").isNotNull()
                  & (F.col("unit_price") != F.col("old_price")))
          .select(*key, "captured_at", "run_seq", "run_line", "old_price", F.col("unit_price").alias("new_price"))
