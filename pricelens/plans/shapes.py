@@ -98,8 +98,13 @@ def combine_scalars(*frames: DataFrame) -> DataFrame:
     return out
 
 
+# Largest number of rows one key may bring to a single window task before the
+# range-partitioned path is used instead (a sort of this many rows fits one task).
+LAG_WINDOW_MAX_GROUP = 2_000_000
+
+
 def lag_by_key(df: DataFrame, key: list[str], order: list[str], cols: list[str], prefix: str = "prev_",
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, max_group: int | None = LAG_WINDOW_MAX_GROUP) -> DataFrame:
     """Previous row's ``cols`` within each key in ``order`` (``prev_<c>``) and ``has_prev``,
     without putting a key's rows into one task.
 
@@ -110,10 +115,20 @@ def lag_by_key(df: DataFrame, key: list[str], order: list[str], cols: list[str],
     per partition, broadcast).  The sorted rows are checkpointed to the shared
     checkpoint folder so the per-partition boundaries and the rows come from one
     evaluation.  ``key`` + ``order`` must identify a row.
+
+    When ``max_group`` is set, one partially-aggregated count per key is taken first;
+    if no key exceeds it, a plain window over the key is used (no skew to split).
     """
     from pricelens.session import ensure_checkpoint_dir
 
     spark = df.sparkSession
+    if max_group is not None:
+        biggest = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+        if biggest is None or biggest <= max_group:
+            w0 = Window.partitionBy(*key).orderBy(*[F.col(c) for c in order])
+            first_row = F.row_number().over(w0) == 1
+            return df.select(*df.columns, *[F.lag(c).over(w0).alias(f"{prefix}{c}") for c in cols],
+                             (~first_row).alias("has_prev"))
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(c) for c in [*key, *order]]

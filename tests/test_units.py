@@ -250,9 +250,11 @@ def test_lag_by_key_matches_window_with_a_hot_key(spark):
     hot = spark.range(6000).select(F.lit(1).alias("k"), F.col("id").alias("t"), (F.col("id") % 5).alias("v"))
     cold = spark.range(300).select((F.col("id") % 30 + 2).alias("k"), F.col("id").alias("t"), F.col("id").alias("v"))
     df = hot.unionByName(cold)
-    got = lag_by_key(df, ["k"], ["t"], ["v"], num_partitions=7)
+    got = lag_by_key(df, ["k"], ["t"], ["v"], num_partitions=7, max_group=1000)
     w = Window.partitionBy("k").orderBy("t")
     want = df.select("k", "t", F.lag("v").over(w).alias("prev_v"), F.lag("t").over(w).isNotNull().alias("has_prev"))
     assert sorted(rows(got, "k", "t", "prev_v", "has_prev")) == sorted(rows(want, "k", "t", "prev_v", "has_prev"))
     parts = got.select(F.spark_partition_id()).distinct().count()
     assert parts > 1
+    small = lag_by_key(df, ["k"], ["t"], ["v"])  # no key above the bound: plain window path
+    assert sorted(rows(small, "k", "t", "prev_v", "has_prev")) == sorted(rows(want, "k", "t", "prev_v", "has_prev"))
