@@ -30,9 +30,25 @@ def _fmt4(x: Column) -> Column:
     return F.format_string("%.4f", x)
 
 
+PACK_PARTS = ("_pk_raw", "_pk_c", "_pk_s", "_pk_u", "_pk_s2", "_pk_u2")
+
+
+def with_pack_parts(df: DataFrame, pack_size_raw: str | None = "pack_size_raw") -> DataFrame:
+    """Evaluate each pack-size regex group once, as hidden columns (the unit-price
+    ``when`` chains read them many times; inside conditional branches Spark would
+    otherwise re-run the regex per reference)."""
+    raw = F.coalesce(F.col(pack_size_raw), F.lit("")) if pack_size_raw else F.lit("")
+    d = df.withColumn("_pk_raw", raw)
+    return (d.withColumn("_pk_c", F.regexp_extract("_pk_raw", PACK_COUNT_SIZE, 1))
+             .withColumn("_pk_s", F.regexp_extract("_pk_raw", PACK_COUNT_SIZE, 2))
+             .withColumn("_pk_u", F.regexp_extract("_pk_raw", PACK_COUNT_SIZE, 3))
+             .withColumn("_pk_s2", F.regexp_extract("_pk_raw", PACK_SIZE_ONLY, 1))
+             .withColumn("_pk_u2", F.regexp_extract("_pk_raw", PACK_SIZE_ONLY, 2)))
+
+
 def unit_price_struct(price="unit_price", price_per_oz="price_per_oz", pack_count="pack_count",
                       unit_size="unit_size", unit_measure="unit_measure",
-                      pack_size_raw="pack_size_raw") -> Column:
+                      pack_size_raw="pack_size_raw", parts: bool = False, as_columns: bool = False):
     """Normalised price of one offer as a struct
     (price_per_oz, price_per_unit, price_per_case_unit, normalization, normalized_label).
 
@@ -65,16 +81,21 @@ def unit_price_struct(price="unit_price", price_per_oz="price_per_oz", pack_coun
         comp_val = comp_label = struct_unit = lit_null
         computed = F.lit(False)
 
-    raw = F.coalesce(col_(pack_size_raw), F.lit("")) if pack_size_raw else F.lit("")
-    m1 = raw.rlike(PACK_COUNT_SIZE)
-    cnt = F.regexp_extract(raw, PACK_COUNT_SIZE, 1).try_cast("double")
-    size = F.regexp_extract(raw, PACK_COUNT_SIZE, 2).try_cast("double")
-    meas1 = F.lower(F.regexp_extract(raw, PACK_COUNT_SIZE, 3))
+    if parts:  # regex groups precomputed by with_pack_parts
+        raw, g1, g2, g3, h1, h2 = [F.col(c) for c in PACK_PARTS]
+    else:
+        raw = F.coalesce(col_(pack_size_raw), F.lit("")) if pack_size_raw else F.lit("")
+        g1, g2, g3 = [F.regexp_extract(raw, PACK_COUNT_SIZE, i) for i in (1, 2, 3)]
+        h1, h2 = [F.regexp_extract(raw, PACK_SIZE_ONLY, i) for i in (1, 2)]
+    m1 = g1 != ""          # group 1 is a non-empty digit run whenever the pattern matches
+    cnt = g1.try_cast("double")
+    size = g2.try_cast("double")
+    meas1 = F.lower(g3)
     tot1 = F.when(meas1.contains("lb"), cnt * size * 16).otherwise(cnt * size)
     parsed = m1 & (tot1 > 0)
-    m2 = raw.rlike(PACK_SIZE_ONLY)
-    size2 = F.regexp_extract(raw, PACK_SIZE_ONLY, 1).try_cast("double")
-    meas2 = F.lower(F.regexp_extract(raw, PACK_SIZE_ONLY, 2))
+    m2 = h1 != ""
+    size2 = h1.try_cast("double")
+    meas2 = F.lower(h2)
     tot2 = F.when(meas2.contains("lb"), size2 * 16).otherwise(size2)
     simple = m2 & (tot2 > 0)
 
@@ -91,25 +112,30 @@ def unit_price_struct(price="unit_price", price_per_oz="price_per_oz", pack_coun
              .when(try_parse & simple, F.concat(F.lit("$"), _fmt4(pround(p / tot2, 4)), F.lit("/oz"))))
     per_unit = F.when(try_parse & parsed, pround(p / cnt, 4)).otherwise(struct_unit)
     has_price = p.isNotNull()
-    return F.struct(
-        F.when(has_price, ppo).alias("price_per_oz"),
-        F.when(has_price, per_unit).alias("price_per_unit"),
-        F.when(has_price, struct_unit).alias("price_per_case_unit"),
-        F.when(has_price, method).otherwise(F.lit("none")).alias("normalization"),
-        F.when(has_price, label).alias("normalized_label"))
+    out = {
+        "price_per_oz": F.when(has_price, ppo),
+        "price_per_unit": F.when(has_price, per_unit),
+        "price_per_case_unit": F.when(has_price, struct_unit),
+        "normalization": F.when(has_price, method).otherwise(F.lit("none")),
+        "normalized_label": F.when(has_price, label),
+    }
+    if as_columns:
+        return out
+    return F.struct(*[c.alias(n) for n, c in out.items()])
 
 
 def normalize_unit_price(df: DataFrame, prefix: str = "norm_", **cols) -> DataFrame:
     """SCL-01 as a table job: adds norm_price_per_oz, norm_price_per_unit,
     norm_price_per_case_unit, normalization, normalized_label."""
-    s = unit_price_struct(**cols).alias("_n")
-    out = df.withColumn("_n", s)
+    raw_col = cols.get("pack_size_raw", "pack_size_raw")
+    c = unit_price_struct(**cols, parts=True, as_columns=True)
+    out = with_pack_parts(df, raw_col)
     return out.select(*df.columns,
-                      F.col("_n.price_per_oz").alias(f"{prefix}price_per_oz"),
-                      F.col("_n.price_per_unit").alias(f"{prefix}price_per_unit"),
-                      F.col("_n.price_per_case_unit").alias(f"{prefix}price_per_case_unit"),
-                      F.col("_n.normalization").alias("normalization"),
-                      F.col("_n.normalized_label").alias("normalized_label"))
+                      c["price_per_oz"].alias(f"{prefix}price_per_oz"),
+                      c["price_per_unit"].alias(f"{prefix}price_per_unit"),
+                      c["price_per_case_unit"].alias(f"{prefix}price_per_case_unit"),
+                      c["normalization"].alias("normalization"),
+                      c["normalized_label"].alias("normalized_label"))
 
 
 # ── legacy pack parse (SCL-02) ───────────────────────────────────────────

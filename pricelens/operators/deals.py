@@ -12,11 +12,11 @@ double once, then rounded with the engine's rounding rule.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.functions.numeric import dbl, has_text, pround
-from pricelens.functions.pack import normalize_name_col, unit_price_struct
+from pricelens.functions.pack import normalize_name_col, normalize_unit_price
 from pricelens.operators.filters import facet, search_name, vendor_ids
 from pricelens.operators.matching import keyword_join, match_keywords
 
@@ -206,7 +206,7 @@ def price_matrix(products: DataFrame, vendors: DataFrame, search: str, baseline_
 
     Per group and vendor the offer last in name order wins; the group's display
     fields come from its first offer in name order.  Group-level figures are
-    aggregates over the chosen offers (no unpartitioned window anywhere).
+    window aggregates over the chosen offers (one row per vendor per group).
     """
     o = matrix_groups(matrix_offers(products, vendors, search, category, brand))
     # One pass over the offers per (group, vendor): the vendor's last offer in
@@ -219,18 +219,23 @@ def price_matrix(products: DataFrame, vendors: DataFrame, search: str, baseline_
         F.max_by(F.struct(*keep), okey).alias("_last"),
         F.min_by(F.struct("product_name", "product_id", "brand", "category", "upc"), okey).alias("_first"))
     per = per.select("group_key", "vendor_slug", *[F.col(f"_last.{c}").alias(c) for c in keep], "_first")
-    disp = per.groupBy("group_key").agg(F.min("_first").alias("_d")).select(
-        "group_key", F.col("_d.product_name").alias("display_name"), F.col("_d.brand").alias("group_brand"),
-        F.col("_d.category").alias("group_category"), F.col("_d.upc").alias("group_upc"))
-    chosen = per.drop("_first")
-    chosen = chosen.withColumn("price", dbl("unit_price"))
-    g = chosen.groupBy("group_key").agg(
-        F.count(F.lit(1)).alias("vendor_count"),
-        F.min("price").alias("best_price"), F.max("price").alias("worst_price"),
-        F.sum("unit_price").alias("_sum"), F.count("unit_price").alias("_n"),
-        F.max(F.when(F.col("vendor_slug") == baseline_slug, F.col("price"))).alias("_bl_price"),
-        F.max(F.when(F.col("vendor_slug") == baseline_slug, F.struct(
-            "product_name", "vendor_name", "upc", "pack_size_raw"))).alias("baseline_product"))
+    # Group-level figures as window aggregates over the per-vendor rows: after the
+    # per-vendor pick a group holds at most one row per vendor, so a group is bounded
+    # by the vendor count even when one UPC carries a third of all offers.
+    wg = Window.partitionBy("group_key")
+    chosen = per.withColumn("price", dbl("unit_price"))
+    bl_row = F.col("vendor_slug") == F.lit(baseline_slug)
+    g = chosen.select(
+        "*",
+        F.min("_first").over(wg).alias("_d"),
+        F.count(F.lit(1)).over(wg).alias("vendor_count"),
+        F.min("price").over(wg).alias("best_price"), F.max("price").over(wg).alias("worst_price"),
+        F.sum("unit_price").over(wg).alias("_sum"), F.count("unit_price").over(wg).alias("_n"),
+        F.max(F.when(bl_row, F.col("price"))).over(wg).alias("_bl_price"),
+        F.max(F.when(bl_row, F.struct("product_name", "vendor_name", "upc", "pack_size_raw"))).over(wg)
+        .alias("baseline_product"))
+    g = g.select("*", F.col("_d.product_name").alias("display_name"), F.col("_d.brand").alias("group_brand"),
+                 F.col("_d.category").alias("group_category"), F.col("_d.upc").alias("group_upc")).drop("_d", "_first")
     if manual_price is not None:
         g = g.withColumn("baseline_price", F.lit(float(manual_price))).withColumn(
             "baseline_source", F.lit("manual"))
@@ -238,10 +243,9 @@ def price_matrix(products: DataFrame, vendors: DataFrame, search: str, baseline_
         g = (g.withColumn("baseline_price", F.col("_bl_price"))
              .withColumn("baseline_source", F.when(F.col("_bl_price").isNotNull(), F.lit(baseline_slug))
                          .otherwise(F.lit("none"))))
-    g = (g.withColumn("avg_price", pround(F.col("_sum").cast("double") / F.col("_n"), 2))
+    r = (g.withColumn("avg_price", pround(F.col("_sum").cast("double") / F.col("_n"), 2))
          .withColumn("max_savings", pround(F.col("worst_price") - F.col("best_price"), 2))
          .drop("_sum", "_n", "_bl_price"))
-    g = g.join(disp, "group_key")
     if limit:
         if sort_by == "savings":
             o_ = [F.coalesce(F.col("max_savings"), F.lit(0.0)).desc()]
@@ -249,12 +253,14 @@ def price_matrix(products: DataFrame, vendors: DataFrame, search: str, baseline_
             o_ = [F.coalesce(F.col("baseline_price"), F.lit(float("inf"))).asc()]
         else:
             o_ = [F.lower("display_name").asc_nulls_last()]
-        g = g.orderBy(*o_, F.col("group_key")).limit(limit)
-    r = chosen.join(g, "group_key")
+        top = (r.select("group_key", "max_savings", "baseline_price", "display_name").dropDuplicates(["group_key"])
+               .orderBy(*o_, F.col("group_key")).limit(limit).select("group_key"))
+        # at most ``limit`` keys: a bounded broadcast
+        r = r.join(F.broadcast(top), "group_key", "left_semi")
     bl = F.col("baseline_price")
     diff = F.when(F.col("price").isNotNull() & bl.isNotNull(), pround(F.col("price") - bl, 2))
-    norm = unit_price_struct(price="price", price_per_oz=None, pack_count=None, unit_size=None,
-                             unit_measure=None, pack_size_raw="pack_size_raw")
+    r = normalize_unit_price(r, prefix="_norm_", price="price", price_per_oz=None, pack_count=None,
+                             unit_size=None, unit_measure=None, pack_size_raw="pack_size_raw")
     return r.select(
         "group_key", "display_name", "group_brand", "group_category", "group_upc", "vendor_count",
         "baseline_price", "baseline_source", "best_price", "worst_price", "avg_price", "max_savings",
@@ -269,8 +275,7 @@ def price_matrix(products: DataFrame, vendors: DataFrame, search: str, baseline_
         .alias("pct_vs_baseline"),
         F.when(F.col("price").isNotNull() & F.col("best_price").isNotNull(),
                pround(F.col("price") - F.col("best_price"), 2)).alias("diff_vs_best"),
-        norm.getField("price_per_oz").alias("norm_price_per_oz"),
-        norm.getField("normalization").alias("normalization"),
+        F.col("_norm_price_per_oz").alias("norm_price_per_oz"), "normalization",
         "baseline_product")
 
 

@@ -56,9 +56,21 @@ def match_keywords(df: DataFrame, prefix: str = MATCH_PREFIX) -> DataFrame:
     return out.withColumn("keywords", keywords_col(F.col("search_name")))
 
 
-def _trigrams(c: Column) -> Column:
-    return F.when(F.length(c) >= 3, F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.substring(c, i, 3))))
+def _trigram_rows(df: DataFrame, col: str, out: str = "tri") -> DataFrame:
+    """One row per (row, trigram position): ``explode(sequence)`` + ``substr`` - both
+    run in generated code (a ``transform`` lambda would be interpreted per element)."""
+    n = F.length(F.col(col))
+    pos = df.filter(n >= 3).select("*", F.explode(F.sequence(F.lit(1), n - 2)).alias("_i"))
+    return pos.withColumn(out, F.substr(F.col(col), F.col("_i"), F.lit(3))).drop("_i")
+
+
+def _contains_all(name: Column, kws: Column, max_kw: int = 3) -> Column:
+    """Every (lower-cased) keyword occurs in ``name`` - at most ``max_kw`` keywords."""
+    cond = F.lit(True)
+    for i in range(max_kw):
+        w = F.get(kws, i)
+        cond = cond & (w.isNull() | (F.instr(name, w) > 0))
+    return cond
 
 
 def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
@@ -67,24 +79,25 @@ def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
     """All offers of *other* vendors whose name contains every keyword of a baseline row,
     best k per row by (unit_price, vendor_slug, sku).
 
-    ``baseline``: (bid, vendor_id, keywords) - keywords non-null.
+    ``baseline``: (bid, vendor_id, keywords) - keywords non-null, at most 3.
     ``offers``:   product_name plus ``offer_cols``; offers of the baseline row's own
     vendor are dropped.  Returns (bid, <offer_cols prefixed m_>, rank).
     """
     b = baseline.select("bid", F.col("vendor_id").alias("b_vendor_id"),
-                        F.transform("keywords", lambda w: F.lower(w)).alias("lkw"))
+                        F.slice(F.transform("keywords", lambda w: F.lower(w)), 1, 3).alias("lkw"))
     o = offers.select(F.lower("product_name").alias("lname"), *offer_cols)
     names = o.select("lname").distinct()
-    grams = names.select("lname", F.explode(_trigrams(F.col("lname"))).alias("tri"))
+    grams = _trigram_rows(names, "lname").select("lname", "tri").dropDuplicates(["lname", "tri"])
     freq = grams.groupBy("tri").agg(F.count(F.lit(1)).alias("freq"))
-    kwtri = b.select("bid", F.explode(F.flatten(F.transform("lkw", _trigrams))).alias("tri")).distinct()
+    kw = b.select("bid", F.explode("lkw").alias("kw"))
+    kwtri = _trigram_rows(kw, "kw").select("bid", "tri").dropDuplicates(["bid", "tri"])
     pick = (kwtri.join(freq, "tri", "left")
             .groupBy("bid").agg(F.min_by("tri", F.struct(F.coalesce("freq", F.lit(0)), "tri")).alias("tri"),
                                 F.min(F.coalesce("freq", F.lit(0))).alias("f"))
             .filter(F.col("f") > 0).select("bid", "tri"))
     cand = pick.join(grams, "tri").select("bid", "lname")
     verified = (cand.join(b, "bid")
-                .filter(F.forall("lkw", lambda w: F.instr(F.col("lname"), w) > 0))
+                .filter(_contains_all(F.col("lname"), F.col("lkw")))
                 .select("bid", "b_vendor_id", "lname"))
     m = verified.join(o, "lname").filter(F.col("vendor_id") != F.col("b_vendor_id"))
     m = m.select("bid", *[F.col(c).alias(f"m_{c}") for c in offer_cols])
@@ -93,7 +106,7 @@ def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
     if k:
         return top_k_per_group(m, ["bid"], order, k, "rank")
     from pyspark.sql import Window
-    return m.withColumn("rank", F.row_number().over(Window.partitionBy("bid").orderBy(*order)))
+    return m.withColumn("rank", F.row_number().over(Window.partitionBy("bid").orderBy(*order)).cast("bigint"))
 
 
 def keyword_join_bruteforce(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
@@ -104,7 +117,7 @@ def keyword_join_bruteforce(baseline: DataFrame, offers: DataFrame, k: int | Non
     b = baseline.select("bid", F.col("vendor_id").alias("b_vendor_id"),
                         F.transform("keywords", lambda w: F.lower(w)).alias("lkw"))
     o = offers.select(F.lower("product_name").alias("lname"), *offer_cols)
-    m = b.crossJoin(o).filter(F.forall("lkw", lambda w: F.instr(F.col("lname"), w) > 0)
+    m = b.crossJoin(o).filter(_contains_all(F.col("lname"), F.col("lkw"))
                               & (F.col("vendor_id") != F.col("b_vendor_id")))
     m = m.select("bid", *[F.col(c).alias(f"m_{c}") for c in offer_cols])
     order = [F.col("m_unit_price").asc_nulls_last(), F.col("m_vendor_slug").asc_nulls_last(),
