@@ -46,6 +46,29 @@ def with_pack_parts(df: DataFrame, pack_size_raw: str | None = "pack_size_raw")
              .withColumn("_pk_u2", F.regexp_extract("_pk_raw", PACK_SIZE_ONLY, 2)))
 
 
+def _pack_totals(g1, g2, g3, h1, h2):
+    cnt, size, size2 = g1.try_cast("double"), g2.try_cast("double"), h1.try_cast("double")
+    tot1 = F.when(F.lower(g3).contains("lb"), cnt * size * 16).otherwise(cnt * size)
+    tot2 = F.when(F.lower(h2).contains("lb"), size2 * 16).otherwise(size2)
+    return tot1, tot2
+
+
+def _stage_inputs(df: DataFrame, price, price_per_oz, pack_count, unit_size, unit_measure) -> DataFrame:
+    """Second stage after ``with_pack_parts``: price, vendor value, structured total,
+    measure and parsed totals as hidden columns, so the ``when`` chains only read them."""
+    g1, g2, g3, h1, h2 = [F.col(c) for c in PACK_PARTS[1:]]
+    tot1, tot2 = _pack_totals(g1, g2, g3, h1, h2)
+    d = df.withColumn("_pk_p", dbl(price)).withColumn("_pk_tot1", tot1).withColumn("_pk_tot2", tot2)
+    if price_per_oz:
+        d = d.withColumn("_pk_vp", truthy_num(price_per_oz)).withColumn("_pk_vpv", pround(dbl(price_per_oz), 4))
+    if pack_count and unit_size:
+        pc, us = dbl(pack_count), dbl(unit_size)
+        have = truthy_num(pack_count) & truthy_num(unit_size)
+        meas = F.lower(_strip(F.coalesce(col_(unit_measure), F.lit("")))) if unit_measure else F.lit("")
+        d = d.withColumn("_pk_meas", meas).withColumn("_pk_total", F.when(have & (pc > 0) & (us > 0), pc * us))
+    return d
+
+
 def unit_price_struct(price="unit_price", price_per_oz="price_per_oz", pack_count="pack_count",
                       unit_size="unit_size", unit_measure="unit_measure",
                       pack_size_raw="pack_size_raw", parts: bool = False, as_columns: bool = False):
@@ -57,15 +80,23 @@ def unit_price_struct(price="unit_price", price_per_oz="price_per_oz", pack_coun
     offer does not have.
     """
     lit_null = F.lit(None).cast("double")
-    p = dbl(price)
-    vp = truthy_num(price_per_oz) if price_per_oz else F.lit(False)
-    vp_val = pround(dbl(price_per_oz), 4) if price_per_oz else lit_null
+    if parts:  # inputs staged by _stage_inputs (each computed once per row)
+        p = F.col("_pk_p")
+        vp = F.col("_pk_vp") if price_per_oz else F.lit(False)
+        vp_val = F.col("_pk_vpv") if price_per_oz else lit_null
+    else:
+        p = dbl(price)
+        vp = truthy_num(price_per_oz) if price_per_oz else F.lit(False)
+        vp_val = pround(dbl(price_per_oz), 4) if price_per_oz else lit_null
 
     if pack_count and unit_size:
         pc, us = dbl(pack_count), dbl(unit_size)
-        meas = F.lower(_strip(F.coalesce(col_(unit_measure), F.lit("")))) if unit_measure else F.lit("")
-        have = truthy_num(pack_count) & truthy_num(unit_size)
-        total = F.when(have & (pc > 0) & (us > 0), pc * us)
+        if parts:
+            meas, total = F.col("_pk_meas"), F.col("_pk_total")
+        else:
+            meas = F.lower(_strip(F.coalesce(col_(unit_measure), F.lit("")))) if unit_measure else F.lit("")
+            have = truthy_num(pack_count) & truthy_num(unit_size)
+            total = F.when(have & (pc > 0) & (us > 0), pc * us)
         ok = total.isNotNull() & (total > 0)
         is_oz, is_lb = meas.isin(OZ_UNITS), meas.isin(LB_UNITS)
         comp_val = F.when(ok & is_oz, pround(p / total, 4)).when(ok & is_lb, pround(p / (total * 16), 4))
@@ -89,14 +120,12 @@ def unit_price_struct(price="unit_price", price_per_oz="price_per_oz", pack_coun
         h1, h2 = [F.regexp_extract(raw, PACK_SIZE_ONLY, i) for i in (1, 2)]
     m1 = g1 != ""          # group 1 is a non-empty digit run whenever the pattern matches
     cnt = g1.try_cast("double")
-    size = g2.try_cast("double")
-    meas1 = F.lower(g3)
-    tot1 = F.when(meas1.contains("lb"), cnt * size * 16).otherwise(cnt * size)
-    parsed = m1 & (tot1 > 0)
     m2 = h1 != ""
-    size2 = h1.try_cast("double")
-    meas2 = F.lower(h2)
-    tot2 = F.when(meas2.contains("lb"), size2 * 16).otherwise(size2)
+    if parts:
+        tot1, tot2 = F.col("_pk_tot1"), F.col("_pk_tot2")
+    else:
+        tot1, tot2 = _pack_totals(g1, g2, g3, h1, h2)
+    parsed = m1 & (tot1 > 0)
     simple = m2 & (tot2 > 0)
 
     try_parse = ~computed & ~vp & (F.length(raw) > 0)
@@ -126,16 +155,66 @@ def unit_price_struct(price="unit_price", price_per_oz="price_per_oz", pack_coun
 
 def normalize_unit_price(df: DataFrame, prefix: str = "norm_", **cols) -> DataFrame:
     """SCL-01 as a table job: adds norm_price_per_oz, norm_price_per_unit,
-    norm_price_per_case_unit, normalization, normalized_label."""
-    raw_col = cols.get("pack_size_raw", "pack_size_raw")
-    c = unit_price_struct(**cols, parts=True, as_columns=True)
-    out = with_pack_parts(df, raw_col)
-    return out.select(*df.columns,
-                      c["price_per_oz"].alias(f"{prefix}price_per_oz"),
-                      c["price_per_unit"].alias(f"{prefix}price_per_unit"),
-                      c["price_per_case_unit"].alias(f"{prefix}price_per_case_unit"),
-                      c["normalization"].alias("normalization"),
-                      c["normalized_label"].alias("normalized_label"))
+    norm_price_per_case_unit, normalization, normalized_label.
+
+    Built in stages of hidden columns (regex groups -> numeric inputs -> decision
+    flags and candidate values -> outputs), so every regex, rounding and
+    formatting step runs once per row and each generated expression stays small
+    enough for whole-stage codegen.
+    """
+    a = dict(price="unit_price", price_per_oz="price_per_oz", pack_count="pack_count", unit_size="unit_size",
+             unit_measure="unit_measure", pack_size_raw="pack_size_raw")
+    a.update(cols)
+    d = _stage_inputs(with_pack_parts(df, a["pack_size_raw"]), a["price"], a["price_per_oz"],
+                      a["pack_count"], a["unit_size"], a["unit_measure"])
+    c = F.col
+    structured = bool(a["pack_count"] and a["unit_size"])
+    # stage 3: decision flags and candidate values
+    if structured:
+        ok = c("_pk_total").isNotNull() & (c("_pk_total") > 0)
+        is_oz, is_lb = c("_pk_meas").isin(OZ_UNITS), c("_pk_meas").isin(LB_UNITS)
+        d = (d.withColumn("_pk_ok", ok).withColumn("_pk_is_oz", is_oz).withColumn("_pk_is_lb", is_lb)
+              .withColumn("_pk_pc", dbl(a["pack_count"])).withColumn("_pk_us", dbl(a["unit_size"])))
+        d = (d.withColumn("_pk_computed", c("_pk_ok") & (c("_pk_is_oz") | c("_pk_is_lb")))
+              .withColumn("_pk_comp", F.when(c("_pk_ok") & c("_pk_is_oz"), pround(c("_pk_p") / c("_pk_total"), 4))
+                          .when(c("_pk_ok") & c("_pk_is_lb"), pround(c("_pk_p") / (c("_pk_total") * 16), 4)))
+              .withColumn("_pk_sunit", F.when(c("_pk_ok") & (c("_pk_pc") > 0), pround(c("_pk_p") / c("_pk_pc"), 4))))
+    else:
+        d = (d.withColumn("_pk_computed", F.lit(False)).withColumn("_pk_comp", F.lit(None).cast("double"))
+              .withColumn("_pk_sunit", F.lit(None).cast("double")))
+    vp = c("_pk_vp") if a["price_per_oz"] else F.lit(False)
+    d = (d.withColumn("_pk_try", ~c("_pk_computed") & ~vp & (F.length(c("_pk_raw")) > 0))
+          .withColumn("_pk_parsed", (c("_pk_c") != "") & F.coalesce(c("_pk_tot1") > 0, F.lit(False)))
+          .withColumn("_pk_simple", (c("_pk_s2") != "") & F.coalesce(c("_pk_tot2") > 0, F.lit(False)))
+          .withColumn("_pk_pv", pround(c("_pk_p") / c("_pk_tot1"), 4))
+          .withColumn("_pk_sv", pround(c("_pk_p") / c("_pk_tot2"), 4)))
+    # stage 4: method, value and per-unit price
+    vpv = c("_pk_vpv") if a["price_per_oz"] else F.lit(None).cast("double")
+    tp, ts = c("_pk_try") & c("_pk_parsed"), c("_pk_try") & c("_pk_simple")
+    d = (d.withColumn("_pk_method", F.when(c("_pk_computed"), F.lit("computed")).when(vp, F.lit("vendor_provided"))
+                      .when(tp, F.lit("parsed")).when(ts, F.lit("parsed_simple")).otherwise(F.lit("none")))
+          .withColumn("_pk_ppo", F.when(c("_pk_computed"), c("_pk_comp")).when(vp, vpv)
+                      .when(tp, c("_pk_pv")).when(ts, c("_pk_sv")))
+          .withColumn("_pk_unit", F.when(tp, pround(c("_pk_p") / c("_pk_c").try_cast("double"), 4))
+                      .otherwise(c("_pk_sunit"))))
+    # stage 5: label (formatting only for rows that have a method)
+    m = c("_pk_method")
+    amount = F.concat(F.lit("$"), F.format_string("%.4f", c("_pk_ppo")))
+    if structured:
+        detail = F.concat(F.lit("/oz ("), F.format_string("%.0f", c("_pk_pc")), F.lit("x"), c("_pk_us").cast("string"),
+                          F.when(c("_pk_is_oz"), c("_pk_meas")).otherwise(F.lit("lb")), F.lit(")"))
+    else:
+        detail = F.lit(None).cast("string")
+    label = (F.when(m == "computed", F.concat(amount, detail))
+             .when(m == "parsed", F.concat(amount, F.lit("/oz (parsed)")))
+             .when(m.isin("vendor_provided", "parsed_simple"), F.concat(amount, F.lit("/oz"))))
+    has_price = c("_pk_p").isNotNull()
+    return d.select(*df.columns,
+                    F.when(has_price, c("_pk_ppo")).alias(f"{prefix}price_per_oz"),
+                    F.when(has_price, c("_pk_unit")).alias(f"{prefix}price_per_unit"),
+                    F.when(has_price, c("_pk_sunit")).alias(f"{prefix}price_per_case_unit"),
+                    F.when(has_price, m).otherwise(F.lit("none")).alias("normalization"),
+                    F.when(has_price, label).alias("normalized_label"))
 
 
 # ── legacy pack parse (SCL-02) ───────────────────────────────────────────
