@@ -64,6 +64,24 @@ def _trigram_rows(df: DataFrame, col: str, out: str = "tri") -> DataFrame:
     return pos.withColumn(out, F.substr(F.col(col), F.col("_i"), F.lit(3))).drop("_i")
 
 
+def trigram_index(names: DataFrame, col: str = "lname") -> DataFrame:
+    """(name, trigram) for every distinct name - the blocking index of the keyword join.
+
+    The distinct names are spread over an explicit number of partitions before the
+    explode (which multiplies rows ~len(name) times), and the index is checkpointed
+    to the shared checkpoint folder: both the frequency count and the candidate
+    join read the same materialised index.
+    """
+    from pricelens.session import ensure_checkpoint_dir
+
+    spark = names.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = names.select(col).distinct().repartition(n, col)
+    return (_trigram_rows(d, col).select(col, "tri").dropDuplicates([col, "tri"])
+            .withColumnRenamed(col, "lname").checkpoint(eager=True))
+
+
 def _contains_all(name: Column, kws: Column, max_kw: int = 3) -> Column:
     """Every (lower-cased) keyword occurs in ``name`` - at most ``max_kw`` keywords."""
     cond = F.lit(True)
@@ -86,8 +104,7 @@ def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
     b = baseline.select("bid", F.col("vendor_id").alias("b_vendor_id"),
                         F.slice(F.transform("keywords", lambda w: F.lower(w)), 1, 3).alias("lkw"))
     o = offers.select(F.lower("product_name").alias("lname"), *offer_cols)
-    names = o.select("lname").distinct()
-    grams = _trigram_rows(names, "lname").select("lname", "tri").dropDuplicates(["lname", "tri"])
+    grams = trigram_index(o.select("lname"))
     freq = grams.groupBy("tri").agg(F.count(F.lit(1)).alias("freq"))
     kw = b.select("bid", F.explode("lkw").alias("kw"))
     kwtri = _trigram_rows(kw, "kw").select("bid", "tri").dropDuplicates(["bid", "tri"])
