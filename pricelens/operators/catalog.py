@@ -19,7 +19,21 @@ from pyspark.sql import functions as F
 
 from pricelens.functions.numeric import count_if, dbl, pround
 from pricelens.functions.pack import parse_pack_legacy
-from pricelens.plans.shapes import with_scalars
+from pricelens.plans.shapes import exact_quantile, with_scalars
+
+
+def with_group_quantile(agg: DataFrame, df: DataFrame, value: str, q: float, group: list[str], out: str,
+                        places: int) -> DataFrame:
+    """Attach an exact per-group quantile (distributed, see ``exact_quantile``) to a
+    per-group aggregate; groups match null-safely."""
+    qt = exact_quantile(df, value, q, group, "_q")
+    if not group:
+        return with_scalars(agg, qt.select(pround("_q", places).alias(out)))
+    cond = None
+    for g in group:
+        c = agg[g].eqNullSafe(qt[g])
+        cond = c if cond is None else cond & c
+    return agg.join(qt, cond, "left").select(agg["*"], pround(qt["_q"], places).alias(out))
 
 
 def exact_mean(c) -> Column:
@@ -42,15 +56,15 @@ def catalog_summary(df: DataFrame) -> DataFrame:
 
 def category_prices(df: DataFrame) -> DataFrame:
     p = df.filter(F.col("price_per_unit").isNotNull())
-    return p.groupBy("category").agg(
+    g = p.groupBy("category").agg(
         F.count(F.lit(1)).alias("count"),
         pround(exact_mean("price_per_unit"), 2).alias("avg_unit_price"),
         pround(F.min("price_per_unit"), 2).alias("min_unit_price"),
         pround(F.max("price_per_unit"), 2).alias("max_unit_price"),
-        pround(F.median("price_per_unit"), 2).alias("median_unit_price"),
         pround(exact_mean("delivered_price"), 2).alias("avg_delivered"),
         pround(F.coalesce(F.sum(F.col("delivered_price").cast("decimal(38,10)")).cast("double"),
                           F.lit(0.0)), 2).alias("total_value"))
+    return with_group_quantile(g, p, "price_per_unit", 0.5, ["category"], "median_unit_price", 2)
 
 
 def maker_prices(df: DataFrame, sort: str = "count", limit: int | None = 30) -> DataFrame:
@@ -80,12 +94,12 @@ def pallet_efficiency(df: DataFrame) -> DataFrame:
 
 def cost_per_oz(df: DataFrame) -> DataFrame:
     p = df.filter(F.col("price_per_oz").isNotNull())
-    return p.groupBy("category").agg(
+    g = p.groupBy("category").agg(
         pround(exact_mean("price_per_oz"), 4).alias("avg_per_oz"),
         pround(F.min("price_per_oz"), 4).alias("min_per_oz"),
         pround(F.max("price_per_oz"), 4).alias("max_per_oz"),
-        pround(F.median("price_per_oz"), 4).alias("median_per_oz"),
         F.count(F.lit(1)).alias("count"))
+    return with_group_quantile(g, p, "price_per_oz", 0.5, ["category"], "median_per_oz", 4)
 
 
 def availability(df: DataFrame) -> DataFrame:
@@ -125,12 +139,12 @@ def price_histogram(df: DataFrame, bins: int = 30, col: str = "price_per_unit",
     """Equal-width, right-closed bins over values up to the exact 99th percentile;
     the first edge is lowered by 0.1 % of the range; only non-empty bins.
 
-    Two passes over the data, both aggregates: the percentile, then min/max of the
-    clipped values; each is a one-row frame attached by broadcast.
+    The clip value is an exact distributed quantile (``exact_quantile``), then min/max
+    of the clipped values; each is a one-row frame attached by broadcast.
     """
     v = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("x"))
     if clip_quantile is not None:
-        q = v.agg(F.percentile("x", clip_quantile).alias("_q"))
+        q = exact_quantile(v, "x", clip_quantile, None, "_q")
         v = with_scalars(v, q).filter(F.col("x") <= F.col("_q")).drop("_q")
     mm = v.agg(F.min("x").alias("_mn"), F.max("x").alias("_mx"))
     eq = F.col("_mn") == F.col("_mx")
@@ -193,14 +207,16 @@ def category_breakdown(df: DataFrame) -> DataFrame:
 
 
 def export_summary(df: DataFrame) -> DataFrame:
-    return df.agg(
+    a = df.agg(
         F.count(F.lit(1)).alias("total_products"),
         F.count_distinct(F.coalesce("category", F.lit(""))).alias("categories"),
         F.count_distinct(F.coalesce("manufacturer", F.lit(""))).alias("manufacturers"),
         pround(exact_mean("price_per_unit"), 2).alias("avg_unit_price"),
-        pround(F.median("price_per_unit"), 2).alias("median_unit_price"),
         pround(F.min("price_per_unit"), 2).alias("min_unit_price"),
         pround(F.max("price_per_unit"), 2).alias("max_unit_price"))
+    out = with_group_quantile(a, df, "price_per_unit", 0.5, [], "median_unit_price", 2)
+    return out.select("total_products", "categories", "manufacturers", "avg_unit_price", "median_unit_price",
+                      "min_unit_price", "max_unit_price")
 
 
 VALUE_COLS = ["product_id", "product", "manufacturer", "category", "price_per_unit", "price_per_oz",

@@ -152,3 +152,34 @@ def lag_by_key(df: DataFrame, key: list[str], order: list[str], cols: list[str],
                      .alias(f"{prefix}{c}") for c in cols],
                    (~F.col("_first") | cont).alias("has_prev"))
     return out
+
+
+def exact_quantile(df: DataFrame, value: str, q: float, group: list[str] | None = None,
+                   out: str = "quantile") -> DataFrame:
+    """Exact linear-interpolation quantile (``percentile`` / ``median`` semantics) of
+    ``value`` per ``group`` (or over all rows), without holding a group's values in
+    one task: rows are ranked by (group, value) with ``global_rank`` (range
+    partitioning splits a hot group), each group's first rank and size come from an
+    aggregate, and the two rows around position (n - 1) * q are picked and blended.
+    Returns one row per group: group columns + ``out``.
+    """
+    group = group or []
+    v = df.select(*group, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    r = global_rank(v, [*[F.col(g) for g in group], F.col("_v")], "_r")
+    stats = r.groupBy(*group).agg(F.min("_r").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    stats = (stats.withColumn("_h", (F.col("_n") - 1).cast("double") * F.lit(float(q)))
+             .withColumn("_lo", F.col("_first") + F.floor("_h").cast("bigint"))
+             .withColumn("_hi", F.col("_first") + F.ceil("_h").cast("bigint")))
+    keys = [F.lit(1).alias("_one")] if not group else []
+    rr = r.select(*group, "_r", "_v", *keys)
+    ss = stats.select(*group, "_lo", "_hi", "_h", "_first", *keys)
+    on = group or ["_one"]
+    picked = rr.join(ss, on).filter((F.col("_r") == F.col("_lo")) | (F.col("_r") == F.col("_hi")))
+    agg = picked.groupBy(*on).agg(
+        F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vl"),
+        F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_v"))).alias("_vh"),
+        F.first("_h").alias("_h"), F.first("_lo").alias("_lo"), F.first("_first").alias("_first"))
+    frac = F.col("_h") - (F.col("_lo") - F.col("_first")).cast("double")
+    res = F.when(F.col("_vl") == F.col("_vh"), F.col("_vl")) \
+        .otherwise((F.lit(1.0) - frac) * F.col("_vl") + frac * F.col("_vh"))
+    return agg.select(*group, res.alias(out))
