@@ -96,14 +96,13 @@ def audit_pages(received: DataFrame, page_size: int, key: str = "category") -> D
     ``received``: (key, page_no, declared_count, rows) - one row per fetched page.
     """
     g = received.groupBy(key).agg(F.max("declared_count").alias("declared_count"),
-                                  F.sum("rows").cast("bigint").alias("rows_received"),
-                                  F.collect_set("page_no").alias("_got"))
+                                  F.sum("rows").cast("bigint").alias("rows_received"))
     g = g.withColumn("expected_pages", F.ceil(F.col("declared_count") / F.lit(page_size)).cast("int"))
     pages = g.select(key, F.explode(F.sequence(F.lit(1), F.greatest("expected_pages", F.lit(1))))
                      .alias("page_no"), "expected_pages")
     missing = pages.filter(F.col("expected_pages") > 0).join(
         received.select(key, "page_no"), [key, "page_no"], "left_anti")
-    summary = g.drop("_got").withColumn("complete", F.col("rows_received") >= F.col("declared_count"))
+    summary = g.withColumn("complete", F.col("rows_received") >= F.col("declared_count"))
     return summary.join(missing.groupBy(key).agg(F.array_sort(F.collect_list("page_no")).alias("missing_pages")),
                         key, "left").withColumn("missing_pages",
                                                 F.coalesce("missing_pages", F.array().cast("array<int>")))

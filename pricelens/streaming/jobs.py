@@ -118,7 +118,11 @@ def _quota_fn(max_per_day: int):
 def stream_quota(events: DataFrame, max_per_day: int = 5, action: str = "event_type", user: str = "user_id",
                  ts: str = "ts", delay: str = "1 hour") -> DataFrame:
     """Streaming daily quota: keyed by (action, user, day), the running count lives in
-    state; a day's key expires when the event-time watermark passes its end."""
+    state; a day's key expires when the event-time watermark passes its end.
+
+    A key's requests of one micro-batch are handled together (ordered by time), so
+    the per-call buffer is bounded by the trigger size - read the source with
+    ``maxRecordsPerTrigger`` / ``maxFilesPerTrigger`` set."""
     e = (events.withColumn("_wts", F.col(ts).cast("timestamp")).withWatermark("_wts", delay)
          .select("event_id", F.col(action).alias("action"), F.col(user).alias("user_id"),
                  F.to_date(F.col(ts)).alias("day"), F.col(ts).cast("timestamp_ntz").alias("ts"), "_wts"))
