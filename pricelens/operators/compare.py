@@ -108,17 +108,20 @@ def price_changes(products: DataFrame, vendors: DataFrame, slug: str | None = No
 
 
 SORT_NULLS = {"asc": lambda c: F.col(c).asc_nulls_last(), "desc": lambda c: F.col(c).desc_nulls_first()}
+# legacy listings sort with nulls last in both directions
+SORT_NULLS_LAST = {"asc": lambda c: F.col(c).asc_nulls_last(), "desc": lambda c: F.col(c).desc_nulls_last()}
 
 
 def page(df: DataFrame, sort_by: str = "product_name", sort_dir: str = "asc", page_no: int = 1,
-         per_page: int = 50, key: str = "product_id", deep: bool = False) -> DataFrame:
-    """One page of a sorted listing (Postgres null order; ``key`` makes the order total).
+         per_page: int = 50, key: str = "product_id", deep: bool = False, nulls_last: bool = False) -> DataFrame:
+    """One page of a sorted listing (Postgres null order, or nulls last in both
+    directions for the legacy listing; ``key`` makes the order total).
 
     Shallow pages use TakeOrdered (limit pushed into the sort).  ``deep=True``
     numbers rows with ``global_rank`` and filters the page range, which does not
     gather ``offset + per_page`` rows into one task.
     """
-    order = [SORT_NULLS[sort_dir](sort_by), F.col(key).asc()]
+    order = [(SORT_NULLS_LAST if nulls_last else SORT_NULLS)[sort_dir](sort_by), F.col(key).asc()]
     start = (page_no - 1) * per_page
     if deep:
         r = global_rank(df, order, "_row")

@@ -358,3 +358,11 @@ def q_source_breakdown(spark, sf):
 @query("srt_sample_n")
 def q_sample_n(spark, sf):
     return K.sample_n(V(spark, sf)["catalog"], 2000, 42)
+
+
+@query("srt_page_legacy", f"""
+SELECT {CAT_COLS} FROM catalog WHERE available ORDER BY price_per_unit DESC NULLS LAST, product_id LIMIT 50 OFFSET 50""")
+def q_page_legacy(spark, sf):
+    from pricelens.operators.compare import page
+    c = FL.apply_filters(V(spark, sf)["catalog"], {"available_only": True})
+    return page(c, "price_per_unit", "desc", 2, 50, nulls_last=True)

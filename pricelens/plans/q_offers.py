@@ -414,3 +414,11 @@ def q_insights(spark, sf):
 
 
 _unused = (BASELINE, F)
+
+
+@query("agg_filter_value_lists", """
+SELECT list_sort(list(DISTINCT category) FILTER (WHERE category IS NOT NULL AND category <> '')) AS categories,
+       list_sort(list(DISTINCT brand) FILTER (WHERE brand IS NOT NULL AND brand <> '')) AS brands
+FROM products""")
+def q_filter_value_lists(spark, sf):
+    return A.filter_value_lists(V(spark, sf)["products"])
