@@ -9,9 +9,8 @@
 * ``global_rank`` - a total-order rank without an unpartitioned window:
   range-partition, count rows per partition (one row per partition), prefix
   sum those counts, add the in-partition row number.
-* ``with_scalars`` - attach a one-row aggregate to every row through a
-  broadcast equi-join on a constant key (the broadcast side is exactly one
-  row by construction).
+* ``with_scalars`` - attach a one-row aggregate to every row as a scalar
+  subquery (computed once, no join).
 """
 
 from __future__ import annotations
@@ -85,9 +84,12 @@ def global_rank(df: DataFrame, order: list, rank_col: str = "rank",
 
 
 def with_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row DataFrame to every row of ``df``."""
-    return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(scalars.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+    """Attach the columns of a one-row DataFrame (a global aggregate) to every row of
+    ``df`` as a scalar subquery: the aggregate runs once and its single struct value
+    is read by every row - no join (a literal-key join would fold into a cross join)."""
+    cols = scalars.columns
+    value = scalars.select(F.struct(*[F.col(c) for c in cols]).alias("_s")).scalar()
+    return df.withColumn("_scalar", value).select(*df.columns, *[F.col(f"_scalar.{c}").alias(c) for c in cols])
 
 
 def combine_scalars(*frames: DataFrame) -> DataFrame:
@@ -170,12 +172,12 @@ def exact_quantile(df: DataFrame, value: str, q: float, group: list[str] | None
     stats = (stats.withColumn("_h", (F.col("_n") - 1).cast("double") * F.lit(float(q)))
              .withColumn("_lo", F.col("_first") + F.floor("_h").cast("bigint"))
              .withColumn("_hi", F.col("_first") + F.ceil("_h").cast("bigint")))
-    keys = [F.lit(1).alias("_one")] if not group else []
-    rr = r.select(*group, "_r", "_v", *keys)
-    ss = stats.select(*group, "_lo", "_hi", "_h", "_first", *keys)
-    on = group or ["_one"]
-    picked = rr.join(ss, on).filter((F.col("_r") == F.col("_lo")) | (F.col("_r") == F.col("_hi")))
-    agg = picked.groupBy(*on).agg(
+    rr = r.select(*group, "_r", "_v")
+    ss = stats.select(*group, "_lo", "_hi", "_h", "_first")
+    # per group: an equi-join on the group; over all rows: the one stats row as a scalar
+    joined = rr.join(ss, group) if group else with_scalars(rr, ss)
+    picked = joined.filter((F.col("_r") == F.col("_lo")) | (F.col("_r") == F.col("_hi")))
+    agg = picked.groupBy(*group).agg(
         F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vl"),
         F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_v"))).alias("_vh"),
         F.first("_h").alias("_h"), F.first("_lo").alias("_lo"), F.first("_first").alias("_first"))

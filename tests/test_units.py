@@ -258,3 +258,14 @@ def test_lag_by_key_matches_window_with_a_hot_key(spark):
     assert parts > 1
     small = lag_by_key(df, ["k"], ["t"], ["v"])  # no key above the bound: plain window path
     assert sorted(rows(small, "k", "t", "prev_v", "has_prev")) == sorted(rows(want, "k", "t", "prev_v", "has_prev"))
+
+
+def test_scalar_attach_is_not_a_cross_join(spark):
+    from pricelens.plans.shapes import with_scalars
+
+    df = spark.range(100).select(F.col("id").cast("double").alias("x"))
+    out = with_scalars(df, df.agg(F.min("x").alias("mn"), F.max("x").alias("mx")))
+    assert out.filter("x = 3").select("mn", "mx").first() == (0.0, 99.0)
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
