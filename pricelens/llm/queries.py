@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import simhash
+from pricelens.llm import simhash, substring
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -26,3 +26,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup_substrings(table(spark, sf_dir, "documents"), window=35)
+
+
+LLM_ORACLE["op4_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (SELECT doc_id, p, array_to_string(w[p:p + 34], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS p FROM d WHERE len(w) >= 35)),
+rep AS (SELECT doc_id, p FROM win JOIN (SELECT s FROM win GROUP BY s HAVING count(*) > 1) USING (s)),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(p, p + 34)) AS p FROM rep),
+kept AS (SELECT k.doc_id, string_agg(k.word, ' ' ORDER BY k.p) AS t, count(*) AS n
+         FROM (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d) k
+         ANTI JOIN gone g ON k.doc_id = g.doc_id AND k.p = g.p GROUP BY k.doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(kept.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
