@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import simhash, substring
+from pricelens.llm import language, quality, repetition, simhash, substring, toxicity
+from pricelens.llm.common import held_out
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -22,6 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = language.train(docs.where(~out))
+    return language.predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -46,3 +55,50 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(kept.n, 0))::
        sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = quality.train(docs, labels.where(~out))
+    return quality.score(docs, model, threshold=0.7).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = held_out(F.col("doc_id"), 3, 1)
+    learn = labels.where(~out & F.col("toxic").isin(0, 1))
+    prior = learn.agg(F.avg("toxic")).first()[0] or 0.0
+    model = toxicity.train(docs, learn.where("toxic = 1"), docs.where(~out), prior)
+    return toxicity.score(docs, model, threshold=0.7).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repetition.quality_rules(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_LIMITS = ", ".join(f"({k}, {v})" for k, v in ({3: 9} | repetition.NGRAM_LIMITS).items())
+LLM_ORACLE["op10_quality_rules"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+c AS (SELECT doc_id, coalesce(sum(length(x)), 0)::BIGINT AS word_chars FROM (SELECT doc_id, unnest(w) AS x FROM d) GROUP BY doc_id),
+win AS (SELECT doc_id, n, top, p, count(*) OVER (PARTITION BY doc_id, n, s) AS k FROM (
+          SELECT doc_id, n, top, p, array_to_string(w[p:p + n - 1], ' ') AS s FROM (
+            SELECT doc_id, w, n, top, unnest(generate_series(1, len(w) - n + 1)) AS p FROM d, (VALUES {_LIMITS}) l(n, top) WHERE len(w) >= n))),
+hit AS (SELECT DISTINCT doc_id, n, top, unnest(generate_series(p, p + n - 1)) AS p FROM win WHERE k > 1),
+cov AS (SELECT h.doc_id, n, any_value(top) AS top, count(*) AS words, sum(length(d.w[h.p])) AS chars FROM hit h JOIN d ON d.doc_id = h.doc_id GROUP BY h.doc_id, n),
+lim AS (SELECT cov.doc_id, max(CASE WHEN n = 3 THEN words END) AS n_repeat_words, bool_or(chars / word_chars > top) AS bad FROM cov JOIN c ON c.doc_id = cov.doc_id GROUP BY cov.doc_id),
+ln AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS r FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+       WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT doc_id, count(*) AS n, count(*) FILTER (r > 1) AS n_dup, sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) FILTER (r > 1) AS chars FROM ln GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+             length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup.n_dup, 0)::BIGINT AS n_dup_lines,
+             coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+             coalesce(bad, false) OR coalesce(dup.n_dup / dup.n > {repetition.LINE_LIMIT}, false) OR coalesce(dup.chars / word_chars > {repetition.LINE_CHAR_LIMIT}, false) AS bad
+      FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN lim ON lim.doc_id = d.doc_id LEFT JOIN dup ON dup.doc_id = d.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR bad) AS kept FROM m
+"""
