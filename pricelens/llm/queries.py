@@ -85,12 +85,12 @@ _LIMITS = ", ".join(f"({k}, {v})" for k, v in ({3: 9} | repetition.NGRAM_LIMITS)
 LLM_ORACLE["op10_quality_rules"] = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 c AS (SELECT doc_id, coalesce(sum(length(x)), 0)::BIGINT AS word_chars FROM (SELECT doc_id, unnest(w) AS x FROM d) GROUP BY doc_id),
-win AS (SELECT doc_id, n, top, p, count(*) OVER (PARTITION BY doc_id, n, s) AS k FROM (
+win AS (SELECT doc_id, n, top, p, CASE WHEN n = 3 THEN count(*) OVER (PARTITION BY doc_id, n, s) ELSE row_number() OVER (PARTITION BY doc_id, n, s ORDER BY p) END AS k FROM (
           SELECT doc_id, n, top, p, array_to_string(w[p:p + n - 1], ' ') AS s FROM (
             SELECT doc_id, w, n, top, unnest(generate_series(1, len(w) - n + 1)) AS p FROM d, (VALUES {_LIMITS}) l(n, top) WHERE len(w) >= n))),
 hit AS (SELECT DISTINCT doc_id, n, top, unnest(generate_series(p, p + n - 1)) AS p FROM win WHERE k > 1),
 cov AS (SELECT h.doc_id, n, any_value(top) AS top, count(*) AS words, sum(length(d.w[h.p])) AS chars FROM hit h JOIN d ON d.doc_id = h.doc_id GROUP BY h.doc_id, n),
-lim AS (SELECT cov.doc_id, max(CASE WHEN n = 3 THEN words END) AS n_repeat_words, bool_or(chars / word_chars > top) AS bad FROM cov JOIN c ON c.doc_id = cov.doc_id GROUP BY cov.doc_id),
+lim AS (SELECT cov.doc_id, max(CASE WHEN n = 3 THEN words END) AS n_repeat_words, bool_or(n > 3 AND chars / word_chars > top) AS bad FROM cov JOIN c ON c.doc_id = cov.doc_id GROUP BY cov.doc_id),
 ln AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS r FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
        WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT doc_id, count(*) AS n, count(*) FILTER (r > 1) AS n_dup, sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) FILTER (r > 1) AS chars FROM ln GROUP BY doc_id),

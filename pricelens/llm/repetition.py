@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pricelens.llm.common import covered, mix, text_bytes, window_hash, word_hashes
 from pricelens.llm.sampling import map_texts
 
-#: Largest share of a text's word characters inside word n-grams that occur more than once, by n.
+#: Largest share of a text's word characters inside word n-grams that occurred before, by n.
 NGRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 #: Largest share of lines that repeat an earlier one, and of word characters in them.
 LINE_LIMIT, LINE_CHAR_LIMIT = 0.30, 0.20
@@ -18,11 +18,11 @@ SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", dtype=np.uint8))
 BLANK = np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\x0c\r", dtype=np.uint8))
 
 
-def repeated(hashes: np.ndarray) -> np.ndarray:
-    """Places of the values that occur more than once."""
+def repeated(hashes: np.ndarray, first: bool = True) -> np.ndarray:
+    """Places of the values that occur more than once, the first occurrence included or not."""
     order = np.argsort(hashes, kind="stable")
-    same = hashes[order][1:] == hashes[order][:-1]
-    return order[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(hashes) else order
+    again = np.concatenate([[False], hashes[order][1:] == hashes[order][:-1]])[:len(hashes)]
+    return order[again | np.append(again[1:], False)[:len(hashes)]] if first else order[again]
 
 
 def points(b: np.ndarray) -> np.ndarray:
@@ -48,13 +48,13 @@ def measure(text: bytes | None, limits: dict[int, float]) -> dict:
     h = word_hashes(words)[:, 0]
     size = np.fromiter((len(w) if w.isascii() else len(w.decode("utf-8", "replace")) for w in words), dtype=np.int64, count=n)
 
-    def cover(k: int) -> np.ndarray:
-        at = repeated(mix(window_hash(h, k)))
+    def cover(k: int, first: bool = False) -> np.ndarray:
+        at = repeated(mix(window_hash(h, k)), first)
         return covered(at, k, n) if len(at) else np.zeros(n, dtype=bool)
 
     shares = {k: (float(size[cover(k)].sum()) / word_chars if word_chars else 0.0) for k in limits}
     return {"n_words": n, "word_chars": word_chars, "n_symbols": int(SYMBOLS[raw].sum()), "n_dup_lines": dup_lines,
-            "n_repeat_words": int(cover(3).sum()), "line_share": dup_lines / lines if lines else 0.0,
+            "n_repeat_words": int(cover(3, first=True).sum()), "line_share": dup_lines / lines if lines else 0.0,
             "line_char_share": dup_line_chars / word_chars if word_chars else 0.0, "ngram_shares": shares}
 
 
@@ -62,8 +62,8 @@ def quality_rules(docs: DataFrame, limits: dict[int, float] | None = None, line_
                   min_words: int = 50, max_repeat_percent: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Repetition figures and verdict of every whole text, one row per row of ``docs``.
 
-    Rolling hashes of the word n-grams of every length in ``limits`` mark the words inside n-grams that occur more
-    than once in the text (first occurrence included); the share of the text's word characters that they cover must
+    Rolling hashes of the word n-grams of every length in ``limits`` mark the words inside n-grams that
+    occurred earlier in the text; the share of the text's word characters that they cover must
     not pass the limit of their length. Neither must the share of lines that repeat an earlier line, nor the share of
     characters in those. A text of fewer than ``min_words`` words, or of which more than ``max_repeat_percent`` per cent
     of the words lie in repeated 3-word windows, fails before (``base_failed``).

@@ -60,39 +60,37 @@ def variants(fps: DataFrame, max_bits: int) -> DataFrame:
         seg = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << width) - 1))
         for i in range(width):
             keys.append(seg.bitwiseAND(F.lit(((1 << width) - 1) ^ (1 << i))).bitwiseOR(F.lit((low + i) << 32)))
-    return fps.select("node", "fp", F.explode(F.array(*keys)).alias("key"))
+    return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
 
 
 def links(fps: DataFrame, max_bits: int = 2, hot: int = 64) -> DataFrame:
-    """Links ``(a, b)`` between rows of ``fps(node, fp)`` (distinct fingerprints) that keep every connection of
-    fingerprints at ``max_bits`` or fewer differing bits.
+    """Links ``(a, b)`` between distinct fingerprints ``fps(fp)`` that keep every connection of fingerprints at
+    ``max_bits`` or fewer differing bits.
 
     A bucket holds the fingerprints with one variant in common. Buckets of one row cannot link anything and
-    buckets of two give their pair from an aggregate. Those of up to ``hot`` rows are joined and verified.
-    Fingerprints of larger buckets are instead expanded into all their variants with ``max_bits`` blanked bits:
-    rows that share one are within the distance by construction, so each is linked to the smallest node only -
-    as exact, and without listing the pairs of a large group.
+    buckets of two give their pair from the aggregate that counts them. Those of up to ``hot`` rows are joined and
+    verified. Fingerprints of larger buckets are instead expanded into all their variants with ``max_bits`` blanked
+    bits: rows that share one are within the distance by construction, so each is linked to the smallest only - as
+    exact, and without listing the pairs of a large group.
     """
     v = variants(fps, max_bits)
-    buckets = materialize(
-        v.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("f1"), F.max("fp").alias("f2"),
-                             F.min("node").alias("n1"), F.max("node").alias("n2")).where("n > 1"), "simhash-buckets")
-    near = F.bit_count(F.col("f1").bitwiseXOR(F.col("f2"))) <= max_bits
-    two = buckets.where("n = 2").where(near).select(F.col("n1").alias("a"), F.col("n2").alias("b"))
+    buckets = materialize(v.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "simhash-buckets")
+    two = buckets.where("n = 2").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b")
 
-    some = v.join(buckets.where(F.col("n").between(3, hot)).select("key"), "key")
+    # the list of buckets grows with the corpus: merged, never broadcast
+    some = v.join(buckets.where(F.col("n").between(3, hot)).select("key").hint("merge"), "key")
     p, q = some.alias("p"), some.alias("q")
     near = F.bit_count(F.col("p.fp").bitwiseXOR(F.col("q.fp"))) <= max_bits
-    mid = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.node") < F.col("q.node")) & near)
-    mid = mid.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
+    mid = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.fp") < F.col("q.fp")) & near)
+    mid = mid.select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b"))
 
-    big = v.join(buckets.where(F.col("n") > hot).select("key"), "key").select("node", "fp").distinct()
+    big = v.join(buckets.where(F.col("n") > hot).select("key").hint("merge"), "key").select("fp").distinct()
     masks = [sum(1 << b for b in c) for c in combinations(range(BITS), max_bits)]
     masks = F.array(*[F.lit(m - (1 << BITS) if m >> (BITS - 1) else m) for m in masks])
-    wide = big.select("node", "fp", F.explode(masks).alias("mask"))
-    wide = wide.select("node", "mask", F.col("fp").bitwiseAND(F.bitwise_not("mask")).alias("rest"))
-    heads = wide.groupBy("mask", "rest").agg(F.count("*").alias("n"), F.min("node").alias("b")).where("n > 1").drop("n")
-    star = wide.join(heads, ["mask", "rest"]).where(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b")
+    wide = big.select("fp", F.explode(masks).alias("mask"))
+    wide = wide.select("fp", "mask", F.col("fp").bitwiseAND(F.bitwise_not("mask")).alias("rest"))
+    heads = wide.groupBy("mask", "rest").agg(F.count("*").alias("n"), F.min("fp").alias("b")).where("n > 1").drop("n")
+    star = wide.join(heads, ["mask", "rest"]).where(F.col("fp") != F.col("b")).select(F.col("fp").alias("a"), "b")
     return two.union(mid).union(star).distinct()
 
 
@@ -100,17 +98,18 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2, hot
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """SimHash near-duplicate groups: ``(doc_id, fp, component_id)``, one row per row of ``docs``.
 
-    Exact copies meet in one fingerprint first (a partial aggregate), so only distinct fingerprints are indexed;
-    each is represented by its smallest doc_id. ``component_id`` is the smallest doc_id reachable over links of
-    ``max_bits`` or fewer differing bits. Null, empty and blank texts have fingerprint 0 and link like any other.
-    Rows that repeat a doc_id are kept; rows with a null doc_id link nothing and have a null component where
-    no other row shares their fingerprint. An empty table gives no rows. Other columns are not looked at.
+    Exact copies meet in one fingerprint first (a partial aggregate), so only distinct fingerprints are indexed and
+    linked. ``component_id`` is the smallest doc_id reachable over links of ``max_bits`` or fewer differing bits.
+    Null, empty and blank texts have fingerprint 0 and link like any other. Rows that repeat a doc_id are kept; a
+    null doc_id is never a component's name while another is there. An empty table gives no rows. Other columns are
+    not looked at.
     """
     rows = materialize(fingerprints(docs, shingle, id_col, text_col), "simhash-rows")
-    reps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-reps")
-    found = connected_components(links(reps.where("node is not null"), max_bits, hot))
-    by_fp = reps.join(found, "node", "left").select(F.col("fp"), F.coalesce("root", "node").alias("component_id"))
-    return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    reps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-reps")
+    found = connected_components(links(reps.select("fp"), max_bits, hot))
+    rooted = reps.join(found, reps["fp"] == found["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    names = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    return rows.join(rooted.select("fp", "root").join(names, "root"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
