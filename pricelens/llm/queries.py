@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import language, quality, repetition, simhash, substring, toxicity
+from pricelens.llm import language, lines, quality, repetition, simhash, substring, toxicity, urls
 from pricelens.llm.common import held_out
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed_lines", F.col("text").alias("kept_text"))
+
+
+LLM_ORACLE["op1_line_dedup"] = rf"""
+WITH l AS (SELECT doc_id, i, line, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM (
+             SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
+r AS (SELECT *, (h + coalesce(lag(h) OVER w, 0) * {lines.ROLL}) % {lines.PRIME} AS r FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+b AS (SELECT *, coalesce(r < lag(r) OVER w AND r <= lead(r) OVER w, false) AS ends FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+n AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM b),
+ch AS (SELECT doc_id, c, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS k FROM n GROUP BY doc_id, c),
+d AS (SELECT *, k >= 2 AND regexp_matches(chunk, '[^\x20\x09-\x0D]') AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, c) > 1 AS gone FROM ch)
+SELECT t.doc_id, coalesce(sum(k), 0)::BIGINT AS n_lines, coalesce(sum(k) FILTER (gone), 0)::BIGINT AS n_removed_lines,
+       CASE WHEN any_value(t.text) IS NOT NULL THEN coalesce(string_agg(chunk, chr(10) ORDER BY c) FILTER (NOT gone), '') END AS kept_text
+FROM documents t LEFT JOIN d ON t.doc_id = d.doc_id GROUP BY t.doc_id
+"""
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -65,6 +85,27 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, threshold=0.7).select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
+#: (host, path, verdict)
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(str(r) for r in URL_RULES)} AS t(host, path, verdict)")
+    return urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
+LLM_ORACLE["op8_url_filter"] = f"""
+WITH rules(rhost, rpath, v) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+u AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, row_number() OVER () AS k FROM (SELECT page_id, coalesce(rest, '') AS rest FROM u)),
+f AS (SELECT k, rhost || rpath AS rule, v, row_number() OVER (PARTITION BY k ORDER BY length(rhost || rpath) DESC) AS n
+      FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM p LEFT JOIN f ON p.k = f.k AND f.n = 1
+"""
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
