@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import language, lines, quality, repetition, simhash, substring, toxicity, urls
+from pricelens.llm import language, lines, packing, quality, repetition, simhash, substring, toxicity, urls
 from pricelens.llm.common import held_out
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -77,6 +83,11 @@ FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
 
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), size=4096, end_id=1)
+
+
 @query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
