@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.llm.common import pieces
 from pricelens.llm.sampling import map_texts, sample_ids
 
 GRAMS = (1, 2, 3)
@@ -99,6 +101,20 @@ def train(docs: DataFrame, per_language: int = 500, n_landmarks: int = 160, ridg
     return fit(x, np.array([names.index(r[0]) for r in got]), names, n_landmarks, ridge, seed)
 
 
+def classify(m: Model | None, texts: list[str | None], without: str = UNDETERMINED) -> tuple[list[str], np.ndarray]:
+    """Language and score of a batch of texts; ``without``: the language of texts with a letter where there is no model."""
+    names, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    got = [(i, p) for i, t in enumerate(texts) if (p := presence(t)) is not None]
+    if m is None:
+        for i, _ in got:
+            names[i] = without
+    elif got:
+        f = m.scores(np.array([p for _, p in got], dtype=np.float32))
+        for (i, _), c, v in zip(got, f.argmax(axis=1), f.max(axis=1)):
+            names[i], score[i] = m.names[c], min(1.0, max(0.0, (float(v) + 1) / 2))
+    return names, score
+
+
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, lang_pred, score)`` of every whole text, one row per row of ``docs``.
 
@@ -109,14 +125,23 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(b: pa.RecordBatch) -> list:
-        m = shared.value
-        names, score = [UNDETERMINED] * b.num_rows, np.zeros(b.num_rows)
-        got = [(i, p) for i, t in enumerate(b.column(1)) if m is not None and (p := presence(t.as_py())) is not None]
-        if got:
-            f = m.scores(np.array([p for _, p in got], dtype=np.float32))
-            for (i, _), c, v in zip(got, f.argmax(axis=1), f.max(axis=1)):
-                names[i], score[i] = m.names[c], min(1.0, max(0.0, (float(v) + 1) / 2))
+        names, score = classify(shared.value, b.column(1).to_pylist())
         return [b.column(0), pa.array(names, pa.string()), pa.array(score)]
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return map_texts(src, run, "doc_id long, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose language is ``und``: null texts and texts without a letter. All columns and names stay.
+
+    Without a model every text with a letter stays.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch], at=docs.columns.index(text_col)) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, 256):
+            names, _ = classify(shared.value, b.column(at).to_pylist(), without="any")
+            yield b.filter(pa.array([n != UNDETERMINED for n in names], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
