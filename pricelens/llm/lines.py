@@ -62,7 +62,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     All counts are partial aggregates; what is gathered is bounded by the lines of one document. Null texts stay null
     with 0 lines; a text without repeated chunks is returned as it is. Rows of the same id and text are one document:
-    they are treated alike, and only other documents make their chunks repeated. A null id comes before all others.
+    they are treated alike, and do not make each other's chunks repeated. A null id comes before all others.
     """
     src = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("rk"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     places = _chunk_rows(with_chunks(src, F.col("text")), ["rk"], F.col("__chunks")).select("rk", "s", F.xxhash64("chunk").alias("key"))

@@ -37,9 +37,10 @@ def keys(host_col: str, path_col: str, lengths: list[int]) -> Column:
 class Bloom:
     bits: bytes
     hashes: int
+    seed: int  # another for each level: keys that meet in one level must part in the next
 
     def positions(self, key: Column) -> list[Column]:
-        return [F.pmod(F.xxhash64(F.lit(i), key), F.lit(len(self.bits) * 8)) for i in range(self.hashes)]
+        return [F.pmod(F.xxhash64(F.lit(self.seed + i), key), F.lit(len(self.bits) * 8)) for i in range(self.hashes)]
 
     def has(self, key: Column) -> Column:
         """Whether all bits of the key are set."""
@@ -50,15 +51,15 @@ class Bloom:
         return out
 
     @staticmethod
-    def of(members: DataFrame, n: int, bits_per_key: int, hashes: int) -> Bloom:
+    def of(members: DataFrame, n: int, bits_per_key: int, hashes: int, seed: int) -> Bloom:
         """Filter of the ``n`` rows of ``members(key)``; its bytes are aggregated in Spark and are ``bits_per_key`` / 8 times n."""
-        empty = Bloom(bytes(max(8, -(-n * bits_per_key // 8))), hashes)
+        empty = Bloom(bytes(max(8, -(-n * bits_per_key // 8))), hashes, seed)
         at = members.select(F.explode(F.array(*empty.positions(F.col("key")))).alias("p"))
         byte = at.groupBy(F.floor(F.col("p") / 8).cast("int").alias("i")).agg(F.bit_or(F.expr("shiftleft(1, cast(p % 8 as int))")).alias("b"))
         out = bytearray(empty.bits)
         for r in byte.collect():
             out[r["i"]] = r["b"]
-        return Bloom(bytes(out), hashes)
+        return Bloom(bytes(out), hashes, seed)
 
 
 @dataclass
@@ -81,7 +82,7 @@ class Cascade:
         inside, outside = universe.where(listed), universe.where(~listed)
         n = inside.count()
         while n:
-            out.levels.append(Bloom.of(inside, n, bits_per_key, hashes))
+            out.levels.append(Bloom.of(inside, n, bits_per_key, hashes, len(out.levels) * hashes))
             inside, outside = outside.where(out.levels[-1].has(F.col("key"))), inside
             n = inside.count()
         return out
