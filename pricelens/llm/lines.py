@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.llm import bloom
 from pricelens.llm.common import materialize, row_key
 
 ROLL = 1_000_003  # multiplier of the rolling hash
@@ -40,47 +41,50 @@ def with_chunks(docs: DataFrame, text: Column) -> DataFrame:
     return d.drop("__h", "__r", "__n", "__s")
 
 
-def _chunk_rows(d: DataFrame, keep: list[str], chunks: Column) -> DataFrame:
-    """One row per chunk of two lines or more that is not blank: ``keep``, its first line ``s`` and its ``chunk`` text."""
-    rows = d.select(*keep, "__lines", F.explode(chunks).alias("__c")).where("__c.e - __c.s >= 2")
-    chunk = F.array_join(F.slice("__lines", F.col("__c.s") + 1, F.col("__c.e") - F.col("__c.s")), "\n")
-    return rows.select(*keep, F.col("__c.s").alias("s"), chunk.alias("chunk")).where(F.col("chunk").rlike(BLANK))
+def chunk_rows(src: DataFrame) -> DataFrame:
+    """``(rk, id, s, key, chunk)``: the chunks of two lines or more that are not blank, with their first line and hash."""
+    d = with_chunks(src, F.col("text"))
+    long = F.filter("__chunks", lambda c: c["e"] - c["s"] >= 2)
+    # texts are made before the explode: above it the lines would be split anew for every chunk
+    texts = F.transform(long, lambda c: F.struct(c["s"].alias("s"), F.array_join(F.slice("__lines", c["s"] + 1, c["e"] - c["s"]), "\n").alias("chunk")))
+    rows = d.select("rk", "id", F.explode(texts).alias("c")).select("rk", "id", "c.s", F.xxhash64("c.chunk").alias("key"), "c.chunk")
+    return rows.where(F.col("chunk").rlike(BLANK))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, bits_per_key: int = 12, hashes: int = 4, max_bits: int = 1 << 28, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every chunk of lines that occurred before taken out of its text.
 
     Texts are cut into content-defined chunks (``with_chunks``). Of the chunks of two lines or more that occur more than
     once in the corpus with the same bytes, the first occurrence - smallest id, then place - stays and the others are
     removed with their line ends. Adds ``n_lines`` and ``n_removed_lines``, replacing columns of those names.
 
-    1. Chunks are counted by a 64-bit hash; the places of those that may be repeated are gathered for each document.
-    2. The texts of those chunks only are grouped by their bytes. The group's smallest place is the one that stays. A hash
-       that stands for one text, as nearly all do, then tells the places to remove without moving the text again;
-       places of a hash shared by different texts are joined by the text itself.
+    1. Chunks are counted by a 64-bit hash; the hashes that occur more than once go into a Bloom filter.
+    2. A second pass writes the chunks that the filter lets through, and they are grouped by their bytes. The group's
+       smallest place is the one that stays. A hash that stands for one text, as nearly all do, then tells the places to
+       remove without moving texts again; places of a hash shared by different texts are joined by the text itself.
     3. The removals of a document, gathered, are joined to it.
 
-    All counts are partial aggregates; what is gathered is bounded by the lines of one document. Null texts stay null
-    with 0 lines; a text without repeated chunks is returned as it is. Rows of the same id and text are one document:
-    they are treated alike, and do not make each other's chunks repeated. A null id comes before all others.
+    All counts and minima are partial aggregates; what is gathered is bounded by the lines of one document. The filter has
+    ``bits_per_key`` bits for each repeated hash, up to ``max_bits`` (32 MB), beyond which more single chunks are written in
+    step 2 and the result is the same. Null texts stay null with 0 lines; a text without repeated chunks is returned as
+    it is. Rows of the same id and text are one document: they are treated alike, and do not make each other's chunks
+    repeated. A null id comes before all others.
     """
     src = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("rk"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    places = _chunk_rows(with_chunks(src, F.col("text")), ["rk"], F.col("__chunks")).select("rk", "s", F.xxhash64("chunk").alias("key"))
-    places = places.distinct()
-    often = places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    # lists that grow with the corpus are merged, not broadcast
-    marked = materialize(places.join(often.hint("merge"), "key", "left_semi").groupBy("rk").agg(F.collect_list(F.struct("s", "key")).alias("marks")), "lines-marked")
+    place = F.struct("rk", "s")
+    counted = chunk_rows(src).groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+    often = materialize(counted.where("a <> b").select("key"), "lines-often")
+    size = -(-min(max_bits, max(1, often.count()) * bits_per_key) // bloom.BLOCK) * bloom.BLOCK
+    passed = chunk_rows(src).where(bloom.has(bloom.one_row(often, size, hashes), F.col("key"), size, hashes))
+    rows = materialize(passed, "lines-passed")
 
-    held = src.join(marked.hint("merge"), "rk", "left").where("marks is not null")
-    chunks = F.filter("__chunks", lambda c: F.exists("marks", lambda m: m["s"] == c["s"]))
-    rows = _chunk_rows(with_chunks(held, F.col("text")), ["rk", "id"], chunks).withColumn("key", F.xxhash64("chunk"))
     groups = rows.groupBy("key", "chunk").agg(F.min(F.struct("id", "s", "rk")).alias("first"))
     firsts = groups.groupBy("key").agg(F.count("*").alias("texts"), F.min("first").alias("first"))
-    at = marked.select("rk", F.explode("marks").alias("m")).select("rk", "m.s", "m.key")
-    plain = at.join(firsts.where("texts = 1").select("key", "first").hint("merge"), "key")
+    # lists that grow with the corpus are merged, not broadcast
+    plain = rows.select("rk", "s", "key").join(firsts.where("texts = 1").select("key", "first").hint("merge"), "key")
     mixed = rows.join(firsts.where("texts > 1").select("key").hint("merge"), "key", "left_semi").join(groups, ["key", "chunk"])
     gone = plain.select("rk", "s", "first").union(mixed.select("rk", "s", "first")).where((F.col("first.rk") != F.col("rk")) | (F.col("first.s") != F.col("s")))
-    removed = gone.groupBy("rk").agg(F.collect_set("s").alias("__gone")).withColumnRenamed("rk", "__rk")
+    removed = materialize(gone.groupBy("rk").agg(F.collect_set("s").alias("__gone")).withColumnRenamed("rk", "__rk"), "lines-removed")
 
     whole = docs.withColumn("__rk", row_key(F.col(id_col), F.col(text_col))).join(removed.hint("merge"), "__rk", "left")
     cut = with_chunks(whole, F.when(F.col("__gone").isNotNull(), F.col(text_col)))

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.llm import bloom
 from pricelens.llm.common import materialize
 
 
@@ -39,27 +40,22 @@ class Bloom:
     hashes: int
     seed: int  # another for each level: keys that meet in one level must part in the next
 
-    def positions(self, key: Column) -> list[Column]:
-        return [F.pmod(F.xxhash64(F.lit(self.seed + i), key), F.lit(len(self.bits) * 8)) for i in range(self.hashes)]
-
     def has(self, key: Column) -> Column:
         """Whether all bits of the key are set."""
         out = F.lit(True)
-        for p in self.positions(key):
-            byte = F.conv(F.hex(F.substring(F.lit(self.bits), (F.floor(p / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-            out = out & (F.getbit(byte, (p % 8).cast("int")) == 1)
+        for p in bloom.positions(key, len(self.bits) * 8, self.hashes, self.seed):
+            out = out & bloom.bit(F.lit(self.bits), p)
         return out
 
     @staticmethod
     def of(members: DataFrame, n: int, bits_per_key: int, hashes: int, seed: int) -> Bloom:
-        """Filter of the ``n`` rows of ``members(key)``; its bytes are aggregated in Spark and are ``bits_per_key`` / 8 times n."""
-        empty = Bloom(bytes(max(8, -(-n * bits_per_key // 8))), hashes, seed)
-        at = members.select(F.explode(F.array(*empty.positions(F.col("key")))).alias("p"))
-        byte = at.groupBy(F.floor(F.col("p") / 8).cast("int").alias("i")).agg(F.bit_or(F.expr("shiftleft(1, cast(p % 8 as int))")).alias("b"))
-        out = bytearray(empty.bits)
-        for r in byte.collect():
-            out[r["i"]] = r["b"]
-        return Bloom(bytes(out), hashes, seed)
+        """Filter of the ``n`` rows of ``members(key)``; its bitmaps are aggregated in Spark and are ``bits_per_key`` / 8 bytes times n."""
+        size = max(64, -(-n * bits_per_key // 8) * 8)
+        out = bytearray(-(-size // bloom.BLOCK) * bloom.BLOCK // 8)
+        for r in bloom.bitmaps(members, size, hashes, seed).collect():
+            at = r["block"] * bloom.BLOCK // 8
+            out[at:at + bloom.BLOCK // 8] = r["bits"]
+        return Bloom(bytes(out[:size // 8]), hashes, seed)
 
 
 @dataclass
