@@ -46,12 +46,6 @@ def count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 
 
-def pct(n: Column, total: Column, places: int = 1) -> Column:
-    """round(n / total * 100, places) with 0 for an empty total."""
-    return F.when(total > 0, pround(n.cast("double") / total.cast("double") * 100, places)) \
-        .otherwise(F.lit(0.0))
-
-
 def to_number(c) -> Column:
     """Text -> double: thousands separators removed, anything unparsable -> null."""
     return F.regexp_replace(F.trim(col_(c).cast("string")), ",", "").try_cast("double")

@@ -69,90 +69,6 @@ def _stage_inputs(df: DataFrame, price, price_per_oz, pack_count, unit_size, uni
     return d
 
 
-def unit_price_struct(price="unit_price", price_per_oz="price_per_oz", pack_count="pack_count",
-                      unit_size="unit_size", unit_measure="unit_measure",
-                      pack_size_raw="pack_size_raw", parts: bool = False, as_columns: bool = False):
-    """Normalised price of one offer as a struct
-    (price_per_oz, price_per_unit, price_per_case_unit, normalization, normalized_label).
-
-    Precedence: structured pack data (oz / lb) > vendor price_per_oz > parsed
-    "N/size unit" > parsed "size unit" > none.  Pass ``None`` for inputs an
-    offer does not have.
-    """
-    lit_null = F.lit(None).cast("double")
-    if parts:  # inputs staged by _stage_inputs (each computed once per row)
-        p = F.col("_pk_p")
-        vp = F.col("_pk_vp") if price_per_oz else F.lit(False)
-        vp_val = F.col("_pk_vpv") if price_per_oz else lit_null
-    else:
-        p = dbl(price)
-        vp = truthy_num(price_per_oz) if price_per_oz else F.lit(False)
-        vp_val = pround(dbl(price_per_oz), 4) if price_per_oz else lit_null
-
-    if pack_count and unit_size:
-        pc, us = dbl(pack_count), dbl(unit_size)
-        if parts:
-            meas, total = F.col("_pk_meas"), F.col("_pk_total")
-        else:
-            meas = F.lower(_strip(F.coalesce(col_(unit_measure), F.lit("")))) if unit_measure else F.lit("")
-            have = truthy_num(pack_count) & truthy_num(unit_size)
-            total = F.when(have & (pc > 0) & (us > 0), pc * us)
-        ok = total.isNotNull() & (total > 0)
-        is_oz, is_lb = meas.isin(OZ_UNITS), meas.isin(LB_UNITS)
-        comp_val = F.when(ok & is_oz, pround(p / total, 4)).when(ok & is_lb, pround(p / (total * 16), 4))
-        comp_label = F.when(ok & is_oz, F.concat(F.lit("$"), _fmt4(comp_val), F.lit("/oz ("),
-                                                   F.format_string("%.0f", pc), F.lit("x"),
-                                                   us.cast("string"), meas, F.lit(")"))) \
-                      .when(ok & is_lb, F.concat(F.lit("$"), _fmt4(comp_val), F.lit("/oz ("),
-                                                 F.format_string("%.0f", pc), F.lit("x"),
-                                                 us.cast("string"), F.lit("lb)")))
-        struct_unit = F.when(ok & (pc > 0), pround(p / pc, 4))
-        computed = ok & (is_oz | is_lb)
-    else:
-        comp_val = comp_label = struct_unit = lit_null
-        computed = F.lit(False)
-
-    if parts:  # regex groups precomputed by with_pack_parts
-        raw, g1, g2, g3, h1, h2 = [F.col(c) for c in PACK_PARTS]
-    else:
-        raw = F.coalesce(col_(pack_size_raw), F.lit("")) if pack_size_raw else F.lit("")
-        g1, g2, g3 = [F.regexp_extract(raw, PACK_COUNT_SIZE, i) for i in (1, 2, 3)]
-        h1, h2 = [F.regexp_extract(raw, PACK_SIZE_ONLY, i) for i in (1, 2)]
-    m1 = g1 != ""          # group 1 is a non-empty digit run whenever the pattern matches
-    cnt = g1.try_cast("double")
-    m2 = h1 != ""
-    if parts:
-        tot1, tot2 = F.col("_pk_tot1"), F.col("_pk_tot2")
-    else:
-        tot1, tot2 = _pack_totals(g1, g2, g3, h1, h2)
-    parsed = m1 & (tot1 > 0)
-    simple = m2 & (tot2 > 0)
-
-    try_parse = ~computed & ~vp & (F.length(raw) > 0)
-    ppo = (F.when(computed, comp_val).when(vp, vp_val)
-           .when(try_parse & parsed, pround(p / tot1, 4))
-           .when(try_parse & simple, pround(p / tot2, 4)))
-    method = (F.when(computed, F.lit("computed")).when(vp, F.lit("vendor_provided"))
-              .when(try_parse & parsed, F.lit("parsed")).when(try_parse & simple, F.lit("parsed_simple"))
-              .otherwise(F.lit("none")))
-    label = (F.when(computed, comp_label)
-             .when(vp, F.concat(F.lit("$"), _fmt4(vp_val), F.lit("/oz")))
-             .when(try_parse & parsed, F.concat(F.lit("$"), _fmt4(pround(p / tot1, 4)), F.lit("/oz (parsed)")))
-             .when(try_parse & simple, F.concat(F.lit("$"), _fmt4(pround(p / tot2, 4)), F.lit("/oz"))))
-    per_unit = F.when(try_parse & parsed, pround(p / cnt, 4)).otherwise(struct_unit)
-    has_price = p.isNotNull()
-    out = {
-        "price_per_oz": F.when(has_price, ppo),
-        "price_per_unit": F.when(has_price, per_unit),
-        "price_per_case_unit": F.when(has_price, struct_unit),
-        "normalization": F.when(has_price, method).otherwise(F.lit("none")),
-        "normalized_label": F.when(has_price, label),
-    }
-    if as_columns:
-        return out
-    return F.struct(*[c.alias(n) for n, c in out.items()])
-
-
 def normalize_unit_price(df: DataFrame, prefix: str = "norm_", **cols) -> DataFrame:
     """SCL-01 as a table job: adds norm_price_per_oz, norm_price_per_unit,
     norm_price_per_case_unit, normalization, normalized_label.

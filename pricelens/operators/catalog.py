@@ -182,7 +182,7 @@ def category_maker_matrix(df: DataFrame, n: int = 15) -> DataFrame:
 
 
 def source_breakdown(df: DataFrame, source_col: str = "data_source",
-                     default: str = "epallet_scrape") -> DataFrame:
+                     default: str = "catalog") -> DataFrame:
     """Rows and share per data source; a table without the column is one source."""
     src = F.col(source_col) if source_col in df.columns else F.lit(default)
     g = df.groupBy(src.alias("source")).agg(F.count(F.lit(1)).alias("count"))
@@ -252,9 +252,9 @@ def top_by(df: DataFrame, metric: str = "price_per_unit", direction: str = "desc
 
 def sample_n(df: DataFrame, n: int = 2000, seed: int = 42) -> DataFrame:
     """Scatter data: priced rows that have a total weight; when more than ``n``,
-    a deterministic sample of n (smallest seeded hash of the key)."""
+    a deterministic sample of n (smallest md5 of seed and key)."""
     d = parse_pack_legacy(df) if "total_weight" not in df.columns else df
     v = d.filter(F.col("price_per_unit").isNotNull() & F.col("total_weight").isNotNull()).select(
         "product_id", "product", "manufacturer", "category", "price_per_unit", "total_weight",
         "unit_measure", "pack_size_raw")
-    return v.orderBy(F.xxhash64(F.lit(seed), F.col("product_id")), F.col("product_id")).limit(n)
+    return v.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col("product_id").cast("string"))), F.col("product_id")).limit(n)

@@ -48,11 +48,17 @@ def _norm(c: str) -> Column:
 
 
 def with_pair_metric(df: DataFrame, a: str, b: str, out: str, udf) -> DataFrame:
-    """Evaluate a pair UDF once per distinct (a, b) and join the result back."""
-    pairs = df.select(F.col(a).alias("_a"), F.col(b).alias("_b")).distinct()
-    pairs = pairs.withColumn(out, udf(F.col("_a"), F.col("_b")))
-    return df.join(pairs, (df[a].eqNullSafe(pairs["_a"])) & (df[b].eqNullSafe(pairs["_b"])), "left") \
-             .drop("_a", "_b")
+    """Evaluate a pair UDF once per distinct (a, b) and join the result back.
+
+    Rows without one of the texts have no metric; they match nothing and are dealt by a
+    salt of their other columns, so that they do not meet in one task.
+    """
+    pairs = df.select(F.col(a).alias("_a"), F.col(b).alias("_b")).where("_a is not null and _b is not null").distinct()
+    pairs = pairs.withColumn(out, udf(F.col("_a"), F.col("_b"))).withColumn("_s", F.lit(0))
+    none = F.col(a).isNull() | F.col(b).isNull()
+    salted = df.withColumn("_salt", F.when(none, F.pmod(F.xxhash64(*df.columns), F.lit(1 << 16)).cast("int") + 1).otherwise(0))
+    on = (salted[a] == pairs["_a"]) & (salted[b] == pairs["_b"]) & (salted["_salt"] == pairs["_s"])
+    return salted.join(pairs, on, "left").drop("_a", "_b", "_s", "_salt")
 
 
 def confidence_level(score: Column) -> tuple[Column, Column]:
@@ -110,20 +116,18 @@ def match_confidence(pairs: DataFrame, a: str = "a_", b: str = "b_") -> DataFram
               .drop("_pa", "_pb", "_psa", "_psb", "_psim", "_na", "_nb", "_npts"))
 
 
-def deal_confidence(products: DataFrame, vendors: DataFrame, baseline_slug: str, k: int = 10) -> DataFrame:
+def deal_confidence(products: DataFrame, vendors: DataFrame, baseline_slug: str, k: int = 10,
+                    matches: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Confidence of every kept deal match (baseline brand/pack/name vs the match; no UPC,
     as the deal finder scores them) and the best per baseline row."""
     from pricelens.operators.deals import deal_matches
-    base, m = deal_matches(products, vendors, baseline_slug, k)
-    m = m.filter(F.col("m_unit_price").cast("double") > 0)
-    other = products.select(F.col("product_id").alias("m_product_id"), F.col("brand").alias("b_brand"))
+    base, m = matches or deal_matches(products, vendors, baseline_slug, k)
     pairs = (m.join(base.select("bid", F.col("product_name").alias("a_product_name"),
                                 F.col("brand").alias("a_brand"), F.col("pack_size_raw").alias("a_pack_size_raw")),
                     "bid")
-             .join(other, "m_product_id")
              .select("bid", "m_product_id", "rank", "a_product_name", "a_brand", "a_pack_size_raw",
                      F.lit(None).cast("string").alias("a_upc"), F.col("m_product_name").alias("b_product_name"),
-                     "b_brand", F.col("m_pack_size_raw").alias("b_pack_size_raw"),
+                     F.col("m_brand").alias("b_brand"), F.col("m_pack_size_raw").alias("b_pack_size_raw"),
                      F.lit(None).cast("string").alias("b_upc")))
     return match_confidence(pairs)
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pricelens.functions.numeric import dbl, has_text, pround
 from pricelens.functions.pack import normalize_name_col, normalize_unit_price
 from pricelens.operators.filters import facet, search_name, vendor_ids
-from pricelens.operators.matching import keyword_join, match_keywords
+from pricelens.operators.matching import keyword_best_price, keyword_join, match_keywords
 
 
 def _offers(products: DataFrame, vendors: DataFrame) -> DataFrame:
@@ -46,27 +46,41 @@ def baseline_rows(products: DataFrame, vendors: DataFrame, baseline_slug: str,
 def deal_matches(products: DataFrame, vendors: DataFrame, baseline_slug: str, k: int = 10,
                  category: str | None = None, brand: str | None = None,
                  require_category: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(usable baseline rows, their top-k matches) for a baseline vendor."""
+    """(usable baseline rows, their top-k matches) for a baseline vendor.
+
+    Only offers with a price above zero are ranked, so an unpriced one never takes a place.
+    Pass the pair as ``matches`` to the reports below to plan it once for several of them.
+    """
     base = baseline_rows(products, vendors, baseline_slug, category, brand, require_category)
     base = base.filter(dbl("unit_price") > 0)
     base = match_keywords(base).filter(F.col("keywords").isNotNull())
-    offers = _offers(products, vendors)
+    offers = _offers(products, vendors).filter(dbl("unit_price") > 0)
     m = keyword_join(base.select("bid", "vendor_id", "keywords"), offers, k,
                      offer_cols=("product_id", "vendor_id", "vendor_slug", "vendor_name", "sku",
-                                 "unit_price", "product_name", "pack_size_raw"))
+                                 "unit_price", "product_name", "pack_size_raw", "case_price", "brand",
+                                 "image_url", "product_url", "in_stock"))
     return base, m
 
 
-def deal_offers(products: DataFrame, vendors: DataFrame, baseline_slug: str, k: int = 10) -> DataFrame:
-    """Every kept match with its price difference vs the baseline (flat all_vendors list)."""
-    base, m = deal_matches(products, vendors, baseline_slug, k)
-    m = m.filter(dbl("m_unit_price") > 0)
+def deal_offers(products: DataFrame, vendors: DataFrame, baseline_slug: str, k: int = 10,
+                matches: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Every kept match with its details, its normalised price and its price difference vs
+    the baseline (flat all_vendors list)."""
+    base, m = matches or deal_matches(products, vendors, baseline_slug, k)
     j = m.join(base.select("bid", F.col("unit_price").alias("bp")), "bid")
     diff = pround(dbl("m_unit_price") - dbl("bp"), 2)
-    return j.select("bid", F.col("m_product_id").alias("product_id"), F.col("m_vendor_slug").alias("vendor_slug"),
-                    F.col("m_sku").alias("sku"), dbl("m_unit_price").alias("unit_price"), "rank",
-                    diff.alias("diff_vs_baseline"),
-                    pround(diff / dbl("bp") * 100, 1).alias("pct_vs_baseline"))
+    case = dbl("m_case_price")
+    j = j.select("bid", F.col("m_product_id").alias("product_id"), F.col("m_vendor_slug").alias("vendor_slug"),
+                 F.col("m_sku").alias("sku"), dbl("m_unit_price").alias("unit_price"), "rank",
+                 F.col("m_product_name").alias("product_name"), F.when(case != 0, case).alias("case_price"),
+                 F.col("m_pack_size_raw").alias("pack_size"), F.col("m_image_url").alias("image_url"),
+                 F.col("m_product_url").alias("product_url"), F.col("m_in_stock").alias("in_stock"),
+                 diff.alias("diff_vs_baseline"),
+                 pround(diff / dbl("bp") * 100, 1).alias("pct_vs_baseline"))
+    keep = j.columns
+    n = normalize_unit_price(j, prefix="norm_", price="unit_price", price_per_oz=None, pack_count=None,
+                             unit_size=None, unit_measure=None, pack_size_raw="pack_size")
+    return n.select(*keep, "norm_price_per_oz", "normalization")
 
 
 SORT_KEYS = {"savings_abs": "best_savings_abs", "price": "baseline_price",
@@ -75,15 +89,18 @@ SORT_KEYS = {"savings_abs": "best_savings_abs", "price": "baseline_price",
 
 def top_deals(products: DataFrame, vendors: DataFrame, baseline_slug: str,
               category: str | None = None, brand: str | None = None, limit: int | None = 25,
-              sort_by: str = "savings_pct", k: int = 10, confidence: DataFrame | None = None
-              ) -> DataFrame:
+              sort_by: str = "savings_pct", k: int = 10, confidence: DataFrame | None = None,
+              matches: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Baseline products with at least one positive-priced match at another vendor:
     best other offer, savings (abs 2 dp, % 1 dp from the rounded abs), vendor count.
 
-    ``confidence`` - optional (bid, best_confidence) frame (see confidence.py).
+    ``confidence`` - optional (bid, best_confidence) frame (see confidence.py); taken from the
+    matches when the order asks for it.
     """
-    base, m = deal_matches(products, vendors, baseline_slug, k, category, brand)
-    m = m.filter(dbl("m_unit_price") > 0)
+    base, m = matches or deal_matches(products, vendors, baseline_slug, k, category, brand)
+    if confidence is None and sort_by == "confidence":
+        from pricelens.operators.confidence import best_confidence, deal_confidence
+        confidence = best_confidence(deal_confidence(products, vendors, baseline_slug, k, matches=(base, m)))
     best = m.groupBy("bid").agg(
         F.count(F.lit(1)).alias("vendor_count"),
         F.min_by(F.struct("m_unit_price", "m_vendor_name", "m_vendor_slug"), F.col("rank")).alias("b"))
@@ -113,27 +130,19 @@ def deal_summary(deals: DataFrame) -> DataFrame:
     cheaper = F.col("best_savings_abs") > 0
     return deals.agg(
         F.count(F.lit(1)).alias("total_compared"),
-        F.sum(F.when(cheaper, 1).otherwise(0)).cast("bigint").alias("cheaper_elsewhere"),
-        F.sum(F.when(F.col("best_savings_abs") < 0, 1).otherwise(0)).cast("bigint")
-        .alias("more_expensive_elsewhere"),
+        F.count_if(cheaper).alias("cheaper_elsewhere"),
+        F.count_if(F.col("best_savings_abs") < 0).alias("more_expensive_elsewhere"),
         F.coalesce(pround(F.sum(F.when(cheaper, F.col("best_savings_pct").cast("decimal(12,1)"))).cast("double")
                           / F.sum(F.when(cheaper, 1)), 1), F.lit(0.0)).alias("avg_savings_pct"))
 
 
-def _best_other(m: DataFrame) -> DataFrame:
-    """Per baseline row: matched at all, and the cheapest truthy (non-zero) price among them."""
-    return m.groupBy("bid").agg(
-        F.min(F.when(dbl("m_unit_price") != 0, F.col("m_unit_price"))).alias("best_other"),
-        F.lit(True).alias("_matched"))
-
-
-def _savings_rows(products, vendors, baseline_slug, k, require_category):
+def _savings_rows(products, vendors, baseline_slug, require_category):
     base = baseline_rows(products, vendors, baseline_slug, require_category=require_category)
     base = base.filter(dbl("unit_price") > 0)
     kw = match_keywords(base).filter(F.col("keywords").isNotNull())
-    m = keyword_join(kw.select("bid", "vendor_id", "keywords"), _offers(products, vendors), k)
+    best = keyword_best_price(kw.select("bid", "vendor_id", "keywords"), _offers(products, vendors))
     # a row is compared when it had any match (best_other may still be null: all zero prices)
-    rows = base.join(_best_other(m), "bid", "left")
+    rows = base.join(best, "bid", "left")
     bp = F.col("unit_price")
     best_p = F.coalesce(F.col("best_other"), bp)
     saving = F.when(F.col("_matched") & (best_p < bp), bp - best_p)
@@ -141,10 +150,9 @@ def _savings_rows(products, vendors, baseline_slug, k, require_category):
                        saving.alias("saving"))
 
 
-def savings_summary(products: DataFrame, vendors: DataFrame, baseline_slug: str, k: int = 5
-                    ) -> DataFrame:
-    """Total savings vs the cheapest of the first k matches; spend over every priced baseline row."""
-    r = _savings_rows(products, vendors, baseline_slug, k, False)
+def savings_summary(products: DataFrame, vendors: DataFrame, baseline_slug: str) -> DataFrame:
+    """Total savings vs the cheapest priced match; spend over every priced baseline row."""
+    r = _savings_rows(products, vendors, baseline_slug, False)
     a = r.agg(F.sum("saving").alias("_s"), F.sum("bp").alias("_spend"),
               F.sum(F.when(F.col("compared"), 1).otherwise(0)).cast("bigint").alias("products_compared"),
               F.sum(F.when(F.col("saving").isNotNull(), 1).otherwise(0)).cast("bigint")
@@ -156,10 +164,10 @@ def savings_summary(products: DataFrame, vendors: DataFrame, baseline_slug: str,
                     F.lit(baseline_slug).alias("baseline_vendor"))
 
 
-def category_savings(products: DataFrame, vendors: DataFrame, baseline_slug: str, k: int = 5,
+def category_savings(products: DataFrame, vendors: DataFrame, baseline_slug: str,
                      limit: int | None = 15) -> DataFrame:
     """Savings per baseline category over compared rows only; top ``limit`` by savings."""
-    r = _savings_rows(products, vendors, baseline_slug, k, True).filter(F.col("compared"))
+    r = _savings_rows(products, vendors, baseline_slug, True).filter(F.col("compared"))
     cat = F.when(F.col("category").isNull() | (F.col("category") == ""), F.lit("Uncategorized")) \
         .otherwise(F.col("category"))
     g = r.groupBy(cat.alias("category")).agg(
@@ -275,12 +283,12 @@ def price_matrix(products: DataFrame, vendors: DataFrame, search: str, baseline_
         .alias("pct_vs_baseline"),
         F.when(F.col("price").isNotNull() & F.col("best_price").isNotNull(),
                pround(F.col("price") - F.col("best_price"), 2)).alias("diff_vs_best"),
-        F.col("_norm_price_per_oz").alias("norm_price_per_oz"), "normalization",
-        "baseline_product")
+        F.col("_norm_price_per_oz").alias("norm_price_per_oz"),
+        F.col("_norm_price_per_unit").alias("norm_price_per_unit"), "normalization", "baseline_product")
 
 
 def matrix_totals(matrix: DataFrame) -> DataFrame:
-    """total_groups after the limit (as the reference reports it) and vendors found."""
+    """Groups and vendors of a matrix; over one without a limit these are the totals before it."""
     return matrix.agg(F.count_distinct("group_key").alias("total_groups"),
                       F.count_distinct("vendor_slug").alias("vendors_found"))
 

@@ -21,7 +21,7 @@ The per-baseline ranking (unit_price, vendor_slug, sku) keeps k matches with a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.plans.shapes import top_k_per_group
@@ -35,9 +35,11 @@ def _strip(c: Column) -> Column:
 
 
 def search_name_col(prefix: str = MATCH_PREFIX, name_col: str = "product_name",
-                    desc_col: str = "description") -> Column:
+                    desc_col: str = "description", max_chars: int | None = 80) -> Column:
+    """The text keywords come from; of a match description the first ``max_chars`` (None: all)."""
     desc = F.coalesce(F.col(desc_col), F.lit(""))
-    from_desc = F.substring(_strip(F.replace(desc, F.lit(prefix), F.lit(""))), 1, 80)
+    from_desc = _strip(F.replace(desc, F.lit(prefix), F.lit("")))
+    from_desc = from_desc if max_chars is None else F.substring(from_desc, 1, max_chars)
     return F.when(desc.startswith(prefix), from_desc).otherwise(F.coalesce(F.col(name_col), F.lit("")))
 
 
@@ -67,19 +69,13 @@ def _trigram_rows(df: DataFrame, col: str, out: str = "tri") -> DataFrame:
 def trigram_index(names: DataFrame, col: str = "lname") -> DataFrame:
     """(name, trigram) for every distinct name - the blocking index of the keyword join.
 
-    The distinct names are spread over an explicit number of partitions before the
-    explode (which multiplies rows ~len(name) times), and the index is checkpointed
-    to the shared checkpoint folder: both the frequency count and the candidate
-    join read the same materialised index.
+    The distinct names are spread over the shuffle partitions before the explode, which
+    multiplies rows ~len(name) times.  Nothing runs here: the frequency count and the
+    candidate join of one query read the same exchange.
     """
-    from pricelens.session import ensure_checkpoint_dir
-
-    spark = names.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = names.select(col).distinct().repartition(n, col)
-    return (_trigram_rows(d, col).select(col, "tri").dropDuplicates([col, "tri"])
-            .withColumnRenamed(col, "lname").checkpoint(eager=True))
+    return _trigram_rows(d, col).select(col, "tri").dropDuplicates([col, "tri"]).withColumnRenamed(col, "lname")
 
 
 def _contains_all(name: Column, kws: Column, max_kw: int = 3) -> Column:
@@ -91,6 +87,46 @@ def _contains_all(name: Column, kws: Column, max_kw: int = 3) -> Column:
     return cond
 
 
+def _baseline_sets(baseline: DataFrame) -> DataFrame:
+    """(bid, b_vendor_id, kws, lkw): the lower-cased keywords, and one text that names the set."""
+    lkw = F.slice(F.transform("keywords", lambda w: F.lower(w)), 1, 3)
+    return baseline.select("bid", F.col("vendor_id").alias("b_vendor_id"), F.array_join(lkw, " ").alias("kws"), lkw.alias("lkw"))
+
+
+def name_matches(sets: DataFrame, names: DataFrame, salts: int = 8) -> DataFrame:
+    """(kws, lname): the names of ``names(lname)`` that contain every keyword of a set.
+
+    Works on distinct keyword sets ``sets(kws, lkw)``.  A trigram that most names have is
+    dealt over ``salts`` tasks: each name goes to one of them, each set to all.
+    """
+    sets = sets.select("kws", "lkw").dropDuplicates(["kws"])
+    grams = trigram_index(names)
+    freq = grams.groupBy("tri").agg(F.count(F.lit(1)).alias("freq"))
+    kw = sets.select("kws", F.explode("lkw").alias("kw"))
+    kwtri = _trigram_rows(kw, "kw").select("kws", "tri").dropDuplicates(["kws", "tri"])
+    pick = (kwtri.join(freq, "tri", "left")
+            .groupBy("kws").agg(F.min_by("tri", F.struct(F.coalesce("freq", F.lit(0)), "tri")).alias("tri"),
+                                F.min(F.coalesce("freq", F.lit(0))).alias("f"))
+            .filter(F.col("f") > 0).select("kws", "tri"))
+    pick = pick.join(sets, "kws").select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    dealt = grams.withColumn("salt", F.pmod(F.xxhash64("lname"), F.lit(salts)).cast("int"))
+    return pick.join(dealt, ["tri", "salt"]).filter(_contains_all(F.col("lname"), F.col("lkw"))).select("kws", "lname")
+
+
+MATCH_ORDER = ["unit_price", "vendor_slug", "sku"]
+
+
+def _named_offers(baseline: DataFrame, offers: DataFrame, cols) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(baseline sets, (b_vendor_id, kws, lname) matches, (b_vendor_id, lname, cols) offers of other vendors)."""
+    b = _baseline_sets(baseline)
+    o = offers.select(F.lower("product_name").alias("lname"), *cols)
+    owned = b.select("b_vendor_id", "kws").distinct()
+    pairs = name_matches(b, o.select("lname")).join(owned, "kws")
+    wanted = pairs.select("b_vendor_id", "lname").distinct()
+    other = wanted.join(o, "lname").filter(F.col("vendor_id") != F.col("b_vendor_id"))
+    return b, pairs, other
+
+
 def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
                  offer_cols=("product_id", "vendor_id", "vendor_slug", "sku", "unit_price")
                  ) -> DataFrame:
@@ -99,44 +135,33 @@ def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
 
     ``baseline``: (bid, vendor_id, keywords) - keywords non-null, at most 3.
     ``offers``:   product_name plus ``offer_cols``; offers of the baseline row's own
-    vendor are dropped.  Returns (bid, <offer_cols prefixed m_>, rank).
+    vendor are dropped.  Pass only offers that may be ranked: a zero price would come first.
+    Returns (bid, <offer_cols prefixed m_>, rank).
+
+    Rows with the same keywords are matched once, and of a name's offers only the best k
+    (of vendors other than the baseline's) are joined to the rows that match the name.
     """
-    b = baseline.select("bid", F.col("vendor_id").alias("b_vendor_id"),
-                        F.slice(F.transform("keywords", lambda w: F.lower(w)), 1, 3).alias("lkw"))
-    o = offers.select(F.lower("product_name").alias("lname"), *offer_cols)
-    grams = trigram_index(o.select("lname"))
-    freq = grams.groupBy("tri").agg(F.count(F.lit(1)).alias("freq"))
-    kw = b.select("bid", F.explode("lkw").alias("kw"))
-    kwtri = _trigram_rows(kw, "kw").select("bid", "tri").dropDuplicates(["bid", "tri"])
-    pick = (kwtri.join(freq, "tri", "left")
-            .groupBy("bid").agg(F.min_by("tri", F.struct(F.coalesce("freq", F.lit(0)), "tri")).alias("tri"),
-                                F.min(F.coalesce("freq", F.lit(0))).alias("f"))
-            .filter(F.col("f") > 0).select("bid", "tri"))
-    cand = pick.join(grams, "tri").select("bid", "lname")
-    verified = (cand.join(b, "bid")
-                .filter(_contains_all(F.col("lname"), F.col("lkw")))
-                .select("bid", "b_vendor_id", "lname"))
-    m = verified.join(o, "lname").filter(F.col("vendor_id") != F.col("b_vendor_id"))
-    m = m.select("bid", *[F.col(c).alias(f"m_{c}") for c in offer_cols])
-    order = [F.col("m_unit_price").asc_nulls_last(), F.col("m_vendor_slug").asc_nulls_last(),
-             F.col("m_sku").asc_nulls_last()]
+    b, pairs, other = _named_offers(baseline, offers, offer_cols)
+    if k:
+        other = top_k_per_group(other, ["b_vendor_id", "lname"], [F.col(c).asc_nulls_last() for c in MATCH_ORDER], k, "_r").drop("_r")
+    m = pairs.join(other, ["b_vendor_id", "lname"])
+    m = m.select("b_vendor_id", "kws", *[F.col(c).alias(f"m_{c}") for c in offer_cols])
+    order = [F.col(f"m_{c}").asc_nulls_last() for c in MATCH_ORDER]
     if k:
-        return top_k_per_group(m, ["bid"], order, k, "rank")
-    from pyspark.sql import Window
-    return m.withColumn("rank", F.row_number().over(Window.partitionBy("bid").orderBy(*order)).cast("bigint"))
-
-
-def keyword_join_bruteforce(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
-                            offer_cols=("product_id", "vendor_id", "vendor_slug", "sku", "unit_price")
-                            ) -> DataFrame:
-    """Test double: every baseline row against every offer (nested loop).  Only for
-    small fixtures in tests - it is a cartesian product."""
-    b = baseline.select("bid", F.col("vendor_id").alias("b_vendor_id"),
-                        F.transform("keywords", lambda w: F.lower(w)).alias("lkw"))
-    o = offers.select(F.lower("product_name").alias("lname"), *offer_cols)
-    m = b.crossJoin(o).filter(_contains_all(F.col("lname"), F.col("lkw"))
-                              & (F.col("vendor_id") != F.col("b_vendor_id")))
-    m = m.select("bid", *[F.col(c).alias(f"m_{c}") for c in offer_cols])
-    order = [F.col("m_unit_price").asc_nulls_last(), F.col("m_vendor_slug").asc_nulls_last(),
-             F.col("m_sku").asc_nulls_last()]
-    return top_k_per_group(m, ["bid"], order, k or 10 ** 9, "rank")
+        ranked = top_k_per_group(m, ["b_vendor_id", "kws"], order, k, "rank")
+    else:
+        w = Window.partitionBy("b_vendor_id", "kws").orderBy(*order)
+        ranked = m.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    return b.select("bid", "b_vendor_id", "kws").join(ranked, ["b_vendor_id", "kws"]).drop("b_vendor_id", "kws")
+
+
+def keyword_best_price(baseline: DataFrame, offers: DataFrame, price: str = "unit_price") -> DataFrame:
+    """(bid, best_other, matched): the lowest non-zero price among *all* matches of a baseline
+    row at other vendors (null when all are zero); rows without a match do not appear.
+    A minimum per name is joined, never the offers."""
+    b, pairs, other = _named_offers(baseline, offers, ("vendor_id", price))
+    low = F.min(F.when(F.col(price).cast("double") != 0, F.col(price)))
+    names = other.groupBy("b_vendor_id", "lname").agg(low.alias("low"))
+    rows = pairs.join(names, ["b_vendor_id", "lname"]).groupBy("b_vendor_id", "kws").agg(F.min("low").alias("best_other"))
+    return (b.select("bid", "b_vendor_id", "kws").join(rows, ["b_vendor_id", "kws"])
+            .select("bid", "best_other", F.lit(True).alias("_matched")))

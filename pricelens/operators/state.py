@@ -28,10 +28,15 @@ def _ord(cols, desc=False):
     return [F.col(c).desc() if desc else F.col(c).asc() for c in cols]
 
 
+def has_sku(sku: str = "sku") -> Column:
+    """Rows with an empty or missing sku are never stored."""
+    return F.coalesce(F.length(sku) > 0, F.lit(False))
+
+
 def with_change_flags(obs: DataFrame, key=KEY, order=OBS_ORDER, price: str = "unit_price") -> DataFrame:
     """Per observation: previous price in arrival order, whether there was a previous
     observation, and whether the price changed (both prices present and different).
-    The predecessor comes from ``lag_by_key`` (range-partitioned, skew-safe)."""
+    The predecessor comes from ``lag_by_key`` (dealt by key and month, skew-safe)."""
     o = lag_by_key(obs, key, order, [price]).withColumnRenamed(f"prev_{price}", "prev_price")
     return o.withColumn("changed", F.col(price).isNotNull() & F.col("prev_price").isNotNull()
                         & (F.col(price) != F.col("prev_price")))
@@ -59,13 +64,13 @@ def upsert(current: DataFrame, batch: DataFrame, key=KEY, order=OBS_ORDER, price
            now: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """UPS-01: fold a batch into the current snapshot.
 
-    Returns (new_snapshot, outcomes).  Batch rows without a sku are skipped.  A key
+    Returns (new_snapshot, outcomes).  Batch rows without a sku (null or empty) are skipped.  A key
     seen twice in the batch folds in arrival order.  Columns the batch carries
     override the stored ones; columns it lacks survive.  ``first_seen_at`` is kept,
     ``last_seen_at`` moves to ``now`` (default: the row's captured_at).
     """
-    b = batch.filter(F.col("sku").isNotNull())
-    skipped = batch.filter(F.col("sku").isNull()).select(*key, F.lit("skipped").alias("action"),
+    b = batch.filter(has_sku())
+    skipped = batch.filter(~has_sku()).select(*key, F.lit("skipped").alias("action"),
                                                           F.lit(False).alias("price_changed"))
     cur = current.select(*key, F.col(price).alias("_cur_price"), F.col("last_price").alias("_cur_last"),
                          F.col("first_seen_at").alias("_cur_first"), F.lit(True).alias("_exists"))
@@ -110,12 +115,14 @@ def upsert(current: DataFrame, batch: DataFrame, key=KEY, order=OBS_ORDER, price
 
 
 def history_rows(batch: DataFrame, run_id: Column | str | None) -> DataFrame:
-    """UPS-03: one price/stock snapshot per saved (sku present) row, when a run id is given."""
+    """UPS-03: one price/stock snapshot per saved (sku present) row, when a run id is given;
+    ``bulk_price`` is null where the feed has none."""
     if run_id is None:
         return batch.limit(0).select(F.lit(None).cast("bigint").alias("product_id"))
     rid = F.col(run_id) if isinstance(run_id, str) else run_id
-    b = batch.filter(F.col("sku").isNotNull())
-    return b.select(F.col("product_id"), rid.alias("run_id"), "unit_price", "case_price",
+    b = batch.filter(has_sku())
+    bulk = F.col("bulk_price") if "bulk_price" in batch.columns else F.lit(None).cast("double").alias("bulk_price")
+    return b.select(F.col("product_id"), rid.alias("run_id"), "unit_price", "case_price", bulk,
                     F.coalesce(F.col("in_stock"), F.lit(True)).alias("in_stock"), "captured_at")
 
 
@@ -144,10 +151,14 @@ def merge_keep_last(existing: DataFrame, new: DataFrame, key: str = "product_id"
 
 
 def merge_upload(catalog: DataFrame, upload: DataFrame, source: str, at: str,
-                 order: list | None = None, default_source: str = "epallet_scrape",
+                 order: list | None = None, default_source: str = "catalog",
                  default_date: str = "2026-03-05") -> DataFrame:
     """SET-02: append an upload with provenance; uploaded rows get ids max+1, max+2, ...
-    in upload order (a distributed rank, no single-partition window)."""
+    in upload order (a distributed rank, no single-partition window).  Uploaded values take
+    the catalog's types; what does not parse becomes null."""
+    types = {f.name: f.dataType for f in catalog.schema.fields}
+    upload = upload.select(*[F.col(f.name).try_cast(types[f.name]).alias(f.name) if types.get(f.name, f.dataType) != f.dataType
+                             else F.col(f.name) for f in upload.schema.fields])
     base = catalog
     if "data_source" not in base.columns:
         base = base.withColumn("data_source", F.lit(default_source)).withColumn("upload_date", F.lit(default_date))
@@ -198,25 +209,35 @@ def run_stats(obs: DataFrame, run_key=("run_id", "vendor_id"), key=KEY, order=OB
                      - F.unix_timestamp(F.col("started_at").cast("timestamp"))).alias("duration_secs"))
 
 
+def run_errors(obs: DataFrame, run_key=("run_id", "vendor_id")) -> DataFrame:
+    """The error list behind a run's error count: one row per observation without a price."""
+    return obs.filter(F.col("unit_price").isNull()).select(
+        *run_key, "sku", F.lit("missing price").alias("error"), F.col("captured_at").alias("at"))
+
+
 # ── market pulse (SET-04) ────────────────────────────────────────────────
 def market_pulse(products: DataFrame, runs: DataFrame, vendors: DataFrame, limit: int = 20,
-                 n_runs: int = 10) -> DataFrame:
-    """Newest price-change events (both prices > 0) and newest runs, one feed, newest first."""
+                 n_runs: int = 10, title_chars: int | None = 50) -> DataFrame:
+    """Newest price-change events (both prices > 0) and newest runs, one feed, newest first.
+
+    Unpriced changes are left out before the newest ``limit`` are taken.  Runs carry the
+    figures of their detail line.  ``title_chars`` of the product name are shown (None: all).
+    """
     v = vendors.select("vendor_id", F.col("name").alias("vendor"))
-    ch = (products.filter(F.col("price_changed") == F.lit(True))
+    old, new = F.coalesce(dbl("last_price"), F.lit(0.0)), F.coalesce(dbl("unit_price"), F.lit(0.0))
+    ch = (products.filter((F.col("price_changed") == F.lit(True)) & (old > 0) & (new > 0))
           .orderBy(F.col("last_seen_at").desc_nulls_first(), F.col("product_id").desc()).limit(limit)
           .join(v, "vendor_id", "left"))
-    old, new = F.coalesce(dbl("last_price"), F.lit(0.0)), F.coalesce(dbl("unit_price"), F.lit(0.0))
-    ch = ch.filter((old > 0) & (new > 0))
+    name = F.coalesce("product_name", F.lit(""))
     diff = new - old
     ev1 = ch.select(
         F.lit("price_change").alias("type"),
         F.concat(F.when(diff < 0, F.lit("Price drop: ")).otherwise(F.lit("Price increase: ")),
-                 F.substring(F.coalesce("product_name", F.lit("")), 1, 50)).alias("title"),
+                 name if title_chars is None else F.substring(name, 1, title_chars)).alias("title"),
         F.coalesce("vendor", F.lit("")).alias("vendor"), F.col("last_seen_at").alias("timestamp"),
         F.when(diff < 0, F.lit("positive")).otherwise(F.lit("negative")).alias("severity"),
         pround(F.abs(diff), 2).alias("amount"), pround(F.abs(pround(diff / old * 100, 1)), 1).alias("pct"),
-        F.lit(None).cast("bigint").alias("products_found"), F.lit(0).alias("_t"),
+        *[F.lit(None).cast("bigint").alias(c) for c in ("products_found", "products_new", "price_changes")], F.lit(0).alias("_t"),
         F.col("product_id").alias("_id"))
     r = (runs.orderBy(F.col("started_at").desc_nulls_first(), F.col("run_id").desc()).limit(n_runs)
          .join(v, "vendor_id", "left"))
@@ -225,7 +246,7 @@ def market_pulse(products: DataFrame, runs: DataFrame, vendors: DataFrame, limit
         F.concat(F.lit("Scrape completed: "), F.coalesce("vendor", F.lit("Unknown"))).alias("title"),
         F.coalesce("vendor", F.lit("Unknown")).alias("vendor"), F.col("started_at").alias("timestamp"),
         F.lit("info").alias("severity"), F.lit(None).cast("double").alias("amount"),
-        F.lit(None).cast("double").alias("pct"), F.col("products_found").cast("bigint").alias("products_found"),
+        F.lit(None).cast("double").alias("pct"), *[F.col(c).cast("bigint").alias(c) for c in ("products_found", "products_new", "price_changes")],
         F.lit(1).alias("_t"), F.col("run_id").alias("_id"))
     return (ev1.unionByName(ev2)
             .orderBy(F.col("timestamp").desc_nulls_last(), "_t", F.col("_id").desc()).limit(limit)

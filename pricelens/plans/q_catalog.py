@@ -350,14 +350,19 @@ def q_top_by(spark, sf):
 
 
 @query("agg_source_breakdown", f"""
-SELECT 'epallet_scrape' AS source, count(*) AS count, {R('count(*) / CAST(count(*) AS DOUBLE) * 100', 1)} AS pct FROM catalog""")
+SELECT 'catalog' AS source, count(*) AS count, {R('count(*) / CAST(count(*) AS DOUBLE) * 100', 1)} AS pct FROM catalog""")
 def q_source_breakdown(spark, sf):
     return K.source_breakdown(V(spark, sf)["catalog"])
 
 
-@query("srt_sample_n")
+@query("srt_sample_n", f"""
+SELECT product_id, product, manufacturer, category, price_per_unit, total_weight, unit_measure, pack_size_raw
+FROM (SELECT *, pack_count * unit_size AS total_weight FROM (SELECT *, {_legacy_pack_sql()} FROM catalog) t) u
+WHERE price_per_unit IS NOT NULL AND total_weight IS NOT NULL
+ORDER BY md5('42:' || product_id), product_id LIMIT 200""")
 def q_sample_n(spark, sf):
-    return K.sample_n(V(spark, sf)["catalog"], 2000, 42)
+    """The sampling operator: 200 of the priced rows."""
+    return K.sample_n(V(spark, sf)["catalog"], 200, 42)
 
 
 @query("srt_page_legacy", f"""

@@ -42,8 +42,7 @@ def q_seq_ratio(spark, sf):
 @query("joi_top_deals_confidence")
 def q_top_deals_confidence(spark, sf):
     v = V(spark, sf)
-    best = CF.best_confidence(CF.deal_confidence(v["products"], v["vendors"], BASELINE, 10))
-    return D.top_deals(v["products"], v["vendors"], BASELINE, limit=25, sort_by="confidence", confidence=best)
+    return D.top_deals(v["products"], v["vendors"], BASELINE, limit=25, sort_by="confidence")
 
 
 @query("joi_matrix_confidence")

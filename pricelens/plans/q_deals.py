@@ -28,12 +28,15 @@ kw AS (SELECT *, list_slice(kw4, 1, 3) AS keywords FROM kw1 WHERE length(search_
 offers AS (SELECT p.*, v.slug AS vendor_slug, v.name AS vendor_name FROM products p JOIN vendors v USING (vendor_id)
            WHERE unit_price IS NOT NULL),
 pairs AS (SELECT k.bid, o.product_id AS m_product_id, o.vendor_id AS m_vendor_id, o.vendor_slug AS m_vendor_slug,
-                 o.vendor_name AS m_vendor_name, o.sku AS m_sku, o.unit_price AS m_unit_price
+                 o.vendor_name AS m_vendor_name, o.sku AS m_sku, o.unit_price AS m_unit_price, o.product_name AS m_product_name,
+                 o.case_price AS m_case_price, o.pack_size_raw AS m_pack_size_raw, o.image_url AS m_image_url,
+                 o.product_url AS m_product_url, o.in_stock AS m_in_stock
           FROM kw k JOIN offers o ON o.vendor_id <> k.vendor_id
            AND contains(lower(o.product_name), lower(k.keywords[1]))
            AND contains(lower(o.product_name), lower(k.keywords[2]))
            AND (len(k.keywords) < 3 OR contains(lower(o.product_name), lower(k.keywords[3])))),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY bid ORDER BY m_unit_price, m_vendor_slug, m_sku) AS rank FROM pairs)"""
+ranked AS (SELECT *, row_number() OVER (PARTITION BY bid ORDER BY m_unit_price, m_vendor_slug, m_sku) AS rank
+           FROM pairs WHERE CAST(m_unit_price AS DOUBLE) > 0)"""
 
 
 @query("joi_match_keywords", f"""
@@ -61,12 +64,17 @@ def q_keyword_join(spark, sf):
                     "rank")
 
 
+_DNU = unit_price_sql(price="unit_price", ppo=None, pc=None, us=None, um=None, raw="pack_size")
+
+
 @query("joi_deal_offers", f"""WITH {_kw_ctes()}
-SELECT r.bid, m_product_id AS product_id, m_vendor_slug AS vendor_slug, m_sku AS sku,
-       CAST(m_unit_price AS DOUBLE) AS unit_price, rank,
+SELECT *, {_DNU['price_per_oz']} AS norm_price_per_oz, {_DNU['normalization']} AS normalization FROM (SELECT r.bid, m_product_id AS product_id, m_vendor_slug AS vendor_slug, m_sku AS sku,
+       CAST(m_unit_price AS DOUBLE) AS unit_price, rank, m_product_name AS product_name,
+       CASE WHEN CAST(m_case_price AS DOUBLE) <> 0 THEN CAST(m_case_price AS DOUBLE) END AS case_price,
+       m_pack_size_raw AS pack_size, m_image_url AS image_url, m_product_url AS product_url, m_in_stock AS in_stock,
        {R('CAST(m_unit_price AS DOUBLE) - CAST(b.unit_price AS DOUBLE)', 2)} AS diff_vs_baseline,
        {R(R('CAST(m_unit_price AS DOUBLE) - CAST(b.unit_price AS DOUBLE)', 2) + ' / CAST(b.unit_price AS DOUBLE) * 100', 1)} AS pct_vs_baseline
-FROM ranked r JOIN kw b ON r.bid = b.bid WHERE rank <= 10 AND CAST(m_unit_price AS DOUBLE) > 0""",
+FROM ranked r JOIN kw b ON r.bid = b.bid WHERE rank <= 10) t""",
        views=["products", "vendors"])
 def q_deal_offers(spark, sf):
     v = V(spark, sf)
@@ -110,10 +118,21 @@ def q_deal_summary(spark, sf):
     return D.deal_summary(D.top_deals(v["products"], v["vendors"], BASELINE, limit=25))
 
 
+@query("joi_deal_totals", _deals_sql("") + f"""
+SELECT count(*) AS total_compared, count(*) FILTER (best_savings_abs > 0) AS cheaper_elsewhere,
+       count(*) FILTER (best_savings_abs < 0) AS more_expensive_elsewhere,
+       coalesce({R('CAST(sum(CASE WHEN best_savings_abs > 0 THEN CAST(best_savings_pct AS DECIMAL(12,1)) END) AS DOUBLE) / sum(CASE WHEN best_savings_abs > 0 THEN 1 END)', 1)}, 0.0) AS avg_savings_pct
+FROM deals""", views=["products", "vendors"])
+def q_deal_totals(spark, sf):
+    """The summary before the report's limit."""
+    v = V(spark, sf)
+    return D.deal_summary(D.top_deals(v["products"], v["vendors"], BASELINE, limit=None))
+
+
 def _savings_ctes(extra_where: str = "") -> str:
     return _kw_ctes(extra_where) + f""",
 bo AS (SELECT bid, min(CASE WHEN CAST(m_unit_price AS DOUBLE) <> 0 THEN m_unit_price END) AS best_other
-       FROM ranked WHERE rank <= 5 GROUP BY bid),
+       FROM pairs GROUP BY bid),
 rows AS (SELECT b.bid, b.category, b.unit_price AS bp, bo.bid IS NOT NULL AS compared,
                 CASE WHEN bo.bid IS NOT NULL AND coalesce(bo.best_other, b.unit_price) < b.unit_price
                      THEN b.unit_price - coalesce(bo.best_other, b.unit_price) END AS saving
@@ -130,7 +149,7 @@ SELECT {R('coalesce(CAST(sum(saving) AS DOUBLE), 0.0)', 2)} AS total_savings,
        '{BASELINE}' AS baseline_vendor FROM rows""", views=["products", "vendors"])
 def q_savings_summary(spark, sf):
     v = V(spark, sf)
-    return D.savings_summary(v["products"], v["vendors"], BASELINE, 5)
+    return D.savings_summary(v["products"], v["vendors"], BASELINE)
 
 
 @query("joi_category_savings", f"""WITH {_savings_ctes('AND category IS NOT NULL')}
@@ -143,7 +162,7 @@ FROM (SELECT CASE WHEN category IS NULL OR category = '' THEN 'Uncategorized' EL
 ORDER BY total_savings DESC, category LIMIT 15""", views=["products", "vendors"])
 def q_category_savings(spark, sf):
     v = V(spark, sf)
-    return D.category_savings(v["products"], v["vendors"], BASELINE, 5)
+    return D.category_savings(v["products"], v["vendors"], BASELINE)
 
 
 _NU = unit_price_sql(price="price", ppo=None, pc=None, us=None, um=None, raw="pack_size_raw")
@@ -176,7 +195,7 @@ SELECT group_key, display_name, group_brand, group_category, group_upc, vendor_c
        CASE WHEN price IS NOT NULL AND baseline_price IS NOT NULL AND baseline_price <> 0
             THEN {R(R('price - baseline_price', 2) + ' / baseline_price * 100', 2)} END AS pct_vs_baseline,
        CASE WHEN price IS NOT NULL AND best_price IS NOT NULL THEN {R('price - best_price', 2)} END AS diff_vs_best,
-       {_NU['price_per_oz']} AS norm_price_per_oz, {_NU['normalization']} AS normalization
+       {_NU['price_per_oz']} AS norm_price_per_oz, {_NU['price_per_unit']} AS norm_price_per_unit, {_NU['normalization']} AS normalization
 FROM chosen JOIN g USING (group_key)""", views=["products", "vendors"])
 def q_price_matrix(spark, sf):
     v = V(spark, sf)
@@ -194,6 +213,14 @@ def q_matrix_groups(spark, sf):
                     "baseline_price", "baseline_source", "display_name").distinct()
 
 
+@query("joi_matrix_totals", f"""WITH {_MATRIX}
+SELECT count(DISTINCT group_key) AS total_groups, count(DISTINCT vendor_slug) AS vendors_found FROM chosen""", views=["products", "vendors"])
+def q_matrix_totals(spark, sf):
+    """Groups and vendors before the report's limit."""
+    v = V(spark, sf)
+    return D.matrix_totals(D.price_matrix(v["products"], v["vendors"], MATRIX_SEARCH, BASELINE, limit=None))
+
+
 @query("joi_vendors_in", f"""
 SELECT DISTINCT v.slug AS vendor_slug, v.name AS vendor_name FROM products p JOIN vendors v USING (vendor_id)
 WHERE product_name ILIKE '%ring%' AND length(trim(v.slug)) > 0""")

@@ -413,7 +413,6 @@ def q_insights(spark, sf):
     return A.insights(v["products"], v["vendors"])
 
 
-_unused = (BASELINE, F)
 
 
 @query("agg_filter_value_lists", """

@@ -24,8 +24,9 @@ SELECT {SNAP_COLS_SQL}, CAST(case_price AS DOUBLE) AS case_price, in_stock, has_
 def q_snapshot(spark, sf):
     obs = V(spark, sf)["observations"].drop("run_id")
     s = S.snapshot(obs)
-    return _snap_cols(s).join(s.select("vendor_id", "sku", dbl("case_price").alias("case_price"), "in_stock",
-                                       "has_promo", "mixed_pallet"), ["vendor_id", "sku"])
+    return s.select("vendor_id", "sku", dbl("unit_price").alias("unit_price"), dbl("last_price").alias("last_price"),
+                    "price_changed", "first_seen_at", "last_seen_at", dbl("case_price").alias("case_price"), "in_stock",
+                    "has_promo", "mixed_pallet")
 
 
 def _split(spark, sf):
@@ -57,10 +58,14 @@ def q_upsert_outcomes(spark, sf):
 
 @query("ups_history_rows", """
 SELECT product_id, run_id, CAST(unit_price AS DOUBLE) AS unit_price, CAST(case_price AS DOUBLE) AS case_price,
-       in_stock, captured_at FROM product_history""")
+       CASE WHEN run_line = 1 THEN CAST(case_price AS DOUBLE) * 40 END AS bulk_price, in_stock, captured_at
+FROM product_history WHERE product_id % 5 <> 0""")
 def q_history_rows(spark, sf):
     obs = V(spark, sf)["observations"]
     b = obs.withColumn("product_id", F.col("vendor_id") * 1000000 + F.col("sku").cast("bigint"))
+    b = b.withColumn("bulk_price", F.when(F.col("run_line") == 1, dbl("case_price") * 40))
+    # rows of every fifth product lose their sku and must be left out
+    b = b.withColumn("sku", F.when(F.col("product_id") % 5 != 0, F.col("sku")).otherwise(F.lit("")))
     h = S.history_rows(b, "run_id")
     return h.withColumn("unit_price", dbl("unit_price")).withColumn("case_price", dbl("case_price"))
 
@@ -92,7 +97,7 @@ def q_merge_keep_last(spark, sf):
 @query("set_merge_upload", """
 WITH c AS (SELECT product_id, product, manufacturer, category, price_per_unit FROM catalog),
 u AS (SELECT product, manufacturer, category, price_per_unit, product_id AS upload_row FROM catalog WHERE category = 'SMALL')
-SELECT product_id, product, manufacturer, category, price_per_unit, 'epallet_scrape' AS data_source, '2026-03-05' AS upload_date FROM c
+SELECT product_id, product, manufacturer, category, price_per_unit, 'catalog' AS data_source, '2026-03-05' AS upload_date FROM c
 UNION ALL
 SELECT (SELECT max(product_id) FROM c) + row_number() OVER (ORDER BY upload_row), product, manufacturer, category, price_per_unit,
        'upload:small.csv', '2026-12-01' FROM u""")
@@ -106,7 +111,7 @@ def q_merge_upload(spark, sf):
 
 @query("set_market_pulse", f"""
 WITH v AS (SELECT vendor_id, name AS vendor FROM vendors),
-ch AS (SELECT p.*, v.vendor FROM (SELECT * FROM products WHERE price_changed ORDER BY last_seen_at DESC NULLS FIRST, product_id DESC LIMIT 20) p
+ch AS (SELECT p.*, v.vendor FROM (SELECT * FROM products WHERE price_changed AND CAST(last_price AS DOUBLE) > 0 AND CAST(unit_price AS DOUBLE) > 0 ORDER BY last_seen_at DESC NULLS FIRST, product_id DESC LIMIT 20) p
        LEFT JOIN v USING (vendor_id)),
 c2 AS (SELECT *, coalesce(CAST(last_price AS DOUBLE), 0.0) AS old, coalesce(CAST(unit_price AS DOUBLE), 0.0) AS new FROM ch),
 e1 AS (SELECT 'price_change' AS type,
@@ -114,12 +119,13 @@ e1 AS (SELECT 'price_change' AS type,
               coalesce(vendor, '') AS vendor, last_seen_at AS timestamp,
               CASE WHEN new - old < 0 THEN 'positive' ELSE 'negative' END AS severity,
               {R('abs(new - old)', 2)} AS amount, {R('abs(' + R('(new - old) / old * 100', 1) + ')', 1)} AS pct,
-              CAST(NULL AS BIGINT) AS products_found, 0 AS t, product_id AS id
-       FROM c2 WHERE old > 0 AND new > 0),
+              CAST(NULL AS BIGINT) AS products_found, CAST(NULL AS BIGINT) AS products_new, CAST(NULL AS BIGINT) AS price_changes,
+              0 AS t, product_id AS id
+       FROM c2),
 r AS (SELECT s.*, v.vendor FROM (SELECT * FROM scrape_runs ORDER BY started_at DESC NULLS FIRST, run_id DESC LIMIT 10) s LEFT JOIN v USING (vendor_id)),
 e2 AS (SELECT 'scrape_complete', 'Scrape completed: ' || coalesce(vendor, 'Unknown'), coalesce(vendor, 'Unknown'), started_at, 'info',
-              CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(products_found AS BIGINT), 1, run_id FROM r)
-SELECT type, title, vendor, timestamp, severity, amount, pct, products_found FROM (SELECT * FROM e1 UNION ALL SELECT * FROM e2) u
+              CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(products_found AS BIGINT), CAST(products_new AS BIGINT), CAST(price_changes AS BIGINT), 1, run_id FROM r)
+SELECT type, title, vendor, timestamp, severity, amount, pct, products_found, products_new, price_changes FROM (SELECT * FROM e1 UNION ALL SELECT * FROM e2) u
 ORDER BY timestamp DESC NULLS LAST, t, id DESC LIMIT 20""")
 def q_market_pulse(spark, sf):
     v = V(spark, sf)
@@ -137,6 +143,43 @@ def q_run_stats(spark, sf):
     return S.run_stats(obs, status_override=override)
 
 
+@query("agg_run_errors", """
+SELECT run_id, vendor_id, sku, 'missing price' AS error, captured_at AS at FROM observations WHERE unit_price IS NULL""")
+def q_run_errors(spark, sf):
+    return S.run_errors(V(spark, sf)["observations"])
+
+
+UPLOAD_COLS = ["product_id", "product", "manufacturer", "category", "price_per_unit", "lead_time_days", "upc"]
+
+
+def _upload(spark, sf):
+    """The SMALL part of the catalog as an upload would bring it: other headers, all text, some numbers bad."""
+    c = V(spark, sf)["catalog"].filter(F.col("category") == "SMALL")
+    bad = F.when(F.col("product_id") % 3 == 0, F.lit("N/A"))
+    return c.select(F.col("product").alias("Item Name"), F.col("manufacturer").alias(" Brand"),
+                    F.coalesce(bad, F.col("price_per_unit").cast("decimal(18,4)").cast("string")).alias("Unit Price"),
+                    F.col("lead_time_days").cast("string").alias("Lead Time"), F.col("category").alias("Cat"),
+                    F.col("product_id").cast("string").alias("upload_row"))
+
+
+@query("src_align_upload", """
+SELECT product, manufacturer, category, CASE WHEN product_id % 3 <> 0 THEN CAST(CAST(price_per_unit AS DECIMAL(18,4)) AS DOUBLE) END AS price_per_unit,
+       lead_time_days, CAST(NULL AS VARCHAR) AS upc, CAST(NULL AS BIGINT) AS product_id FROM catalog WHERE category = 'SMALL'""")
+def q_align_upload(spark, sf):
+    from pricelens.sources.records import align_upload
+    return align_upload(_upload(spark, sf), V(spark, sf)["catalog"].select(*UPLOAD_COLS).schema)
+
+
+@query("set_upload_audit", """
+SELECT 'small.csv' AS filename, '2026-12-01' AS timestamp, count(*) FILTER (category = 'SMALL') AS rows_added,
+       ['category', 'lead_time_days', 'manufacturer', 'price_per_unit', 'product', 'product_id', 'upc'] AS columns_matched,
+       [] AS columns_missing, count(*) + count(*) FILTER (category = 'SMALL') AS total_after FROM catalog""")
+def q_upload_audit(spark, sf):
+    from pricelens.sources.records import align_upload
+    c = V(spark, sf)["catalog"].select(*UPLOAD_COLS)
+    return S.upload_audit(c, align_upload(_upload(spark, sf), c.schema), "small.csv", "2026-12-01")
+
+
 @query("str_quota_batch", """
 SELECT event_id, event_type AS action, user_id, CAST(ts AS DATE) AS day, ts, rn <= 2 AS allowed,
        CAST(least(rn, 2) AS INTEGER) AS count_today
@@ -149,7 +192,7 @@ def q_quota(spark, sf):
 
 @query("agg_source_breakdown_merged", f"""
 WITH c AS (SELECT product_id, product, manufacturer, category, price_per_unit FROM catalog),
-m AS (SELECT 'epallet_scrape' AS source FROM c
+m AS (SELECT 'catalog' AS source FROM c
       UNION ALL SELECT 'upload:small.csv' FROM catalog WHERE category = 'SMALL')
 SELECT source, count(*) AS count,
        {R("count(*) / CAST((SELECT count(*) FROM m) AS DOUBLE) * 100", 1)} AS pct FROM m GROUP BY source""")

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _cols(xs) -> list[Column]:
@@ -100,60 +101,40 @@ def combine_scalars(*frames: DataFrame) -> DataFrame:
     return out
 
 
-# Largest number of rows one key may bring to a single window task before the
-# range-partitioned path is used instead (a sort of this many rows fits one task).
-LAG_WINDOW_MAX_GROUP = 2_000_000
+def time_bucket(df: DataFrame, col: str, width: int = 100_000) -> Column:
+    """Non-decreasing bucket of an ordering column: the month of a time, else ``width`` values; nulls come first."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.coalesce((F.year(col) * 12 + F.month(col)).cast("bigint"), F.lit(-(2 ** 62)))
+    return F.coalesce(F.floor(F.col(col).cast("double") / width).cast("bigint"), F.lit(-(2 ** 62)))
 
 
 def lag_by_key(df: DataFrame, key: list[str], order: list[str], cols: list[str], prefix: str = "prev_",
-               num_partitions: int | None = None, max_group: int | None = LAG_WINDOW_MAX_GROUP) -> DataFrame:
+               bucket: Column | None = None) -> DataFrame:
     """Previous row's ``cols`` within each key in ``order`` (``prev_<c>``) and ``has_prev``,
     without putting a key's rows into one task.
 
-    Rows are range-partitioned and sorted on (key, order), so a key holding a large
-    share of the table spreads over many partitions.  The lag is taken inside each
-    (partition, key) group; the first row of a group takes the last row of the
-    previous non-empty partition when that row has the same key (a table of one row
-    per partition, broadcast).  The sorted rows are checkpointed to the shared
-    checkpoint folder so the per-partition boundaries and the rows come from one
-    evaluation.  ``key`` + ``order`` must identify a row.
-
-    When ``max_group`` is set, one partially-aggregated count per key is taken first;
-    if no key exceeds it, a plain window over the key is used (no skew to split).
+    A key's rows are dealt by ``bucket``, which must not decrease along ``order`` (default:
+    the month, or a range, of its first column).  The lag is taken inside (key, bucket); the
+    first row of a bucket takes the last row of the key's bucket before it.  Those last rows
+    come from a partial aggregate, one per key and bucket, so what meets for a key is its
+    number of buckets.  One plan for every size, and nothing runs while it is built.
+    ``key`` + ``order`` must identify a row.
     """
-    from pricelens.session import ensure_checkpoint_dir
-
-    spark = df.sparkSession
-    if max_group is not None:
-        biggest = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-        if biggest is None or biggest <= max_group:
-            w0 = Window.partitionBy(*key).orderBy(*[F.col(c) for c in order])
-            first_row = F.row_number().over(w0) == 1
-            return df.select(*df.columns, *[F.lag(c).over(w0).alias(f"{prefix}{c}") for c in cols],
-                             (~first_row).alias("has_prev"))
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort = [F.col(c) for c in [*key, *order]]
-    r = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_pos", F.monotonically_increasing_id())
-         .checkpoint(eager=True))
-    w = Window.partitionBy("_pid", *key).orderBy("_pos")
-    local = r.select("*", *[F.lag(c).over(w).alias(f"_l_{c}") for c in cols],
-                     (F.row_number().over(w) == 1).alias("_first"))
-    last = r.groupBy("_pid").agg(F.max_by(F.struct(*[F.col(c) for c in [*key, *cols]]), F.col("_pos")).alias("_last"))
-    # one row per non-empty partition: bounded by the partition count
-    before = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_pb"))
-    j = local.join(F.broadcast(before), "_pid", "left")
-    same = F.lit(True)
+    d = df.withColumn("_b", time_bucket(df, order[0]) if bucket is None else bucket)
+    w = Window.partitionBy(*key, "_b").orderBy(*[F.col(c).asc() for c in order])
+    local = d.select("*", *[F.lag(c).over(w).alias(f"_l_{c}") for c in cols], (F.row_number().over(w) == 1).alias("_first"))
+    okey = F.struct(*[F.col(c) for c in order])
+    last = d.groupBy(*key, "_b").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), okey).alias("_last"))
+    before = last.select(*[F.col(c).alias(f"_k_{c}") for c in key], F.col("_b").alias("_k_b"),
+                         F.lag("_last").over(Window.partitionBy(*key).orderBy("_b")).alias("_pb"))
+    on = local["_b"] == before["_k_b"]
     for c in key:
-        same = same & F.coalesce(F.col(f"_pb.{c}") == F.col(c), F.lit(False))
-    cont = F.col("_first") & same
-    out = j.select(*df.columns,
-                   *[F.when(F.col("_first"), F.when(cont, F.col(f"_pb.{c}"))).otherwise(F.col(f"_l_{c}"))
-                     .alias(f"{prefix}{c}") for c in cols],
-                   (~F.col("_first") | cont).alias("has_prev"))
-    return out
+        on = on & local[c].eqNullSafe(before[f"_k_{c}"])
+    j = local.join(before, on, "left")
+    return j.select(*df.columns,
+                    *[F.when(F.col("_first"), F.col(f"_pb.{c}")).otherwise(F.col(f"_l_{c}")).alias(f"{prefix}{c}") for c in cols],
+                    (~F.col("_first") | F.col("_pb").isNotNull()).alias("has_prev"))
 
 
 def exact_quantile(df: DataFrame, value: str, q: float, group: list[str] | None = None,

@@ -18,12 +18,13 @@ from __future__ import annotations
 import os
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelens.functions.numeric import dbl, pround
-from pricelens.operators.state import KEY, OBS_ORDER, snapshot, upsert
+from pricelens.operators.state import KEY, OBS_ORDER, has_sku, snapshot, upsert
 from pricelens.plans.shapes import lag_by_key
 
 # ── STR-01 ───────────────────────────────────────────────────────────────
@@ -31,36 +32,48 @@ EVENT_SCHEMA = ("vendor_id bigint, sku string, captured_at timestamp_ntz, run_se
                 "old_price decimal(12,4), new_price decimal(12,4), batch_id bigint")
 
 
-def _latest_version(spark: SparkSession, root: str, before: int) -> str | None:
-    log = os.path.join(root, "_log")
+LOG_SCHEMA = "version long, source string, batch_id long, path string"
+
+
+def _log(spark: SparkSession, root: str) -> DataFrame | None:
+    """The committed versions; None before the first.  Any other failure to read is an error:
+    taking it for an empty log would start the state anew."""
     try:
-        rows = spark.read.parquet(log).filter(F.col("batch_id") < before).agg(F.max("batch_id")).collect()
-    except Exception:  # noqa: BLE001 - no log yet
-        return None
-    b = rows[0][0]
-    return None if b is None else os.path.join(root, f"v={b:012d}")
+        return spark.read.schema(LOG_SCHEMA).parquet(os.path.join(root, "_log"))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str,
-                 key=KEY, order=OBS_ORDER) -> None:
-    """One micro-batch: fold into the latest committed snapshot, write version
-    ``v=<batch_id>``, append change events, then record the version in the log."""
+                 key=KEY, order=OBS_ORDER, source: str = "") -> None:
+    """One micro-batch: fold into the latest committed snapshot, write the next version,
+    append change events, then record the version in the log.
+
+    ``source`` names the stream's checkpoint.  A batch that the log has already is not
+    folded again; a batch of a new checkpoint gets a version after all others.
+    """
+    log = _log(spark, root)
+    done = [] if log is None else log.orderBy(F.col("version").desc()).limit(1).collect()
+    if log is not None and not log.filter((F.col("source") == source) & (F.col("batch_id") == batch_id)).isEmpty():
+        return
     batch = batch.persist()
-    prev = _latest_version(spark, root, batch_id)
-    current = spark.read.parquet(prev) if prev else snapshot(batch.limit(0), key, order)
+    current = spark.read.parquet(done[0]["path"]) if done else snapshot(batch.limit(0), key, order)
+    version = done[0]["version"] + 1 if done else 0
     new, _ = upsert(current, batch, key, order)
-    out = os.path.join(root, f"v={batch_id:012d}")
+    out = os.path.join(root, f"v={version:012d}")
     new.write.mode("overwrite").parquet(out)
     # change events of this batch (price moved vs the previous observation of the key)
     cur = current.select(*key, F.col("unit_price").alias("_cur"))
-    x = (lag_by_key(batch.filter(F.col("sku").isNotNull()), key, order, ["unit_price"]).join(cur, key, "left")
+    x = (lag_by_key(batch.filter(has_sku()), key, order, ["unit_price"]).join(cur, key, "left")
          .withColumn("old_price", F.when(F.col("has_prev"), F.col("prev_unit_price")).otherwise(F.col("_cur")))
          .filter(F.col("unit_price").isNotNull() & F.col("old_price").isNotNull()
                  & (F.col("unit_price") != F.col("old_price")))
          .select(*key, "captured_at", "run_seq", "run_line", "old_price", F.col("unit_price").alias("new_price"))
          .withColumn("batch_id", F.lit(batch_id)))
-    x.write.mode("overwrite").parquet(os.path.join(root, "_events", f"part-{batch_id:012d}"))
-    spark.createDataFrame([(batch_id, out)], "batch_id long, path string").write.mode("append") \
+    x.write.mode("overwrite").parquet(os.path.join(root, "_events", f"part-{version:012d}"))
+    spark.createDataFrame([(version, source, batch_id, out)], LOG_SCHEMA).coalesce(1).write.mode("append") \
         .parquet(os.path.join(root, "_log"))
     batch.unpersist()
 
@@ -68,17 +81,18 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str
 def stream_upsert(spark: SparkSession, observations: DataFrame, root: str, checkpoint: str,
                   available_now: bool = True):
     """Start the snapshot-maintenance stream; returns the StreamingQuery."""
-    w = (observations.writeStream.foreachBatch(lambda df, bid: upsert_batch(spark, df, bid, root))
+    w = (observations.writeStream.foreachBatch(lambda df, bid: upsert_batch(spark, df, bid, root, source=checkpoint))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
 def current_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    path = _latest_version(spark, root, 2 ** 62)
-    if path is None:
+    log = _log(spark, root)
+    done = [] if log is None else log.orderBy(F.col("version").desc()).limit(1).collect()
+    if not done:
         raise ValueError(f"no snapshot committed under {root}")
-    return spark.read.parquet(path)
+    return spark.read.parquet(done[0]["path"])
 
 
 # ── STR-02 ───────────────────────────────────────────────────────────────
@@ -86,7 +100,7 @@ QUOTA_OUT = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("action", T.StringType()),
     T.StructField("user_id", T.LongType()), T.StructField("day", T.DateType()),
     T.StructField("ts", T.TimestampNTZType()), T.StructField("allowed", T.BooleanType()),
-    T.StructField("count_today", T.IntegerType())])
+    T.StructField("count_today", T.IntegerType()), T.StructField("late", T.BooleanType())])
 QUOTA_STATE = T.StructType([T.StructField("count", T.IntegerType())])
 
 
@@ -97,28 +111,33 @@ def _quota_fn(max_per_day: int):
             return
         count = state.get[0] if state.exists else 0
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="mergesort")
+        # the day's state is dropped once the watermark passes the end of that day
+        day_end = int((pd.Timestamp(key[2]) + pd.Timedelta(days=1)).tz_localize("UTC").timestamp() * 1000)
+        late = day_end <= state.getCurrentWatermarkMs()
         allowed, counts = [], []
-        for _ in range(len(batch)):
+        for _ in range(0 if late else len(batch)):
             if count < max_per_day:
                 count += 1
                 allowed.append(True)
             else:
                 allowed.append(False)
             counts.append(count)
-        state.update((count,))
-        # the day's state is dropped once the watermark passes the end of that day
-        day_end = pd.Timestamp(key[2]) + pd.Timedelta(days=1)
-        state.setTimeoutTimestamp(int(day_end.tz_localize("UTC").timestamp() * 1000))
+        if late:  # the day's count is gone: denied, and told apart from a spent quota
+            allowed, counts = [False] * len(batch), [None] * len(batch)
+        else:
+            state.update((count,))
+            state.setTimeoutTimestamp(day_end)
         yield pd.DataFrame({"event_id": batch["event_id"].astype("int64"), "action": key[0],
                             "user_id": key[1], "day": key[2], "ts": batch["ts"], "allowed": allowed,
-                            "count_today": pd.Series(counts, dtype="int32")})
+                            "count_today": pd.Series(counts, dtype="Int32"), "late": late})
     return fn
 
 
 def stream_quota(events: DataFrame, max_per_day: int = 5, action: str = "event_type", user: str = "user_id",
                  ts: str = "ts", delay: str = "1 hour") -> DataFrame:
     """Streaming daily quota: keyed by (action, user, day), the running count lives in
-    state; a day's key expires when the event-time watermark passes its end.
+    state; a day's key expires when the event-time watermark passes its end.  Requests of a
+    day that is over come out denied with ``late`` set and no count.
 
     A key's requests of one micro-batch are handled together (ordered by time), so
     the per-call buffer is bounded by the trigger size - read the source with

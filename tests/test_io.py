@@ -149,7 +149,14 @@ def test_align_upload(spark):
     up = spark.createDataFrame([("Beans", "Acme", "1.5", "x")], "`Item Name` string, Brand string, `Unit Price` string, extra string")
     got = RC.align_upload(up, ["product", "manufacturer", "price_per_unit", "upc"])
     assert got.columns == ["product", "manufacturer", "price_per_unit", "upc"]
-    assert tuple(got.first()) == ("Beans", "Acme", "1.5", None)
+    assert tuple(got.first()) == ("Beans", "Acme", 1.5, None)
+    bad = spark.createDataFrame([("Beans", "N/A", " 3 ")], "name string, `Unit Price` string, leadtime string")
+    schema = spark.createDataFrame([], "product string, price_per_unit double, lead_time_days int, cases_per_pallet int").schema
+    got = RC.align_upload(bad, schema)
+    assert tuple(got.first()) == ("Beans", None, 3, None) and got.schema.simpleString() == schema.simpleString()
+    merged = S.merge_upload(spark.createDataFrame([(7, "x", 1.0)], "product_id long, product string, price_per_unit double"),
+                            spark.createDataFrame([("y", "N/A"), ("z", "2.5")], "product string, price_per_unit string"), "f.csv", "2026-12-01")
+    assert sorted((r["product_id"], r["product"], r["price_per_unit"]) for r in merged.collect()) == [(7, "x", 1.0), (8, "y", None), (9, "z", 2.5)]
     only_text = spark.createDataFrame([(1, "Soap")], "qty int, label string")
     assert RC.align_upload(only_text, ["product"]).first()[0] == "Soap"
     with pytest.raises(ValueError):
@@ -185,6 +192,35 @@ def test_stream_quota_over_many_batches_equals_batch(spark, tmp_path):
     assert got == want
 
 
+def test_stream_quota_survives_late_requests(spark, tmp_path):
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
+    for i, day in enumerate([1, 5, 6, 1, 7]):  # the fourth file is of a day that is over
+        spark.createDataFrame([(i, dt.datetime(2024, 1, day, 3), 7, "scrape")], schema).coalesce(1).write.parquet(str(tmp_path / "ev" / f"f{i}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "ev" / "*"))
+    got = J.run_to_table(spark, J.stream_quota(stream, 2), str(tmp_path / "out"), str(tmp_path / "ck")).collect()
+    assert sorted((r["event_id"], r["allowed"], r["late"], r["count_today"]) for r in got) == \
+        [(0, True, False, 1), (1, True, False, 1), (2, True, False, 1), (3, False, True, None), (4, True, False, 1)]
+
+
+def test_upsert_batches_are_applied_once_and_read_errors_are_errors(spark, tmp_path):
+    from pyspark.errors import PySparkException
+
+    obs = register_views(spark, SF_SMALL)["observations"].drop("run_id").filter("vendor_id < 3")
+    root = str(tmp_path / "snap")
+    half = [obs.filter("run_line <= 2"), obs.filter("run_line > 2")]
+    J.upsert_batch(spark, half[0], 0, root, source="a")
+    J.upsert_batch(spark, half[0], 0, root, source="a")      # replayed
+    J.upsert_batch(spark, half[1], 0, root, source="b")      # a new checkpoint begins at 0 again
+    log = spark.read.parquet(os.path.join(root, "_log")).orderBy("version").collect()
+    assert [(r["version"], r["source"]) for r in log] == [(0, "a"), (1, "b")]
+    assert J.current_snapshot(spark, root).count() == S.snapshot(obs).count()
+    part = next(p for p in os.listdir(os.path.join(root, "_log")) if p.startswith("part-"))
+    with open(os.path.join(root, "_log", part), "wb") as f:
+        f.write(b"broken")
+    with pytest.raises(PySparkException):
+        J.upsert_batch(spark, half[1], 1, root, source="b")
+
+
 def test_stream_upsert_over_many_batches_equals_snapshot(spark, tmp_path):
     obs = register_views(spark, SF_SMALL)["observations"].drop("run_id")
     years = [r[0] for r in obs.select(F.year("captured_at")).distinct().orderBy(1).collect()]

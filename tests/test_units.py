@@ -154,6 +154,20 @@ def test_histogram_right_closed_bins(spark):
     assert rows(K.price_histogram(eq, bins=2, clip_quantile=None), "bin", "count") == [(1, 2)]
 
 
+def keyword_join_bruteforce(baseline, offers, k=10,
+                            offer_cols=("product_id", "vendor_id", "vendor_slug", "sku", "unit_price")):
+    """Every baseline row against every offer (nested loop)."""
+    b = baseline.select("bid", F.col("vendor_id").alias("b_vendor_id"),
+                        F.transform("keywords", lambda w: F.lower(w)).alias("lkw"))
+    o = offers.select(F.lower("product_name").alias("lname"), *offer_cols)
+    m = b.crossJoin(o).filter(M._contains_all(F.col("lname"), F.col("lkw"))
+                              & (F.col("vendor_id") != F.col("b_vendor_id")))
+    m = m.select("bid", *[F.col(c).alias(f"m_{c}") for c in offer_cols])
+    order = [F.col("m_unit_price").asc_nulls_last(), F.col("m_vendor_slug").asc_nulls_last(),
+             F.col("m_sku").asc_nulls_last()]
+    return top_k_per_group(m, ["bid"], order, k or 10 ** 9, "rank")
+
+
 def test_keyword_join_equals_bruteforce(spark):
     from pricelens.operators.deals import _offers, baseline_rows
     from pricelens.plans.fixtures import register_views
@@ -163,7 +177,7 @@ def test_keyword_join_equals_bruteforce(spark):
     base = base.filter(F.col("keywords").isNotNull()).select("bid", "vendor_id", "keywords")
     offers = _offers(v["products"], v["vendors"])
     fast = M.keyword_join(base, offers, None)
-    slow = M.keyword_join_bruteforce(base, offers, None)
+    slow = keyword_join_bruteforce(base, offers, None)
     cols = ["bid", "m_product_id", "rank"]
     assert sorted(rows(fast, *cols)) == sorted(rows(slow, *cols))
     plan = fast._jdf.queryExecution().executedPlan().toString()
@@ -216,6 +230,51 @@ def test_upsert_outcomes_and_last_price(spark):
     assert s["d"] == (3.0, None, False, t(3))
 
 
+def test_rows_without_a_sku_are_never_stored(spark):
+    t = dt.datetime(2024, 1, 1)
+    batch = _obs(spark, [(1, "", t, 1, 1, 3, 1), (1, None, t, 1, 2, 3, 1), (1, "a", t, 1, 3, 3, 1)])
+    snap, out = S.upsert(S.snapshot(batch.limit(0)), batch)
+    assert [r["sku"] for r in snap.collect()] == ["a"]
+    assert sorted(r["action"] for r in out.collect()) == ["new", "skipped", "skipped"]
+    h = S.history_rows(batch.withColumn("product_id", F.lit(1)).withColumn("in_stock", F.lit(None).cast("boolean")), F.lit(7)).collect()
+    assert len(h) == 1 and h[0]["bulk_price"] is None and h[0]["in_stock"] is True
+
+
+def test_building_state_and_deal_plans_starts_no_job(spark):
+    import __spark_entry__ as E
+
+    qs, names = E.queries(), ["ups_snapshot", "ups_upsert", "agg_run_stats", "joi_top_deals", "joi_savings_summary", "joi_keyword_join"]
+    for n in names:  # parquet footers are read once
+        qs[n](spark, SF_SMALL)
+    spark.sparkContext.setJobGroup("plans-only", "")
+    try:
+        for n in names:
+            qs[n](spark, SF_SMALL)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plans-only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_unpriced_offers_never_displace_a_priced_one(spark):
+    from decimal import Decimal
+
+    from pricelens.operators import deals as D
+
+    row = lambda i, v, price: (i, v, f"s{i}", "Big Soap Bar", None, None if price is None else Decimal(price), None, None, None, "cat", "b", None, None, True)
+    data = [row(1, 1, 10)] + [row(100 + i, 2, 0) for i in range(12)] + [row(200, 3, 4), row(201, 3, None)]
+    p = spark.createDataFrame(data, "product_id long, vendor_id long, sku string, product_name string, description string, unit_price decimal(12,4), "
+                                    "case_price decimal(12,4), pack_size_raw string, upc string, category string, brand string, image_url string, "
+                                    "product_url string, in_stock boolean")
+    v = spark.createDataFrame([(1, "base", "Base"), (2, "free", "Free"), (3, "shop", "Shop")], "vendor_id long, slug string, name string")
+    d = D.top_deals(p, v, "base").collect()
+    assert [(r["best_other_price"], r["vendor_count"], r["best_savings_abs"]) for r in d] == [(4.0, 1, 6.0)]
+    assert D.top_deals(p, v, "base", sort_by="confidence").first()["best_confidence"] > 0
+    assert [(r["vendor_slug"], r["unit_price"]) for r in D.deal_offers(p, v, "base").collect()] == [("shop", 4.0)]
+    s = D.savings_summary(p, v, "base").first()
+    assert (s["total_savings"], s["products_compared"]) == (6.0, 1)
+    assert tuple(D.deal_summary(D.top_deals(p, v, "nobody")).first()) == (0, 0, 0, 0.0)
+
+
 def test_quota_denied_requests_do_not_count(spark):
     t = lambda h: dt.datetime(2024, 1, 1, h)
     ev = spark.createDataFrame([(1, t(1), 7, "scrape"), (2, t(2), 7, "scrape"), (3, t(3), 7, "scrape"),
@@ -250,13 +309,12 @@ def test_lag_by_key_matches_window_with_a_hot_key(spark):
     hot = spark.range(6000).select(F.lit(1).alias("k"), F.col("id").alias("t"), (F.col("id") % 5).alias("v"))
     cold = spark.range(300).select((F.col("id") % 30 + 2).alias("k"), F.col("id").alias("t"), F.col("id").alias("v"))
     df = hot.unionByName(cold)
-    got = lag_by_key(df, ["k"], ["t"], ["v"], num_partitions=7, max_group=1000)
+    got = lag_by_key(df, ["k"], ["t"], ["v"], bucket=F.floor(F.col("t") / 500))
     w = Window.partitionBy("k").orderBy("t")
     want = df.select("k", "t", F.lag("v").over(w).alias("prev_v"), F.lag("t").over(w).isNotNull().alias("has_prev"))
     assert sorted(rows(got, "k", "t", "prev_v", "has_prev")) == sorted(rows(want, "k", "t", "prev_v", "has_prev"))
-    parts = got.select(F.spark_partition_id()).distinct().count()
-    assert parts > 1
-    small = lag_by_key(df, ["k"], ["t"], ["v"])  # no key above the bound: plain window path
+    got.collect()
+    small = lag_by_key(df, ["k"], ["t"], ["v"])  # all in one bucket
     assert sorted(rows(small, "k", "t", "prev_v", "has_prev")) == sorted(rows(want, "k", "t", "prev_v", "has_prev"))
 
 
