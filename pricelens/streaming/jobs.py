@@ -16,6 +16,7 @@ job resumes where it stopped; a replayed micro-batch rewrites the same version.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -137,7 +138,8 @@ def stream_quota(events: DataFrame, max_per_day: int = 5, action: str = "event_t
                  ts: str = "ts", delay: str = "1 hour") -> DataFrame:
     """Streaming daily quota: keyed by (action, user, day), the running count lives in
     state; a day's key expires when the event-time watermark passes its end.  Requests of a
-    day that is over come out denied with ``late`` set and no count.
+    day that is over come out denied with ``late`` set and no count, or - once the watermark
+    has passed them - are dropped by Spark and counted (``late_rows``).
 
     A key's requests of one micro-batch are handled together (ordered by time), so
     the per-call buffer is bounded by the trigger size - read the source with
@@ -163,10 +165,18 @@ def stream_pulse(change_events: DataFrame, delay: str = "7 days") -> DataFrame:
                     pround(F.abs(diff), 2).alias("amount"), pround(diff / old * 100, 1).alias("pct"))
 
 
+def late_rows(query) -> int:
+    """Rows that a stream's stateful operators dropped because they came after the watermark."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def run_to_table(spark: SparkSession, stream_df: DataFrame, out: str, checkpoint: str,
-                 mode: str = "append") -> DataFrame:
-    """Drive a streaming DataFrame to completion (availableNow) into parquet; read it back."""
+                 mode: str = "append", on_late: Callable[[int], None] | None = None) -> DataFrame:
+    """Drive a streaming DataFrame to completion (availableNow) into parquet; read it back.
+    ``on_late`` is told the number of rows dropped as late."""
     q = (stream_df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
          .outputMode(mode).trigger(availableNow=True).start())
     q.awaitTermination()
+    if on_late is not None:
+        on_late(late_rows(q))
     return spark.read.parquet(out)
