@@ -88,29 +88,29 @@ def _contains_all(name: Column, kws: Column, max_kw: int = 3) -> Column:
 
 
 def _baseline_sets(baseline: DataFrame) -> DataFrame:
-    """(bid, b_vendor_id, kws, lkw): the lower-cased keywords, and one text that names the set."""
+    """(bid, b_vendor_id, kws): the lower-cased keywords of a row, joined by blanks (keywords have none)."""
     lkw = F.slice(F.transform("keywords", lambda w: F.lower(w)), 1, 3)
-    return baseline.select("bid", F.col("vendor_id").alias("b_vendor_id"), F.array_join(lkw, " ").alias("kws"), lkw.alias("lkw"))
+    return baseline.select("bid", F.col("vendor_id").alias("b_vendor_id"), F.array_join(lkw, " ").alias("kws"))
 
 
 def name_matches(sets: DataFrame, names: DataFrame, salts: int = 8) -> DataFrame:
-    """(kws, lname): the names of ``names(lname)`` that contain every keyword of a set.
+    """(b_vendor_id, kws, lname): the names of ``names(lname)`` that contain every keyword of a set.
 
-    Works on distinct keyword sets ``sets(kws, lkw)``.  A trigram that most names have is
-    dealt over ``salts`` tasks: each name goes to one of them, each set to all.
+    Works on the distinct keyword sets of a vendor, ``sets(b_vendor_id, kws)``.  A trigram that
+    most names have is dealt over ``salts`` tasks: each name goes to one of them, each set to all.
     """
-    sets = sets.select("kws", "lkw").dropDuplicates(["kws"])
+    key = ["b_vendor_id", "kws"]
     grams = trigram_index(names)
     freq = grams.groupBy("tri").agg(F.count(F.lit(1)).alias("freq"))
-    kw = sets.select("kws", F.explode("lkw").alias("kw"))
-    kwtri = _trigram_rows(kw, "kw").select("kws", "tri").dropDuplicates(["kws", "tri"])
+    kw = sets.select(*key).distinct().select(*key, F.explode(F.split("kws", " ")).alias("kw"))
+    kwtri = _trigram_rows(kw, "kw").select(*key, "tri")
     pick = (kwtri.join(freq, "tri", "left")
-            .groupBy("kws").agg(F.min_by("tri", F.struct(F.coalesce("freq", F.lit(0)), "tri")).alias("tri"),
-                                F.min(F.coalesce("freq", F.lit(0))).alias("f"))
-            .filter(F.col("f") > 0).select("kws", "tri"))
-    pick = pick.join(sets, "kws").select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+            .groupBy(*key).agg(F.min_by("tri", F.struct(F.coalesce("freq", F.lit(0)), "tri")).alias("tri"),
+                               F.min(F.coalesce("freq", F.lit(0))).alias("f"))
+            .filter(F.col("f") > 0).select(*key, "tri", F.split("kws", " ").alias("lkw")))
+    pick = pick.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     dealt = grams.withColumn("salt", F.pmod(F.xxhash64("lname"), F.lit(salts)).cast("int"))
-    return pick.join(dealt, ["tri", "salt"]).filter(_contains_all(F.col("lname"), F.col("lkw"))).select("kws", "lname")
+    return pick.join(dealt, ["tri", "salt"]).filter(_contains_all(F.col("lname"), F.col("lkw"))).select(*key, "lname")
 
 
 MATCH_ORDER = ["unit_price", "vendor_slug", "sku"]
@@ -120,8 +120,7 @@ def _named_offers(baseline: DataFrame, offers: DataFrame, cols) -> tuple[DataFra
     """(baseline sets, (b_vendor_id, kws, lname) matches, (b_vendor_id, lname, cols) offers of other vendors)."""
     b = _baseline_sets(baseline)
     o = offers.select(F.lower("product_name").alias("lname"), *cols)
-    owned = b.select("b_vendor_id", "kws").distinct()
-    pairs = name_matches(b, o.select("lname")).join(owned, "kws")
+    pairs = name_matches(b, o.select("lname"))
     wanted = pairs.select("b_vendor_id", "lname").distinct()
     other = wanted.join(o, "lname").filter(F.col("vendor_id") != F.col("b_vendor_id"))
     return b, pairs, other
@@ -152,7 +151,7 @@ def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
     else:
         w = Window.partitionBy("b_vendor_id", "kws").orderBy(*order)
         ranked = m.withColumn("rank", F.row_number().over(w).cast("bigint"))
-    return b.select("bid", "b_vendor_id", "kws").join(ranked, ["b_vendor_id", "kws"]).drop("b_vendor_id", "kws")
+    return b.join(ranked, ["b_vendor_id", "kws"]).drop("b_vendor_id", "kws")
 
 
 def keyword_best_price(baseline: DataFrame, offers: DataFrame, price: str = "unit_price") -> DataFrame:
@@ -163,5 +162,5 @@ def keyword_best_price(baseline: DataFrame, offers: DataFrame, price: str = "uni
     low = F.min(F.when(F.col(price).cast("double") != 0, F.col(price)))
     names = other.groupBy("b_vendor_id", "lname").agg(low.alias("low"))
     rows = pairs.join(names, ["b_vendor_id", "lname"]).groupBy("b_vendor_id", "kws").agg(F.min("low").alias("best_other"))
-    return (b.select("bid", "b_vendor_id", "kws").join(rows, ["b_vendor_id", "kws"])
+    return (b.join(rows, ["b_vendor_id", "kws"])
             .select("bid", "best_other", F.lit(True).alias("_matched")))
