@@ -33,19 +33,23 @@ def lookup_terms(products: DataFrame, vendors: DataFrame, exclude_slug: str, n:
     return firsts
 
 
-def build_queries(df: DataFrame, name: str = "product_name", brand: str = "brand") -> DataFrame:
-    """Search text: leading size removed, brand prepended when absent, spaces squeezed, 120 chars."""
+def build_queries(df: DataFrame, name: str = "product_name", brand: str = "brand",
+                  max_chars: int | None = 120) -> DataFrame:
+    """Search text: leading size removed, brand prepended when absent, spaces squeezed, ``max_chars`` (None: all)."""
     q = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(name), F.lit("")), r"^\s+|\s+$", ""), LEADING_SIZE, "")
     b = F.coalesce(F.col(brand), F.lit(""))
     q = F.when((b != "") & (F.instr(F.lower(q), F.lower(b)) == 0), F.concat(b, F.lit(" "), q)).otherwise(q)
     q = F.regexp_replace(F.regexp_replace(q, r"\s+", " "), r"^\s+|\s+$", "")
-    return df.withColumn("search_query", F.substring(q, 1, 120))
+    return df.withColumn("search_query", q if max_chars is None else F.substring(q, 1, max_chars))
 
 
 def attribute_match(results: DataFrame, terms: DataFrame, key: str = "term_id",
-                    prefix: str = MATCH_PREFIX) -> DataFrame:
+                    prefix: str = MATCH_PREFIX, max_chars: int | None = 200) -> DataFrame:
     """A look-up result inherits the term's category and brand (else the title's first
-    word when the title has >= 2 words) and records the term's name in its description."""
+    word when the title has >= 2 words) and records the term's name (its first ``max_chars``
+    characters, None: all) in its description."""
+    named = F.coalesce("_tname", F.lit(""))
+    named = named if max_chars is None else F.substring(named, 1, max_chars)
     t = terms.select(key, F.col("product_name").alias("_tname"), F.col("brand").alias("_tbrand"),
                      F.col("category").alias("_tcat"))
     j = results.join(t, key)
@@ -54,7 +58,7 @@ def attribute_match(results: DataFrame, terms: DataFrame, key: str = "term_id",
         .when((F.size(words) >= 2) & (F.get(words, 0) != ""), F.get(words, 0)).otherwise(F.lit(""))
     return j.select(*[c for c in results.columns], F.col("title").alias("product_name"), brand.alias("brand"),
                     F.coalesce("_tcat", F.lit("")).alias("category"),
-                    F.concat(F.lit(prefix + " "), F.substring(F.coalesce("_tname", F.lit("")), 1, 200))
+                    F.concat(F.lit(prefix + " "), named)
                     .alias("description"))
 
 

@@ -55,6 +55,7 @@ def export_products(products: DataFrame, vendors: DataFrame, path: str, slug: st
 
 
 # ── SNK-02 ───────────────────────────────────────────────────────────────
+# Display headers: fixed values.
 DEAL_HEADERS = [("baseline_product", "Baseline Product"), ("baseline_sku", "Baseline SKU"),
                 ("baseline_price", "Baseline Price"), ("brand", "Brand"), ("category", "Category"),
                 ("best_other_price", "Best Other Price"), ("best_other_vendor", "Best Other Vendor"),

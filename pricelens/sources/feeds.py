@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from pricelens.functions.numeric import to_int, to_number
 
+# Column names of the feeds and of the legacy catalog: fixed values, as the files have them.
 LEGACY_NUMERIC = ["delivered_price", "delivered_case_price", "price_per_unit", "price_per_oz",
                   "cases_per_pallet", "lead_time_days", "min_pallet_qty"]
 LEGACY_FLAGS = ["mixed_pallet", "available", "has_promo"]
@@ -60,11 +61,14 @@ def _blank_null(c: Column) -> Column:
 
 
 # ── SRC-01 ───────────────────────────────────────────────────────────────
-def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_catalog_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Legacy catalog CSV: every column read as text, the 7 numeric columns coerced
-    (unparsable -> null), Yes/No flags -> boolean, empty text -> null."""
+    (unparsable -> null), Yes/No flags -> boolean, empty text -> null.
+
+    Values may hold line breaks; a file is then one task.  Pass ``multi_line=False`` for
+    large files without any, which are then split over tasks."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in LEGACY_COLUMNS])
-    raw = spark.read.csv(path, header=True, schema=schema, multiLine=True, escape='"')
+    raw = spark.read.csv(path, header=True, schema=schema, multiLine=multi_line, escape='"')
     cols = []
     for c in LEGACY_COLUMNS:
         if c in LEGACY_NUMERIC:
@@ -79,10 +83,12 @@ def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ── SRC-02 / SRC-03 ──────────────────────────────────────────────────────
-def read_product_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_product_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Many saved API pages ({count, next, previous, results[]}) -> one row per product,
-    with the page's declared count, next link and source file."""
-    pages = spark.read.schema(PRODUCT_PAGE).json(path, multiLine=True).select(
+    with the page's declared count, next link and source file.
+
+    One page a file, or with ``multi_line=False`` one page a line (files are then split)."""
+    pages = spark.read.schema(PRODUCT_PAGE).json(path, multiLine=multi_line).select(
         "*", F.col("_metadata.file_path").alias("source_file"))
     return pages.select("source_file", F.col("count").alias("declared_count"), F.col("next").alias("next_page"),
                         F.posexplode("results").alias("pos_in_page", "r")).select(
@@ -195,18 +201,20 @@ def primary_category(df: DataFrame, col: str = "sub_category", out: str = "categ
 
 
 # ── SRC-08 ───────────────────────────────────────────────────────────────
-def read_storefront(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STOREFRONT).json(path, multiLine=True).select(F.explode("products").alias("p")) \
+def read_storefront(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Storefront pages ({products[]}) -> one row per product; ``multi_line=False``: one page a line."""
+    return spark.read.schema(STOREFRONT).json(path, multiLine=multi_line).select(F.explode("products").alias("p")) \
         .select("p.*")
 
 
-def standardize_storefront(df: DataFrame, vendor_brand: str, store_url: str) -> DataFrame:
+def standardize_storefront(df: DataFrame, vendor_brand: str, store_url: str,
+                           max_description: int | None = 500) -> DataFrame:
     """Storefront product -> common schema: first variant's price / sku / stock, first
-    image, description without tags (500 chars), URL from the handle."""
+    image, description without tags (``max_description`` characters, None: all), URL from the handle."""
     v0 = F.get(F.col("variants"), 0)
     price_text = v0.getField("price")
-    desc = F.substring(F.regexp_replace(F.regexp_replace(F.coalesce("body_html", F.lit("")), "<[^>]+>", " "),
-                                        r"^\s+|\s+$", ""), 1, 500)
+    desc = F.regexp_replace(F.regexp_replace(F.coalesce("body_html", F.lit("")), "<[^>]+>", " "), r"^\s+|\s+$", "")
+    desc = desc if max_description is None else F.substring(desc, 1, max_description)
     vsku = F.coalesce(v0.getField("sku"), F.lit(""))
     return df.select(
         F.when(vsku != "", vsku).otherwise(F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("sku"),

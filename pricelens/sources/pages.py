@@ -35,8 +35,10 @@ def html_text(c: Column) -> Column:
     return _strip(t)
 
 
-def slugify(c: Column, n: int = 50) -> Column:
-    return F.substring(F.regexp_replace(_strip(F.lower(c)), "[^a-z0-9]+", "-"), 1, n)
+def slugify(c: Column, n: int | None = 50) -> Column:
+    """Lower-case letters and digits joined by dashes, the first ``n`` characters (None: all)."""
+    slug = F.regexp_replace(_strip(F.lower(c)), "[^a-z0-9]+", "-")
+    return slug if n is None else F.substring(slug, 1, n)
 
 
 # ── SRC-11 ───────────────────────────────────────────────────────────────
@@ -113,13 +115,14 @@ LD_JSON = r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
 
 
 def extract_product_pages(pages: DataFrame, brand: str = "", sku_prefix: str = "page",
-                          url: str = "url", html: str = "html") -> DataFrame:
+                          url: str = "url", html: str = "html", max_description: int | None = 450) -> DataFrame:
     """Product-detail pages -> product rows.
 
     Name, description, first pack size and first image come from the first JSON-LD
     block of ``@type`` Product; the name falls back to the page's <h1>.  A GTIN in a
     nutrition frame URL becomes the UPC and SKU (leading zeros stripped), else the
     SKU is ``prefix-<last URL segment>``.  Pages without a name of >= 2 chars drop.
+    Of the description ``max_description`` characters are taken (None: all).
     """
     blocks = F.regexp_extract_all(F.col(html), F.lit(LD_JSON), 1)
     product_ld = F.get(F.filter(blocks, lambda b: F.get_json_object(b, "$.@type") == "Product"), 0)
@@ -135,7 +138,7 @@ def extract_product_pages(pages: DataFrame, brand: str = "", sku_prefix: str = "
     slug = F.substring_index(F.regexp_replace(F.col(url), "/+$", ""), "/", -1)
     desc = _strip(F.coalesce(ld("$.description"), F.lit("")))
     parts = F.concat_ws(" | ", F.when(F.coalesce(pack, F.lit("")) != "", F.concat(F.lit("Pack size: "), pack)),
-                        F.when(desc != "", F.substring(desc, 1, 450)))
+                        F.when(desc != "", desc if max_description is None else F.substring(desc, 1, max_description)))
     p = p.select(
         "*", name.alias("_name"), gtin.alias("upc"),
         F.coalesce(gtin, F.concat(F.lit(f"{sku_prefix}-"), slug)).alias("sku"),
@@ -171,6 +174,10 @@ def extract_tiles(pages: DataFrame, rules: DataFrame, url: str = "url", html: st
     (group 1 each; null = field absent), ``base_url`` and ``sku_prefix``.  Each page
     takes its site's rule (join on host), tiles are exploded in page order, fields
     extracted, SKU derived from the link (SRC-11) and names cleaned (SRC-13).
+
+    Two more rule columns may be there: ``attr``, whose group 1 is the tile's product id and
+    the SKU where the link has none, and ``sold_out``, which marks a tile without stock.
+    Without that every tile counts as in stock.
     """
     host = F.regexp_extract(F.col(url), r"^[a-z]+://([^/:?#]+)", 1)
     j = pages.withColumn("site", host).join(rules, "site")
@@ -181,7 +188,10 @@ def extract_tiles(pages: DataFrame, rules: DataFrame, url: str = "url", html: st
                                                                   F.lit(1)))
     t = tiles.select(*[c for c in pages.columns if c != html], "site", (F.col("tile_pos") + 1).alias("tile_pos"),
                      html_text(fld("name")).alias("_raw_name"), fld("price").alias("_price_text"),
-                     fld("link").alias("_link"), fld("image").alias("_img"), "base_url", "sku_prefix")
+                     fld("link").alias("_link"), fld("image").alias("_img"), "base_url", "sku_prefix",
+                     (fld("attr") if "attr" in rules.columns else F.lit(None).cast("string")).alias("_attr"),
+                     (~F.coalesce(F.regexp_like(F.col("_t"), F.col("sold_out")), F.lit(False))
+                      if "sold_out" in rules.columns else F.lit(True)).alias("in_stock"))
     link = F.replace(F.col("_link"), F.lit("&amp;"), F.lit("&"))
     abs_link = F.when(F.coalesce(link, F.lit("")) == "", F.lit("")).when(link.startswith("http"), link) \
         .otherwise(F.concat(F.col("base_url"), link))
@@ -193,5 +203,5 @@ def extract_tiles(pages: DataFrame, rules: DataFrame, url: str = "url", html: st
                            for p in SKU_URL_PATTERNS])
     out = t.select(*[c for c in pages.columns if c != html], "site", "tile_pos", name.alias("product_name"),
                    price_col(F.col("_price_text")).alias("unit_price"), abs_link.alias("product_url"),
-                   img.alias("image_url"), F.coalesce(url_sku, slug_sku).alias("sku"), F.lit(True).alias("in_stock"))
+                   img.alias("image_url"), F.coalesce(url_sku, F.nullif("_attr", F.lit("")), slug_sku).alias("sku"), "in_stock")
     return out.filter(F.length(F.col("product_name")) > 0)
