@@ -14,7 +14,7 @@ order partial sums are combined in.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.functions.numeric import (count_if, dbl, has_text, pround, truthy_bool,
@@ -292,45 +292,41 @@ def insights(products: DataFrame, vendors: DataFrame, profile: DataFrame | None
     v = prof.select(F.col("vendor_name").alias("name"), "vendor_id", F.col("total").alias("cnt"),
                     _avg_truthy_price().alias("avg"), _ratio_pct("n_upc").alias("upc"),
                     F.col("n_changes").alias("chg"), _ratio_pct("n_in_stock").alias("stock"))
-    v = global_rank(v, [F.col("cnt").desc(), F.col("name").asc(), F.col("vendor_id")], "ord")
-    neg = -F.col("ord")
+    order = F.struct(-F.col("cnt"), "name", "vendor_id")
+    most = lambda c: F.struct(F.coalesce(-F.col(c), F.lit(float("inf"))), order)  # noqa: E731  smallest for the largest
     inf = F.lit(float("inf"))
     a = v.agg(
         F.count(F.lit(1)).alias("n_vendors"),
-        F.min_by(F.struct("name", "cnt"), F.col("ord")).alias("big"),
-        F.max(F.when(F.col("ord") == 2, F.struct("name", "cnt"))).alias("second"),
-        F.max_by(F.struct("name", "upc"), F.struct("upc", neg)).alias("best_upc"),
-        F.min_by(F.struct("name", "upc"), F.struct("upc", "ord")).alias("worst_upc"),
+        F.min_by(F.struct("name", "cnt"), order).alias("big"),
+        F.min_by(F.struct("name", "upc"), most("upc")).alias("best_upc"),
+        F.min_by(F.struct("name", "upc"), F.struct("upc", order)).alias("worst_upc"),
         F.min_by(F.struct("name", "avg"), F.struct(F.when(F.col("avg") > 0, F.col("avg")).otherwise(inf),
-                                                   "ord")).alias("cheap"),
-        F.max_by(F.struct("name", "avg"), F.struct("avg", neg)).alias("pricey"),
+                                                   order)).alias("cheap"),
+        F.min_by(F.struct("name", "avg"), most("avg")).alias("pricey"),
         F.sum("chg").cast("bigint").alias("total_changes"),
-        F.max_by(F.struct("name", "chg"), F.struct("chg", neg)).alias("volatile"),
+        F.min_by(F.struct("name", "chg"), most("chg")).alias("volatile"),
         F.sum(F.col("stock").cast("decimal(12,1)")).alias("_stock_sum"),
-        F.max_by(F.struct("name", "stock"), F.struct("stock", neg)).alias("best_stock"),
+        F.min_by(F.struct("name", "stock"), most("stock")).alias("best_stock"),
         F.sum("cnt").cast("bigint").alias("total_products"))
-    dnull = F.lit(None).cast("double")
-    snull = F.lit(None).cast("string")
-    facts = [
-        a.select(F.lit("largest_catalog").alias("fact"), F.col("big.name").alias("vendor"),
-                 F.col("second.name").alias("other_vendor"), F.col("big.cnt").cast("double").alias("metric"),
-                 (F.col("big.cnt") - F.col("second.cnt")).cast("double").alias("metric2")),
-        a.select(F.lit("upc_coverage"), F.col("best_upc.name"), F.col("worst_upc.name"),
-                 F.col("best_upc.upc"), F.col("worst_upc.upc")),
-        a.filter((F.col("n_vendors") > 1) & (F.col("cheap.avg") > 0) & (F.col("pricey.avg") > 0))
-         .select(F.lit("price_spread"), F.col("cheap.name"), F.col("pricey.name"),
-                 pround((F.col("pricey.avg") - F.col("cheap.avg")) / F.col("cheap.avg") * 100, 1),
-                 dnull),
-        a.filter(F.col("total_changes") > 0)
-         .select(F.lit("market_activity"), F.col("volatile.name"), snull,
-                 F.col("total_changes").cast("double"), F.col("volatile.chg").cast("double")),
-        a.select(F.lit("stock_availability"), F.col("best_stock.name"), snull,
-                 pround(F.col("_stock_sum").cast("double") / F.col("n_vendors"), 1),
-                 F.col("best_stock.stock")),
-        a.select(F.lit("next_step"), F.col("worst_upc.name"), snull,
-                 F.col("total_products").cast("double"), F.col("n_vendors").cast("double")),
-    ]
-    out = facts[0]
-    for f in facts[1:]:
-        out = out.union(f)
-    return out
+    # the runner-up: the last of the first two, if there are two
+    two = v.select("name", "cnt", order.alias("o")).orderBy("o").limit(2)
+    two = two.agg(F.count(F.lit(1)).alias("n"), F.max_by(F.struct("name", "cnt"), F.col("o")).alias("s"))
+    a = with_scalars(a, two.select(F.when(F.col("n") == 2, F.col("s")).alias("second")))
+
+    def fact(name: str, vendor: str, other: str | None, metric: Column, metric2: Column) -> Column:
+        return F.struct(F.lit(name).alias("fact"), F.col(f"{vendor}.name").alias("vendor"),
+                        (F.col(f"{other}.name") if other else F.lit(None).cast("string")).alias("other_vendor"),
+                        metric.cast("double").alias("metric"), metric2.cast("double").alias("metric2"))
+
+    spread = pround((F.col("pricey.avg") - F.col("cheap.avg")) / F.col("cheap.avg") * 100, 1)
+    facts = F.array(
+        fact("largest_catalog", "big", "second", F.col("big.cnt"), F.col("big.cnt") - F.col("second.cnt")),
+        fact("upc_coverage", "best_upc", "worst_upc", F.col("best_upc.upc"), F.col("worst_upc.upc")),
+        F.when((F.col("n_vendors") > 1) & (F.col("cheap.avg") > 0) & (F.col("pricey.avg") > 0),
+               fact("price_spread", "cheap", "pricey", spread, F.lit(None))),
+        F.when(F.col("total_changes") > 0,
+               fact("market_activity", "volatile", None, F.col("total_changes"), F.col("volatile.chg"))),
+        fact("stock_availability", "best_stock", None,
+             pround(F.col("_stock_sum").cast("double") / F.col("n_vendors"), 1), F.col("best_stock.stock")),
+        fact("next_step", "worst_upc", None, F.col("total_products"), F.col("n_vendors")))
+    return a.select(F.explode(F.filter(facts, lambda f: f.isNotNull())).alias("f")).select("f.*")

@@ -118,14 +118,16 @@ def page(df: DataFrame, sort_by: str = "product_name", sort_dir: str = "asc", pa
     directions for the legacy listing; ``key`` makes the order total).
 
     Shallow pages use TakeOrdered (limit pushed into the sort).  ``deep=True``
-    numbers rows with ``global_rank`` and filters the page range, which does not
-    gather ``offset + per_page`` rows into one task.
+    numbers only (sort column, key) with ``global_rank`` and fetches the page's rows by their
+    keys: neither ``offset + per_page`` rows in one task nor a sort of the wide rows.
     """
     order = [(SORT_NULLS_LAST if nulls_last else SORT_NULLS)[sort_dir](sort_by), F.col(key).asc()]
     start = (page_no - 1) * per_page
     if deep:
-        r = global_rank(df, order, "_row")
-        return r.filter((F.col("_row") > start) & (F.col("_row") <= start + per_page)).drop("_row")
+        r = global_rank(df.select(*dict.fromkeys([sort_by, key])), order, "_row")
+        # at most per_page keys: a bounded broadcast
+        wanted = r.filter((F.col("_row") > start) & (F.col("_row") <= start + per_page)).select(key)
+        return df.join(F.broadcast(wanted), key, "left_semi")
     return df.orderBy(*order).offset(start).limit(per_page)
 
 

@@ -137,30 +137,50 @@ def lag_by_key(df: DataFrame, key: list[str], order: list[str], cols: list[str],
                     (~F.col("_first") | F.col("_pb").isNotNull()).alias("has_prev"))
 
 
+def running_total(df: DataFrame, order: list[str], weight: str, out: str) -> DataFrame:
+    """Adds ``out``: the sum of ``weight`` over all rows that come before in ``order`` (which must identify a row).
+
+    Like ``global_rank``: one range partitioning, checkpointed, a window inside each range and
+    an offset for each range (one row per partition).
+    """
+    from pricelens.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *_cols(order)).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    earlier = Window.unboundedPreceding, -1
+    offsets = ranged.groupBy("_pid").agg(F.sum(weight).alias("_n")).select(
+        "_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(*earlier)), F.lit(0)).alias("_off"))
+    inside = F.coalesce(F.sum(weight).over(Window.partitionBy("_pid").orderBy(*order).rowsBetween(*earlier)), F.lit(0))
+    # one row per partition: bounded by the partition count, safe to broadcast
+    return (ranged.withColumn("_in", inside).join(F.broadcast(offsets), "_pid")
+            .withColumn(out, F.col("_in") + F.col("_off")).drop("_pid", "_in", "_off"))
+
+
 def exact_quantile(df: DataFrame, value: str, q: float, group: list[str] | None = None,
                    out: str = "quantile") -> DataFrame:
     """Exact linear-interpolation quantile (``percentile`` / ``median`` semantics) of
     ``value`` per ``group`` (or over all rows), without holding a group's values in
-    one task: rows are ranked by (group, value) with ``global_rank`` (range
-    partitioning splits a hot group), each group's first rank and size come from an
-    aggregate, and the two rows around position (n - 1) * q are picked and blended.
-    Returns one row per group: group columns + ``out``.
+    one task.
+
+    Values are counted first (a partial aggregate), and only the distinct ones are put in
+    order: ``running_total`` gives each the number of values before it.  Each group's first place and size come
+    from an aggregate, and the values at the places around (n - 1) * q are picked and
+    blended.  Returns one row per group: group columns + ``out``.
     """
     group = group or []
     v = df.select(*group, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    r = global_rank(v, [*[F.col(g) for g in group], F.col("_v")], "_r")
-    stats = r.groupBy(*group).agg(F.min("_r").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    stats = (stats.withColumn("_h", (F.col("_n") - 1).cast("double") * F.lit(float(q)))
-             .withColumn("_lo", F.col("_first") + F.floor("_h").cast("bigint"))
-             .withColumn("_hi", F.col("_first") + F.ceil("_h").cast("bigint")))
-    rr = r.select(*group, "_r", "_v")
-    ss = stats.select(*group, "_lo", "_hi", "_h", "_first")
-    # per group: an equi-join on the group; over all rows: the one stats row as a scalar
-    joined = rr.join(ss, group) if group else with_scalars(rr, ss)
-    picked = joined.filter((F.col("_r") == F.col("_lo")) | (F.col("_r") == F.col("_hi")))
-    agg = picked.groupBy(*group).agg(
-        F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vl"),
-        F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_v"))).alias("_vh"),
+    r = running_total(v.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c")), [*group, "_v"], "_c", "_r")
+    stats = r.groupBy(*group).agg(F.min("_r").alias("_first"), F.sum("_c").alias("_n"))
+    stats = stats.withColumn("_h", (F.col("_n") - 1).cast("double") * F.lit(float(q)))
+    stats = stats.select(*group, "_h", "_first", (F.col("_first") + F.floor("_h").cast("bigint")).alias("_lo"),
+                         (F.col("_first") + F.ceil("_h").cast("bigint")).alias("_hi"))
+    # per group: an equi-join on the group; over all values: the one stats row as a scalar
+    joined = r.join(stats, group) if group else with_scalars(r, stats)
+    is_lo, is_hi = ((F.col("_r") <= F.col(x)) & (F.col(x) < F.col("_r") + F.col("_c")) for x in ("_lo", "_hi"))
+    agg = joined.filter(is_lo | is_hi).groupBy(*group).agg(
+        F.max(F.when(is_lo, F.col("_v"))).alias("_vl"), F.max(F.when(is_hi, F.col("_v"))).alias("_vh"),
         F.first("_h").alias("_h"), F.first("_lo").alias("_lo"), F.first("_first").alias("_first"))
     frac = F.col("_h") - (F.col("_lo") - F.col("_first")).cast("double")
     res = F.when(F.col("_vl") == F.col("_vh"), F.col("_vl")) \
