@@ -34,7 +34,9 @@ def baseline_rows(products: DataFrame, vendors: DataFrame, baseline_slug: str,
     ``cap`` reproduces the reference's 500-row baseline cap (ordered by name);
     the default is the whole baseline.
     """
-    b = products.join(vendor_ids(vendors, baseline_slug), "vendor_id", "left_semi")
+    # a predicate, not a semi-join: the costly keyword filter of the callers would be pushed below that, onto all offers
+    ids = vendor_ids(vendors, baseline_slug).agg(F.collect_set("vendor_id").alias("ids")).scalar()
+    b = products.filter(F.array_contains(ids, F.col("vendor_id")))
     b = facet(b.filter(F.col("unit_price").isNotNull()), category, brand)
     if require_category:
         b = b.filter(F.col("category").isNotNull())

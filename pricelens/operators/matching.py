@@ -117,13 +117,17 @@ MATCH_ORDER = ["unit_price", "vendor_slug", "sku"]
 
 
 def _named_offers(baseline: DataFrame, offers: DataFrame, cols) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(baseline sets, (b_vendor_id, kws, lname) matches, (b_vendor_id, lname, cols) offers of other vendors)."""
+    """(baseline sets, (b_vendor_id, kws, lname) matches, (lname, own, cols) offers): ``own`` is the
+    offer's vendor if that is a vendor of the baseline, whose own rows may not take the offer; else null."""
     b = _baseline_sets(baseline)
+    own = baseline.select(F.col("vendor_id").alias("own")).distinct()
     o = offers.select(F.lower("product_name").alias("lname"), *cols)
-    pairs = name_matches(b, o.select("lname"))
-    wanted = pairs.select("b_vendor_id", "lname").distinct()
-    other = wanted.join(o, "lname").filter(F.col("vendor_id") != F.col("b_vendor_id"))
-    return b, pairs, other
+    return b, name_matches(b, o.select("lname")), o.join(own, o["vendor_id"] == own["own"], "left")
+
+
+def _elsewhere(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """The matches with what ``named(lname, own, ...)`` holds for their names at other vendors."""
+    return pairs.join(named, "lname").filter(F.col("own").isNull() | (F.col("own") != F.col("b_vendor_id")))
 
 
 def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
@@ -137,13 +141,13 @@ def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
     vendor are dropped.  Pass only offers that may be ranked: a zero price would come first.
     Returns (bid, <offer_cols prefixed m_>, rank).
 
-    Rows with the same keywords are matched once, and of a name's offers only the best k
-    (of vendors other than the baseline's) are joined to the rows that match the name.
+    Rows with the same keywords are matched once.  Of a name's offers only the best k at vendors
+    outside the baseline, and the best k of each vendor in it, are joined to the rows that match the name.
     """
-    b, pairs, other = _named_offers(baseline, offers, offer_cols)
+    b, pairs, named = _named_offers(baseline, offers, offer_cols)
     if k:
-        other = top_k_per_group(other, ["b_vendor_id", "lname"], [F.col(c).asc_nulls_last() for c in MATCH_ORDER], k, "_r").drop("_r")
-    m = pairs.join(other, ["b_vendor_id", "lname"])
+        named = top_k_per_group(named, ["lname", "own"], [F.col(c).asc_nulls_last() for c in MATCH_ORDER], k, "_r").drop("_r")
+    m = _elsewhere(pairs, named)
     m = m.select("b_vendor_id", "kws", *[F.col(c).alias(f"m_{c}") for c in offer_cols])
     order = [F.col(f"m_{c}").asc_nulls_last() for c in MATCH_ORDER]
     if k:
@@ -158,9 +162,9 @@ def keyword_best_price(baseline: DataFrame, offers: DataFrame, price: str = "uni
     """(bid, best_other, matched): the lowest non-zero price among *all* matches of a baseline
     row at other vendors (null when all are zero); rows without a match do not appear.
     A minimum per name is joined, never the offers."""
-    b, pairs, other = _named_offers(baseline, offers, ("vendor_id", price))
+    b, pairs, named = _named_offers(baseline, offers, ("vendor_id", price))
     low = F.min(F.when(F.col(price).cast("double") != 0, F.col(price)))
-    names = other.groupBy("b_vendor_id", "lname").agg(low.alias("low"))
-    rows = pairs.join(names, ["b_vendor_id", "lname"]).groupBy("b_vendor_id", "kws").agg(F.min("low").alias("best_other"))
+    names = named.groupBy("lname", "own").agg(low.alias("low"))
+    rows = _elsewhere(pairs, names).groupBy("b_vendor_id", "kws").agg(F.min("low").alias("best_other"))
     return (b.join(rows, ["b_vendor_id", "kws"])
             .select("bid", "best_other", F.lit(True).alias("_matched")))
