@@ -265,7 +265,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096, grain: int = 32
     Returns one row per piece: ``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``. Null and empty texts
     are one piece of the end id. Texts are tokenized once and their pieces written; only the histogram of lengths - ``size``
     numbers - comes to the driver, which packs it into groups of equal sequences. Each piece finds its place by its
-    rank among the pieces of its length. Ranks are counted in groups of about ``group_rows`` (a length is split by a hash), so
+    rank among the pieces of its length. Ranks are counted in groups of about ``group_rows`` (a length with more is split by a hash), so
     a length that a third of all pieces have is not numbered in one task. The places sent out are bounded by the
     sequence size as well. Rows that repeat an id are pieces of their own; null ids are kept.
     """
@@ -275,9 +275,10 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096, grain: int = 32
         histogram[r["length"]] = r["n"]
     where = docs.sparkSession.sparkContext.broadcast(slots(pack_histogram(histogram, size, grain, most)))
 
-    salts = max(1, math.ceil(int(histogram.sum()) / group_rows))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(salts)))
-    sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))  # at most size * salts rows
+    # one row for each length that occurs: at most ``size`` rows are sent out
+    salts = docs.sparkSession.createDataFrame([(int(x), math.ceil(int(histogram[x]) / group_rows)) for x in histogram.nonzero()[0]], "length long, salts long")
+    salted = rows.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.col("salts")))
+    sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))  # one row a group: about pieces / group_rows + size
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
