@@ -21,42 +21,56 @@ def _next(a: str, fill: int) -> Column:
     return F.concat(F.slice(a, 2, F.size(a)), F.array(F.lit(fill).cast("long")))
 
 
-def with_chunks(docs: DataFrame, text: Column) -> DataFrame:
+def with_chunks(docs: DataFrame, text: Column, seeds: int = 1, equal: int | None = None) -> DataFrame:
     """Adds ``__lines`` (the lines of ``text``) and ``__chunks``: an array of (s, e), the first line of a chunk and the line after it.
 
     A line's rolling hash covers it and the line before. A chunk ends after every line but the first whose rolling hash is
     smaller than that of the line before and not larger than that of the line after. Each end depends on four lines
     only, so an insertion elsewhere does not move it, and a chunk has two lines at least (the last of a text may have one).
+    With ``equal``, a chunk also ends after every ``equal`` equal lines in a row (what follows may then have one line).
+    ``seeds`` (4 at most): so many sets of chunks, each by seven other digits of the lines' hash; a chunk of several is there once.
     Every step is its own column: arrays are then built once for a text, not once for each element.
     """
-    line_hash = F.transform("__lines", lambda x: F.conv(F.substring(F.md5(x), 1, 7), 16, 10).cast("long"))
-    d = docs.withColumn("__lines", F.split(text, "\n", -1)).withColumn("__h", line_hash)
-    d = d.withColumn("__r", F.zip_with("__h", _previous("__h", 0), lambda x, before: (x + before * ROLL) % PRIME))
-    d = d.withColumn("__n", F.arrays_zip(F.col("__r").alias("r"), _previous("__r", -1).alias("p"), _next("__r", PRIME).alias("q"),
-                                         F.sequence(F.lit(1), F.size("__r")).alias("i")))
-    ends = F.transform(F.filter("__n", lambda x: (x["r"] < x["p"]) & (x["r"] <= x["q"]) & (x["i"] < F.size("__r"))), lambda x: x["i"])
-    d = d.withColumn("__s", F.concat(F.array(F.lit(0)), ends))
-    e = F.concat(F.slice("__s", 2, F.size("__s")), F.array(F.size("__lines")))
-    d = d.withColumn("__chunks", F.arrays_zip(F.col("__s").alias("s"), e.alias("e")))
-    return d.drop("__h", "__r", "__n", "__s")
-
-
-def chunk_rows(src: DataFrame) -> DataFrame:
-    """``(rk, id, s, key, chunk)``: the chunks of two lines or more that are not blank, with their first line and hash."""
-    d = with_chunks(src, F.col("text"))
+    d = docs.withColumn("__lines", F.split(text, "\n", -1)).withColumn("__m", F.transform("__lines", lambda x: F.md5(x)))
+    if equal:
+        d = d.withColumn("__n", F.arrays_zip(F.col("__m").alias("m"), F.concat(F.array(F.lit("")), F.slice("__m", 1, F.size("__m") - 1)).alias("p"),
+                                             F.sequence(F.lit(0), F.size("__m") - 1).alias("i")))
+        d = d.withColumn("__a", F.transform(F.filter("__n", lambda x: x["m"] != x["p"]), lambda x: x["i"]))  # where runs of equal lines begin
+        d = d.withColumn("__a", F.arrays_zip(F.col("__a").alias("a"), F.concat(F.slice("__a", 2, F.size("__a")), F.array(F.size("__m"))).alias("b")))
+        runs = F.filter("__a", lambda x: x["b"] - x["a"] >= equal)
+        d = d.withColumn("__a", F.flatten(F.transform(runs, lambda x: F.sequence(x["a"] + equal, x["b"], F.lit(equal)))))
+        d = d.withColumn("__a", F.filter("__a", lambda x: x < F.size("__m")))
+    for k in range(seeds):
+        d = d.withColumn("__h", F.transform("__m", lambda x: F.conv(F.substring(x, 7 * k + 1, 7), 16, 10).cast("long")))
+        d = d.withColumn("__r", F.zip_with("__h", _previous("__h", 0), lambda x, before: (x + before * ROLL) % PRIME))
+        d = d.withColumn("__n", F.arrays_zip(F.col("__r").alias("r"), _previous("__r", -1).alias("p"), _next("__r", PRIME).alias("q"),
+                                             F.sequence(F.lit(1), F.size("__r")).alias("i")))
+        ends = F.transform(F.filter("__n", lambda x: (x["r"] < x["p"]) & (x["r"] <= x["q"]) & (x["i"] < F.size("__r"))), lambda x: x["i"])
+        d = d.withColumn("__s", F.concat(F.array(F.lit(0)), F.array_sort(F.array_union(ends, "__a")) if equal else ends))
+        e = F.concat(F.slice("__s", 2, F.size("__s")), F.array(F.size("__lines")))
+        d = d.withColumn(f"__c{k}", F.arrays_zip(F.col("__s").alias("s"), e.alias("e")))
+    d = d.withColumn("__chunks", F.array_distinct(F.concat(*[f"__c{k}" for k in range(seeds)])) if seeds > 1 else F.col("__c0"))
+    return d.drop("__m", "__a", "__h", "__r", "__n", "__s", *[f"__c{k}" for k in range(seeds)])
+
+
+def chunk_rows(src: DataFrame, seeds: int = 1, equal: int | None = None) -> DataFrame:
+    """``(rk, id, s, e, key, chunk)``: the chunks of two lines or more that are not blank, with their first line, the line after them and hash."""
+    d = with_chunks(src, F.col("text"), seeds, equal)
     long = F.filter("__chunks", lambda c: c["e"] - c["s"] >= 2)
     # texts are made before the explode: above it the lines would be split anew for every chunk
-    texts = F.transform(long, lambda c: F.struct(c["s"].alias("s"), F.array_join(F.slice("__lines", c["s"] + 1, c["e"] - c["s"]), "\n").alias("chunk")))
-    rows = d.select("rk", "id", F.explode(texts).alias("c")).select("rk", "id", "c.s", F.xxhash64("c.chunk").alias("key"), "c.chunk")
+    texts = F.transform(long, lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), F.array_join(F.slice("__lines", c["s"] + 1, c["e"] - c["s"]), "\n").alias("chunk")))
+    rows = d.select("rk", "id", F.explode(texts).alias("c")).select("rk", "id", "c.s", "c.e", F.xxhash64("c.chunk").alias("key"), "c.chunk")
     return rows.where(F.col("chunk").rlike(BLANK))
 
 
-def dedup_lines(docs: DataFrame, bits_per_key: int = 12, hashes: int = 4, max_bits: int = 1 << 28, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, bits_per_key: int = 12, hashes: int = 4, max_bits: int = 1 << 28, id_col: str = "doc_id", text_col: str = "text",
+                seeds: int = 1, equal: int | None = None) -> DataFrame:
     """``docs`` with every chunk of lines that occurred before taken out of its text.
 
     Texts are cut into content-defined chunks (``with_chunks``). Of the chunks of two lines or more that occur more than
     once in the corpus with the same bytes, the first occurrence - smallest id, then place - stays and the others are
-    removed with their line ends. Adds ``n_lines`` and ``n_removed_lines``, replacing columns of those names.
+    removed with their line ends. With more ``seeds`` or ``equal`` lines (``with_chunks``) there are more chunks, which may
+    overlap: a line goes if any of its chunks goes, and an equal line of an earlier place stays. Adds ``n_lines`` and ``n_removed_lines``, replacing columns of those names.
 
     1. Chunks are counted by a 64-bit hash; the hashes that occur more than once go into a Bloom filter.
     2. A second pass writes the chunks that the filter lets through, and they are grouped by their bytes. The group's
@@ -71,26 +85,27 @@ def dedup_lines(docs: DataFrame, bits_per_key: int = 12, hashes: int = 4, max_bi
     repeated. A null id comes before all others.
     """
     src = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("rk"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    place = F.struct("rk", "s")
-    counted = chunk_rows(src).groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+    place = F.xxhash64("rk", "s")  # of a document's key and a line: as sure as that key
+    counted = chunk_rows(src, seeds, equal).groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b"))
     often = materialize(counted.where("a <> b").select("key"), "lines-often")
     size = -(-min(max_bits, max(1, often.count()) * bits_per_key) // bloom.BLOCK) * bloom.BLOCK
-    passed = chunk_rows(src).where(bloom.has(bloom.one_row(often, size, hashes), F.col("key"), size, hashes))
+    passed = chunk_rows(src, seeds, equal).where(bloom.has(bloom.one_row(often, size, hashes), F.col("key"), size, hashes))
     rows = materialize(passed, "lines-passed")
 
     groups = rows.groupBy("key", "chunk").agg(F.min(F.struct("id", "s", "rk")).alias("first"))
     firsts = groups.groupBy("key").agg(F.count("*").alias("texts"), F.min("first").alias("first"))
     # lists that grow with the corpus are merged, not broadcast
-    plain = rows.select("rk", "s", "key").join(firsts.where("texts = 1").select("key", "first").hint("merge"), "key")
+    plain = rows.select("rk", "s", "e", "key").join(firsts.where("texts = 1").select("key", "first").hint("merge"), "key")
     mixed = rows.join(firsts.where("texts > 1").select("key").hint("merge"), "key", "left_semi").join(groups, ["key", "chunk"])
-    gone = plain.select("rk", "s", "first").union(mixed.select("rk", "s", "first")).where((F.col("first.rk") != F.col("rk")) | (F.col("first.s") != F.col("s")))
-    removed = materialize(gone.groupBy("rk").agg(F.collect_set("s").alias("__gone")).withColumnRenamed("rk", "__rk"), "lines-removed")
+    gone = plain.select("rk", "s", "e", "first").union(mixed.select("rk", "s", "e", "first")).where((F.col("first.rk") != F.col("rk")) | (F.col("first.s") != F.col("s")))
+    removed = materialize(gone.groupBy("rk").agg(F.collect_set(F.struct("s", "e")).alias("__gone")).withColumnRenamed("rk", "__rk"), "lines-removed")
 
     whole = docs.withColumn("__rk", row_key(F.col(id_col), F.col(text_col))).join(removed.hint("merge"), "__rk", "left")
-    cut = with_chunks(whole, F.when(F.col("__gone").isNotNull(), F.col(text_col)))
-    kept = F.filter("__chunks", lambda c: ~F.array_contains("__gone", c["s"]))
-    cut = cut.withColumn("__kept", kept).withColumn("__removed", F.size("__lines") - F.aggregate("__kept", F.lit(0), lambda a, c: a + c["e"] - c["s"]))
-    lines = F.flatten(F.transform("__kept", lambda c: F.slice("__lines", c["s"] + 1, c["e"] - c["s"])))
+    cut = whole.withColumn("__lines", F.split(F.when(F.col("__gone").isNotNull(), F.col(text_col)), "\n", -1))
+    gone_lines = F.flatten(F.transform("__gone", lambda c: F.sequence(c["s"], c["e"] - 1)))
+    cut = cut.withColumn("__kept", F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), gone_lines))
+    cut = cut.withColumn("__removed", F.size("__lines") - F.size("__kept"))
+    lines = F.transform("__kept", lambda i: F.get("__lines", i))
     n_lines = F.coalesce(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1, F.lit(0))
     out = {**{c: F.col(c) for c in docs.columns}, "n_lines": n_lines.cast("long"), "n_removed_lines": F.coalesce("__removed", F.lit(0)).cast("long"),
            text_col: F.when(F.col("__gone").isNotNull(), F.array_join(lines, "\n")).otherwise(F.col(text_col))}

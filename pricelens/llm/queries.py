@@ -49,6 +49,33 @@ FROM documents t LEFT JOIN d ON t.doc_id = d.doc_id GROUP BY t.doc_id
 """
 
 
+@query
+def op1_line_dedup_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op1_line_dedup, with the chunks of four seeds, which also end after four equal lines."""
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), seeds=4, equal=4)
+    return out.select("doc_id", "n_lines", "n_removed_lines", F.col("text").alias("kept_text"))
+
+
+LLM_ORACLE["op1_line_dedup_seeds"] = rf"""
+WITH l AS (SELECT doc_id, i, line, md5(line) AS m FROM (
+             SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
+f AS (SELECT *, coalesce(line <> lag(line) OVER (PARTITION BY doc_id ORDER BY i), true) AS begins FROM l),
+g AS (SELECT *, sum(begins::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM f),
+q AS (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY i) % 4 = 0 AS fourth FROM g),
+h AS (SELECT doc_id, i, line, fourth, k, ('0x' || substr(m, 7 * k::INT + 1, 7))::BIGINT AS h FROM q, range(4) t(k)),
+r AS (SELECT *, (h + coalesce(lag(h) OVER w, 0) * {lines.ROLL}) % {lines.PRIME} AS r FROM h WINDOW w AS (PARTITION BY doc_id, k ORDER BY i)),
+b AS (SELECT *, fourth OR coalesce(r < lag(r) OVER w AND r <= lead(r) OVER w, false) AS ends FROM r WINDOW w AS (PARTITION BY doc_id, k ORDER BY i)),
+n AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id, k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM b),
+ch AS (SELECT DISTINCT doc_id, s, e, chunk FROM (SELECT doc_id, min(i) AS s, max(i) AS e, string_agg(line, chr(10) ORDER BY i) AS chunk FROM n GROUP BY doc_id, k, c)),
+d AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, s) > 1 AS later FROM ch WHERE e > s AND regexp_matches(chunk, '[^\x20\x09-\x0D]')),
+x AS (SELECT DISTINCT doc_id, unnest(generate_series(s, e)) AS i FROM d WHERE later),
+o AS (SELECT l.doc_id, l.i, l.line, x.i IS NOT NULL AS gone FROM l LEFT JOIN x ON l.doc_id = x.doc_id AND l.i = x.i)
+SELECT t.doc_id, count(o.i)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_removed_lines,
+       CASE WHEN any_value(t.text) IS NOT NULL THEN coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') END AS kept_text
+FROM documents t LEFT JOIN o ON t.doc_id = o.doc_id GROUP BY t.doc_id
+"""
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -66,6 +66,29 @@ def test_lines_first_occurrence_stays_wherever_it_is_shifted(spark):
         assert own <= set(got[i]["text"].split("\n"))
 
 
+def test_lines_runs_and_short_passages(spark):
+    """One line 90 and 100 times, and passages of three lines between others: with one seed the run stays whole."""
+    rnd = random.Random(8)
+    line = lambda: f"line {rnd.random()}"
+    passages = [[line() for _ in range(3)] for _ in range(40)]
+    docs = [(1, "\n".join(["same"] * 90)), (2, "\n".join(["same"] * 100))]
+    docs += [(d, "\n".join(x for p in passages for x in [line(), line(), *p, line()])) for d in (3, 4)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    one = {r["doc_id"]: r for r in lines.dedup_lines(frame).collect()}
+    got = {r["doc_id"]: r for r in lines.dedup_lines(frame, seeds=4, equal=4).collect()}
+    assert one[2]["n_removed_lines"] == 0 and got[2]["n_removed_lines"] >= 96
+    assert got[3]["n_removed_lines"] == 0 and got[4]["n_removed_lines"] > 1.5 * one[4]["n_removed_lines"] > 0
+    own = set(docs[3][1].split("\n")) - {x for p in passages for x in p}
+    assert own <= set(got[4]["text"].split("\n"))
+    assert {x for _, t in docs for x in t.split("\n")} == {x for r in got.values() if r["text"] for x in r["text"].split("\n")}
+
+
+def test_lines_seeds_odd_rows(odd, empty):
+    got = {(r["doc_id"], r["text"]): r for r in lines.dedup_lines(odd, seeds=4, equal=4).collect()}
+    assert {k for k in got if k[0] not in (5, 6)} == {t for t in TEXTS if t[0] not in (5, 6)}
+    assert lines.dedup_lines(empty, seeds=4, equal=4).count() == 0
+
+
 # ---------------------------------------------------------------- language
 
 
