@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import materialize, text_bytes
+from pricelens.llm.common import materialize, row_key, text_bytes
 from pricelens.llm.components import connected_components
 
 BITS = 64
@@ -113,11 +113,15 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2, hot
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id. All columns and names stay.
+    """``docs`` with one row of each group: the one with the smallest id, then row key. All columns and names stay.
 
-    An id names a document: rows that repeat an id stay or go together. Rows with a null id stay.
+    Null ids come last. Rows of the same id and text are one document, of which one row stays; rows that only repeat an
+    id are judged each by its own text.
     """
-    groups = simhash_components(docs, shingle, max_bits, id_col=id_col, text_col=text_col)
-    ids = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept_id")).distinct()
-    kept = docs.join(ids, docs[id_col].cast("long") == ids["__kept_id"], "left_semi")
-    return kept.union(docs.where(docs[id_col].isNull()))
+    key = row_key(F.col(id_col), F.col(text_col))
+    # row keys stand in for ids, so each document has a name of its own
+    groups = simhash_components(docs.select(key.alias("rk"), F.col(text_col).alias("text")), shingle, max_bits, id_col="rk")
+    named = docs.select(key.alias("rk"), F.col(id_col).cast("long").alias("id")).distinct().join(groups.distinct().withColumnRenamed("doc_id", "rk").hint("merge"), "rk")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "rk")).alias("first"))
+    kept = docs.withColumn("__rk", key).join(first.select(F.col("first.rk").alias("__rk")).hint("merge"), "__rk", "left_semi")
+    return kept.dropDuplicates(["__rk"]).select(*docs.columns)

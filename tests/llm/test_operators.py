@@ -118,6 +118,14 @@ def test_simhash_odd_rows(odd, empty):
     assert {r["doc_id"] for r in kept.collect()} == {None, 1, 4, 5, 6, 7, 8, 9, 12}
 
 
+def test_keep_one_decides_by_row(spark):
+    """Repeated and null ids: of each group one row stays, the copies of a kept row and of a null id go."""
+    a, b, c = (" ".join(WORDS[i:i + 60]) for i in (0, 100, 200))
+    rows = [(7, a), (7, a), (3, a), (7, b), (9, b), (None, b), (None, c), (None, c), (None, None), (None, None), (4, None)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(3, a), (7, b), (None, c), (4, None)], key=str)
+
+
 @pytest.mark.parametrize("bits,hot", [(1, 64), (2, 64), (2, 2), (3, 64)])
 def test_simhash_links_of_close_fingerprints(spark, bits, hot):
     """Chains and dense groups of fingerprints, with few and with many in a bucket, against all pairs."""
