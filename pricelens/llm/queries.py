@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import decontaminate, language, lines, packing, quality, repetition, simhash, substring, toxicity, urls
+from pricelens.llm import audit, decontaminate, language, lines, packing, quality, repetition, search, simhash, substring, tokenfile, toxicity, urls
 from pricelens.llm.common import held_out
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,55 @@ m AS (SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(word_chars, 0)::BIG
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR bad) AS kept FROM m
 """
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+LLM_ORACLE["op11_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT part, quality = 1 AS good, toxic = 1 AS tox,
+             CASE WHEN len(w) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN min(d.doc_id) OVER (PARTITION BY t) < d.doc_id THEN 'E' ELSE '' END AS fails
+      FROM d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+cells AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (tox) AS tox FROM f GROUP BY part, fails),
+one AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+perm AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM one a, one b, one c, one d, one e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT o, step, substr(o, step::INT, 1) AS f, substr(o, 1, step::INT - 1) AS before FROM perm, range(1, 6) t(step)),
+x AS (SELECT part, o, step, f, n, good, tox, contains(fails, f) AS bad, translate(fails, before, '') <> fails AS gone, fails = f AS alone FROM cells, steps),
+g AS (SELECT part, o, step, f, coalesce(sum(n) FILTER (NOT bad AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (bad AND NOT gone), 0) AS removed,
+             coalesce(sum(n) FILTER (bad AND gone), 0) AS redundant, coalesce(sum(n) FILTER (alone), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (bad AND NOT gone), 0) AS good_lost, coalesce(sum(tox) FILTER (bad AND NOT gone), 0) AS toxic_lost FROM x GROUP BY part, o, step, f)
+SELECT part, o AS filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM g
+"""
+
+
+@query
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files, dictionary = tokenfile.write_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=2)
+    out = tokenfile.read_tokens(files, dictionary)
+    return out.select("doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+LLM_ORACLE["op13_ranked_search"] = r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+len AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM len),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, corpus GROUP BY term),
+norm AS (SELECT doc_id, 100 - 25 + (25 * n * docs) // total AS m FROM len, corpus),
+item AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+need AS (SELECT item_id, term, count(*) AS times FROM item GROUP BY item_id, term),
+s AS (SELECT item_id, tf.doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM need JOIN w ON w.term = need.term JOIN tf ON tf.term = need.term JOIN norm ON norm.doc_id = tf.doc_id GROUP BY item_id, tf.doc_id)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 20
+"""

@@ -6,12 +6,28 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import pieces
 
 
+def few(rows: DataFrame, n: int, by: list[str], seed: int = 11) -> DataFrame:
+    """The ``n`` rows that come first by a hash of the columns ``by``.
+
+    A first pass counts the rows; a threshold on the hash then lets through about as many as are wanted, so what is
+    sorted does not grow with the rows or tasks. Should fewer than ``n`` pass, which is most unlikely, there are so many fewer.
+    """
+    h = F.xxhash64(F.lit(seed), *by)
+    return rows.where(h.cast("double") < share_limit(F.lit(n), F.lit(max(1, rows.count())))).orderBy(h, *by).limit(n)
+
+
+def share_limit(wanted: Column, total: Column) -> Column:
+    """Upper bound of a 64-bit hash (as a double) below which ``wanted`` of ``total`` rows, and some to spare, are expected."""
+    enough = wanted + 8 * F.sqrt(wanted) + 40
+    return enough / total * float(1 << 64) - float(1 << 63)
+
+
 def sample_ids(rows: DataFrame, per_class: int, seed: int) -> DataFrame:
     """Of ``rows(doc_id, y)`` the ``per_class`` rows of every y that come first by a hash of the id.
 
