@@ -34,6 +34,11 @@ def row_key(id_col: Column, text: Column) -> Column:
     return F.xxhash64(id_col, text)
 
 
+def wide_key(id_col: Column, text: Column) -> Column:
+    """128-bit key of a document row, as two longs."""
+    return F.struct(F.xxhash64(id_col, text).alias("a"), F.xxhash64(F.lit(1), text, id_col).alias("b"))
+
+
 def text_bytes(col: str | Column) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("binary")
 

@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm import bloom
-from pricelens.llm.common import materialize, row_key
+from pricelens.llm.common import materialize, wide_key
 
 ROLL = 1_000_003  # multiplier of the rolling hash
 PRIME = 2_147_483_647
+LONGEST = 8  # lines of a short chunk
 BLANK = r"[^\x20\x09-\x0D]"  # a character that is not blank
 
 
@@ -53,60 +54,102 @@ def with_chunks(docs: DataFrame, text: Column, seeds: int = 1, equal: int | None
     return d.drop("__m", "__a", "__h", "__r", "__n", "__s", *[f"__c{k}" for k in range(seeds)])
 
 
-def chunk_rows(src: DataFrame, seeds: int = 1, equal: int | None = None) -> DataFrame:
-    """``(rk, id, s, e, key, chunk)``: the chunks of two lines or more that are not blank, with their first line, the line after them and hash."""
-    d = with_chunks(src, F.col("text"), seeds, equal)
-    long = F.filter("__chunks", lambda c: c["e"] - c["s"] >= 2)
-    # texts are made before the explode: above it the lines would be split anew for every chunk
-    texts = F.transform(long, lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), F.array_join(F.slice("__lines", c["s"] + 1, c["e"] - c["s"]), "\n").alias("chunk")))
-    rows = d.select("rk", "id", F.explode(texts).alias("c")).select("rk", "id", "c.s", "c.e", F.xxhash64("c.chunk").alias("key"), "c.chunk")
-    return rows.where(F.col("chunk").rlike(BLANK))
+def with_short_chunks(docs: DataFrame, text: Column, open_in: int = 8, longest: int = LONGEST) -> DataFrame:
+    """Adds ``__lines`` and ``__chunks`` (as ``with_chunks``): a chunk begins at every line but the last, so chunks overlap.
+
+    It ends after the next line whose rolling hash - of that line and the one before, both in the chunk - says so, as those of all but
+    one in ``open_in`` lines do; after ``longest`` lines at the latest, and with the text. A chunk depends on its own lines alone:
+    wherever a passage of two lines or more stands, and whatever is around it, its chunks are the same.
+    """
+    d = docs.withColumn("__lines", F.split(text, "\n", -1))
+    d = d.withColumn("__h", F.transform("__lines", lambda x: F.conv(F.substring(F.md5(x), 1, 7), 16, 10).cast("long")))
+    d = d.withColumn("__b", F.zip_with("__h", _previous("__h", 0), lambda x, before: (x + before * ROLL) % PRIME % open_in != 0))
+    starts = F.when(F.size("__lines") > 1, F.sequence(F.lit(0), F.size("__lines") - 2)).otherwise(F.array().cast("array<int>"))
+
+    def end(i: Column) -> Column:
+        out = F.least(i + longest, F.size("__lines"))
+        for k in range(longest - 1, 0, -1):
+            out = F.when(F.get("__b", i + k) | (i + k + 1 == F.size("__lines")), i + k + 1).otherwise(out)
+        return out
+
+    return d.withColumn("__chunks", F.transform(starts, lambda i: F.struct(i.alias("s"), end(i).cast("int").alias("e")))).drop("__h", "__b")
+
+
+def with_keys(docs: DataFrame, text: Column, seeds: int, equal: int | None) -> DataFrame:
+    """Adds ``__lines`` and ``__chunks``: arrays of (s, e, key) of the chunks of two lines or more; the key hashes the lines."""
+    d = with_chunks(docs, text, seeds, equal) if seeds else with_short_chunks(docs, text)
+    long = F.filter("__chunks", lambda c: c["e"] - c["s"] >= 2) if seeds else F.col("__chunks")
+    return d.withColumn("__chunks", F.transform(long, lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), F.xxhash64(_run(c, None if seeds else LONGEST)).alias("key"))))
 
 
 def dedup_lines(docs: DataFrame, bits_per_key: int = 12, hashes: int = 4, max_bits: int = 1 << 28, id_col: str = "doc_id", text_col: str = "text",
-                seeds: int = 1, equal: int | None = None) -> DataFrame:
+                seeds: int = 0, equal: int | None = None) -> DataFrame:
     """``docs`` with every chunk of lines that occurred before taken out of its text.
 
-    Texts are cut into content-defined chunks (``with_chunks``). Of the chunks of two lines or more that occur more than
+    Texts are cut into content-defined chunks: overlapping short ones that begin at every line (``with_short_chunks``), or, with
+    ``seeds``, those of ``with_chunks``. Of the chunks of two lines or more that occur more than
     once in the corpus with the same bytes, the first occurrence - smallest id, then place - stays and the others are
-    removed with their line ends. With more ``seeds`` or ``equal`` lines (``with_chunks``) there are more chunks, which may
-    overlap: a line goes if any of its chunks goes, and an equal line of an earlier place stays. Adds ``n_lines`` and ``n_removed_lines``, replacing columns of those names.
+    removed with their line ends. A line goes if any of its chunks goes, and an equal line of an earlier place stays. Adds
+    ``n_lines`` and ``n_removed_lines``, replacing columns of those names.
 
     1. Chunks are counted by a 64-bit hash; the hashes that occur more than once go into a Bloom filter.
-    2. A second pass writes the chunks that the filter lets through, and they are grouped by their bytes. The group's
-       smallest place is the one that stays. A hash that stands for one text, as nearly all do, then tells the places to
-       remove without moving texts again; places of a hash shared by different texts are joined by the text itself.
-    3. The removals of a document, gathered, are joined to it.
-
-    All counts and minima are partial aggregates; what is gathered is bounded by the lines of one document. The filter has
-    ``bits_per_key`` bits for each repeated hash, up to ``max_bits`` (32 MB), beyond which more single chunks are written in
-    step 2 and the result is the same. Null texts stay null with 0 lines; a text without repeated chunks is returned as
-    it is. Rows of the same id and text are one document: they are treated alike, and do not make each other's chunks
-    repeated. A null id comes before all others.
+    2. The chunks that the filter lets through are grouped by hash and bytes, a partial aggregate; each group's smallest place stays. A
+       chunk that the filter let through by mistake is a group of its own and its own first.
+    3. The places that stay, gathered by document, are joined to the texts that have a chunk in the filter; what else
+       the filter has goes. Texts without such a chunk are passed on without a shuffle. Places do not meet by hash.
+
+    What is gathered is bounded by the lines of one document. The filter has ``bits_per_key`` bits for each repeated hash, up to
+    ``max_bits`` (32 MB), beyond which more single chunks pass to step 2 and the result is the same. Null texts stay null with 0
+    lines, and empty texts have one line; a text without repeated chunks is returned as it is. Very long texts are one row, their chunks many. Rows of the
+    same id and text are one document (by a 128-bit key): they are treated alike, and do not make each other's chunks
+    repeated. A null id comes before all others. An empty table gives an empty table.
     """
-    src = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("rk"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    place = F.xxhash64("rk", "s")  # of a document's key and a line: as sure as that key
-    counted = chunk_rows(src, seeds, equal).groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+    rk, longest = wide_key(F.col(id_col), F.col(text_col)), None if seeds else LONGEST
+    src = with_keys(docs.select(rk.alias("rk"), F.col(id_col).alias("id"), F.col(text_col).alias("text")), F.col("text"), seeds, equal)
+    # exploding a new array: from a plain column the optimizer infers a filter and writes all steps into it, for every line
+    keys = src.select(F.explode(F.transform("__chunks", lambda c: F.struct(c["key"].alias("key"), F.xxhash64("rk", c["s"], c["e"]).alias("place")))).alias("c")).select("c.*")
+    counted = keys.groupBy("key").agg(F.min("place").alias("a"), F.max("place").alias("b"))
     often = materialize(counted.where("a <> b").select("key"), "lines-often")
     size = -(-min(max_bits, max(1, often.count()) * bits_per_key) // bloom.BLOCK) * bloom.BLOCK
-    passed = chunk_rows(src, seeds, equal).where(bloom.has(bloom.one_row(often, size, hashes), F.col("key"), size, hashes))
-    rows = materialize(passed, "lines-passed")
-
-    groups = rows.groupBy("key", "chunk").agg(F.min(F.struct("id", "s", "rk")).alias("first"))
-    firsts = groups.groupBy("key").agg(F.count("*").alias("texts"), F.min("first").alias("first"))
-    # lists that grow with the corpus are merged, not broadcast
-    plain = rows.select("rk", "s", "e", "key").join(firsts.where("texts = 1").select("key", "first").hint("merge"), "key")
-    mixed = rows.join(firsts.where("texts > 1").select("key").hint("merge"), "key", "left_semi").join(groups, ["key", "chunk"])
-    gone = plain.select("rk", "s", "e", "first").union(mixed.select("rk", "s", "e", "first")).where((F.col("first.rk") != F.col("rk")) | (F.col("first.s") != F.col("s")))
-    removed = materialize(gone.groupBy("rk").agg(F.collect_set(F.struct("s", "e")).alias("__gone")).withColumnRenamed("rk", "__rk"), "lines-removed")
-
-    whole = docs.withColumn("__rk", row_key(F.col(id_col), F.col(text_col))).join(removed.hint("merge"), "__rk", "left")
-    cut = whole.withColumn("__lines", F.split(F.when(F.col("__gone").isNotNull(), F.col(text_col)), "\n", -1))
-    gone_lines = F.flatten(F.transform("__gone", lambda c: F.sequence(c["s"], c["e"] - 1)))
-    cut = cut.withColumn("__kept", F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), gone_lines))
-    cut = cut.withColumn("__removed", F.size("__lines") - F.size("__kept"))
-    lines = F.transform("__kept", lambda i: F.get("__lines", i))
-    n_lines = F.coalesce(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1, F.lit(0))
-    out = {**{c: F.col(c) for c in docs.columns}, "n_lines": n_lines.cast("long"), "n_removed_lines": F.coalesce("__removed", F.lit(0)).cast("long"),
-           text_col: F.when(F.col("__gone").isNotNull(), F.array_join(lines, "\n")).otherwise(F.col(text_col))}
-    return cut.select(*[v.alias(k) for k, v in out.items()])
+    bits = bloom.one_row(often, size, hashes)
+
+    def passing(d: DataFrame) -> DataFrame:
+        """The chunks that the filter lets through and that are not blank."""
+        d = d.withColumn("__bits", bits).withColumn("__chunks", F.filter("__chunks", lambda c: bloom.has(F.col("__bits"), c["key"], size, hashes))).drop("__bits")
+        return d.withColumn("__chunks", F.filter("__chunks", lambda c: F.exists(_run(c, longest), lambda x: x.rlike(BLANK))))
+
+    # texts are made before the explode: above it the lines would be split anew for every chunk
+    texts = F.transform("__chunks", lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), c["key"].alias("key"), F.array_join(_run(c, longest), "\n").alias("chunk")))
+    rows = passing(src).select("rk", "id", F.explode(texts).alias("c")).select("rk", "id", "c.*")
+    firsts = rows.groupBy("key", "chunk").agg(F.min(F.struct("id", "s", "rk", "e")).alias("first")).select("first.*")
+    stays = materialize(firsts.groupBy(F.col("rk").alias("__rk")).agg(F.collect_list(_code(F.col("s"), F.col("e"))).alias("__stays")), "lines-stay")
+
+    # the row number keeps the optimizer from moving the filters below, with all steps written into them
+    d = passing(with_keys(docs.withColumn("__rk", rk), F.col(text_col), seeds, equal)).withColumn("__n", F.monotonically_increasing_id())
+    has_some = (F.size("__chunks") > 0) & (F.col("__n") >= 0)
+    codes = F.transform("__chunks", lambda c: _code(c["s"], c["e"]))
+    cut = d.where(has_some).join(stays.hint("merge"), "__rk", "left")
+    gone = F.array_except(codes, F.coalesce("__stays", F.array().cast("array<bigint>")))
+    cut = cut.withColumn("__gone", F.flatten(F.transform(gone, lambda c: F.sequence(F.shiftright(c, 32).cast("int"), c.bitwiseAND(F.lit((1 << 32) - 1)).cast("int") - 1))))
+    cut = cut.withColumn("__kept", F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__gone")).withColumn("__removed", F.size("__lines") - F.size("__kept"))
+    kept = F.when(F.col("__removed") > 0, F.array_join(F.transform("__kept", lambda i: F.get("__lines", i)), "\n")).otherwise(F.col(text_col))
+    as_is = docs.where(F.col(text_col).isNull()).select(*_result(docs, text_col, F.col(text_col), F.lit(0), F.lit(0)))
+    whole = d.where(~has_some & F.col(text_col).isNotNull()).select(*_result(docs, text_col, F.col(text_col), F.size("__lines"), F.lit(0)))
+    return cut.select(*_result(docs, text_col, kept, F.size("__lines"), F.col("__removed"))).union(whole).union(as_is)
+
+
+def _run(c: Column, longest: int | None) -> Column:
+    """A chunk's lines, taken one by one where chunks are short: a slice goes through the whole array, so all of them take the square of its size."""
+    if longest is None:  # named twice, so that the optimizer does not write the split of the text into the lambda
+        return F.slice("__lines", c["s"] + 1, F.least(c["e"] - c["s"], F.size("__lines")))
+    return F.filter(F.array(*[F.when(c["s"] + k < c["e"], F.get("__lines", c["s"] + k)) for k in range(longest)]), lambda x: x.isNotNull())
+
+
+def _code(s: Column, e: Column) -> Column:
+    """A chunk's lines as one long."""
+    return F.shiftleft(s.cast("long"), 32) + e
+
+
+def _result(docs: DataFrame, text_col: str, text: Column, n_lines: Column, removed: Column) -> list[Column]:
+    out = {**{c: F.col(c) for c in docs.columns}, "n_lines": n_lines.cast("long"), "n_removed_lines": removed.cast("long"), text_col: text}
+    return [v.alias(k) for k, v in out.items()]

@@ -38,14 +38,16 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_ORACLE["op1_line_dedup"] = rf"""
 WITH l AS (SELECT doc_id, i, line, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM (
              SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
-r AS (SELECT *, (h + coalesce(lag(h) OVER w, 0) * {lines.ROLL}) % {lines.PRIME} AS r FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-b AS (SELECT *, coalesce(r < lag(r) OVER w AND r <= lead(r) OVER w, false) AS ends FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-n AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM b),
-ch AS (SELECT doc_id, c, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS k FROM n GROUP BY doc_id, c),
-d AS (SELECT *, k >= 2 AND regexp_matches(chunk, '[^\x20\x09-\x0D]') AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, c) > 1 AS gone FROM ch)
-SELECT t.doc_id, coalesce(sum(k), 0)::BIGINT AS n_lines, coalesce(sum(k) FILTER (gone), 0)::BIGINT AS n_removed_lines,
-       CASE WHEN any_value(t.text) IS NOT NULL THEN coalesce(string_agg(chunk, chr(10) ORDER BY c) FILTER (NOT gone), '') END AS kept_text
-FROM documents t LEFT JOIN d ON t.doc_id = d.doc_id GROUP BY t.doc_id
+r AS (SELECT *, (h + coalesce(lag(h) OVER w, 0) * {lines.ROLL}) % {lines.PRIME} % 8 <> 0 OR lead(i) OVER w IS NULL AS ends FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+b AS (SELECT *, coalesce(min(CASE WHEN ends THEN i END) OVER w, i + 7) AS e, max(i) OVER (PARTITION BY doc_id) AS n FROM r
+      WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND 7 FOLLOWING)),
+ch AS (SELECT b.doc_id, b.i AS s, b.e, string_agg(l.line, chr(10) ORDER BY l.i) AS chunk FROM b JOIN l ON l.doc_id = b.doc_id AND l.i BETWEEN b.i AND b.e WHERE b.i < n GROUP BY b.doc_id, b.i, b.e),
+d AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, s) > 1 AS later FROM ch WHERE regexp_matches(chunk, '[^\x20\x09-\x0D]')),
+x AS (SELECT DISTINCT doc_id, unnest(generate_series(s, e)) AS i FROM d WHERE later),
+o AS (SELECT l.doc_id, l.i, l.line, x.i IS NOT NULL AS gone FROM l LEFT JOIN x ON l.doc_id = x.doc_id AND l.i = x.i)
+SELECT t.doc_id, count(o.i)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_removed_lines,
+       CASE WHEN any_value(t.text) IS NOT NULL THEN coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') END AS kept_text
+FROM documents t LEFT JOIN o ON t.doc_id = o.doc_id GROUP BY t.doc_id
 """
 
 
