@@ -3,7 +3,8 @@ confidence level (UDF-03).
 
 Only the string similarity needs Python: ``difflib.SequenceMatcher`` (not
 symmetric - argument order is baseline, other).  It runs as an Arrow-batched
-pandas UDF over the *distinct* string pairs, joined back; UPC, brand and
+pandas UDF over the *distinct* string pairs, joined back, and for pack texts only where
+native bounds of the similarity leave more than one band (``ratio_bounds``); UPC, brand and
 structured-pack points are native column expressions.
 """
 
@@ -43,12 +44,51 @@ def name_points(a: pd.Series, b: pd.Series) -> pd.Series:
                       if x is not None and y is not None else None for x, y in zip(a, b)], dtype="Int32")
 
 
+def _trim(c: str) -> Column:
+    return F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"^\s+|\s+$", "")
+
+
 def _norm(c: str) -> Column:
-    return F.lower(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"^\s+|\s+$", ""))
+    return F.lower(_trim(c))
+
+
+def ratio_bounds(a: Column, b: Column) -> tuple[Column, Column]:
+    """Least and greatest similarity that two texts can have, from native counts.
+
+    The first matching block is as long as the common beginning or end at least, and no more characters can
+    match than the texts have in common, counted with repeats.  Both are written as ``difflib`` writes its ratio,
+    so they compare with its figures without a rounding gap; equal texts have 1.  From 200 characters on
+    ``difflib`` leaves out common characters, so that nothing is certain to match.
+    """
+    total = F.length(a) + F.length(b)
+
+    def common(x: Column, y: Column) -> Column:
+        n = F.least(F.length(x), F.length(y))
+        same = F.filter(F.sequence(F.lit(0), n), lambda i: F.left(x, i) == F.left(y, i))
+        return F.array_max(same)
+
+    shared = F.aggregate(F.array_distinct(F.split(a, "")), F.lit(0), lambda n, c: n + F.least(
+        F.length(a) - F.length(F.replace(a, c, F.lit(""))), F.length(b) - F.length(F.replace(b, c, F.lit("")))))
+    low = F.when(F.length(b) < 200, F.greatest(common(a, b), common(F.reverse(a), F.reverse(b)))).otherwise(0)
+    none = total == 0
+    return (F.when(none, 1.0).otherwise(2.0 * low / total), F.when(none, 1.0).otherwise(2.0 * shared / total))
+
+
+def pack_band(ratio: Column) -> Column:
+    """Points for the similarity of two pack texts."""
+    return F.when(ratio > 0.8, PACK_STR_HIGH).when(ratio > 0.5, PACK_STR_MID).otherwise(PACK_STR_LOW)
+
+
+def pack_points(a: Column, b: Column) -> tuple[Column, Column]:
+    """Points of a pair of pack texts, and whether the bounds left two bands, so that ``difflib`` had to decide."""
+    low, high = (pack_band(x) for x in ratio_bounds(a, b))
+    open_ = low != high
+    ratio = seq_ratio(F.when(open_, a), F.when(open_, b))  # texts that are decided are not sent
+    return F.when(open_, pack_band(ratio)).otherwise(low), open_
 
 
 def with_pair_metric(df: DataFrame, a: str, b: str, out: str, udf) -> DataFrame:
-    """Evaluate a pair UDF once per distinct (a, b) and join the result back.
+    """Evaluate a pair UDF (or a function of the pair's columns) once per distinct (a, b) and join the result back.
 
     Rows without one of the texts have no metric; they match nothing and are dealt by a
     salt of their other columns, so that they do not meet in one task.
@@ -77,7 +117,7 @@ def match_confidence(pairs: DataFrame, a: str = "a_", b: str = "b_") -> DataFram
     upc_points, brand_points, pack_points, name_points, score, level, label.
     """
     df = pairs
-    ua, ub = _norm(f"{a}upc"), _norm(f"{b}upc")
+    ua, ub = _trim(f"{a}upc"), _trim(f"{b}upc")
     df = df.withColumn("upc_points", F.when((F.length(ua) > 0) & (F.length(ub) > 0) & (ua == ub),
                                             UPC_POINTS).otherwise(0))
     ba, bb = _norm(f"{a}brand"), _norm(f"{b}brand")
@@ -98,10 +138,9 @@ def match_confidence(pairs: DataFrame, a: str = "a_", b: str = "b_") -> DataFram
     df = df.withColumn("_pa", _norm(f"{a}pack_size_raw")).withColumn("_pb", _norm(f"{b}pack_size_raw"))
     need_sim = ~structured & (F.length("_pa") > 0) & (F.length("_pb") > 0)
     df = df.withColumn("_psa", F.when(need_sim, F.col("_pa"))).withColumn("_psb", F.when(need_sim, F.col("_pb")))
-    df = with_pair_metric(df, "_psa", "_psb", "_psim", seq_ratio)
+    df = with_pair_metric(df, "_psa", "_psb", "_ppts", lambda x, y: pack_points(x, y)[0])
     df = df.withColumn("pack_points", F.when(structured, struct_pts)
-                       .when(need_sim, F.when(F.col("_psim") > 0.8, PACK_STR_HIGH)
-                             .when(F.col("_psim") > 0.5, PACK_STR_MID).otherwise(PACK_STR_LOW))
+                       .when(need_sim, F.col("_ppts"))
                        .when((F.length("_pa") > 0) | (F.length("_pb") > 0), PACK_ONE_SIDE).otherwise(0))
     na, nb = _norm(f"{a}product_name"), _norm(f"{b}product_name")
     both = (F.length(na) > 0) & (F.length(nb) > 0)
@@ -113,7 +152,7 @@ def match_confidence(pairs: DataFrame, a: str = "a_", b: str = "b_") -> DataFram
     df = df.withColumn("score", F.least(total, F.lit(100)))
     level, label = confidence_level(total)
     return (df.withColumn("level", level).withColumn("label", label)
-              .drop("_pa", "_pb", "_psa", "_psb", "_psim", "_na", "_nb", "_npts"))
+              .drop("_pa", "_pb", "_psa", "_psb", "_ppts", "_na", "_nb", "_npts"))
 
 
 def deal_confidence(products: DataFrame, vendors: DataFrame, baseline_slug: str, k: int = 10,

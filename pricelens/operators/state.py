@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pricelens.functions.numeric import count_if, dbl, pround
 from pricelens.plans.shapes import (combine_scalars, global_rank, lag_by_key, last_per_group, top_k_per_group,
                                      with_scalars)
+from pricelens.sinks.append import append_by_date
 
 KEY = ["vendor_id", "sku"]
 OBS_ORDER = ["captured_at", "run_seq", "run_line", "case_price"]
@@ -185,6 +186,11 @@ def upload_audit(catalog: DataFrame, upload: DataFrame, filename: str, at: str)
         (F.col("_before") + F.col("rows_added")).alias("total_after"))
 
 
+def log_upload(audit: DataFrame, root: str) -> None:
+    """SET-03: append audit rows to the upload log, by date; the same file at the same time is logged once."""
+    append_by_date(audit, root, "timestamp", F.sha2(F.concat_ws("|", "filename", "timestamp"), 256))
+
+
 # ── runs (AGG-13) ────────────────────────────────────────────────────────
 def run_stats(obs: DataFrame, run_key=("run_id", "vendor_id"), key=KEY, order=OBS_ORDER,
               status_override: Column | None = None) -> DataFrame:

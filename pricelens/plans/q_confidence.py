@@ -30,6 +30,42 @@ def q_match_confidence(spark, sf):
                     "level")
 
 
+_PAIRS = """p AS (SELECT a.product_id, a.vendor_id, a.sku, a.upc, a.brand, a.product_id % 4 AS n, a.product_id % 3 AS size,
+  CASE a.product_id % 5 WHEN 0 THEN '' WHEN 1 THEN ' OZ' WHEN 2 THEN 'oz' ELSE 'lb' END AS measure FROM products a),
+x AS (SELECT o.product_id, b.n AS bn, b.size AS bs, lower(trim(b.measure)) AS bm, o.n, o.size, lower(trim(o.measure)) AS m,
+  trim(coalesce(b.upc, '')) AS bu, trim(coalesce(o.upc, '')) AS u, lower(trim(coalesce(b.brand, ''))) AS bb, lower(trim(coalesce(o.brand, ''))) AS br
+  FROM p o JOIN p b ON o.sku = b.sku AND b.vendor_id = (SELECT min(vendor_id) FROM p c WHERE c.sku = b.sku))"""
+
+
+@query("udf_native_points", f"""WITH {_PAIRS}
+SELECT product_id, CASE WHEN u <> '' AND u = bu THEN 40 ELSE 0 END AS upc_points,
+  CASE WHEN bb = '' OR br = '' THEN 0 WHEN bb = br THEN 15 WHEN contains(br, bb) OR contains(bb, br) THEN 10 ELSE 0 END AS brand_points,
+  CASE WHEN bn = 0 OR n = 0 OR bs = 0 OR size = 0 OR bm = '' OR m = '' THEN 0 WHEN bn = n AND bs = size AND bm = m THEN 25
+       WHEN bn = n THEN 15 WHEN bm = m THEN 10 ELSE 5 END AS pack_points FROM x""")
+def q_native_points(spark, sf):
+    """UPC, brand and structured-pack points of every offer against the item's offer of the first vendor."""
+    p = V(spark, sf)["products"]
+    measure = F.when(F.col("product_id") % 5 == 0, "").when(F.col("product_id") % 5 == 1, " OZ").when(F.col("product_id") % 5 == 2, "oz").otherwise("lb")
+    p = p.select("product_id", "vendor_id", "sku", "upc", "brand", (F.col("product_id") % 4).alias("pack_count"),
+                 (F.col("product_id") % 3).alias("unit_size"), measure.alias("unit_measure"))
+    cols = ["upc", "brand", "pack_count", "unit_size", "unit_measure"]
+    base = p.groupBy("sku").agg(F.min_by(F.struct(*cols), "vendor_id").alias("a")).select("sku", *[F.col(f"a.{c}").alias(f"a_{c}") for c in cols])
+    pairs = p.join(base, "sku").select("product_id", *[f"a_{c}" for c in cols], *[F.col(c).alias(f"b_{c}") for c in cols],
+                                       *[F.lit("").alias(f"{s}_{c}") for s in "ab" for c in ("pack_size_raw", "product_name")])
+    return CF.match_confidence(pairs).select("product_id", "upc_points", "brand_points", "pack_points")
+
+
+@query("udf_pack_points")
+def q_pack_points(spark, sf):
+    """Pack-text points of the distinct pairs of ``udf_seq_ratio``: how many pairs get each, and for how many the bounds had to be verified."""
+    p = V(spark, sf)["products"]
+    base = p.filter(F.col("vendor_id") == 0).select("sku", F.col("pack_size_raw").alias("a"))
+    pairs = p.select("sku", F.col("pack_size_raw").alias("b")).join(base, "sku").select("a", "b").where("a is not null and b is not null").distinct()
+    points, verified = CF.pack_points(F.col("a"), F.col("b"))
+    return pairs.select(points.alias("points"), verified.alias("verified")).groupBy("points").agg(
+        F.count(F.lit(1)).alias("pairs"), F.sum(F.col("verified").cast("int")).alias("verified"))
+
+
 @query("udf_seq_ratio")
 def q_seq_ratio(spark, sf):
     """Pack-string similarity between every offer and the same item's baseline-vendor offer."""

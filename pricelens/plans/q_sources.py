@@ -174,6 +174,17 @@ def q_lookup_terms(spark, sf):
     return L.lookup_terms(v["products"], v["vendors"], BASELINE, None).withColumn("unit_price", dbl("unit_price"))
 
 
+@query("joi_lookup_sample", f"""
+SELECT name_key, product_name, product_id, sku, brand, category, CAST(unit_price AS DOUBLE) AS unit_price, vendor_id
+FROM (SELECT *, row_number() OVER (PARTITION BY name_key ORDER BY product_name, product_id) AS rn
+      FROM (SELECT *, lower(regexp_replace(product_name, '^\\s+|\\s+$', '', 'g')) AS name_key FROM products
+            WHERE vendor_id NOT IN (SELECT vendor_id FROM vendors WHERE slug = '{BASELINE}')) a
+      WHERE length(name_key) > 5) b WHERE rn = 1 ORDER BY md5('42|' || name_key), name_key LIMIT 100""")
+def q_lookup_sample(spark, sf):
+    v = V(spark, sf)
+    return L.lookup_terms(v["products"], v["vendors"], BASELINE, 100).withColumn("unit_price", dbl("unit_price"))
+
+
 @query("joi_build_queries", """
 SELECT product_id, product_name, brand,
   substr(regexp_replace(regexp_replace(CASE WHEN coalesce(brand, '') <> '' AND strpos(lower(q), lower(brand)) = 0

@@ -3,11 +3,16 @@ run statistics, market pulse, quota."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pricelens.functions.numeric import dbl
 from pricelens.operators import state as S
 from pricelens.plans.registry import R, V, query
+from pricelens.session import shared_path
+from pricelens.sinks.append import append_by_date, read_by_date
+from pricelens.streaming.jobs import current_snapshot, upsert_batch
 
 CUTOFF = "1997-01-01"  # upsert split point: current = loads before, batch = loads after
 SNAP_COLS_SQL = ("vendor_id, sku, CAST(unit_price AS DOUBLE) AS unit_price, CAST(last_price AS DOUBLE) AS last_price, "
@@ -43,6 +48,18 @@ def q_upsert(spark, sf):
     return _snap_cols(new)
 
 
+@query("ups_upsert_buckets", f"SELECT {SNAP_COLS_SQL} FROM products")
+def q_upsert_buckets(spark, sf):
+    """The snapshot kept in hash buckets: the loads before the cutoff, the batch after it, and the batch once more."""
+    obs = V(spark, sf)["observations"].drop("run_id")
+    after = F.col("captured_at") >= F.lit(CUTOFF).cast("timestamp_ntz")
+    root = shared_path(spark, f"snapshot-{uuid.uuid4().hex}")
+    for batch_id, batch in enumerate((obs.filter(~after), obs.filter(after))):
+        upsert_batch(spark, batch, batch_id, root)
+    upsert_batch(spark, obs.filter(after), 1, root)
+    return _snap_cols(current_snapshot(spark, root))
+
+
 @query("ups_upsert_outcomes", f"""
 WITH o AS (SELECT *, row_number() OVER w AS seq, lag(unit_price) OVER w AS prev FROM observations
            WINDOW w AS (PARTITION BY vendor_id, sku ORDER BY captured_at, run_seq, run_line, case_price))
@@ -70,6 +87,21 @@ def q_history_rows(spark, sf):
     return h.withColumn("unit_price", dbl("unit_price")).withColumn("case_price", dbl("case_price"))
 
 
+@query("ups_history_append", """
+SELECT product_id, run_id, CAST(unit_price AS DOUBLE) AS unit_price, CAST(case_price AS DOUBLE) AS case_price, in_stock, captured_at,
+       CAST(date_trunc('month', captured_at) AS DATE) AS day, CASE WHEN captured_at < TIMESTAMP '1997-01-01' THEN 'first' ELSE 'second' END AS load
+FROM product_history""")
+def q_history_append(spark, sf):
+    """The history as a table by month: two loads appended, the second one twice."""
+    obs = V(spark, sf)["observations"].withColumn("product_id", F.col("vendor_id") * 1000000 + F.col("sku").cast("bigint"))
+    after = F.col("captured_at") >= F.lit(CUTOFF).cast("timestamp_ntz")
+    root = shared_path(spark, f"history-{uuid.uuid4().hex}")
+    for load, batch in (("first", obs.filter(~after)), ("second", obs.filter(after)), ("second", obs.filter(after))):
+        h = S.history_rows(batch, "run_id").drop("bulk_price")
+        append_by_date(h.withColumn("unit_price", dbl("unit_price")).withColumn("case_price", dbl("case_price")), root, "captured_at", load, unit="month")
+    return read_by_date(spark, root)
+
+
 @query("ups_detect_changes", """
 SELECT o.vendor_id, o.sku, o.run_seq, o.run_line, CAST(o.unit_price AS DOUBLE) AS unit_price,
        CAST(p.unit_price AS DOUBLE) AS old_price,
@@ -180,6 +212,21 @@ def q_upload_audit(spark, sf):
     return S.upload_audit(c, align_upload(_upload(spark, sf), c.schema), "small.csv", "2026-12-01")
 
 
+@query("set_upload_log", """
+SELECT c.category || '.csv' AS filename, '2026-12-0' || d AS timestamp, count(*) AS rows_added,
+       (SELECT count(*) FROM catalog) + count(*) AS total_after, DATE '2026-12-01' + CAST(d - 1 AS INTEGER) AS day
+FROM catalog c, range(1, 3) t(d) WHERE c.category IN ('SMALL', 'LARGE') GROUP BY c.category, d""")
+def q_upload_log(spark, sf):
+    """Audit rows of four uploads appended to the log table, one of them twice."""
+    from pricelens.sources.records import align_upload
+    c = V(spark, sf)["catalog"].select(*UPLOAD_COLS)
+    root = shared_path(spark, f"uploads-{uuid.uuid4().hex}")
+    for name, at in [("SMALL", 1), ("LARGE", 1), ("SMALL", 2), ("LARGE", 2), ("LARGE", 2)]:
+        up = align_upload(V(spark, sf)["catalog"].filter(F.col("category") == name).select("product", "category"), c.schema)
+        S.log_upload(S.upload_audit(c, up, f"{name}.csv", f"2026-12-0{at}"), root)
+    return read_by_date(spark, root).select("filename", "timestamp", "rows_added", "total_after", "day")
+
+
 @query("str_quota_batch", """
 SELECT event_id, event_type AS action, user_id, CAST(ts AS DATE) AS day, ts, rn <= 2 AS allowed,
        CAST(least(rn, 2) AS INTEGER) AS count_today

@@ -77,8 +77,26 @@ SELECT event_id, event_type AS action, user_id, CAST(ts AS DATE) AS day, ts, rn
 FROM (SELECT *, row_number() OVER (PARTITION BY event_type, user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn FROM events) t""")
 def q_stream_quota(spark, sf):
     ev = raw_table(spark, sf, "events")
+    root = _run_dir(spark, "quota")
     s = spark.readStream.schema(ev.schema).parquet(_table_glob(sf, "events"))
+    J.stream_quota(spark, s, os.path.join(root, "quota"), os.path.join(root, "_checkpoint"), 2).awaitTermination()
+    return J.quota_rows(spark, os.path.join(root, "quota")).drop("late")
+
+
+@query("str_stream_quota_late", """
+WITH m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events WHERE event_id % 20 <> 0),
+e AS (SELECT event_id, event_type AS action, user_id, CAST(ts AS DATE) AS day, ts, event_id % 20 = 0 AS second,
+             event_id % 20 = 0 AND CAST(ts AS DATE) + INTERVAL 1 DAY <= mark AS late FROM events, m),
+r AS (SELECT *, row_number() OVER (PARTITION BY action, user_id, day, late ORDER BY second, ts, event_id) AS rn FROM e)
+SELECT event_id, action, user_id, day, ts, NOT late AND rn <= 2 AS allowed,
+       CASE WHEN NOT late THEN CAST(least(rn, 2) AS INTEGER) END AS count_today, late FROM r""")
+def q_stream_quota_late(spark, sf):
+    """Two runs of one stream: every twentieth request arrives after all others, late if its day is over by then."""
+    ev = raw_table(spark, sf, "events")
     root = _run_dir(spark, "quota")
-    out = J.run_to_table(spark, J.stream_quota(s, 2), os.path.join(root, "out"), os.path.join(root, "_checkpoint"))
-    return out.select("event_id", "action", "user_id", "day", F.col("ts").cast("timestamp_ntz").alias("ts"),
-                      "allowed", "count_today")
+    for second in (False, True):
+        part = ev.filter((F.col("event_id") % 20 == 0) == F.lit(second))
+        part.write.parquet(os.path.join(root, "in", f"part={int(second)}"))
+        s = spark.readStream.schema(ev.schema).parquet(os.path.join(root, "in", "part=*"))
+        J.stream_quota(spark, s, os.path.join(root, "quota"), os.path.join(root, "_checkpoint"), 2).awaitTermination()
+    return J.quota_rows(spark, os.path.join(root, "quota"))

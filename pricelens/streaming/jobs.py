@@ -1,10 +1,10 @@
 """Structured Streaming forms of the stateful paths.
 
-STR-01 stream_upsert  - micro-batches of observations folded into a versioned
-                        snapshot with ``foreachBatch`` + the batch upsert (UPS-01);
+STR-01 stream_upsert  - micro-batches of observations folded into the touched hash buckets
+                        of the snapshot with ``foreachBatch`` + the batch upsert (UPS-01);
                         change events appended for the pulse feed.
-STR-02 stream_quota   - per (action, user, day) running request count in keyed
-                        state (``applyInPandasWithState``), expired by event time.
+STR-02 stream_quota   - per (action, user, day) request counts in hash buckets, folded
+                        per micro-batch by native ranks, expired by event time.
 STR-03 stream_pulse   - price-change events deduplicated within a watermark
                         (``dropDuplicatesWithinWatermark``) and shaped as feed items.
 
@@ -15,68 +15,54 @@ job resumes where it stopped; a replayed micro-batch rewrites the same version.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelens.functions.numeric import dbl, pround
 from pricelens.operators.state import KEY, OBS_ORDER, has_sku, snapshot, upsert
-from pricelens.plans.shapes import lag_by_key
+from pricelens.plans.shapes import lag_by_key, top_k_per_group
+from pricelens.sinks.buckets import BucketTable
 
 # ── STR-01 ───────────────────────────────────────────────────────────────
 EVENT_SCHEMA = ("vendor_id bigint, sku string, captured_at timestamp_ntz, run_seq bigint, run_line int, "
                 "old_price decimal(12,4), new_price decimal(12,4), batch_id bigint")
 
 
-LOG_SCHEMA = "version long, source string, batch_id long, path string"
-
-
-def _log(spark: SparkSession, root: str) -> DataFrame | None:
-    """The committed versions; None before the first.  Any other failure to read is an error:
-    taking it for an empty log would start the state anew."""
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(os.path.join(root, "_log"))
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+BUCKETS = 16  # of a state table; about its size / 128 MB on a cluster
 
 
 def upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str,
-                 key=KEY, order=OBS_ORDER, source: str = "") -> None:
-    """One micro-batch: fold into the latest committed snapshot, write the next version,
-    append change events, then record the version in the log.
+                 key=KEY, order=OBS_ORDER, source: str = "", buckets: int = BUCKETS) -> None:
+    """One micro-batch: fold into the buckets of the snapshot that its keys are in, write those
+    aside, append change events, then commit.
 
     ``source`` names the stream's checkpoint.  A batch that the log has already is not
     folded again; a batch of a new checkpoint gets a version after all others.
     """
-    log = _log(spark, root)
-    done = [] if log is None else log.orderBy(F.col("version").desc()).limit(1).collect()
-    if log is not None and not log.filter((F.col("source") == source) & (F.col("batch_id") == batch_id)).isEmpty():
-        return
     batch = batch.persist()
-    current = spark.read.parquet(done[0]["path"]) if done else snapshot(batch.limit(0), key, order)
-    version = done[0]["version"] + 1 if done else 0
-    new, _ = upsert(current, batch, key, order)
-    out = os.path.join(root, f"v={version:012d}")
-    new.write.mode("overwrite").parquet(out)
-    # change events of this batch (price moved vs the previous observation of the key)
-    cur = current.select(*key, F.col("unit_price").alias("_cur"))
-    x = (lag_by_key(batch.filter(has_sku()), key, order, ["unit_price"]).join(cur, key, "left")
-         .withColumn("old_price", F.when(F.col("has_prev"), F.col("prev_unit_price")).otherwise(F.col("_cur")))
-         .filter(F.col("unit_price").isNotNull() & F.col("old_price").isNotNull()
-                 & (F.col("unit_price") != F.col("old_price")))
-         .select(*key, "captured_at", "run_seq", "run_line", "old_price", F.col("unit_price").alias("new_price"))
-         .withColumn("batch_id", F.lit(batch_id)))
-    x.write.mode("overwrite").parquet(os.path.join(root, "_events", f"part-{version:012d}"))
-    spark.createDataFrame([(version, source, batch_id, out)], LOG_SCHEMA).coalesce(1).write.mode("append") \
-        .parquet(os.path.join(root, "_log"))
-    batch.unpersist()
+    try:
+        table = BucketTable(spark, root, key, buckets)
+        change = table.begin(batch.filter(has_sku()), snapshot(batch.limit(0), key, order).schema, source, batch_id)
+        if change is None:
+            return
+        change.write(upsert(change.current, batch, key, order)[0])
+        # change events of this batch (price moved vs the previous observation of the key)
+        cur = change.current.select(*key, F.col("unit_price").alias("_cur"))
+        x = (lag_by_key(batch.filter(has_sku()), key, order, ["unit_price"]).join(cur, key, "left")
+             .withColumn("old_price", F.when(F.col("has_prev"), F.col("prev_unit_price")).otherwise(F.col("_cur")))
+             .filter(F.col("unit_price").isNotNull() & F.col("old_price").isNotNull()
+                     & (F.col("unit_price") != F.col("old_price")))
+             .select(*key, "captured_at", "run_seq", "run_line", "old_price", F.col("unit_price").alias("new_price"))
+             .withColumn("batch_id", F.lit(batch_id)))
+        x.write.mode("overwrite").parquet(os.path.join(root, "_events", f"part-{change.version:012d}"))
+        change.commit()
+    finally:
+        batch.unpersist()
 
 
 def stream_upsert(spark: SparkSession, observations: DataFrame, root: str, checkpoint: str,
@@ -88,67 +74,69 @@ def stream_upsert(spark: SparkSession, observations: DataFrame, root: str, check
     return w.start()
 
 
-def current_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    log = _log(spark, root)
-    done = [] if log is None else log.orderBy(F.col("version").desc()).limit(1).collect()
-    if not done:
-        raise ValueError(f"no snapshot committed under {root}")
-    return spark.read.parquet(done[0]["path"])
+def current_snapshot(spark: SparkSession, root: str, key=KEY, buckets: int = BUCKETS) -> DataFrame:
+    return BucketTable(spark, root, key, buckets).current()
 
 
 # ── STR-02 ───────────────────────────────────────────────────────────────
-QUOTA_OUT = T.StructType([
-    T.StructField("event_id", T.LongType()), T.StructField("action", T.StringType()),
-    T.StructField("user_id", T.LongType()), T.StructField("day", T.DateType()),
-    T.StructField("ts", T.TimestampNTZType()), T.StructField("allowed", T.BooleanType()),
-    T.StructField("count_today", T.IntegerType()), T.StructField("late", T.BooleanType())])
-QUOTA_STATE = T.StructType([T.StructField("count", T.IntegerType())])
-
-
-def _quota_fn(max_per_day: int):
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
+QUOTA_KEY = ["action", "user_id", "day"]
+QUOTA_STATE = "action string, user_id long, day date, n int"
+QUOTA_OUT = ("event_id long, action string, user_id long, day date, ts timestamp_ntz, allowed boolean, "
+             "count_today int, late boolean, version long")
+
+
+def quota_batch(spark: SparkSession, events: DataFrame, batch_id: int, root: str, max_per_day: int = 5, action: str = "event_type",
+                user: str = "user_id", ts: str = "ts", delay: dt.timedelta = dt.timedelta(hours=1), source: str = "", buckets: int = BUCKETS) -> None:
+    """One micro-batch of requests against the day's counts of its (action, user, day) keys.
+
+    Requests are ranked natively in (ts, id) order; only the first ``max_per_day`` of a key can
+    be allowed, so only those (a map-side limited rank) are joined to the key's count so far, and a hot
+    user is never gathered in one task.  The newest time of the batches before, less ``delay``,
+    is the watermark: a request of a day that ended before it is late - denied, marked, without a
+    count - and counts of such days are dropped from the buckets that are rewritten.
+    """
+    e = events.select("event_id", F.col(action).alias("action"), F.col(user).cast("long").alias("user_id"), F.to_date(F.col(ts)).alias("day"),
+                      F.col(ts).cast("timestamp_ntz").alias("ts")).persist()
+    try:
+        table = BucketTable(spark, root, QUOTA_KEY, buckets)
+        change = table.begin(e, T.StructType.fromDDL(QUOTA_STATE), source, batch_id, time="ts")
+        if change is None:
             return
-        count = state.get[0] if state.exists else 0
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="mergesort")
-        # the day's state is dropped once the watermark passes the end of that day
-        day_end = int((pd.Timestamp(key[2]) + pd.Timedelta(days=1)).tz_localize("UTC").timestamp() * 1000)
-        late = day_end <= state.getCurrentWatermarkMs()
-        allowed, counts = [], []
-        for _ in range(0 if late else len(batch)):
-            if count < max_per_day:
-                count += 1
-                allowed.append(True)
-            else:
-                allowed.append(False)
-            counts.append(count)
-        if late:  # the day's count is gone: denied, and told apart from a spent quota
-            allowed, counts = [False] * len(batch), [None] * len(batch)
-        else:
-            state.update((count,))
-            state.setTimeoutTimestamp(day_end)
-        yield pd.DataFrame({"event_id": batch["event_id"].astype("int64"), "action": key[0],
-                            "user_id": key[1], "day": key[2], "ts": batch["ts"], "allowed": allowed,
-                            "count_today": pd.Series(counts, dtype="Int32"), "late": late})
-    return fn
-
-
-def stream_quota(events: DataFrame, max_per_day: int = 5, action: str = "event_type", user: str = "user_id",
-                 ts: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """Streaming daily quota: keyed by (action, user, day), the running count lives in
-    state; a day's key expires when the event-time watermark passes its end.  Requests of a
-    day that is over come out denied with ``late`` set and no count, or - once the watermark
-    has passed them - are dropped by Spark and counted (``late_rows``).
-
-    A key's requests of one micro-batch are handled together (ordered by time), so
-    the per-call buffer is bounded by the trigger size - read the source with
-    ``maxRecordsPerTrigger`` / ``maxFilesPerTrigger`` set."""
-    e = (events.withColumn("_wts", F.col(ts).cast("timestamp")).withWatermark("_wts", delay)
-         .select("event_id", F.col(action).alias("action"), F.col(user).alias("user_id"),
-                 F.to_date(F.col(ts)).alias("day"), F.col(ts).cast("timestamp_ntz").alias("ts"), "_wts"))
-    return e.groupBy("action", "user_id", "day").applyInPandasWithState(
-        _quota_fn(max_per_day), QUOTA_OUT, QUOTA_STATE, "append", "EventTimeTimeout")
+
+        def over(mark: dt.datetime | None) -> Column:
+            return F.lit(False) if mark is None else F.date_add("day", 1).cast("timestamp_ntz") <= F.lit(mark - delay)
+
+        e = e.withColumn("late", F.coalesce(over(change.before.mark), F.lit(False)))
+        first = top_k_per_group(e.filter(~F.col("late")), QUOTA_KEY, ["ts", "event_id"], max_per_day, "rn")
+        so_far = change.current.select(*[F.col(c).alias(f"_{c}") for c in QUOTA_KEY], "n")
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in QUOTA_KEY]
+        first = (first.join(so_far, same[0] & same[1] & same[2], "left").withColumn("count", (F.coalesce("n", F.lit(0)) + F.col("rn")).cast("int"))
+                 .filter(F.col("count") <= max_per_day).select("event_id", *QUOTA_KEY, "count"))
+        allowed = first.select("event_id", F.col("count").alias("_count"))
+        rows = e.join(allowed, "event_id", "left").select(
+            "event_id", *QUOTA_KEY, "ts", F.col("_count").isNotNull().alias("allowed"),
+            F.when(~F.col("late"), F.coalesce("_count", F.lit(max_per_day))).alias("count_today"), "late")
+        rows.write.mode("overwrite").parquet(os.path.join(root, "_out", f"version={change.version}"))
+        counts = change.current.unionByName(first.select(*QUOTA_KEY, F.col("count").alias("n")))
+        change.write(counts.groupBy(*QUOTA_KEY).agg(F.max("n").alias("n")).filter(~F.coalesce(over(change.mark), F.lit(False))))
+        change.commit()
+    finally:
+        e.unpersist()
+
+
+def stream_quota(spark: SparkSession, events: DataFrame, root: str, checkpoint: str, max_per_day: int = 5, available_now: bool = True, **columns):
+    """Streaming daily quota: counts by (action, user, day) in hash buckets, folded per micro-batch
+    (``quota_batch``); returns the StreamingQuery.  ``quota_rows`` reads the answers."""
+    w = (events.writeStream.foreachBatch(lambda df, bid: quota_batch(df.sparkSession, df, bid, root, max_per_day, source=checkpoint, **columns))
+         .option("checkpointLocation", checkpoint))
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
+
+
+def quota_rows(spark: SparkSession, root: str, buckets: int = BUCKETS) -> DataFrame:
+    """Every request of the committed batches: allowed or not, the day's count after it, late or not."""
+    version = BucketTable(spark, root, QUOTA_KEY, buckets).head().version
+    rows = spark.read.schema(QUOTA_OUT).parquet(os.path.join(root, "_out"))
+    return rows.filter(F.col("version") <= version).drop("version")
 
 
 # ── STR-03 ───────────────────────────────────────────────────────────────

@@ -327,3 +327,31 @@ def test_scalar_attach_is_not_a_cross_join(spark):
     out.write.format("noop").mode("overwrite").save()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_ratio_bounds_hold_and_pack_points_are_difflibs(spark):
+    import difflib
+    import random
+
+    from pricelens.operators import confidence as CF
+    rnd = random.Random(2)
+    texts = ["", "6/5 lb", "12 ct", "6/5 LB CASE", "4x1 gal", *("".join(rnd.choice("ab1/ x") for _ in range(rnd.randint(0, 12))) for _ in range(60)), "ab " * 80, "ab " * 79 + "b"]
+    pairs = [(a, b) for a in texts for b in rnd.sample(texts, 12)] + [(t, t) for t in texts]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    low, high = CF.ratio_bounds(F.col("a"), F.col("b"))
+    points, verified = CF.pack_points(F.col("a"), F.col("b"))
+    seen = 0
+    for r in df.select("a", "b", low.alias("low"), high.alias("high"), points.alias("p"), verified.alias("v")).collect():
+        ratio = difflib.SequenceMatcher(None, r["a"], r["b"]).ratio()
+        assert r["low"] <= ratio <= r["high"]
+        assert r["p"] == (20 if ratio > 0.8 else 12 if ratio > 0.5 else 5)
+        seen += r["v"]
+    assert 0 < seen < 0.6 * len(pairs)
+
+
+def test_upc_is_trimmed_only(spark):
+    from pricelens.operators import confidence as CF
+    cols = ["upc", "brand", "pack_size_raw", "product_name"]
+    df = spark.createDataFrame([(" ab1", "", "", "", "ab1 ", "", "", ""), ("ab1", "", "", "", "AB1", "", "", "")],
+                               ", ".join(f"{s}_{c} string" for s in "ab" for c in cols))
+    assert sorted(r["upc_points"] for r in CF.match_confidence(df).collect()) == [0, 40]
