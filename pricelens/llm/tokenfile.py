@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 import struct
 import sys
 import uuid
@@ -37,12 +38,13 @@ from pricelens.session import shared_path
 MAGIC = b"TOKIDS01"
 HEADER = struct.Struct("<8s32sI")
 FOOTER = struct.Struct("<QQQ8s")
-CACHE_PIECES = 400_000  # pieces, and pre-tokens, a Python worker remembers
+CACHE_PIECES = 600_000  # pieces and pre-tokens a Python worker remembers; a string that is both has the same ids as either
 LATIN_END = chr(0x250)
 #: A run of blanks with the word after it: the tokenizer file never merges across its left end.
 PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: Pre-tokens and byte alphabet of the tokenizer file, fixed values.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+MARKS = string.punctuation
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: Blanks outside PIECE, before which a boundary is not certain.
 OTHER_BLANKS = re.compile("[" + "".join(map(chr, (0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
@@ -65,7 +67,6 @@ class Encoder:
         rest = iter(range(256, 512))
         self.letters = {b: chr(b if b in PRINTABLE else next(rest)) for b in range(256)}
         self.known: dict[str, bytes] = {}
-        self.pretokens: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
@@ -77,30 +78,35 @@ class Encoder:
         if OTHER_BLANKS.search(text) or any(a in text for a in self.added):
             return self._whole(text)
         words, known = PIECE.findall(text), self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
         if len(known) > CACHE_PIECES:
             known.clear()
-        for w in set(words).difference(known):
-            known[w] = self._piece(w)
-        return b"".join(map(known.__getitem__, words))
+        out = list(map(known.get, words))
+        for i, ids in enumerate(out):
+            if ids is None:
+                out[i] = known.get(words[i]) or self._piece(words[i])
+        return b"".join(out)
 
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii() and max(piece) >= LATIN_END:
-            return self._whole(piece)
-        if piece[0] == " " and piece[1:].isalpha():
-            return self.pretokens.get(piece) or self._pretoken(piece)
-        return b"".join([self.pretokens.get(p) or self._pretoken(p) for p in PRETOKEN.findall(piece)])
+            out = self.known[piece] = self._whole(piece)
+            return out
+        word = piece.rstrip(MARKS)
+        if word[:1] == " " and word[1:].isalpha():
+            tail = piece[len(word):]
+            if not tail:
+                return self._pretoken(piece)
+            parts = [word, tail]
+        else:
+            parts = PRETOKEN.findall(piece)
+        out = b"".join([self.known.get(p) or self._pretoken(p) for p in parts])
+        self.known[piece] = out
+        return out
 
     def _pretoken(self, p: str) -> bytes:
-        if len(self.pretokens) > CACHE_PIECES:
-            self.pretokens.clear()
         got = array(self.code, [t.id for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.letters))])
         if sys.byteorder == "big":
             got.byteswap()
-        out = self.pretokens[p] = got.tobytes()
+        out = self.known[p] = got.tobytes()
         return out
 
     def _whole(self, text: str) -> bytes:
