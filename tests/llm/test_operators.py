@@ -129,11 +129,23 @@ def test_language_odd_rows(spark, odd, empty):
         assert (name == "und") == (not any(c.isalpha() for c in TEXTS[i][1] or "")) and 0 <= score <= 1
     assert language.train(empty) is None and language.predict(empty, None).count() == 0
     assert {r["lang_pred"] for r in language.predict(odd, None).collect()} == {"und"}
-    kept = language.keep_known(odd, model)
+    kept = language.keep_known(odd, model, least=0.0)
     assert kept.columns == odd.columns and kept.count() == sum(any(c.isalpha() for c in t or "") for _, t in TEXTS)
     assert language.keep_known(empty, model).count() == 0
 
 
+def test_language_stage_is_the_models_decision(spark):
+    """Other scripts and strings that are no words go, though they have letters; clean rows that the model has not seen stay."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text", "lang")
+    learn = docs.where("doc_id % 4 <> 2")
+    strange = [(-1, "\u044d\u0442\u043e \u0440\u0443\u0441\u0441\u043a\u0438\u0439 \u0442\u0435\u043a\u0441\u0442", None), (-2, "\u65e5\u672c\u8a9e\u306e\u30c6\u30ad\u30b9\u30c8", None), (-3, "qzx wvk jjq xx zzq", None), (-4, "12 !!", None), (-5, None, None), (-6, "", None)]
+    held = docs.where("doc_id % 4 = 2").union(spark.createDataFrame(strange, docs.schema))
+    model = language.train(learn)
+    kept = {r["doc_id"] for r in language.keep_known(held, model).collect()}
+    assert not kept & {-1, -2, -3, -4, -5, -6}
+    assert kept == {r["doc_id"] for r in held.where("doc_id >= 0 and text rlike '[A-Za-z]'").collect()}
+
+
 # ---------------------------------------------------------------- SimHash
 
 

@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
-from pricelens.llm import decontaminate
+from pricelens.llm import decontaminate, language
 from pricelens.llm.queries import LLM_ORACLE, LLM_QUERIES, tokenizer
 from pricelens.llm.simhash import fingerprint
 from tests.conftest import SF_MID, SF_SMALL, canon_rows
@@ -123,7 +123,14 @@ def test_toxicity_query_columns(spark):
 
 def test_pipeline_is_its_stages_in_plain_python(spark, con):
     docs = con.sql("SELECT * FROM documents").df()
-    docs = docs[[any(c.isalpha() for c in t or "") for t in docs.text]]
+    model = language.train(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    marks = [set(np.flatnonzero(x).tolist()) for x in model.landmarks]
+
+    def near(text: str) -> float:
+        own = set(np.flatnonzero(language.presence(text)).tolist())
+        return max(len(own & m) / (len(own) * len(m)) ** 0.5 for m in marks)
+
+    docs = docs[[any(c.isalpha() for c in t or "") and near(t) >= language.LEAST_KERNEL for t in docs.text]]
     con.register("kept_docs", docs)
     cut = con.sql(LLM_ORACLE["op1_line_dedup"].replace("documents", "kept_docs")).df()
     texts = dict(zip(cut.doc_id.tolist(), cut.kept_text))
