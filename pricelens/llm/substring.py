@@ -131,20 +131,18 @@ def dedup_substrings(docs: DataFrame, window: int = 35, gram: int = 28, max_bits
                 at = candidates(h, window, gram, bits, seen)
                 if len(at):
                     out.append((window_hash(h[:, 0], window)[at].view(np.int64), (mix(window_hash(h[:, 1], window))[at] >> np.uint64(33)).astype(np.int32),
-                                np.full(len(at), rk, dtype=np.int64), at))
+                                np.full(len(at), rk, dtype=np.int64)))
                     size += len(at)
                 if size >= 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["h1", "h2", "rk", "at"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["h1", "h2", "rk"])
                     out, size = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["h1", "h2", "rk", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["h1", "h2", "rk"])
 
-    # count and place in one long: the high half counts, and where it counts one the low half is the place
-    one = 1 << 32
-    found = src.select("rk", "text").mapInArrow(windows, "h1 long, h2 int, rk long, at long")
-    groups = found.groupBy("h1", "h2").agg(F.min("rk").alias("rk"), F.sum(F.col("at") % one + one).alias("c"))
-    single = groups.where(F.col("c") < 2 * one).select("rk", (F.col("c") - one).cast("int").alias("at"))
-    over = materialize(single.groupBy("rk").agg(F.collect_list("at").alias("over")), "substring-over")
+    found = src.select("rk", "text").mapInArrow(windows, "h1 long, h2 int, rk long")
+    groups = found.groupBy("h1", "h2").agg(F.min("rk").alias("rk"), F.count("*").alias("n"))
+    # a single window is named by its hash, not its place: documents that share a row key get one list, and each finds its own windows in it
+    over = materialize(groups.where("n = 1").groupBy("rk").agg(F.collect_list("h1").alias("over")), "substring-over")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.frombuffer(sketch.value, dtype=np.uint8)
@@ -154,7 +152,7 @@ def dedup_substrings(docs: DataFrame, window: int = 35, gram: int = 28, max_bits
                 words, h = word_matrix(t.as_py())
                 at = candidates(h, window, gram, bits, seen)
                 if off.is_valid:
-                    at = np.setdiff1d(at, np.array(off.as_py(), dtype=np.int64))
+                    at = at[~np.isin(window_hash(h[:, 0], window)[at].view(np.int64), off.values.to_numpy())]
                 gone = covered(at, window, len(words))
                 kept = [w for w, g in zip(words, gone.tolist()) if not g] if len(at) else words
                 n_words.append(len(words))
