@@ -30,7 +30,7 @@ def partitions(spark: SparkSession) -> int:
 
 
 def row_key(id_col: Column, text: Column) -> Column:
-    """64-bit key of a document row: rows with the same id and the same text are one document."""
+    """64-bit key of a document row, for uses that bear two documents with one key."""
     return F.xxhash64(id_col, text)
 
 

@@ -36,13 +36,13 @@ def _distinct(e: DataFrame) -> DataFrame:
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    out = both.join(low, "a").where(F.col("b") > F.col("a"))
+    out = both.join(low.hint("merge"), "a").where(F.col("b") > F.col("a"))
     return _distinct(out.select(F.col("b").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b")))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     low = e.groupBy("a").agg(F.min("b").alias("m"))
-    out = e.join(low, "a")
+    out = e.join(low.hint("merge"), "a")
     moved = out.select(F.col("b").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b"))
     return _distinct(moved.union(low.select("a", F.col("m").alias("b"))))
 

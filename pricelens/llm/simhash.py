@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import materialize, row_key, text_bytes
+from pricelens.llm.common import materialize, partitions, text_bytes, wide_key
 from pricelens.llm.components import connected_components
 
 BITS = 64
@@ -34,7 +34,7 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", id_type: str = "long") -> DataFrame:
     """``(doc_id, fp)``, one row per row of ``docs``; null and blank texts have fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,8 +42,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    src = docs.select(F.col(id_col).cast(id_type).alias("doc_id"), text_bytes(text_col).alias("text"))
+    return src.mapInArrow(run, f"doc_id {id_type}, fp long")
 
 
 def segment_bounds(max_bits: int) -> list[tuple[int, int]]:
@@ -94,34 +94,48 @@ def links(fps: DataFrame, max_bits: int = 2, hot: int = 64) -> DataFrame:
     return two.union(mid).union(star).distinct()
 
 
+def roots(rows: DataFrame, max_bits: int = 2, hot: int = 64) -> DataFrame:
+    """``(fp, root)`` for every distinct fingerprint of ``rows(fp)``: the root names its component.
+
+    Joins here are merged, as every side grows with the corpus.
+    """
+    n = partitions(rows.sparkSession)
+    # dealt over all tasks, since each fingerprint becomes one row a bit next
+    reps = materialize(rows.select("fp").distinct().repartition(n, "fp"), "simhash-reps")
+    found = connected_components(links(reps, max_bits, hot)).hint("merge")
+    return reps.join(found, reps["fp"] == found["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2, hot: int = 64,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """SimHash near-duplicate groups: ``(doc_id, fp, component_id)``, one row per row of ``docs``.
 
     Exact copies meet in one fingerprint first (a partial aggregate), so only distinct fingerprints are indexed and
     linked. ``component_id`` is the smallest doc_id reachable over links of ``max_bits`` or fewer differing bits.
-    Null, empty and blank texts have fingerprint 0 and link like any other. Rows that repeat a doc_id are kept; a
-    null doc_id is never a component's name while another is there. An empty table gives no rows. Other columns are
-    not looked at.
+    Null, empty and blank texts have fingerprint 0 and link like any other; very long texts are hashed whole, a block of
+    shingles at a time. Rows that repeat a doc_id are kept; a null doc_id is never a component's name while another is
+    there. An empty table gives no rows. Other columns are not looked at.
     """
     rows = materialize(fingerprints(docs, shingle, id_col, text_col), "simhash-rows")
-    reps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-reps")
-    found = connected_components(links(reps.select("fp"), max_bits, hot))
-    rooted = reps.join(found, reps["fp"] == found["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    low = rows.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    rooted = materialize(low.join(roots(rows, max_bits, hot).hint("merge"), "fp"), "simhash-roots")
     names = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rows.join(rooted.select("fp", "root").join(names, "root"), "fp").select("doc_id", "fp", "component_id")
+    named = rooted.select("fp", "root").join(names.hint("merge"), "root")
+    return rows.join(named.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group: the one with the smallest id, then row key. All columns and names stay.
 
     Null ids come last. Rows of the same id and text are one document, of which one row stays; rows that only repeat an
-    id are judged each by its own text.
+    id are judged each by its own text. Rows are named by 128-bit keys of id and text. An empty table stays empty.
     """
-    key = row_key(F.col(id_col), F.col(text_col))
-    # row keys stand in for ids, so each document has a name of its own
-    groups = simhash_components(docs.select(key.alias("rk"), F.col(text_col).alias("text")), shingle, max_bits, id_col="rk")
-    named = docs.select(key.alias("rk"), F.col(id_col).cast("long").alias("id")).distinct().join(groups.distinct().withColumnRenamed("doc_id", "rk").hint("merge"), "rk")
-    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "rk")).alias("first"))
-    kept = docs.withColumn("__rk", key).join(first.select(F.col("first.rk").alias("__rk")).hint("merge"), "__rk", "left_semi")
-    return kept.dropDuplicates(["__rk"]).select(*docs.columns)
+    key = wide_key(F.col(id_col), F.col(text_col))
+    ids = F.struct(F.col(id_col).cast("long").alias("id"), key["a"].alias("a"), key["b"].alias("b"))
+    rows = materialize(fingerprints(docs.select(ids.alias("row"), text_col), shingle, "row", text_col, "struct<id: long, a: long, b: long>"), "simhash-rows")
+    first = F.min(F.struct(F.col("doc_id.id").isNull().alias("last"), "doc_id.id", "doc_id.a", "doc_id.b")).alias("first")
+    low = rows.groupBy("fp").agg(first)  # one row a fingerprint before the join, so copies do not meet in it
+    best = low.join(roots(rows, max_bits).hint("merge"), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    stay = best.select(F.col("first.a").alias("__a"), F.col("first.b").alias("__b")).hint("merge")
+    kept = docs.withColumn("__a", key["a"]).withColumn("__b", key["b"]).join(stay, ["__a", "__b"], "left_semi")
+    return kept.dropDuplicates(["__a", "__b"]).select(*docs.columns)
