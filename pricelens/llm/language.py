@@ -93,7 +93,9 @@ def train(docs: DataFrame, per_language: int = 500, n_landmarks: int = 160, ridg
         got = [presence(t.as_py()) for t in b.column(2)]
         return [b.column(0), b.column(1), pa.array([None if g is None else np.packbits(g).tobytes() for g in got], pa.binary())]
 
-    got = sorted((r["y"], r["doc_id"], bytes(r["p"])) for r in map_texts(picked, run, "doc_id long, y string, p binary").where("p is not null").collect())
+    seen = map_texts(picked, run, "doc_id long, y string, p binary").where("p is not null")
+    seen = seen.groupBy("y", "doc_id").agg(F.min("p").alias("p"))  # one row an id, also where ids repeat
+    got = sorted((r["y"], r["doc_id"], bytes(r["p"])) for r in seen.collect())
     if not got:
         return None
     names = sorted({r[0] for r in got})

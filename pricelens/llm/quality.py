@@ -125,7 +125,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, rank: int =
         got = [features(t.as_py(), c.as_py()) for t, c in zip(b.column(2), b.column(3))]
         return [b.column(0), b.column(1), pa.array([i.tobytes() for i, _ in got], pa.binary()), pa.array([v.tobytes() for _, v in got], pa.binary())]
 
-    rows = sorted((r["y"], r["doc_id"], bytes(r["i"]), bytes(r["v"])) for r in map_texts(src, run, "y int, doc_id long, i binary, v binary").collect())
+    seen = map_texts(src, run, "y int, doc_id long, i binary, v binary")
+    seen = seen.groupBy("y", "doc_id").agg(F.min(F.struct("i", "v")).alias("f")).select("y", "doc_id", "f.*")  # one row an id, also where ids repeat
+    rows = sorted((r["y"], r["doc_id"], bytes(r["i"]), bytes(r["v"])) for r in seen.collect())
     y = np.array([r[0] for r in rows], dtype=np.float64)
     if len(set(y)) < 2:
         return None

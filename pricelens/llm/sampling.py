@@ -29,12 +29,19 @@ def share_limit(wanted: Column, total: Column) -> Column:
 
 
 def sample_ids(rows: DataFrame, per_class: int, seed: int) -> DataFrame:
-    """Of ``rows(doc_id, y)`` the ``per_class`` rows of every y that come first by a hash of the id.
+    """Of ``rows(doc_id, y)`` the ``per_class`` ids of every y that come first by a hash of the id, each once.
 
-    The bound is ``per_class`` times the number of classes; which rows are taken does not depend on partitions.
+    A first pass estimates the distinct ids of every class (a sketch a task, merged); a threshold on the hash then lets through
+    about as many as are wanted, so what is shuffled and ranked does not grow with the rows or tasks (see ``few``). The
+    bound is ``per_class`` times the number of classes; which ids are taken does not depend on partitions.
     """
-    w = Window.partitionBy("y").orderBy(F.xxhash64(F.col("doc_id"), F.lit(seed)), "doc_id")
-    return rows.select("doc_id", "y").withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= per_class).drop("__r")
+    rows = rows.select("doc_id", "y")
+    h = F.xxhash64(F.col("doc_id"), F.lit(seed))
+    limits = rows.groupBy("y").agg(share_limit(F.lit(per_class), F.approx_count_distinct("doc_id", 0.01)).alias("__below"))
+    # one row a class, of which the caller collects per_class ids
+    passed = rows.join(F.broadcast(limits), "y").where(h.cast("double") < F.col("__below")).select("doc_id", "y").distinct()
+    w = Window.partitionBy("y").orderBy(h, "doc_id")
+    return passed.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= per_class).drop("__r")
 
 
 def map_texts(src: DataFrame, fn: Callable[[pa.RecordBatch], list[np.ndarray | list]], schema: str, rows: int = 256) -> DataFrame:

@@ -124,7 +124,9 @@ def train(docs: DataFrame, confirmed: DataFrame, unlabelled: DataFrame, prior: f
     def run(b: pa.RecordBatch) -> list:
         return [b.column(0), b.column(1), pa.array([features(t.as_py()).tobytes() for t in b.column(2)], pa.binary())]
 
-    rows = sorted((r["y"], r["doc_id"], bytes(r["i"])) for r in map_texts(src, run, "y int, doc_id long, i binary").collect())
+    seen = map_texts(src, run, "y int, doc_id long, i binary")
+    seen = seen.groupBy("y", "doc_id").agg(F.min("i").alias("i"))  # one row an id, also where ids repeat
+    rows = sorted((r["y"], r["doc_id"], bytes(r["i"])) for r in seen.collect())
     positive = np.array([r[0] == 1 for r in rows], dtype=bool)
     if positive.all() or not positive.any():
         return None
