@@ -11,11 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import mix, pieces, text_bytes, word_hashes
+from pricelens.llm.common import mix, pieces, text_bytes, window_hash, word_hashes
 
 FILTER_BITS = 18
 MATCH = 0.6  # share of embedding coordinates that two windows at the edit threshold have in common, for the number of tables
 
+LONG = 12  # items of at least so many words have an index of their own, whose windows no shorter item narrows
 AGREE = 0.4  # share of all coordinates that a candidate must have in common with an entry in one of the walks
 
 
@@ -38,6 +39,36 @@ def embed(symbols: np.ndarray, starts: np.ndarray, steps: int) -> list[np.ndarra
     return out
 
 
+@dataclass
+class Short:
+    """Items of fewer words than the embedding needs, found by word equality: for each length and run hash the items."""
+
+    runs: dict[int, dict[int, list[tuple[int, list[bytes]]]]]
+
+    def matches(self, number: int, words: list[bytes], h: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
+        """Rows of ``matches`` for one text: the first place of each item."""
+        for n, items in self.runs.items():
+            run = window_hash(h, n).view(np.int64)
+            at = np.flatnonzero(np.isin(run, np.fromiter(items, dtype=np.int64)))
+            for key in np.unique(run[at]).tolist():
+                for item, want in items[key]:
+                    place = next((p for p in at[run[at] == key].tolist() if words[p:p + n] == want), None)
+                    if place is not None:
+                        yield number, item, n, 0, place, place + n
+
+
+def build_short(items: list[tuple[int, bytes]], min_words: int) -> Short | None:
+    """The items of one to ``min_words - 1`` words; None if there are none."""
+    runs: dict[int, dict[int, list[tuple[int, list[bytes]]]]] = {}
+    for i, t in items:
+        words = words_of(t)
+        if 0 < len(words) < min_words:
+            key = int(window_hash(word_hashes(words)[:, 0], len(words)).view(np.int64)[0])
+            same = runs.setdefault(len(words), {}).setdefault(key, [])
+            same.append((i, words))
+    return Short(runs) if runs else None
+
+
 @dataclass
 class Index:
     """Tables of sampled embedding coordinates of the items of one block, and what verification needs."""
@@ -87,15 +118,24 @@ class Index:
         return both[:, 0], both[:, 1]
 
 
-def build_index(items: list[tuple[int, bytes]], similarity: float, recall: float, min_words: int, walks: int = 4, per_key: int = 3, seed: int = 17) -> Index | None:
-    """Index of ``items`` (id, text); None if none of them has ``min_words`` words.
+@dataclass
+class Block:
+    """What is sent out for one block of the benchmark."""
+
+    indexes: list[Index]
+    short: Short | None
+
+
+def build_index(items: list[tuple[int, bytes]], similarity: float, recall: float, min_words: int, below: int | None = None,
+                walks: int = 4, per_key: int = 3, seed: int = 17) -> Index | None:
+    """Index of the ``items`` (id, text) of at least ``min_words`` words, and fewer than ``below``; None if there are none.
 
     Texts are looked at from every ``stride``-th word only. So that none is missed, each item is entered at every
     word from which the window of the shortest item still fits: whichever of a passage's words a text is looked at from, the item has an
     entry that begins with that word, and a passage is tried once for each ``stride`` words it has.
     """
     split = [(i, words_of(t)) for i, t in items]
-    split = [(i, w) for i, w in split if len(w) >= min_words]
+    split = [(i, w) for i, w in split if min_words <= len(w) < (below or math.inf)]
     if not split:
         return None
     shortest = min(len(w) for _, w in split)
@@ -165,16 +205,25 @@ def align(pattern: list[int], text: list[int]) -> tuple[int, int, int]:
     return edits, -begin, end
 
 
-def matches(index: Index, texts: list[bytes | None]) -> list[tuple[int, int, int, int, int, int]]:
+def matches(block: Block, texts: list[bytes | None]) -> list[tuple[int, int, int, int, int, int]]:
     """(text number, item id, item words, edits, begin word, end word) of each item found in each text: its best place."""
-    hashes = [word_hashes(words_of(t))[:, 0] for t in texts]
+    words = [words_of(t) for t in texts]
+    hashes = [word_hashes(w)[:, 0] for w in words]
+    out = [m for index in block.indexes for m in near_matches(index, hashes)]
+    if block.short is not None:
+        out += [m for k, (w, h) in enumerate(zip(words, hashes)) for m in block.short.matches(k, w, h)]
+    return out
+
+
+def near_matches(index: Index, hashes: list[np.ndarray]) -> list[tuple[int, int, int, int, int, int]]:
+    """Rows of ``matches`` for the items of one index, given the word hashes of the texts."""
     pad = np.zeros(index.steps, dtype=np.uint64)
     begins = np.concatenate([[0], np.cumsum([len(h) + len(pad) for h in hashes])])
     anchors = [np.arange(0, len(h), index.stride) for h in hashes]
     if not sum(map(len, anchors)):
         return []
     flat = np.concatenate([x for h in hashes for x in (h, pad)])
-    owner, place = np.repeat(np.arange(len(texts)), [len(a) for a in anchors]), np.concatenate(anchors)
+    owner, place = np.repeat(np.arange(len(hashes)), [len(a) for a in anchors]), np.concatenate(anchors)
     who, entry = index.candidates(flat, begins[owner] + place)
     start = place[who] - index.entry_offset[entry]
     best: dict[tuple[int, int], tuple] = {}
@@ -193,16 +242,17 @@ def matches(index: Index, texts: list[bytes | None]) -> list[tuple[int, int, int
     return [(t, item, n, edits, b, e) for (t, _), (edits, b, e, item, n) in best.items()]
 
 
-def index_blocks(benchmark: DataFrame, similarity: float, recall: float, min_words: int, block_bytes: int, id_col: str, text_col: str) -> Iterator[Index]:
+def index_blocks(benchmark: DataFrame, similarity: float, recall: float, min_words: int, block_bytes: int, id_col: str, text_col: str) -> Iterator[Block]:
     """Indexes over blocks of the benchmark of about ``block_bytes`` of text each: the bound of what is collected and sent out."""
     src = benchmark.select(F.col(id_col).cast("long").alias("item"), text_bytes(text_col).alias("text")).where("item is not null and text is not null").distinct()
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     for k in range(blocks if total else 0):
         rows = sorted((r["item"], bytes(r["text"])) for r in src.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect())
-        index = build_index(rows, similarity, recall, min_words)
-        if index is not None:
-            yield index
+        middle, long = build_index(rows, similarity, recall, min_words, LONG), build_index(rows, similarity, recall, max(LONG, min_words))
+        block = Block([x for x in (middle, long) if x is not None], build_short(rows, min_words))
+        if block.indexes or block.short:
+            yield block
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.97, min_words: int = 5, block_bytes: int = 4_000_000,
@@ -215,15 +265,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, r
     edit distance, so no row is wrong. Identical passages are always found.
 
     The benchmark is taken in blocks of about ``block_bytes``; each block's index is sent out and all documents pass by it, without a
-    shuffle. Items of fewer than ``min_words`` words, null and empty items and texts match nothing. Items with
+    shuffle. Within a block items of fewer than 12 words have an index of their own. Items of fewer than ``min_words`` words
+    are found where their words stand as they are, without edits (at 0.8 similarity fewer than five words allow none). Null and
+    empty items and texts match nothing; texts are looked at whole, however long; rows that repeat are each judged. Items with
     the same id and another text are different items. An empty table on either side gives no rows.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
     schema = "doc_id long, item_id long, item_words int, edits int, similarity double, begin_word int, end_word int"
     names = [x.split()[0] for x in schema.split(", ")]
     out = docs.sparkSession.createDataFrame([], schema)
-    for index in index_blocks(benchmark, similarity, recall, min_words, block_bytes, item_col, item_text_col):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for block in index_blocks(benchmark, similarity, recall, min_words, block_bytes, item_col, item_text_col):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32())
@@ -240,8 +292,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, r
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.97, min_words: int = 5, block_bytes: int = 4_000_000,
                text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a benchmark item (see ``find_leaks``); all columns and names stay."""
-    for index in index_blocks(benchmark, similarity, recall, min_words, block_bytes, item_col, item_text_col):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for block in index_blocks(benchmark, similarity, recall, min_words, block_bytes, item_col, item_text_col):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, at=docs.columns.index(text_col)) -> Iterator[pa.RecordBatch]:
             for b in pieces(batches, 128):

@@ -7,10 +7,11 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_MID
-from pricelens.llm import decontaminate, language, lines, packing, quality, repetition, simhash, substring, toxicity, urls
+from pricelens.llm import decontaminate, language, lines, packing, quality, repetition, sampling, simhash, substring, toxicity, urls
 from pricelens.llm.common import MULT, window_hash
 from pricelens.llm.components import connected_components
 from pricelens.llm.queries import tokenizer
@@ -146,9 +147,37 @@ def test_language_stage_is_the_models_decision(spark):
     assert kept == {r["doc_id"] for r in held.where("doc_id >= 0 and text rlike '[A-Za-z]'").collect()}
 
 
+def test_sample_is_bounded_by_ids_and_rows(spark):
+    """Classes that hold a third of all rows, and an id on many rows: at most the asked number, first by the hash."""
+    rows = spark.range(60000).select((F.col("id") % 50000).alias("doc_id"), F.when(F.col("id") % 50000 < 20000, 1).otherwise(F.col("id") % 7 + 10).cast("int").alias("y"))
+    got = sampling.sample_ids(rows.repartition(16), 300, 5).collect()
+    hashed = rows.distinct().select("y", "doc_id", F.xxhash64("doc_id", F.lit(5)).alias("h")).collect()
+    first = {}
+    for r in sorted(hashed, key=lambda r: r["h"]):
+        first.setdefault(r["y"], []).append(r["doc_id"])
+    assert sorted((r["y"], r["doc_id"]) for r in got) == sorted((y, d) for y, ids in first.items() for d in ids[:300])
+    docs = spark.createDataFrame([(1, f"one id many rows {i}", "a") for i in range(400)] + [(i, f"etwas anderes nummer {i}", "b") for i in range(2, 90)], "doc_id long, text string, lang string")
+    model = language.train(docs, per_language=50)
+    assert model.names == ["a", "b"] and len(model.landmarks) <= 51
+
+
 # ---------------------------------------------------------------- SimHash
 
 
+def test_fingerprint_against_a_plain_version():
+    """Bit by bit over the shingles' XXH64, ties and repeats included."""
+    rnd = random.Random(3)
+    for n in [0, 1, 2, 3, 4, 7, 40]:
+        for sep in (" ", "\n\t", "  "):
+            words = [rnd.choice(["Aa", "b", "ÄÖ", "c9", "Zz"]) for _ in range(n)]
+            low = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in words]
+            grams = [" ".join(low[i:i + 3]) for i in range(n - 2)] or ([" ".join(low)] if n else [])
+            h = [xxhash.xxh64(g.encode(), seed=42).intdigest() for g in grams]
+            want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+            assert simhash.fingerprint(sep.join(words).encode()) == want
+    assert simhash.fingerprint(None) == simhash.fingerprint(b" ") == 0
+
+
 def test_simhash_odd_rows(odd, empty):
     got = simhash.simhash_components(odd).collect()
     assert len(got) == len(TEXTS)
@@ -223,6 +252,14 @@ def test_substrings_odd_rows(odd, empty, max_bits):
     assert substring.dedup_substrings(empty).count() == 0
 
 
+def test_substrings_of_rows_with_one_key(odd, monkeypatch):
+    """Were all row keys equal, documents would share one list of single windows, and each still find its own in it."""
+    monkeypatch.setattr(substring, "row_key", lambda *cols: F.lit(1).cast("long"))
+    got = substring.dedup_substrings(odd, window=35, max_bits=10)
+    want = [(d is not None, d or 0, *x) for (d, _), x in zip(TEXTS, plain_substrings([t for _, t in TEXTS], 35))]
+    assert by_id(got, "n_words", "n_removed", "kept_sha256") == sorted(want, key=str)
+
+
 # ---------------------------------------------------------------- decontamination
 
 
@@ -245,6 +282,27 @@ def test_leaks_with_edits_and_odd_rows(spark, odd, empty):
     assert decontaminate.find_leaks(frame, bench.limit(0)).count() == 0 and decontaminate.drop_leaks(frame, bench.limit(0)).count() == 8
 
 
+def test_short_items_are_found_as_they_are(spark, odd):
+    """Items under five words match by word equality; among long items they leave those as they were."""
+    rnd = random.Random(4)
+    long = [(i, " ".join(rnd.choice(WORDS) for _ in range(40))) for i in range(30)]
+    few = [(100, "Alpha beta"), (101, "gamma"), (102, "beta alpha beta gamma"), (103, "one two three four five"), (104, "absent words")]
+    texts = [" ".join(["x"] * i + t.split() + ["y"] * 9) for i, (_, t) in enumerate(long)] + ["x alpha BETA y", "beta alpha beta gamma gamma", "z one two three four six z", "alphabeta", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(long + few, "item_id long, text string")
+    split = {i: t.lower().split() for i, t in few}
+    want = {(d, i) for d, t in enumerate(texts) for i, w in split.items() if i != 103
+            if any((t or "").lower().split()[p:p + len(w)] == w for p in range(len((t or "").split())))}
+    want |= {(i, i) for i, _ in long} | {(32, 103)}
+    got = decontaminate.find_leaks(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+    place = {(r["doc_id"], r["item_id"]): (r["begin_word"], r["end_word"], r["edits"]) for r in got}
+    assert place[31, 101] == (3, 4, 0) and place[31, 100] == (1, 3, 0) and place[32, 103][2] == 1
+    only_short = spark.createDataFrame(few[:1], "item_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.find_leaks(docs, only_short).collect()} == {30, 31}
+    assert decontaminate.find_leaks(odd, only_short).count() == 0
+
+
 def test_edits_inside_is_the_edit_distance():
     rnd = random.Random(2)
     for _ in range(300):
@@ -276,7 +334,7 @@ def test_embedding_recall(spark):
             w[p] = rnd.choice([b"", b"xx", w[p] + b" yy"])
         texts.append(b" ".join([b"a b c"] * rnd.randint(0, 9) + w + [b"tail"] * 5))
         want.append((len(texts) - 1, i))
-    got = {m[:2] for m in decontaminate.matches(index, texts)}
+    got = {m[:2] for m in decontaminate.matches(decontaminate.Block([index], None), texts)}
     assert len(got & set(want)) >= 0.97 * len(want)
 
 
