@@ -47,11 +47,12 @@ def baseline_rows(products: DataFrame, vendors: DataFrame, baseline_slug: str,
 
 def deal_matches(products: DataFrame, vendors: DataFrame, baseline_slug: str, k: int = 10,
                  category: str | None = None, brand: str | None = None,
-                 require_category: bool = False) -> tuple[DataFrame, DataFrame]:
+                 require_category: bool = False, index=None) -> tuple[DataFrame, DataFrame]:
     """(usable baseline rows, their top-k matches) for a baseline vendor.
 
     Only offers with a price above zero are ranked, so an unpriced one never takes a place.
     Pass the pair as ``matches`` to the reports below to plan it once for several of them.
+    ``index``: a stored name index that has the names of ``products`` (see ``matching.name_matches``).
     """
     base = baseline_rows(products, vendors, baseline_slug, category, brand, require_category)
     base = base.filter(dbl("unit_price") > 0)
@@ -60,7 +61,7 @@ def deal_matches(products: DataFrame, vendors: DataFrame, baseline_slug: str, k:
     m = keyword_join(base.select("bid", "vendor_id", "keywords"), offers, k,
                      offer_cols=("product_id", "vendor_id", "vendor_slug", "vendor_name", "sku",
                                  "unit_price", "product_name", "pack_size_raw", "case_price", "brand",
-                                 "image_url", "product_url", "in_stock"))
+                                 "image_url", "product_url", "in_stock"), index=index)
     return base, m
 
 
@@ -138,11 +139,11 @@ def deal_summary(deals: DataFrame) -> DataFrame:
                           / F.sum(F.when(cheaper, 1)), 1), F.lit(0.0)).alias("avg_savings_pct"))
 
 
-def _savings_rows(products, vendors, baseline_slug, require_category):
+def _savings_rows(products, vendors, baseline_slug, require_category, index=None):
     base = baseline_rows(products, vendors, baseline_slug, require_category=require_category)
     base = base.filter(dbl("unit_price") > 0)
     kw = match_keywords(base).filter(F.col("keywords").isNotNull())
-    best = keyword_best_price(kw.select("bid", "vendor_id", "keywords"), _offers(products, vendors))
+    best = keyword_best_price(kw.select("bid", "vendor_id", "keywords"), _offers(products, vendors), index=index)
     # a row is compared when it had any match (best_other may still be null: all zero prices)
     rows = base.join(best, "bid", "left")
     bp = F.col("unit_price")
@@ -152,9 +153,9 @@ def _savings_rows(products, vendors, baseline_slug, require_category):
                        saving.alias("saving"))
 
 
-def savings_summary(products: DataFrame, vendors: DataFrame, baseline_slug: str) -> DataFrame:
+def savings_summary(products: DataFrame, vendors: DataFrame, baseline_slug: str, index=None) -> DataFrame:
     """Total savings vs the cheapest priced match; spend over every priced baseline row."""
-    r = _savings_rows(products, vendors, baseline_slug, False)
+    r = _savings_rows(products, vendors, baseline_slug, False, index)
     a = r.agg(F.sum("saving").alias("_s"), F.sum("bp").alias("_spend"),
               F.sum(F.when(F.col("compared"), 1).otherwise(0)).cast("bigint").alias("products_compared"),
               F.sum(F.when(F.col("saving").isNotNull(), 1).otherwise(0)).cast("bigint")

@@ -45,6 +45,15 @@ def search_name(df: DataFrame, term: str | None, col: str = "product_name") -> D
     return df.filter(F.col(col).ilike(f"%{term}%"))
 
 
+def search_indexed(df: DataFrame, index, term: str | None, col: str = "product_name") -> DataFrame:
+    """``search_name`` by a stored ``sinks.nameindex.NameIndex`` that has the names of ``df``: the pattern is tried on
+    the names that have all its trigrams, and rows are joined to the names found."""
+    term = (term or "").strip()
+    if not term:
+        return df
+    return df.join(index.search(term), F.lower(F.col(col)) == F.col("lname"), "left_semi")
+
+
 def search_any(df: DataFrame, pattern: str | None,
                cols=("product", "manufacturer", "description", "upc")) -> DataFrame:
     """Case-insensitive regex over several text columns (legacy search)."""

@@ -93,14 +93,16 @@ def _baseline_sets(baseline: DataFrame) -> DataFrame:
     return baseline.select("bid", F.col("vendor_id").alias("b_vendor_id"), F.array_join(lkw, " ").alias("kws"))
 
 
-def name_matches(sets: DataFrame, names: DataFrame, salts: int = 8) -> DataFrame:
+def name_matches(sets: DataFrame, names: DataFrame, salts: int = 8, index=None) -> DataFrame:
     """(b_vendor_id, kws, lname): the names of ``names(lname)`` that contain every keyword of a set.
 
     Works on the distinct keyword sets of a vendor, ``sets(b_vendor_id, kws)``.  A trigram that
     most names have is dealt over ``salts`` tasks: each name goes to one of them, each set to all.
+    ``index``: a stored ``sinks.nameindex.NameIndex`` that has these names, read instead of making their trigrams;
+    names that only the index has may come out too.
     """
     key = ["b_vendor_id", "kws"]
-    grams = trigram_index(names)
+    grams = trigram_index(names) if index is None else index.postings().select("lname", "tri")
     freq = grams.groupBy("tri").agg(F.count(F.lit(1)).alias("freq"))
     kw = sets.select(*key).distinct().select(*key, F.explode(F.split("kws", " ")).alias("kw"))
     kwtri = _trigram_rows(kw, "kw").select(*key, "tri")
@@ -110,19 +112,20 @@ def name_matches(sets: DataFrame, names: DataFrame, salts: int = 8) -> DataFrame
             .filter(F.col("f") > 0).select(*key, "tri", F.split("kws", " ").alias("lkw")))
     pick = pick.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     dealt = grams.withColumn("salt", F.pmod(F.xxhash64("lname"), F.lit(salts)).cast("int"))
-    return pick.join(dealt, ["tri", "salt"]).filter(_contains_all(F.col("lname"), F.col("lkw"))).select(*key, "lname")
+    found = pick.join(dealt, ["tri", "salt"]).filter(_contains_all(F.col("lname"), F.col("lkw"))).select(*key, "lname")
+    return found if index is None else found.distinct()  # loads that broke off may have left a posting twice
 
 
 MATCH_ORDER = ["unit_price", "vendor_slug", "sku"]
 
 
-def _named_offers(baseline: DataFrame, offers: DataFrame, cols) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _named_offers(baseline: DataFrame, offers: DataFrame, cols, index=None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(baseline sets, (b_vendor_id, kws, lname) matches, (lname, own, cols) offers): ``own`` is the
     offer's vendor if that is a vendor of the baseline, whose own rows may not take the offer; else null."""
     b = _baseline_sets(baseline)
     own = baseline.select(F.col("vendor_id").alias("own")).distinct()
     o = offers.select(F.lower("product_name").alias("lname"), *cols)
-    return b, name_matches(b, o.select("lname")), o.join(own, o["vendor_id"] == own["own"], "left")
+    return b, name_matches(b, o.select("lname"), index=index), o.join(own, o["vendor_id"] == own["own"], "left")
 
 
 def _elsewhere(pairs: DataFrame, named: DataFrame) -> DataFrame:
@@ -131,8 +134,8 @@ def _elsewhere(pairs: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
-                 offer_cols=("product_id", "vendor_id", "vendor_slug", "sku", "unit_price")
-                 ) -> DataFrame:
+                 offer_cols=("product_id", "vendor_id", "vendor_slug", "sku", "unit_price"),
+                 index=None) -> DataFrame:
     """All offers of *other* vendors whose name contains every keyword of a baseline row,
     best k per row by (unit_price, vendor_slug, sku).
 
@@ -143,8 +146,9 @@ def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
 
     Rows with the same keywords are matched once.  Of a name's offers only the best k at vendors
     outside the baseline, and the best k of each vendor in it, are joined to the rows that match the name.
+    ``index``: see ``name_matches``.
     """
-    b, pairs, named = _named_offers(baseline, offers, offer_cols)
+    b, pairs, named = _named_offers(baseline, offers, offer_cols, index)
     if k:
         named = top_k_per_group(named, ["lname", "own"], [F.col(c).asc_nulls_last() for c in MATCH_ORDER], k, "_r").drop("_r")
     m = _elsewhere(pairs, named)
@@ -158,11 +162,11 @@ def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
     return b.join(ranked, ["b_vendor_id", "kws"]).drop("b_vendor_id", "kws")
 
 
-def keyword_best_price(baseline: DataFrame, offers: DataFrame, price: str = "unit_price") -> DataFrame:
+def keyword_best_price(baseline: DataFrame, offers: DataFrame, price: str = "unit_price", index=None) -> DataFrame:
     """(bid, best_other, matched): the lowest non-zero price among *all* matches of a baseline
     row at other vendors (null when all are zero); rows without a match do not appear.
     A minimum per name is joined, never the offers."""
-    b, pairs, named = _named_offers(baseline, offers, ("vendor_id", price))
+    b, pairs, named = _named_offers(baseline, offers, ("vendor_id", price), index)
     low = F.min(F.when(F.col(price).cast("double") != 0, F.col(price)))
     names = named.groupBy("lname", "own").agg(low.alias("low"))
     rows = _elsewhere(pairs, names).groupBy("b_vendor_id", "kws").agg(F.min("low").alias("best_other"))

@@ -8,7 +8,7 @@ from pricelens.functions.numeric import dbl
 from pricelens.operators import deals as D
 from pricelens.operators import matching as M
 from pricelens.plans.q_catalog import _norm_name_sql, unit_price_sql
-from pricelens.plans.registry import BASELINE, R, V, query
+from pricelens.plans.registry import BASELINE, R, V, query, stored_names
 
 PFX = M.MATCH_PREFIX
 MATRIX_SEARCH = "oz"
@@ -64,6 +64,17 @@ def q_keyword_join(spark, sf):
                     "rank")
 
 
+@query("joi_keyword_join_indexed", f"""WITH {_kw_ctes()}
+SELECT bid, m_product_id, m_vendor_slug, m_sku, CAST(m_unit_price AS DOUBLE) AS m_unit_price, rank
+FROM ranked WHERE rank <= 10""", views=["products", "vendors"])
+def q_keyword_join_indexed(spark, sf):
+    """``joi_keyword_join`` over the stored name index."""
+    v = V(spark, sf)
+    _, m = D.deal_matches(v["products"], v["vendors"], BASELINE, 10, index=stored_names(spark, v["products"]))
+    return m.select("bid", "m_product_id", "m_vendor_slug", "m_sku", dbl("m_unit_price").alias("m_unit_price"),
+                    "rank")
+
+
 _DNU = unit_price_sql(price="unit_price", ppo=None, pc=None, us=None, um=None, raw="pack_size")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pricelens.operators import analytics as A
 from pricelens.operators import compare as C
 from pricelens.operators import filters as FL
-from pricelens.plans.registry import BASELINE, BRAND, CATEGORY, SEARCH, VENDOR, R, V, query
+from pricelens.plans.registry import BASELINE, BRAND, CATEGORY, SEARCH, VENDOR, R, V, query, stored_names
 
 DBL = "CAST({0} AS DOUBLE) AS {0}"
 PC = ", ".join(DBL.format(c) for c in ["unit_price", "case_price", "price_per_oz", "last_price"])
@@ -40,6 +40,14 @@ def q_search_name(spark, sf):
     return C.as_double(FL.search_name(v["products"], SEARCH))
 
 
+@query("flt_search_indexed", f"""
+SELECT {PRODUCT_COLS_NO_PRICE}, {PC} FROM products WHERE product_name ILIKE '%{SEARCH}%'""")
+def q_search_indexed(spark, sf):
+    """The same rows by a stored name index, brought up to date from the offers in two loads."""
+    v = V(spark, sf)
+    return C.as_double(FL.search_indexed(v["products"], stored_names(spark, v["products"]), SEARCH))
+
+
 @query("flt_flags", f"""
 SELECT {PRODUCT_COLS_NO_PRICE}, {PC} FROM products WHERE in_stock AND price_changed""")
 def q_flags(spark, sf):

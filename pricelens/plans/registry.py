@@ -8,11 +8,14 @@ top-k size where the report *is* a top-k).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelens.plans.fixtures import oracle_with, register_views
+from pricelens.session import shared_path
+from pricelens.sinks.nameindex import NameIndex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,5 +42,13 @@ def query(name: str, sql: str | None = None, views=None):
     return deco
 
 
+def stored_names(spark: SparkSession, products: DataFrame) -> NameIndex:
+    """A name index in the shared folder, of the offers that are in stock and then of all."""
+    index = NameIndex(spark, shared_path(spark, f"name-index-{uuid.uuid4().hex}"))
+    index.update(products.where("in_stock"), "first")
+    index.update(products, "second")
+    return index
+
+
 def V(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return register_views(spark, sf_dir)
