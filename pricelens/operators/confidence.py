@@ -30,6 +30,13 @@ LEVELS = [(75, "high", "Strong Match"), (45, "medium", "Likely Match"), (25, "lo
           (None, "poor", "Poor Match")]
 
 
+# What the points of a component say; five points for packs are given for unlike numbers and for unlike texts.
+UPC_OUTCOMES = {UPC_POINTS: "exact"}
+BRAND_OUTCOMES = {BRAND_EXACT: "exact", BRAND_PARTIAL: "partial"}
+PACK_OUTCOMES = {PACK_EXACT: "exact", PACK_SAME_COUNT: "same count", PACK_SAME_MEASURE: "same measure", PACK_MISMATCH: "different",
+                 PACK_STR_HIGH: "texts very similar", PACK_STR_MID: "texts partly similar", PACK_ONE_SIDE: "on one side only"}
+
+
 @pandas_udf(T.DoubleType())
 def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of (a, b) as difflib computes it."""
@@ -155,6 +162,25 @@ def match_confidence(pairs: DataFrame, a: str = "a_", b: str = "b_") -> DataFram
               .drop("_pa", "_pb", "_psa", "_psb", "_ppts", "_na", "_nb", "_npts"))
 
 
+def breakdown(a: str = "a_", b: str = "b_") -> Column:
+    """Points, most points and outcome of each component, of rows that ``match_confidence`` has scored."""
+
+    def part(points: str, most: int, outcomes: dict[int, str], otherwise: Column | str) -> Column:
+        said = F.lit(otherwise) if isinstance(otherwise, str) else otherwise
+        for n, text in outcomes.items():
+            said = F.when(F.col(points) == n, text).otherwise(said)
+        return F.struct(F.col(points).cast("int").alias("points"), F.lit(most).alias("max"), said.alias("outcome"))
+
+    def both(c: str) -> Column:
+        return (F.length(_norm(f"{a}{c}")) > 0) & (F.length(_norm(f"{b}{c}")) > 0)
+
+    absent = lambda c: F.when(both(c), "mismatch").otherwise("missing")
+    return F.struct(part("upc_points", UPC_POINTS, UPC_OUTCOMES, absent("upc")).alias("upc"),
+                    part("brand_points", BRAND_EXACT, BRAND_OUTCOMES, absent("brand")).alias("brand"),
+                    part("pack_points", PACK_EXACT, PACK_OUTCOMES, "missing").alias("pack_size"),
+                    part("name_points", NAME_POINTS, {}, F.when(both("product_name"), "compared").otherwise("missing")).alias("name"))
+
+
 def deal_confidence(products: DataFrame, vendors: DataFrame, baseline_slug: str, k: int = 10,
                     matches: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Confidence of every kept deal match (baseline brand/pack/name vs the match; no UPC,
@@ -164,7 +190,7 @@ def deal_confidence(products: DataFrame, vendors: DataFrame, baseline_slug: str,
     pairs = (m.join(base.select("bid", F.col("product_name").alias("a_product_name"),
                                 F.col("brand").alias("a_brand"), F.col("pack_size_raw").alias("a_pack_size_raw")),
                     "bid")
-             .select("bid", "m_product_id", "rank", "a_product_name", "a_brand", "a_pack_size_raw",
+             .select("bid", "m_product_id", "m_vendor_name", "rank", "a_product_name", "a_brand", "a_pack_size_raw",
                      F.lit(None).cast("string").alias("a_upc"), F.col("m_product_name").alias("b_product_name"),
                      F.col("m_brand").alias("b_brand"), F.col("m_pack_size_raw").alias("b_pack_size_raw"),
                      F.lit(None).cast("string").alias("b_upc")))

@@ -19,6 +19,7 @@ from pricelens.functions.numeric import dbl, has_text, pround
 from pricelens.functions.pack import normalize_name_col, normalize_unit_price
 from pricelens.operators.filters import facet, search_name, vendor_ids
 from pricelens.operators.matching import keyword_best_price, keyword_join, match_keywords
+from pricelens.session import ensure_checkpoint_dir
 
 
 def _offers(products: DataFrame, vendors: DataFrame) -> DataFrame:
@@ -129,6 +130,39 @@ def top_deals(products: DataFrame, vendors: DataFrame, baseline_slug: str,
     return d
 
 
+def deal_details(products: DataFrame, vendors: DataFrame, baseline_slug: str,
+                 category: str | None = None, brand: str | None = None, limit: int | None = 25,
+                 sort_by: str = "savings_pct", k: int = 10, index=None) -> DataFrame:
+    """``top_deals`` with what the finder shows of each: the normalised baseline price
+    (``baseline_norm_price_per_oz``, ``baseline_normalization``), ``best_confidence``, and ``all_vendors``, the at most
+    ``k`` kept offers by rank with their differences, normalised prices, confidence and its breakdown.
+
+    The matches are written once, to the session's checkpoint folder; unless the order is by confidence only the
+    offers of deals that stay are scored.
+    """
+    from pricelens.operators.confidence import best_confidence, breakdown, deal_confidence
+    base, m = deal_matches(products, vendors, baseline_slug, k, category, brand, index=index)
+    ensure_checkpoint_dir(products.sparkSession)
+    m = m.checkpoint()
+    found = {"limit": limit, "sort_by": sort_by, "k": k}
+    if sort_by == "confidence":
+        scored = deal_confidence(products, vendors, baseline_slug, k, matches=(base, m)).checkpoint()  # texts are compared once
+        deals = top_deals(products, vendors, baseline_slug, **found, confidence=best_confidence(scored), matches=(base, m)).drop("best_confidence")
+        kept = m
+    else:
+        deals = top_deals(products, vendors, baseline_slug, **found, matches=(base, m))
+        kept = m.join(deals.select("bid"), "bid", "left_semi") if limit else m
+        scored = deal_confidence(products, vendors, baseline_slug, k, matches=(base, kept))
+    score = scored.select("bid", "rank", F.col("m_vendor_name").alias("vendor_name"), "score", "level", "label", breakdown().alias("breakdown"))
+    offers = deal_offers(products, vendors, baseline_slug, k, matches=(base, kept)).join(score, ["bid", "rank"])
+    shown = F.struct("rank", "vendor_name", *[c for c in offers.columns if c not in ("bid", "rank", "vendor_name")])
+    lists = offers.groupBy("bid").agg(F.max("score").alias("best_confidence"), F.sort_array(F.collect_list(shown)).alias("all_vendors"))
+    out = normalize_unit_price(deals, prefix="baseline_norm_", price="baseline_price", price_per_oz=None, pack_count=None,
+                               unit_size=None, unit_measure=None, pack_size_raw="baseline_pack_size")
+    out = out.select(*deals.columns, "baseline_norm_price_per_oz", F.col("normalization").alias("baseline_normalization"))
+    return out.join(lists, "bid")
+
+
 def deal_summary(deals: DataFrame) -> DataFrame:
     cheaper = F.col("best_savings_abs") > 0
     return deals.agg(

@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 
 from pricelens.operators import confidence as CF
 from pricelens.operators import deals as D
+from pricelens.plans.q_catalog import unit_price_sql
+from pricelens.plans.q_deals import _deals_sql
 from pricelens.plans.registry import BASELINE, V, query
 
+_BNU = unit_price_sql(price="price", ppo=None, pc=None, us=None, um=None, raw="pack")
+
 
 @query("udf_confidence_level", """
 SELECT product_id, CAST(product_id % 101 AS INTEGER) AS score,
@@ -81,6 +85,25 @@ def q_top_deals_confidence(spark, sf):
     return D.top_deals(v["products"], v["vendors"], BASELINE, limit=25, sort_by="confidence")
 
 
+@query("joi_deal_details")
+def q_deal_details(spark, sf):
+    """Every deal of the baseline vendor, whole: normalised baseline price, best confidence, and all kept offers with theirs."""
+    v = V(spark, sf)
+    return D.deal_details(v["products"], v["vendors"], BASELINE, limit=None)
+
+
+@query("joi_deal_baselines", _deals_sql("") + f"""
+SELECT * EXCLUDE (price, pack), {_BNU['price_per_oz']} AS baseline_norm_price_per_oz, {_BNU['normalization']} AS baseline_normalization
+FROM (SELECT bid, baseline_price, baseline_pack_size, vendor_count, baseline_price AS price, baseline_pack_size AS pack FROM deals) t""",
+       views=["products", "vendors"])
+def q_deal_baselines(spark, sf):
+    """The part of the deals' details that SQL can say: the normalised baseline price, and how many offers were kept."""
+    v = V(spark, sf)
+    d = D.deal_details(v["products"], v["vendors"], BASELINE, limit=None)
+    return d.select("bid", "baseline_price", "baseline_pack_size", F.size("all_vendors").cast("bigint").alias("vendor_count"),
+                    "baseline_norm_price_per_oz", "baseline_normalization")
+
+
 @query("joi_matrix_confidence")
 def q_matrix_confidence(spark, sf):
     """Price-matrix offers scored against the group's baseline offer (vendor name in the brand slot)."""

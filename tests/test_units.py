@@ -355,3 +355,34 @@ def test_upc_is_trimmed_only(spark):
     df = spark.createDataFrame([(" ab1", "", "", "", "ab1 ", "", "", ""), ("ab1", "", "", "", "AB1", "", "", "")],
                                ", ".join(f"{s}_{c} string" for s in "ab" for c in cols))
     assert sorted(r["upc_points"] for r in CF.match_confidence(df).collect()) == [0, 40]
+
+
+@pytest.mark.parametrize("sort_by", ["savings_pct", "confidence"])
+def test_deal_details_are_whole(spark, sort_by):
+    """Deals as ``top_deals`` gives them; each offer scored as difflib scores it, the best of them the deal's."""
+    import difflib
+    import re
+
+    from pricelens.operators import deals as D
+    from pricelens.plans.registry import BASELINE, V
+
+    v = V(spark, SF_SMALL)
+    got = {r["bid"]: r for r in D.deal_details(v["products"], v["vendors"], BASELINE, limit=20, sort_by=sort_by).collect()}
+    want = D.top_deals(v["products"], v["vendors"], BASELINE, limit=20, sort_by=sort_by).collect()
+    assert len(got) == len(want) > 10
+    brands = {r["product_id"]: r["brand"] for r in v["products"].select("product_id", "brand").collect()}
+    clean = lambda t: re.sub(r"[^a-z0-9\s]", "", (t or "").strip().lower())
+    for w in want:
+        r = got[w["bid"]]
+        assert all(r[c] == w[c] for c in w.__fields__)
+        offers = r["all_vendors"]
+        assert [o["rank"] for o in offers] == list(range(1, w["vendor_count"] + 1))
+        assert offers[0]["unit_price"] == r["best_other_price"] and offers[0]["vendor_name"] == r["best_other_vendor"]
+        assert r["best_confidence"] == max(o["score"] for o in offers)
+        for o in offers:
+            b = o["breakdown"]
+            assert b["upc"] == (0, 40, "missing") and b["name"]["max"] == 20 and b["pack_size"]["max"] == 25
+            assert b["name"]["points"] == round(difflib.SequenceMatcher(None, clean(r["baseline_product"]), clean(o["product_name"])).ratio() * 20)
+            same = (r["brand"] or "").strip().lower(), (brands[o["product_id"]] or "").strip().lower()
+            assert (b["brand"]["outcome"] == "exact") == (same[0] == same[1] != "")
+            assert o["score"] == min(100, sum(b[c]["points"] for c in ("upc", "brand", "pack_size", "name")))
