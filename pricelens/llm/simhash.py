@@ -73,7 +73,8 @@ def links(fps: DataFrame, max_bits: int = 2, hot: int = 64) -> DataFrame:
     bits: rows that share one are within the distance by construction, so each is linked to the smallest only - as
     exact, and without listing the pairs of a large group.
     """
-    v = variants(fps, max_bits)
+    # dealt over all tasks, since each fingerprint becomes one row a bit; with a number of its own, which is not coalesced
+    v = variants(fps.repartition(partitions(fps.sparkSession), "fp"), max_bits)
     buckets = materialize(v.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "simhash-buckets")
     two = buckets.where("n = 2").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b")
 
@@ -99,9 +100,7 @@ def roots(rows: DataFrame, max_bits: int = 2, hot: int = 64) -> DataFrame:
 
     Joins here are merged, as every side grows with the corpus.
     """
-    n = partitions(rows.sparkSession)
-    # dealt over all tasks, since each fingerprint becomes one row a bit next
-    reps = materialize(rows.select("fp").distinct().repartition(n, "fp"), "simhash-reps")
+    reps = materialize(rows.select("fp").distinct(), "simhash-reps")
     found = connected_components(links(reps, max_bits, hot)).hint("merge")
     return reps.join(found, reps["fp"] == found["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
