@@ -101,88 +101,92 @@ def combine_scalars(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def time_bucket(df: DataFrame, col: str, width: int = 100_000) -> Column:
-    """Non-decreasing bucket of an ordering column: the month of a time, else ``width`` values; nulls come first."""
+def _place(df: DataFrame, col: str) -> Column:
+    """A time or number as a double that does not decrease along it."""
     kind = df.schema[col].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.coalesce((F.year(col) * 12 + F.month(col)).cast("bigint"), F.lit(-(2 ** 62)))
-    return F.coalesce(F.floor(F.col(col).cast("double") / width).cast("bigint"), F.lit(-(2 ** 62)))
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    return F.col(col).cast("double")
 
 
 def lag_by_key(df: DataFrame, key: list[str], order: list[str], cols: list[str], prefix: str = "prev_",
-               bucket: Column | None = None) -> DataFrame:
+               hot_share: int = 1000, bins: int = 4096) -> DataFrame:
     """Previous row's ``cols`` within each key in ``order`` (``prev_<c>``) and ``has_prev``,
-    without putting a key's rows into one task.
-
-    A key's rows are dealt by ``bucket``, which must not decrease along ``order`` (default:
-    the month, or a range, of its first column).  The lag is taken inside (key, bucket); the
-    first row of a bucket takes the last row of the key's bucket before it.  Those last rows
-    come from a partial aggregate, one per key and bucket, so what meets for a key is its
-    number of buckets.  One plan for every size, and nothing runs while it is built.
-    ``key`` + ``order`` must identify a row.
+    without putting a hot key's rows into one task.
+
+    Keys are counted first (a partial aggregate). A key with more than 1 / ``hot_share`` of all rows is hot, so
+    there are fewer than ``hot_share`` of them, and their list can be sent to every task. The rows of all other keys
+    take the lag in one window by key. A hot key's rows are dealt by ``bins`` equal parts of the
+    range its first order column has; the lag is taken inside a part, and the first row of a part takes
+    the last row of the part before it: a second window over the first and last rows only, at
+    most 2 * ``bins`` a key. Rows of a hot key with one value in the first order column stay together. One plan for
+    every size, and nothing runs while it is built. ``key`` + ``order`` must identify a row.
     """
-    d = df.withColumn("_b", time_bucket(df, order[0]) if bucket is None else bucket)
-    w = Window.partitionBy(*key, "_b").orderBy(*[F.col(c).asc() for c in order])
-    local = d.select("*", *[F.lag(c).over(w).alias(f"_l_{c}") for c in cols], (F.row_number().over(w) == 1).alias("_first"))
-    okey = F.struct(*[F.col(c) for c in order])
-    last = d.groupBy(*key, "_b").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), okey).alias("_last"))
-    before = last.select(*[F.col(c).alias(f"_k_{c}") for c in key], F.col("_b").alias("_k_b"),
-                         F.lag("_last").over(Window.partitionBy(*key).orderBy("_b")).alias("_pb"))
-    on = local["_b"] == before["_k_b"]
+    x = _place(df, order[0])
+    counts = df.select(*key, x.alias("_x")).groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    hot = with_scalars(counts, counts.agg(F.sum("_n").alias("_all"))).filter(F.col("_n") * hot_share > F.col("_all"))
+    # fewer than hot_share rows, whatever the data
+    hot = F.broadcast(hot.select(*[F.col(c).alias(f"_k_{c}") for c in key], "_lo", "_hi"))
+    on = F.lit(True)
     for c in key:
-        on = on & local[c].eqNullSafe(before[f"_k_{c}"])
-    j = local.join(before, on, "left")
-    return j.select(*df.columns,
-                    *[F.when(F.col("_first"), F.col(f"_pb.{c}")).otherwise(F.col(f"_l_{c}")).alias(f"{prefix}{c}") for c in cols],
-                    (~F.col("_first") | F.col("_pb").isNotNull()).alias("has_prev"))
-
-
-def running_total(df: DataFrame, order: list[str], weight: str, out: str) -> DataFrame:
-    """Adds ``out``: the sum of ``weight`` over all rows that come before in ``order`` (which must identify a row).
-
-    Like ``global_rank``: one range partitioning, checkpointed, a window inside each range and
-    an offset for each range (one row per partition).
-    """
-    from pricelens.session import ensure_checkpoint_dir
-
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *_cols(order)).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
-    earlier = Window.unboundedPreceding, -1
-    offsets = ranged.groupBy("_pid").agg(F.sum(weight).alias("_n")).select(
-        "_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(*earlier)), F.lit(0)).alias("_off"))
-    inside = F.coalesce(F.sum(weight).over(Window.partitionBy("_pid").orderBy(*order).rowsBetween(*earlier)), F.lit(0))
-    # one row per partition: bounded by the partition count, safe to broadcast
-    return (ranged.withColumn("_in", inside).join(F.broadcast(offsets), "_pid")
-            .withColumn(out, F.col("_in") + F.col("_off")).drop("_pid", "_in", "_off"))
+        on = on & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    asc = [F.col(c).asc() for c in order]
+
+    w = Window.partitionBy(*key).orderBy(*asc)
+    cold = df.join(hot, on, "left_anti").select(
+        *df.columns, *[F.lag(c).over(w).alias(f"{prefix}{c}") for c in cols], (F.row_number().over(w) > 1).alias("has_prev"))
+
+    part = F.when(x.isNull(), -1).when(F.col("_hi") > F.col("_lo"), F.floor((x - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo")))).otherwise(0)
+    wp = Window.partitionBy(*key, "_b").orderBy(*asc)
+    dealt = df.join(hot, on).select(*df.columns, part.cast("bigint").alias("_b")).select(
+        "*", *[F.lag(c).over(wp).alias(f"{prefix}{c}") for c in cols], (F.row_number().over(wp) > 1).alias("has_prev"),
+        F.lead(F.lit(1)).over(wp).isNull().alias("_last"))
+    out = cold.columns
+    edges = dealt.filter(~F.col("has_prev") | F.col("_last"))
+    at_start = ~F.col("has_prev")
+    edges = edges.select(
+        *df.columns, *[F.when(at_start, F.lag(c).over(w)).otherwise(F.col(f"{prefix}{c}")).alias(f"{prefix}{c}") for c in cols],
+        (F.row_number().over(w) > 1).alias("has_prev"))
+    return cold.unionByName(dealt.filter(F.col("has_prev") & ~F.col("_last")).select(*out)).unionByName(edges)
 
 
 def exact_quantile(df: DataFrame, value: str, q: float, group: list[str] | None = None,
                    out: str = "quantile") -> DataFrame:
     """Exact linear-interpolation quantile (``percentile`` / ``median`` semantics) of
-    ``value`` per ``group`` (or over all rows), without holding a group's values in
-    one task.
-
-    Values are counted first (a partial aggregate), and only the distinct ones are put in
-    order: ``running_total`` gives each the number of values before it.  Each group's first place and size come
-    from an aggregate, and the values at the places around (n - 1) * q are picked and
-    blended.  Returns one row per group: group columns + ``out``.
+    ``value`` per ``group`` (or over all rows), by counting and narrowing: nothing is sorted as a whole, and nothing
+    runs while the plan is built.
+
+    Values are counted (a partial aggregate); the counts are added up by fine ranges of ln(1 + |value|) with its
+    sign, 2^20 to a unit, and those by coarse ranges of 2^14 fine ones. From the top: the coarse range that holds
+    the wanted place is found by a running sum, then the fine range inside it, then the value. The wanted places are
+    floor and ceiling of (n - 1) * q, whose values are blended. A window holds the coarse ranges of a group (under
+    100,000, whatever the values), the fine ranges of one (2^14), or the distinct values of a fine range, which lie
+    within a millionth of each other. Returns one row per group: group columns + ``out``.
     """
     group = group or []
     v = df.select(*group, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    r = running_total(v.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c")), [*group, "_v"], "_c", "_r")
-    stats = r.groupBy(*group).agg(F.min("_r").alias("_first"), F.sum("_c").alias("_n"))
-    stats = stats.withColumn("_h", (F.col("_n") - 1).cast("double") * F.lit(float(q)))
-    stats = stats.select(*group, "_h", "_first", (F.col("_first") + F.floor("_h").cast("bigint")).alias("_lo"),
-                         (F.col("_first") + F.ceil("_h").cast("bigint")).alias("_hi"))
-    # per group: an equi-join on the group; over all values: the one stats row as a scalar
-    joined = r.join(stats, group) if group else with_scalars(r, stats)
-    is_lo, is_hi = ((F.col("_r") <= F.col(x)) & (F.col(x) < F.col("_r") + F.col("_c")) for x in ("_lo", "_hi"))
-    agg = joined.filter(is_lo | is_hi).groupBy(*group).agg(
-        F.max(F.when(is_lo, F.col("_v"))).alias("_vl"), F.max(F.when(is_hi, F.col("_v"))).alias("_vh"),
-        F.first("_h").alias("_h"), F.first("_lo").alias("_lo"), F.first("_first").alias("_first"))
-    frac = F.col("_h") - (F.col("_lo") - F.col("_first")).cast("double")
+    size = F.when(F.isnan("_v"), F.lit(2000.0)).otherwise(
+        F.least(F.greatest(F.signum("_v") * F.log1p(F.abs("_v")), F.lit(-1000.0)), F.lit(1000.0)))
+    values = v.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_fine", F.floor(size * 2 ** 20).cast("bigint"))
+    fine = values.groupBy(*group, "_fine").agg(F.sum("_c").alias("_c")).withColumn("_coarse", F.shiftright("_fine", 14))
+    coarse = fine.groupBy(*group, "_coarse").agg(F.sum("_c").alias("_c"))
+
+    def before(by: str, *part: str) -> Column:
+        w = Window.partitionBy(*group, *part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_c").over(w), F.lit(0))
+
+    here = (F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col("_c"))
+    places = F.array(F.struct(F.lit(0).alias("t"), F.floor("_h").cast("bigint").alias("r")), F.struct(F.lit(1).alias("t"), F.ceil("_h").cast("bigint").alias("r")))
+    c = coarse.withColumn("_before", before("_coarse")).withColumn("_h", (F.sum("_c").over(Window.partitionBy(*group)) - 1).cast("double") * F.lit(float(q)))
+    c = c.withColumn("_p", F.explode(places)).select("*", F.col("_p.t").alias("_t"), F.col("_p.r").alias("_r")).filter(here)
+    c = c.select(*group, "_coarse", "_t", "_h", (F.col("_r") - F.col("_before")).alias("_r"))
+    f = fine.join(c, [*group, "_coarse"]).withColumn("_before", before("_fine", "_t")).filter(here)
+    f = f.select(*group, "_fine", "_t", "_h", (F.col("_r") - F.col("_before")).alias("_r"))
+    found = values.join(f, [*group, "_fine"]).withColumn("_before", before("_v", "_t")).filter(here)
+    agg = found.groupBy(*group).agg(F.max(F.when(F.col("_t") == 0, F.col("_v"))).alias("_vl"), F.max(F.when(F.col("_t") == 1, F.col("_v"))).alias("_vh"),
+                                    F.max("_h").alias("_h"))
+    frac = F.col("_h") - F.floor("_h").cast("double")
     res = F.when(F.col("_vl") == F.col("_vh"), F.col("_vl")) \
         .otherwise((F.lit(1.0) - frac) * F.col("_vl") + frac * F.col("_vh"))
     return agg.select(*group, res.alias(out))

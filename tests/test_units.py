@@ -243,7 +243,7 @@ def test_rows_without_a_sku_are_never_stored(spark):
 def test_building_state_and_deal_plans_starts_no_job(spark):
     import __spark_entry__ as E
 
-    qs, names = E.queries(), ["ups_snapshot", "ups_upsert", "agg_run_stats", "joi_top_deals", "joi_savings_summary", "joi_keyword_join"]
+    qs, names = E.queries(), ["ups_snapshot", "ups_upsert", "agg_run_stats", "joi_top_deals", "joi_savings_summary", "joi_keyword_join", "agg_category_prices"]
     for n in names:  # parquet footers are read once
         qs[n](spark, SF_SMALL)
     spark.sparkContext.setJobGroup("plans-only", "")
@@ -302,20 +302,53 @@ def test_upload_audit(spark):
     assert row["columns_matched"] == ["product"] and row["columns_missing"] == ["price_per_unit", "product_id"]
 
 
-def test_lag_by_key_matches_window_with_a_hot_key(spark):
+@pytest.mark.parametrize("hot_share,bins", [(1000, 4096), (3, 7), (3, 1), (1, 4)])
+def test_lag_by_key_matches_window_with_a_hot_key(spark, hot_share, bins):
     from pyspark.sql import Window
     from pricelens.plans.shapes import lag_by_key
 
-    hot = spark.range(6000).select(F.lit(1).alias("k"), F.col("id").alias("t"), (F.col("id") % 5).alias("v"))
-    cold = spark.range(300).select((F.col("id") % 30 + 2).alias("k"), F.col("id").alias("t"), F.col("id").alias("v"))
+    # half of all rows: one key, most of them in a small part of its range; keys, places and values may be null
+    hot = spark.range(6000).select(F.lit(1).alias("k"), F.when(F.col("id") > 5990, F.col("id") * 1000).when(F.col("id") > 0, F.floor(F.col("id") / 2)).alias("t"),
+                                   F.col("id").alias("u"), (F.col("id") % 5).alias("v"))
+    cold = spark.range(300).select(F.when(F.col("id") % 30 > 0, F.col("id") % 30 + 2).alias("k"), F.col("id").alias("t"), F.col("id").alias("u"),
+                                   F.when(F.col("id") % 7 > 0, F.col("id")).alias("v"))
     df = hot.unionByName(cold)
-    got = lag_by_key(df, ["k"], ["t"], ["v"], bucket=F.floor(F.col("t") / 500))
-    w = Window.partitionBy("k").orderBy("t")
-    want = df.select("k", "t", F.lag("v").over(w).alias("prev_v"), F.lag("t").over(w).isNotNull().alias("has_prev"))
-    assert sorted(rows(got, "k", "t", "prev_v", "has_prev")) == sorted(rows(want, "k", "t", "prev_v", "has_prev"))
-    got.collect()
-    small = lag_by_key(df, ["k"], ["t"], ["v"])  # all in one bucket
-    assert sorted(rows(small, "k", "t", "prev_v", "has_prev")) == sorted(rows(want, "k", "t", "prev_v", "has_prev"))
+    w = Window.partitionBy("k").orderBy("t", "u")
+    want = df.select("k", "t", "u", F.lag("v").over(w).alias("prev_v"), (F.row_number().over(w) > 1).alias("has_prev"))
+    got = lag_by_key(df, ["k"], ["t", "u"], ["v"], hot_share=hot_share, bins=bins)
+    cols = ("k", "t", "u", "prev_v", "has_prev")
+    assert sorted(rows(got, *cols), key=str) == sorted(rows(want, *cols), key=str)
+
+
+def test_lag_by_key_keeps_a_hot_month_even(spark):
+    from pricelens.plans.shapes import lag_by_key
+
+    start = F.lit("2024-03-01").cast("timestamp")
+    hot = spark.range(40000).select(F.lit(1).alias("k"), F.timestamp_seconds(F.unix_timestamp(start) + F.col("id") * 60).alias("t"), F.col("id").alias("v"))
+    cold = spark.range(40000).select(F.col("id") + 2, F.timestamp_seconds(F.unix_timestamp(start) - F.col("id") * 3600), F.col("id"))
+    got = lag_by_key(hot.union(cold), ["k"], ["t"], ["v"], bins=256).withColumn("p", F.spark_partition_id())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)  # small partitions would be put together again
+    try:
+        sizes = sorted(r["count"] for r in got.where("k = 1").groupBy("p").count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(sizes) == 40000 and sizes[-1] < 2 * 40000 / n + 512
+
+
+@pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.99, 1.0])
+def test_exact_quantile_equals_percentile(spark, q):
+    from pricelens.plans.shapes import exact_quantile
+
+    x = F.col("id")
+    v = F.when(x % 11 == 0, None).when(x % 5 == 0, 0.0).when(x % 3 == 0, -(x % 97) / 7.0).when(x % 7 == 0, 1e300 / (x + 1)).otherwise(F.pow(F.lit(1.01), x % 500) + x * 1e-12)
+    df = spark.range(5000).select((x % 4).alias("g"), v.cast("double").alias("v")).union(spark.createDataFrame([(9, 2.5), (10, None), (11, 1.0), (11, float("inf"))], "g long, v double"))
+    want = df.where("v is not null").groupBy("g").agg(F.expr(f"percentile(v, {q})").alias("w"))
+    both = exact_quantile(df, "v", q, ["g"], "q").join(want, "g", "full").collect()
+    assert len(both) == 6 and all(r["q"] == r["w"] or abs(r["q"] - r["w"]) <= 1e-12 * abs(r["w"]) for r in both)
+    whole = df.where("g < 4")
+    assert exact_quantile(whole, "v", q).first()[0] == pytest.approx(whole.agg(F.expr(f"percentile(v, {q})")).first()[0], rel=1e-12)
+    assert exact_quantile(df.limit(0), "v", q).first()[0] is None
 
 
 def test_scalar_attach_is_not_a_cross_join(spark):
