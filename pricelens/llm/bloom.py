@@ -20,8 +20,13 @@ def bitmaps(keys: DataFrame, size: int, hashes: int, seed: int = 0) -> DataFrame
 
 def one_row(keys: DataFrame, size: int, hashes: int, seed: int = 0) -> Column:
     """All blocks in order as one array, for use as a scalar subquery: ``size`` / 8 bytes."""
-    every = keys.sparkSession.range(-(-size // BLOCK)).select(F.col("id").cast("int").alias("block"))
-    full = every.join(bitmaps(keys, size, hashes, seed), "block", "left").select(F.struct("block", F.coalesce("bits", F.lit(bytes(BLOCK // 8))).alias("bits")).alias("b"))
+    return blocks_in_order(bitmaps(keys, size, hashes, seed), size)
+
+
+def blocks_in_order(maps: DataFrame, size: int) -> Column:
+    """``maps(block, bits)`` as one array, a scalar subquery."""
+    every = maps.sparkSession.range(-(-size // BLOCK)).select(F.col("id").cast("int").alias("block"))
+    full = every.join(maps, "block", "left").select(F.struct("block", F.coalesce("bits", F.lit(bytes(BLOCK // 8))).alias("bits")).alias("b"))
     return full.agg(F.transform(F.sort_array(F.collect_list("b")), lambda b: b["bits"]).alias("blocks")).scalar()
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -36,26 +37,29 @@ def keys(host_col: str, path_col: str, lengths: list[int]) -> Column:
 
 @dataclass
 class Bloom:
-    bits: bytes
+    name: str
+    blocks: Column  # a scalar subquery over the written bitmaps
+    size: int
     hashes: int
     seed: int  # another for each level: keys that meet in one level must part in the next
 
-    def has(self, key: Column) -> Column:
-        """Whether all bits of the key are set."""
-        out = F.lit(True)
-        for p in bloom.positions(key, len(self.bits) * 8, self.hashes, self.seed):
-            out = out & bloom.bit(F.lit(self.bits), p)
-        return out
+    def has(self, key: Column, filters: Column) -> Column:
+        """Whether all bits of the key are set; ``filters`` as ``with_filters`` gives them."""
+        return bloom.has(filters[self.name], key, self.size, self.hashes, self.seed)
 
     @staticmethod
-    def of(members: DataFrame, n: int, bits_per_key: int, hashes: int, seed: int) -> Bloom:
-        """Filter of the ``n`` rows of ``members(key)``; its bitmaps are aggregated in Spark and are ``bits_per_key`` / 8 bytes times n."""
+    def of(members: DataFrame, n: int, bits_per_key: int, hashes: int, seed: int, name: str) -> Bloom:
+        """Filter of the ``n`` rows of ``members(key)``: its bitmaps are aggregated and written by Spark, ``bits_per_key`` / 8 bytes times n."""
         size = max(64, -(-n * bits_per_key // 8) * 8)
-        out = bytearray(-(-size // bloom.BLOCK) * bloom.BLOCK // 8)
-        for r in bloom.bitmaps(members, size, hashes, seed).collect():
-            at = r["block"] * bloom.BLOCK // 8
-            out[at:at + bloom.BLOCK // 8] = r["bits"]
-        return Bloom(bytes(out[:size // 8]), hashes, seed)
+        maps = materialize(bloom.bitmaps(members, size, hashes, seed), "urls-level")
+        return Bloom(name, bloom.blocks_in_order(maps, size), size, hashes, seed)
+
+
+def with_filters(df: DataFrame, column: str, levels: list[Bloom], value: Callable[[Column], Column]) -> DataFrame:
+    """Adds ``column``: ``value`` of all levels' blocks in one struct. The struct is made and named once, so that the optimizer
+    writes the subqueries into the expression and no row carries the blocks."""
+    d = df.withColumn("__filters", F.struct(F.lit(0).alias("none"), *[x.blocks.alias(x.name) for x in levels]))
+    return d.withColumn(column, F.element_at(F.transform(F.array("__filters"), value), 1)).drop("__filters")
 
 
 @dataclass
@@ -64,22 +68,24 @@ class Cascade:
 
     levels: list[Bloom] = field(default_factory=list)
 
-    def has(self, key: Column) -> Column:
+    def has(self, key: Column, filters: Column) -> Column:
         """Exact for every key of the universe the cascade was built over."""
         out = F.lit(False)
         for i, level in reversed(list(enumerate(self.levels))):
-            out = level.has(key) & (F.lit(True) if i == len(self.levels) - 1 else ~out)
+            out = level.has(key, filters) & (F.lit(True) if i == len(self.levels) - 1 else ~out)
         return out
 
     @staticmethod
-    def build(universe: DataFrame, listed: Column, bits_per_key: int = 10, hashes: int = 4) -> Cascade:
+    def build(universe: DataFrame, listed: Column, name: str, bits_per_key: int = 10, hashes: int = 4) -> Cascade:
         """``universe(key, ...)`` has every key that will be asked for, once; ``listed`` tells the members."""
         out = Cascade()
         inside, outside = universe.where(listed), universe.where(~listed)
         n = inside.count()
         while n:
-            out.levels.append(Bloom.of(inside, n, bits_per_key, hashes, len(out.levels) * hashes))
-            inside, outside = outside.where(out.levels[-1].has(F.col("key"))), inside
+            level = Bloom.of(inside, n, bits_per_key, hashes, len(out.levels) * hashes, f"{name}{len(out.levels)}")
+            out.levels.append(level)
+            passed = with_filters(outside, "__in", [level], lambda f: level.has(F.col("key"), f)).where("__in").drop("__in")
+            inside, outside = passed, inside
             n = inside.count()
         return out
 
@@ -94,8 +100,10 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
     The universe is every key that any url of ``pages`` can ask for: made with a partial aggregate and written once. One
     cascade encodes the keys with an allowing rule, one those with a blocking rule, each exact over the universe. Urls
     are then judged in one pass over the pages, without a join. Filters take ``bits_per_key`` bits for each listed key that
-    occurs, and are the only thing sent out; the list is a configuration that the driver can hold. Null urls, and urls
-    without ``://``, have an empty host and path.
+    occurs, and are the only thing sent out: each level is a written table that a scalar subquery reads (125 MB for 10^8 listed
+    keys that occur), no literal of the plan. Null urls, and urls without ``://``, have an empty host and path; very long
+    urls have as many keys as dots times lengths of listed paths. Rows that repeat are judged each for itself, and an empty
+    table gives an empty table.
     """
     listed = rules.select(F.concat(F.translate("host", string.ascii_uppercase, string.ascii_lowercase), "path").alias("key"), F.length("path").alias("n"), "verdict")
     lengths = sorted(r["n"] for r in listed.select("n").distinct().collect())
@@ -103,10 +111,13 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
     asked = src.withColumn("keys", keys("host", "path", lengths)) if lengths else src.withColumn("keys", F.array().cast("array<string>"))
     known = listed.groupBy("key").agg(F.max("verdict").alias("verdict"))  # block comes after allow
     universe = materialize(asked.select(F.explode("keys").alias("key")).distinct().join(known, "key", "left"), "urls-universe")
-    blocked = Cascade.build(universe, F.coalesce(F.col("verdict") == "block", F.lit(False)))
-    allowed = Cascade.build(universe, F.coalesce(F.col("verdict") == "allow", F.lit(False)))
-    fits = F.filter("keys", lambda k: blocked.has(k) | allowed.has(k))
-    best = F.array_max(F.transform(fits, lambda k: F.struct(F.length(k).alias("n"), k.alias("key"))))["key"]
-    out = asked.withColumn("rule", best)
-    verdict = F.when(F.col("rule").isNull(), F.lit(default)).when(blocked.has(F.col("rule")), F.lit("block")).otherwise(F.lit("allow"))
-    return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
+    blocked = Cascade.build(universe, F.coalesce(F.col("verdict") == "block", F.lit(False)), "block")
+    allowed = Cascade.build(universe, F.coalesce(F.col("verdict") == "allow", F.lit(False)), "allow")
+
+    def longest(filters: Column) -> Column:
+        fits = F.filter("keys", lambda k: blocked.has(k, filters) | allowed.has(k, filters))
+        return F.array_max(F.transform(fits, lambda k: F.struct(F.length(k).alias("n"), k.alias("key"), blocked.has(k, filters).alias("block"))))
+
+    out = with_filters(asked, "best", blocked.levels + allowed.levels, longest)
+    verdict = F.when(F.col("best").isNull(), F.lit(default)).when(F.col("best.block"), F.lit("block")).otherwise(F.lit("allow"))
+    return out.select("page_id", "host", "path", F.col("best.key").alias("rule"), verdict.alias("verdict"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_MID
-from pricelens.llm import decontaminate, language, lines, packing, quality, repetition, sampling, simhash, substring, toxicity, urls
+from pricelens.llm import bloom, decontaminate, language, lines, packing, quality, repetition, sampling, simhash, substring, toxicity, urls
 from pricelens.llm.common import MULT, window_hash
 from pricelens.llm.components import connected_components
 from pricelens.llm.queries import tokenizer
@@ -446,9 +447,24 @@ def test_urls_by_hand_and_odd_rows(spark):
 
 def test_cascade_is_exact_over_its_universe(spark):
     universe = spark.range(6000).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
-    c = urls.Cascade.build(universe, F.col("listed"), bits_per_key=3, hashes=2)
+    c = urls.Cascade.build(universe, F.col("listed"), "c", bits_per_key=3, hashes=2)
     assert len(c.levels) > 2
-    assert universe.where(c.has(F.col("key")) != F.col("listed")).count() == 0
+    marked = urls.with_filters(universe, "has", c.levels, lambda f: c.has(F.col("key"), f))
+    assert marked.where("has <> listed").count() == 0
+
+
+def test_a_long_url_list_is_no_literal_of_the_plan(spark):
+    n = 120_000
+    rules = spark.range(n).select(F.concat(F.lit("h"), "id", F.lit(".net")).alias("host"), F.lit("/").alias("path"), F.when(F.col("id") % 3 == 0, "allow").otherwise("block").alias("verdict"))
+    pages = spark.range(0, 2 * n, 2).select(F.col("id").alias("page_id"), F.concat(F.lit("http://www.h"), "id", F.lit(".net/x")).alias("url"))
+    got = urls.judge(pages, rules)
+    literals = re.findall(r"0x[0-9A-F]+", got._jdf.queryExecution().toString())
+    assert max(map(len, literals), default=0) <= 2 + bloom.BLOCK // 4  # an empty block at most; a filter of the list has 37 of them
+    x = F.col("page_id")
+    listed = x < n
+    want = F.when(~listed | (x % 3 == 0), "allow").otherwise("block")
+    rule = F.when(listed, F.concat(F.lit("h"), x, F.lit(".net/")))
+    assert got.where((F.col("verdict") != want) | ~F.col("rule").eqNullSafe(rule)).count() == 0 and got.count() == n
 
 
 # ---------------------------------------------------------------- toxicity
