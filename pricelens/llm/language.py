@@ -123,6 +123,8 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     A text's n-grams give a row of a batch's presence matrix; two matrix products give its kernel to the landmarks and
     its regression value for each language. The largest wins (ties: the first name); its value in -1..1 is brought to
     0..1 as the score. Null texts and texts without a letter are ``und`` with score 0, as is all text without a model.
+    A very long text is one row of the presence matrix like any other. Rows that repeat, and null ids, are judged each for
+    itself; an empty table gives an empty table.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -142,6 +142,8 @@ def score(docs: DataFrame, model: Machine | None, threshold: float = 0.7, id_col
     """``(doc_id, score, predicted)`` of every whole text, one row per row of ``docs``; score is the probability of label 1.
 
     Null and empty texts are scored by their (empty) statistics. Without a model the score is 0.5.
+    A very long text is scored whole by its distinct words. Rows that repeat, and null ids, are scored each for itself;
+    an empty table gives an empty table.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -70,6 +70,8 @@ def quality_rules(docs: DataFrame, limits: dict[int, float] | None = None, line_
 
     Returns ``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, line_share,
     line_char_share, worst_ngram_share)``. Null and empty texts have no words and fail the base.
+    A very long text is measured whole, by arrays as long as it has words and bytes. Rows that repeat, and null ids, are
+    judged each for itself; an empty table gives an empty table. Other columns are not looked at.
     """
     limits = dict(NGRAM_LIMITS if limits is None else limits)
 

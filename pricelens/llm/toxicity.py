@@ -137,7 +137,9 @@ def train(docs: DataFrame, confirmed: DataFrame, unlabelled: DataFrame, prior: f
 def score(docs: DataFrame, model: Model | None, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, score, predicted)`` of every whole text, one row per row of ``docs``; score is the probability of toxic.
 
-    Null and empty texts have no features and get the model's bias. Without a model the score is 0.
+    Null and empty texts have no features and get the model's bias. Without a model the score is 0. A very long text is
+    scored whole by its distinct features. Rows that repeat, and null ids, are scored each for itself; an empty table gives
+    an empty table.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

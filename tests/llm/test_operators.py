@@ -136,6 +136,25 @@ def test_language_odd_rows(spark, odd, empty):
     assert language.keep_known(empty, model).count() == 0
 
 
+def test_language_model_is_plain_kernel_ridge(spark):
+    """With every row a landmark, the fit is ridge regression on the whole kernel: solved here in its dual form, the kernel from sets."""
+    rows = spark.read.parquet(f"{SF_MID}/documents.parquet").where("lang is not null").orderBy("doc_id").select("text", "lang").limit(140).collect()
+    got = [(p, r["lang"]) for r in rows if (p := language.presence(r["text"])) is not None]
+    names, ridge = sorted({y for _, y in got}), 1e-2
+    x, y = np.array([p for p, _ in got], dtype=np.float32), np.array([names.index(n) for _, n in got])
+    n = 100
+    model = language.fit(x[:n], y[:n], names, n * len(names), ridge, seed=3)
+    sets = [set(np.flatnonzero(p).tolist()) for p in x]
+    k = np.array([[len(a & b) / (len(a) * len(b)) ** 0.5 for b in sets[:n]] for a in sets])
+    weight = 1 / np.bincount(y[:n], minlength=len(names))[y[:n]]
+    left = np.block([[k[:n] + ridge * np.diag(1 / weight), np.ones((n, 1))], [np.ones((1, n)), np.zeros((1, 1))]])
+    want = np.where(y[:n, None] == np.arange(len(names)), 1.0, -1.0)
+    dual = np.linalg.solve(left, np.vstack([want, np.zeros((1, len(names)))]))
+    plain = k @ dual[:n] + dual[n]
+    assert np.abs(model.scores(x) - plain).max() < 0.02
+    assert (model.scores(x).argmax(axis=1) == plain.argmax(axis=1)).all()
+
+
 def test_language_stage_is_the_models_decision(spark):
     """Other scripts and strings that are no words go, though they have letters; clean rows that the model has not seen stay."""
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text", "lang")

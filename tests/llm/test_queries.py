@@ -13,6 +13,7 @@ from pricelens.llm import decontaminate, language
 from pricelens.llm.queries import LLM_ORACLE, LLM_QUERIES, tokenizer
 from pricelens.llm.simhash import fingerprint
 from tests.conftest import SF_MID, SF_SMALL, canon_rows
+from tests.llm.conftest import odd_rows
 
 
 @pytest.mark.parametrize("name", sorted(LLM_ORACLE))
@@ -121,6 +122,28 @@ def test_toxicity_query_columns(spark):
     assert (got.held_out == [zlib.crc32(str(d).encode()) % 3 == 1 for d in got.doc_id]).all()
 
 
+def test_toxicity_held_out(spark):
+    labels = spark.read.parquet(f"{SF_MID}/labels.parquet").select("doc_id", "toxic").toPandas()
+    got = LLM_QUERIES["op9_toxicity"](spark, SF_MID).toPandas()
+    held = got[got.held_out].merge(labels, on="doc_id")
+    assert 0 < held.toxic.sum() < len(held)
+    assert auc(held.toxic.to_numpy(), held.score.to_numpy()) > 0.85
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd, empty, tmp_path):
+    for name, docs in (("odd", odd), ("empty", empty)):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").write.parquet(str(tmp_path / name / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "odd")).toPandas()
+    ids = [r[0] for r in odd_rows() if any(c.isalpha() for c in r[1] or "")]
+    assert len(got) and set(got.doc_id.dropna().astype(int)) <= set(ids)
+    for _, g in got.sort_values("offset").groupby("sequence_id"):
+        assert g.offset.tolist() == [0, *g.length.cumsum().tolist()[:-1]] and g.length.sum() <= 4096
+    assert (got[got.piece == 0].doc_id == 7).sum() <= 2  # two rows of one id and text are one document; the third has another text
+    assert got[got.doc_id == 4].length.sum() > 4096  # the very long text, whole
+    assert corpus_pipeline.run(spark, str(tmp_path / "empty")).count() == 0
+
+
 def test_pipeline_is_its_stages_in_plain_python(spark, con):
     docs = con.sql("SELECT * FROM documents").df()
     model = language.train(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
