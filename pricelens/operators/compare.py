@@ -6,7 +6,7 @@ WIN-03 sparklines, WIN-04 price_changes, SRT-01 page / page_count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.functions.numeric import dbl, has_text
@@ -39,10 +39,10 @@ def price_comparison(products: DataFrame, vendors: DataFrame) -> DataFrame:
     return as_double(out)
 
 
-def compare(products: DataFrame, vendors: DataFrame, upc: str | None = None,
-            search: str | None = None, limit: int = 100) -> DataFrame:
-    """Offers for one UPC (or a name search), cheapest first, nulls last."""
-    if upc:
+def compare(products: DataFrame, vendors: DataFrame, upc: str | Column | None = None,
+            search: str | None = None, limit: int | None = 100) -> DataFrame:
+    """Offers for one UPC (a value, or a scalar subquery) or a name search, cheapest first, nulls last."""
+    if isinstance(upc, Column) or upc:
         p = products.filter(F.col("upc") == F.lit(upc))
     elif search and search.strip():
         p = search_name(products, search)

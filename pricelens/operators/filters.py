@@ -147,7 +147,3 @@ def price_change_detail(df: DataFrame, new: str = "unit_price", old: str = "last
 def cost_per_case(df: DataFrame) -> DataFrame:
     return df.withColumn("cost_per_case",
                          pround(F.try_divide(dbl("delivered_price"), dbl("cases_per_pallet")), 2))
-
-
-def total_weight(df: DataFrame) -> DataFrame:
-    return df.withColumn("total_weight", F.col("pack_count") * F.col("unit_size"))

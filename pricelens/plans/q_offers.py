@@ -121,6 +121,18 @@ def q_compare(spark, sf):
     return C.compare(v["products"], v["vendors"], search=SEARCH, limit=100)
 
 
+@query("joi_compare_upc", f"""
+SELECT p.{PRODUCT_COLS_NO_PRICE.replace(', ', ', p.')}, {PC.replace('CAST(', 'CAST(p.')},
+       v.name AS vendor_name, v.slug AS vendor_slug
+FROM products p LEFT JOIN vendors v USING (vendor_id)
+WHERE p.upc = (SELECT upc FROM products WHERE upc <> '' GROUP BY upc ORDER BY count(*) DESC, upc LIMIT 1)""")
+def q_compare_upc(spark, sf):
+    """All offers of the UPC that most offers have."""
+    v = V(spark, sf)
+    shared = v["products"].filter("upc <> ''").groupBy("upc").count().orderBy(F.col("count").desc(), "upc").limit(1)
+    return C.compare(v["products"], v["vendors"], upc=shared.select("upc").scalar(), limit=None)
+
+
 @query("win_best_prices", """
 SELECT upc, product_name, brand, category, vendor_id, CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(case_price AS DOUBLE) AS case_price, CAST(price_per_oz AS DOUBLE) AS price_per_oz,

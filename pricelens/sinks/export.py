@@ -45,12 +45,12 @@ def export_products(products: DataFrame, vendors: DataFrame, path: str, slug: st
                     fmt: str = "csv") -> str:
     """Write the filtered catalog ordered by name (header row for CSV).  ``cap``
     reproduces the reference's 10,000-row export limit; raises on an empty result."""
-    t = products_table(products, vendors, slug, category, search).orderBy(
-        F.col("product_name").asc_nulls_last(), "product_id")
+    t = products_table(products, vendors, slug, category, search)
+    if t.isEmpty():  # asked before the sort, so that one row is enough
+        raise ValueError("No data to export")
+    t = t.orderBy(F.col("product_name").asc_nulls_last(), "product_id")
     if cap:
         t = t.limit(cap)
-    if t.isEmpty():
-        raise ValueError("No data to export")
     return _write(t, path, fmt)
 
 
@@ -84,13 +84,13 @@ def deals_table(deals: DataFrame, offers: DataFrame, max_vendors: int = 5) -> Da
 
 
 def export_deals(deals: DataFrame, offers: DataFrame, path: str, max_vendors: int = 5) -> str:
-    t = deals_table(deals, offers, max_vendors)
-    if t.isEmpty():
+    if deals.isEmpty():  # every deal has a row, so offers need not be read for this
         raise ValueError("No deals found for export")
-    return _write(t, path, "csv")
+    return _write(deals_table(deals, offers, max_vendors), path, "csv")
 
 
 # ── SNK-03 ───────────────────────────────────────────────────────────────
+# Display headers and their columns: fixed values.
 REPORT_COLUMNS = [("Category", "category"), ("Manufacturer", "manufacturer"), ("Product", "product"),
                   ("Description", "description"), ("UPC", "upc"), ("Delivered Price", "delivered_price"),
                   ("Case Price", "delivered_case_price"), ("Price/Unit", "price_per_unit"),

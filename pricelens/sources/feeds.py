@@ -25,6 +25,7 @@ LEGACY_COLUMNS = ["category", "food_type", "manufacturer", "product", "descripti
                   "cases_per_pallet", "lead_time_days", "min_pallet_qty", "mixed_pallet", "available",
                   "has_promo", "main_category", "sub_category", "product_id", "product_url"]
 
+# Field names of the feed's records: fixed values.
 PRODUCT_RECORD = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
     T.StructField("upc", T.StringType()), T.StructField("description_short", T.StringType()),

@@ -83,6 +83,7 @@ def clean_name_col(c, pack: Column | None = None) -> Column:
     """Strip leaked price text ("current price $X", "\\n$X...", trailing "$X"), trim,
     and append the pack text in parentheses when given."""
     col = F.col(c) if isinstance(c, str) else c
+    # The patterns of leaked price text are fixed values.
     n = F.regexp_replace(col, r"current price \$[\d,.]+", "")
     n = F.regexp_replace(n, r"(?s)\n\s*\$.*$", "")
     n = _strip(F.regexp_replace(_strip(n), r"\s*\$[\d,.]+\s*$", ""))
