@@ -4,7 +4,8 @@ The driver's parquet tables are TPC-H-like.  These seven views turn them into
 the vendor / product / price-history model the operators work on.  The same
 SQL text runs in Spark and in DuckDB; for the DuckDB oracle the views are
 inlined as CTEs (``oracle_with``), for Spark they are temp views over the
-parquet scans, so Catalyst prunes and pushes filters through them.
+parquet scans, so Catalyst prunes and pushes filters through them.  The snapshot of
+offers (``products``) has a Spark text of its own, ``SPARK_VIEWS``, with the same rows.
 """
 
 from __future__ import annotations
@@ -119,6 +120,42 @@ SELECT run_id, vendor_id,
 FROM o GROUP BY run_id, vendor_id
 """
 
+# The same rows as VIEWS["products"] with one shuffle and one sort of the line items: dealt by part, they meet the part's
+# price, their window by (vendor, part), its aggregate and the part's texts in one stage.  No part table is broadcast.  ``at`` grows with
+# the window's order; of rows equal in it the first is the largest, as the row_number of the reverse order has it.
+SPARK_VIEWS: dict[str, str] = {"products": """
+WITH prices AS (SELECT p_partkey, p_retailprice FROM part),
+l AS (
+  SELECT /*+ SHUFFLE_HASH(prices) */ l_suppkey AS vendor_id, p_partkey AS part_id, l_shipdate AS captured_at,
+         l_orderkey AS run_seq, l_linenumber AS run_line,
+         CASE WHEN l_orderkey % 37 = 0 THEN NULL
+              WHEN l_orderkey % 41 = 0 THEN CAST(0 AS DECIMAL(12,4))
+              WHEN l_partkey % 4 = 0 THEN CAST(p_retailprice AS DECIMAL(12,4))
+              ELSE CAST(l_extendedprice AS DECIMAL(12,4)) END AS unit_price,
+         CAST(p_retailprice * 10 AS DECIMAL(12,4)) AS case_price,
+         l_linestatus = 'O' AS in_stock, l_discount >= 0.05 AS has_promo, l_returnflag = 'R' AS mixed_pallet
+  FROM lineitem JOIN prices ON l_partkey = p_partkey),
+o AS (
+  SELECT *, lag(unit_price) OVER w AS prev_price,
+         shiftleft(CAST(rank() OVER w AS BIGINT), 32) - row_number() OVER w AS at
+  FROM l
+  WINDOW w AS (PARTITION BY vendor_id, part_id ORDER BY captured_at, run_seq, run_line, case_price)),
+c AS (SELECT *, unit_price IS NOT NULL AND prev_price IS NOT NULL AND unit_price <> prev_price AS changed FROM o),
+p AS (
+  SELECT vendor_id, part_id, min(captured_at) AS first_seen_at, max_by(captured_at, at) AS last_seen_at,
+         max_by(unit_price, at) AS unit_price, max_by(case_price, at) AS case_price, max_by(in_stock, at) AS in_stock,
+         max_by(mixed_pallet, at) AS mixed_pallet, max_by(has_promo, at) AS has_promo, max_by(changed, at) AS price_changed,
+         CASE WHEN vendor_id IS NOT NULL THEN max_by(prev_price, at) FILTER (WHERE changed) END AS last_price
+  FROM c GROUP BY vendor_id, part_id)
+SELECT /*+ SHUFFLE_HASH(items) */ p.vendor_id * 1000000 + item_id AS product_id, p.vendor_id, CAST(part_id AS STRING) AS sku, upc, product_name, brand, category,
+       p.unit_price, p.case_price, price_per_oz, pack_size_raw, pack_count, unit_size, unit_measure,
+       cases_per_pallet, lead_time_days, p.in_stock, p.mixed_pallet, p.has_promo, image_url,
+       CASE WHEN item_id % 12 <> 11 THEN 'https://shop.example.com/products/' || CAST(part_id AS STRING) END AS product_url,
+       CASE WHEN p.vendor_id = 0 AND item_id % 2 = 0 THEN 'Amazon match for: ' || product_name WHEN item_id % 4 = 1 THEN 'item ' || CAST(part_id AS STRING) END AS description,
+       first_seen_at, last_seen_at, p.last_price, p.price_changed
+FROM p JOIN items ON part_id = item_id
+"""}
+
 VIEW_ORDER = ["vendors", "items", "observations", "products", "product_history", "catalog",
               "scrape_runs"]
 VIEW_DEPS = {
@@ -163,8 +200,9 @@ class FixtureViews:
         if k not in _VIEWS:
             for dep in VIEW_DEPS[name]:
                 self[dep].createOrReplaceTempView(dep)
-            register_tables(self.spark, self.sf_dir, [t for t in RAW_TABLES if t in VIEWS[name]])
-            _VIEWS[k] = self.spark.sql(VIEWS[name])
+            sql = SPARK_VIEWS.get(name, VIEWS[name])
+            register_tables(self.spark, self.sf_dir, [t for t in RAW_TABLES if t in sql])
+            _VIEWS[k] = self.spark.sql(sql)
         return _VIEWS[k]
 
 
