@@ -186,7 +186,7 @@ def deal_confidence(products: DataFrame, vendors: DataFrame, baseline_slug: str,
     """Confidence of every kept deal match (baseline brand/pack/name vs the match; no UPC,
     as the deal finder scores them) and the best per baseline row."""
     from pricelens.operators.deals import deal_matches
-    base, m = matches or deal_matches(products, vendors, baseline_slug, k)
+    base, m = matches or deal_matches(products, vendors, baseline_slug, k, write=True)
     pairs = (m.join(base.select("bid", F.col("product_name").alias("a_product_name"),
                                 F.col("brand").alias("a_brand"), F.col("pack_size_raw").alias("a_pack_size_raw")),
                     "bid")

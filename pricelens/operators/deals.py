@@ -48,29 +48,34 @@ def baseline_rows(products: DataFrame, vendors: DataFrame, baseline_slug: str,
 
 def deal_matches(products: DataFrame, vendors: DataFrame, baseline_slug: str, k: int = 10,
                  category: str | None = None, brand: str | None = None,
-                 require_category: bool = False, index=None) -> tuple[DataFrame, DataFrame]:
+                 require_category: bool = False, index=None, write: bool = False) -> tuple[DataFrame, DataFrame]:
     """(usable baseline rows, their top-k matches) for a baseline vendor.
 
     Only offers with a price above zero are ranked, so an unpriced one never takes a place.
     Pass the pair as ``matches`` to the reports below to plan it once for several of them.
     ``index``: a stored name index that has the names of ``products`` (see ``matching.name_matches``).
+    ``write``: both, and the offers kept of each name, are written once to the session's checkpoint folder, so that
+    what is made of them reads a few rows per baseline row and not the catalog again.
     """
     base = baseline_rows(products, vendors, baseline_slug, category, brand, require_category)
     base = base.filter(dbl("unit_price") > 0)
     base = match_keywords(base).filter(F.col("keywords").isNotNull())
+    if write:
+        ensure_checkpoint_dir(products.sparkSession)
+        base = base.checkpoint()
     offers = _offers(products, vendors).filter(dbl("unit_price") > 0)
     m = keyword_join(base.select("bid", "vendor_id", "keywords"), offers, k,
                      offer_cols=("product_id", "vendor_id", "vendor_slug", "vendor_name", "sku",
                                  "unit_price", "product_name", "pack_size_raw", "case_price", "brand",
-                                 "image_url", "product_url", "in_stock"), index=index)
-    return base, m
+                                 "image_url", "product_url", "in_stock"), index=index, write=write)
+    return base, m.checkpoint() if write else m
 
 
 def deal_offers(products: DataFrame, vendors: DataFrame, baseline_slug: str, k: int = 10,
                 matches: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Every kept match with its details, its normalised price and its price difference vs
     the baseline (flat all_vendors list)."""
-    base, m = matches or deal_matches(products, vendors, baseline_slug, k)
+    base, m = matches or deal_matches(products, vendors, baseline_slug, k, write=True)
     j = m.join(base.select("bid", F.col("unit_price").alias("bp")), "bid")
     diff = pround(dbl("m_unit_price") - dbl("bp"), 2)
     case = dbl("m_case_price")
@@ -101,8 +106,9 @@ def top_deals(products: DataFrame, vendors: DataFrame, baseline_slug: str,
     ``confidence`` - optional (bid, best_confidence) frame (see confidence.py); taken from the
     matches when the order asks for it.
     """
-    base, m = matches or deal_matches(products, vendors, baseline_slug, k, category, brand)
-    if confidence is None and sort_by == "confidence":
+    scores = confidence is None and sort_by == "confidence"
+    base, m = matches or deal_matches(products, vendors, baseline_slug, k, category, brand, write=scores)
+    if scores:
         from pricelens.operators.confidence import best_confidence, deal_confidence
         confidence = best_confidence(deal_confidence(products, vendors, baseline_slug, k, matches=(base, m)))
     best = m.groupBy("bid").agg(
@@ -141,9 +147,7 @@ def deal_details(products: DataFrame, vendors: DataFrame, baseline_slug: str,
     offers of deals that stay are scored.
     """
     from pricelens.operators.confidence import best_confidence, breakdown, deal_confidence
-    base, m = deal_matches(products, vendors, baseline_slug, k, category, brand, index=index)
-    ensure_checkpoint_dir(products.sparkSession)
-    m = m.checkpoint()
+    base, m = deal_matches(products, vendors, baseline_slug, k, category, brand, index=index, write=True)
     found = {"limit": limit, "sort_by": sort_by, "k": k}
     if sort_by == "confidence":
         scored = deal_confidence(products, vendors, baseline_slug, k, matches=(base, m)).checkpoint()  # texts are compared once

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.plans.shapes import top_k_per_group
+from pricelens.session import ensure_checkpoint_dir
 
 # Fixed value: description prefix the baseline vendor's rows carry.
 MATCH_PREFIX = "Amazon match for:"
@@ -94,14 +95,14 @@ def _baseline_sets(baseline: DataFrame) -> DataFrame:
 
 
 def name_matches(sets: DataFrame, names: DataFrame, salts: int = 8, index=None) -> DataFrame:
-    """(b_vendor_id, kws, lname): the names of ``names(lname)`` that contain every keyword of a set.
+    """(columns of ``sets``, lname): the names of ``names(lname)`` that contain every keyword of a set.
 
-    Works on the distinct keyword sets of a vendor, ``sets(b_vendor_id, kws)``.  A trigram that
+    Works on the distinct rows of ``sets``: ``kws``, and whatever the matches are to be kept apart by.  A trigram that
     most names have is dealt over ``salts`` tasks: each name goes to one of them, each set to all.
     ``index``: a stored ``sinks.nameindex.NameIndex`` that has these names, read instead of making their trigrams;
     names that only the index has may come out too.
     """
-    key = ["b_vendor_id", "kws"]
+    key = sets.columns
     grams = trigram_index(names) if index is None else index.postings().select("lname", "tri")
     freq = grams.groupBy("tri").agg(F.count(F.lit(1)).alias("freq"))
     kw = sets.select(*key).distinct().select(*key, F.explode(F.split("kws", " ")).alias("kw"))
@@ -119,23 +120,29 @@ def name_matches(sets: DataFrame, names: DataFrame, salts: int = 8, index=None)
 MATCH_ORDER = ["unit_price", "vendor_slug", "sku"]
 
 
-def _named_offers(baseline: DataFrame, offers: DataFrame, cols, index=None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(baseline sets, (b_vendor_id, kws, lname) matches, (lname, own, cols) offers): ``own`` is the
-    offer's vendor if that is a vendor of the baseline, whose own rows may not take the offer; else null."""
-    b = _baseline_sets(baseline)
-    own = baseline.select(F.col("vendor_id").alias("own")).distinct()
+def _named_offers(baseline: DataFrame, offers: DataFrame, cols) -> tuple[DataFrame, DataFrame]:
+    """(baseline sets, (lname, own, cols) offers): ``own`` is the offer's vendor if that is a vendor of the
+    baseline, whose own rows may not take the offer; else null."""
+    own = F.broadcast(baseline.select(F.col("vendor_id").alias("own")).distinct())  # one id per vendor of the baseline
     o = offers.select(F.lower("product_name").alias("lname"), *cols)
-    return b, name_matches(b, o.select("lname"), index=index), o.join(own, o["vendor_id"] == own["own"], "left")
+    return _baseline_sets(baseline), o.join(own, o["vendor_id"] == own["own"], "left")
 
 
-def _elsewhere(pairs: DataFrame, named: DataFrame) -> DataFrame:
-    """The matches with what ``named(lname, own, ...)`` holds for their names at other vendors."""
-    return pairs.join(named, "lname").filter(F.col("own").isNull() | (F.col("own") != F.col("b_vendor_id")))
+def _elsewhere(rows: DataFrame) -> DataFrame:
+    """Of rows (b_vendor_id, own, ...) those that are not the baseline row's own vendor's."""
+    return rows.filter(F.col("own").isNull() | (F.col("own") != F.col("b_vendor_id")))
+
+
+def _spare(rows: DataFrame, key: str, order: list[Column], k: int) -> DataFrame:
+    """Rows of each ``key`` that hold the best ``k`` whichever one vendor of the baseline is left out: the first
+    ``2 * k``, counting the best ``k`` of a vendor only.  So a key has as many however many vendors the baseline has."""
+    best = top_k_per_group(rows, [key, "own"], order, k, "_r").drop("_r")
+    return top_k_per_group(best, [key], order, 2 * k, "_r").drop("_r")
 
 
 def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
                  offer_cols=("product_id", "vendor_id", "vendor_slug", "sku", "unit_price"),
-                 index=None) -> DataFrame:
+                 index=None, write: bool = False) -> DataFrame:
     """All offers of *other* vendors whose name contains every keyword of a baseline row,
     best k per row by (unit_price, vendor_slug, sku).
 
@@ -144,31 +151,41 @@ def keyword_join(baseline: DataFrame, offers: DataFrame, k: int | None = 10,
     vendor are dropped.  Pass only offers that may be ranked: a zero price would come first.
     Returns (bid, <offer_cols prefixed m_>, rank).
 
-    Rows with the same keywords are matched once.  Of a name's offers only the best k at vendors
-    outside the baseline, and the best k of each vendor in it, are joined to the rows that match the name.
-    ``index``: see ``name_matches``.
+    Rows with the same keywords are matched once, at whatever vendor.  Of a name's offers, and of those that keywords
+    match, only as many are kept as the best k of any vendor of the baseline can need (``_spare``).
+    ``index``: see ``name_matches``.  ``write``: the offers kept of each name go to the session's checkpoint folder, so
+    that the offers are read once, not for their names and for themselves.
     """
-    b, pairs, named = _named_offers(baseline, offers, offer_cols, index)
+    b, named = _named_offers(baseline, offers, offer_cols)
+    names = named
     if k:
-        named = top_k_per_group(named, ["lname", "own"], [F.col(c).asc_nulls_last() for c in MATCH_ORDER], k, "_r").drop("_r")
-    m = _elsewhere(pairs, named)
-    m = m.select("b_vendor_id", "kws", *[F.col(c).alias(f"m_{c}") for c in offer_cols])
+        named = _spare(named, "lname", [F.col(c).asc_nulls_last() for c in MATCH_ORDER], k)
+        if write:
+            ensure_checkpoint_dir(offers.sparkSession)
+            names = named = named.checkpoint()
+    m = name_matches(b.select("kws"), names.select("lname"), index=index).join(named, "lname")
+    m = m.select("kws", "own", *[F.col(c).alias(f"m_{c}") for c in offer_cols])
     order = [F.col(f"m_{c}").asc_nulls_last() for c in MATCH_ORDER]
+    sets = b.select("b_vendor_id", "kws").distinct()
     if k:
+        m = _elsewhere(sets.join(_spare(m, "kws", order, k), "kws")).drop("own")
         ranked = top_k_per_group(m, ["b_vendor_id", "kws"], order, k, "rank")
     else:
         w = Window.partitionBy("b_vendor_id", "kws").orderBy(*order)
-        ranked = m.withColumn("rank", F.row_number().over(w).cast("bigint"))
+        ranked = _elsewhere(sets.join(m, "kws")).drop("own").withColumn("rank", F.row_number().over(w).cast("bigint"))
     return b.join(ranked, ["b_vendor_id", "kws"]).drop("b_vendor_id", "kws")
 
 
 def keyword_best_price(baseline: DataFrame, offers: DataFrame, price: str = "unit_price", index=None) -> DataFrame:
     """(bid, best_other, matched): the lowest non-zero price among *all* matches of a baseline
     row at other vendors (null when all are zero); rows without a match do not appear.
-    A minimum per name is joined, never the offers."""
-    b, pairs, named = _named_offers(baseline, offers, ("vendor_id", price), index)
+    A minimum per name is joined, never the offers, and of the minima that keywords match the two lowest."""
+    b, named = _named_offers(baseline, offers, ("vendor_id", price))
     low = F.min(F.when(F.col(price).cast("double") != 0, F.col(price)))
     names = named.groupBy("lname", "own").agg(low.alias("low"))
-    rows = _elsewhere(pairs, names).groupBy("b_vendor_id", "kws").agg(F.min("low").alias("best_other"))
+    m = name_matches(b.select("kws"), named.select("lname"), index=index).join(names, "lname")
+    m = _spare(m.groupBy("kws", "own").agg(F.min("low").alias("low")), "kws", [F.col("low").asc_nulls_last()], 1)
+    sets = b.select("b_vendor_id", "kws").distinct()
+    rows = _elsewhere(sets.join(m, "kws")).groupBy("b_vendor_id", "kws").agg(F.min("low").alias("best_other"))
     return (b.join(rows, ["b_vendor_id", "kws"])
             .select("bid", "best_other", F.lit(True).alias("_matched")))

@@ -70,7 +70,7 @@ FROM ranked WHERE rank <= 10""", views=["products", "vendors"])
 def q_keyword_join_indexed(spark, sf):
     """``joi_keyword_join`` over the stored name index."""
     v = V(spark, sf)
-    _, m = D.deal_matches(v["products"], v["vendors"], BASELINE, 10, index=stored_names(spark, v["products"]))
+    _, m = D.deal_matches(v["products"], v["vendors"], BASELINE, 10, index=stored_names(spark, v["products"]), write=True)
     return m.select("bid", "m_product_id", "m_vendor_slug", "m_sku", dbl("m_unit_price").alias("m_unit_price"),
                     "rank")
 

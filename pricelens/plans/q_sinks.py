@@ -42,7 +42,7 @@ SELECT baseline_product AS "Baseline Product", baseline_sku AS "Baseline SKU", b
 FROM deals LEFT JOIN wide USING (bid)""", views=["products", "vendors"])
 def q_deals_table(spark, sf):
     v = V(spark, sf)
-    m = D.deal_matches(v["products"], v["vendors"], BASELINE, 10)
+    m = D.deal_matches(v["products"], v["vendors"], BASELINE, 10, write=True)
     deals = D.top_deals(v["products"], v["vendors"], BASELINE, limit=25, matches=m)
     offers = D.deal_offers(v["products"], v["vendors"], BASELINE, 10, matches=m)
     offers = offers.join(v["vendors"].selectExpr("slug AS vendor_slug", "name AS vendor_name"), "vendor_slug")
