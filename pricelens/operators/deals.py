@@ -248,6 +248,25 @@ def vendors_in(offers: DataFrame) -> DataFrame:
         ["vendor_slug"])
 
 
+def _first_groups(offers: DataFrame, baseline_slug: str, manual_price: float | None, sort_by: str, limit: int) -> DataFrame:
+    """(group_key) of the first ``limit`` groups of a matrix, from the columns its order needs."""
+    if sort_by in ("savings", "baseline_price"):
+        per = offers.groupBy("group_key", "vendor_slug").agg(
+            F.max(F.struct("product_name", "product_id", dbl("unit_price").alias("price"))).getField("price").alias("price"))
+        g = per.groupBy("group_key")
+        if sort_by == "savings":
+            g = g.agg(pround(F.max("price") - F.min("price"), 2).alias("_o"))
+            o_ = F.coalesce(F.col("_o"), F.lit(0.0)).desc()
+        else:
+            own = F.lit(None if manual_price is None else float(manual_price)).cast("double")
+            g = g.agg(F.coalesce(own, F.max(F.when(F.col("vendor_slug") == F.lit(baseline_slug), F.col("price")))).alias("_o"))
+            o_ = F.coalesce(F.col("_o"), F.lit(float("inf"))).asc()
+    else:
+        g = offers.groupBy("group_key").agg(F.min(F.struct("product_name", "product_id")).getField("product_name").alias("_o"))
+        o_ = F.lower("_o").asc_nulls_last()
+    return g.orderBy(o_, F.col("group_key")).limit(limit).select("group_key")
+
+
 def price_matrix(products: DataFrame, vendors: DataFrame, search: str, baseline_slug: str,
                  manual_price: float | None = None, category: str | None = None,
                  brand: str | None = None, sort_by: str = "name", limit: int | None = 50) -> DataFrame:
@@ -258,15 +277,19 @@ def price_matrix(products: DataFrame, vendors: DataFrame, search: str, baseline_
     window aggregates over the chosen offers (one row per vendor per group).
     """
     o = matrix_groups(matrix_offers(products, vendors, search, category, brand))
+    if limit:
+        # at most ``limit`` keys: a bounded broadcast; the other groups are left out before their texts are dealt
+        top = _first_groups(o, baseline_slug, manual_price, sort_by, limit)
+        o = o.join(F.broadcast(top), "group_key", "left_semi")
     # One pass over the offers per (group, vendor): the vendor's last offer in
     # (product_name, product_id) order is its matrix entry, its first offer is a
     # candidate for the group's display fields (the group's first offer overall).
-    keep = ["vendor_name", "product_name", "sku", "upc", "unit_price", "case_price", "pack_size_raw",
-            "in_stock", "image_url", "product_url", "description", "product_id"]
-    okey = F.struct("product_name", "product_id")
+    # Both structs begin with that order, so nothing has to be carried beside them.
+    keep = ["product_name", "product_id", "vendor_name", "sku", "upc", "unit_price", "case_price", "pack_size_raw",
+            "in_stock", "image_url", "product_url", "description"]
     per = o.groupBy("group_key", "vendor_slug").agg(
-        F.max_by(F.struct(*keep), okey).alias("_last"),
-        F.min_by(F.struct("product_name", "product_id", "brand", "category", "upc"), okey).alias("_first"))
+        F.max(F.struct(*keep)).alias("_last"),
+        F.min(F.struct("product_name", "product_id", "brand", "category", "upc")).alias("_first"))
     per = per.select("group_key", "vendor_slug", *[F.col(f"_last.{c}").alias(c) for c in keep], "_first")
     # Group-level figures as window aggregates over the per-vendor rows: after the
     # per-vendor pick a group holds at most one row per vendor, so a group is bounded
@@ -295,17 +318,6 @@ def price_matrix(products: DataFrame, vendors: DataFrame, search: str, baseline_
     r = (g.withColumn("avg_price", pround(F.col("_sum").cast("double") / F.col("_n"), 2))
          .withColumn("max_savings", pround(F.col("worst_price") - F.col("best_price"), 2))
          .drop("_sum", "_n", "_bl_price"))
-    if limit:
-        if sort_by == "savings":
-            o_ = [F.coalesce(F.col("max_savings"), F.lit(0.0)).desc()]
-        elif sort_by == "baseline_price":
-            o_ = [F.coalesce(F.col("baseline_price"), F.lit(float("inf"))).asc()]
-        else:
-            o_ = [F.lower("display_name").asc_nulls_last()]
-        top = (r.select("group_key", "max_savings", "baseline_price", "display_name").dropDuplicates(["group_key"])
-               .orderBy(*o_, F.col("group_key")).limit(limit).select("group_key"))
-        # at most ``limit`` keys: a bounded broadcast
-        r = r.join(F.broadcast(top), "group_key", "left_semi")
     bl = F.col("baseline_price")
     diff = F.when(F.col("price").isNotNull() & bl.isNotNull(), pround(F.col("price") - bl, 2))
     r = normalize_unit_price(r, prefix="_norm_", price="price", price_per_oz=None, pack_count=None,

@@ -9,6 +9,7 @@ from pricelens.operators import deals as D
 from pricelens.plans.q_catalog import unit_price_sql
 from pricelens.plans.q_deals import _deals_sql
 from pricelens.plans.registry import BASELINE, V, query
+from pricelens.session import ensure_checkpoint_dir
 
 _BNU = unit_price_sql(price="price", ppo=None, pc=None, us=None, um=None, raw="pack")
 
@@ -117,5 +118,7 @@ def q_matrix_confidence(spark, sf):
                      F.col("baseline_product.pack_size_raw").alias("a_pack_size_raw"),
                      F.col("product_name").alias("b_product_name"), F.col("vendor_name").alias("b_brand"),
                      F.col("upc").alias("b_upc"), F.col("pack_size").alias("b_pack_size_raw"))
+    ensure_checkpoint_dir(spark)
+    pairs = pairs.checkpoint()  # scores read the pairs several times; the matrix is made once
     return CF.match_confidence(pairs).select("group_key", "vendor_slug", "upc_points", "brand_points",
                                              "pack_points", "name_points", "score", "level")

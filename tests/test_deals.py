@@ -64,3 +64,24 @@ def test_scores_read_the_catalog_twice(spark, catalog):
     assert scored.count() > 0 and seen.value <= 2 * n
     seen.value = 0
     assert D.top_deals(read, vendors, "base", sort_by="confidence").count() == 25 and seen.value <= 2 * n
+
+
+@pytest.mark.parametrize("sort_by", ["name", "savings", "baseline_price"])
+@pytest.mark.parametrize("manual", [None, 2.5])
+def test_limited_matrix_is_the_head_of_the_whole(spark, catalog, sort_by, manual):
+    products, vendors = catalog
+    made = lambda limit: D.price_matrix(products, vendors, "", "shop-7", manual, sort_by=sort_by, limit=limit)
+    whole = [r.asDict() for r in made(None).drop("baseline_product").collect()]
+    order = {"name": lambda r: r["display_name"].lower(), "savings": lambda r: -(r["max_savings"] or 0.0),
+             "baseline_price": lambda r: float("inf") if r["baseline_price"] is None else r["baseline_price"]}[sort_by]
+    first = [k for _, k in sorted({(order(r), r["group_key"]) for r in whole})][:2]
+    got = [r.asDict() for r in made(2).drop("baseline_product").collect()]
+    assert sorted(map(str, got)) == sorted(str(r) for r in whole if r["group_key"] in first) and len(got) > 2
+
+
+def test_limited_matrix_leaves_groups_out_before_it_deals_their_texts(spark, catalog):
+    """The filter to the groups shown lies below the first aggregate that carries an offer's texts."""
+    products, vendors = catalog
+    plan = D.price_matrix(products, vendors, "oz", "base", limit=2)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    texts = max(i for i, x in enumerate(plan) if "Aggregate" in x and "product_url" in x)
+    assert any("LeftSemi" in x for x in plan[texts:]) and not any("LeftSemi" in x for x in plan[:texts])
