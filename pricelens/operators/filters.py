@@ -5,10 +5,13 @@ equality / range / null predicates reach the Parquet scan as pushed filters.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.functions.numeric import dbl, pround, truthy_num
+from pricelens.session import shared_path
 
 
 # ── vendor scope (FLT-01) ───────────────────────────────────────────────────
@@ -47,11 +50,15 @@ def search_name(df: DataFrame, term: str | None, col: str = "product_name") -> D
 
 def search_indexed(df: DataFrame, index, term: str | None, col: str = "product_name") -> DataFrame:
     """``search_name`` by a stored ``sinks.nameindex.NameIndex`` that has the names of ``df``: the pattern is tried on
-    the names that have all its trigrams, and rows are joined to the names found."""
+    the names that have all its trigrams, and rows are joined to the names found.  These are written to the session's
+    checkpoint folder first: the planner then knows their size, and does not shuffle the rows for a few names."""
     term = (term or "").strip()
     if not term:
         return df
-    return df.join(index.search(term), F.lower(F.col(col)) == F.col("lname"), "left_semi")
+    path = shared_path(df.sparkSession, f"names-found-{uuid.uuid4().hex}")
+    index.search(term).write.parquet(path)
+    found = df.sparkSession.read.schema("lname string").parquet(path)
+    return df.join(found, F.lower(F.col(col)) == F.col("lname"), "left_semi")
 
 
 def search_any(df: DataFrame, pattern: str | None,

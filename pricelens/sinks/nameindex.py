@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.operators.matching import trigram_index
+from pricelens.session import ensure_checkpoint_dir
 
 MASK_BITS = 63  # trigrams of a term that are intersected; further ones are left to the check of the name
 
@@ -61,6 +62,8 @@ class NameIndex:
         seen = self.names().where(F.col("load") != load).select("lname")
         batch = offers.select(F.lower(col).alias("lname")).where("lname is not null").distinct()
         new = batch.join(seen, "lname", "left_anti")  # the planner sends out the side that is small, if one is
+        ensure_checkpoint_dir(self.spark)
+        new = new.checkpoint()  # read twice; the offers are not
         grams = trigram_index(new).withColumn("bucket", self._bucket(F.col("tri"))).withColumn("load", F.lit(load))
         # adaptive rebalancing: a bucket with a very common trigram is written by several tasks
         self._replace(grams.hint("rebalance", "bucket"), self.posting_path, ["bucket", "load"])

@@ -85,3 +85,23 @@ def test_limited_matrix_leaves_groups_out_before_it_deals_their_texts(spark, cat
     plan = D.price_matrix(products, vendors, "oz", "base", limit=2)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     texts = max(i for i, x in enumerate(plan) if "Aggregate" in x and "product_url" in x)
     assert any("LeftSemi" in x for x in plan[texts:]) and not any("LeftSemi" in x for x in plan[:texts])
+
+
+def test_indexed_search_does_not_shuffle_the_rows_for_a_few_names(spark, catalog, tmp_path):
+    from pricelens.operators.filters import search_indexed
+    from pricelens.sinks.nameindex import NameIndex
+
+    products, _ = catalog
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    index = NameIndex(spark, str(tmp_path), 8)
+    index.update(products.mapInArrow(counted, products.schema), "a")
+    assert seen.value == products.count()  # before: once for the postings and once for the names
+    out = search_indexed(products, index, "spring")
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().sparkPlan().toString()
+    assert out.count() == products.where("product_name ilike '%spring%'").count() > 0
