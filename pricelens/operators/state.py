@@ -62,13 +62,14 @@ def snapshot(obs: DataFrame, key=KEY, order=OBS_ORDER, price: str = "unit_price"
 
 
 def upsert(current: DataFrame, batch: DataFrame, key=KEY, order=OBS_ORDER, price: str = "unit_price",
-           now: Column | None = None) -> tuple[DataFrame, DataFrame]:
+           now: Column | None = None, lagged: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """UPS-01: fold a batch into the current snapshot.
 
     Returns (new_snapshot, outcomes).  Batch rows without a sku (null or empty) are skipped.  A key
     seen twice in the batch folds in arrival order.  Columns the batch carries
     override the stored ones; columns it lacks survive.  ``first_seen_at`` is kept,
     ``last_seen_at`` moves to ``now`` (default: the row's captured_at).
+    ``lagged``: ``lag_by_key`` of the batch rows that have a sku, if the caller has it.
     """
     b = batch.filter(has_sku())
     skipped = batch.filter(~has_sku()).select(*key, F.lit("skipped").alias("action"),
@@ -77,7 +78,7 @@ def upsert(current: DataFrame, batch: DataFrame, key=KEY, order=OBS_ORDER, price
                          F.col("first_seen_at").alias("_cur_first"), F.lit(True).alias("_exists"))
     seen = now if now is not None else F.col("captured_at")
     # predecessor inside the batch (skew-safe lag); a key's first batch row compares with the stored price
-    x = (lag_by_key(b, key, order, [price]).join(cur, key, "left")
+    x = ((lag_by_key(b, key, order, [price]) if lagged is None else lagged).join(cur, key, "left")
          .withColumn("_prev", F.when(F.col("has_prev"), F.col(f"prev_{price}")).otherwise(F.col("_cur_price")))
          .withColumn("changed", F.col(price).isNotNull() & F.col("_prev").isNotNull()
                      & (F.col(price) != F.col("_prev")))

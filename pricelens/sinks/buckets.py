@@ -113,7 +113,8 @@ class Change:
             return
         t = self.table
         out = os.path.join(t.root, "data", f"v={self.version:012d}-{uuid.uuid4().hex}")
-        new.withColumn("_bucket", t.bucket()).repartition("_bucket").write.partitionBy("_bucket").parquet(out)
+        # adaptive rebalancing: a large bucket is written by several tasks
+        new.withColumn("_bucket", t.bucket()).hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(out)
         there = t.spark.read.schema("_bucket int").parquet(out).distinct().collect()  # at most one row per bucket
         self.written = {r["_bucket"]: os.path.join(out, f"_bucket={r['_bucket']}") for r in there}
 

@@ -45,15 +45,17 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str
     folded again; a batch of a new checkpoint gets a version after all others.
     """
     batch = batch.persist()
+    lagged = None
     try:
         table = BucketTable(spark, root, key, buckets)
         change = table.begin(batch.filter(has_sku()), snapshot(batch.limit(0), key, order).schema, source, batch_id)
         if change is None:
             return
-        change.write(upsert(change.current, batch, key, order)[0])
+        lagged = lag_by_key(batch.filter(has_sku()), key, order, ["unit_price"]).persist()  # for the snapshot and the events
+        change.write(upsert(change.current, batch, key, order, lagged=lagged)[0])
         # change events of this batch (price moved vs the previous observation of the key)
         cur = change.current.select(*key, F.col("unit_price").alias("_cur"))
-        x = (lag_by_key(batch.filter(has_sku()), key, order, ["unit_price"]).join(cur, key, "left")
+        x = (lagged.join(cur, key, "left")
              .withColumn("old_price", F.when(F.col("has_prev"), F.col("prev_unit_price")).otherwise(F.col("_cur")))
              .filter(F.col("unit_price").isNotNull() & F.col("old_price").isNotNull()
                      & (F.col("unit_price") != F.col("old_price")))
@@ -62,6 +64,8 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str
         x.write.mode("overwrite").parquet(os.path.join(root, "_events", f"part-{change.version:012d}"))
         change.commit()
     finally:
+        if lagged is not None:
+            lagged.unpersist()
         batch.unpersist()
 
 
