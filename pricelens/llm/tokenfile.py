@@ -12,6 +12,7 @@ so one document is read by its index entry and its own frame alone.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import re
 import string
@@ -24,6 +25,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyarrow import fs as arrow_fs
@@ -31,23 +33,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import materialize, partitions, pieces
+from pricelens.llm.common import materialize, partitions
 from pricelens.llm.sampling import few
 from pricelens.session import shared_path
 
 MAGIC = b"TOKIDS01"
 HEADER = struct.Struct("<8s32sI")
 FOOTER = struct.Struct("<QQQ8s")
-CACHE_PIECES = 600_000  # pieces and pre-tokens a Python worker remembers; a string that is both has the same ids as either
+CACHE_PIECES = 400_000  # pieces and pre-tokens a Python worker remembers, and as many older ones; a string that is both has the same ids as either
+BLOCK_BYTES = 16_000_000  # of text that are encoded together, one text at least
 LATIN_END = chr(0x250)
-#: A run of blanks with the word after it: the tokenizer file never merges across its left end.
-PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+#: A piece is a run of these with the word after it: the tokenizer file never merges across its left end.
+BLANK = re.compile(r"[ \t\n\r]")
 #: Pre-tokens and byte alphabet of the tokenizer file, fixed values.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 MARKS = string.punctuation
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-#: Blanks outside PIECE, before which a boundary is not certain.
-OTHER_BLANKS = re.compile("[" + "".join(map(chr, (0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
+#: Blanks other than BLANK, before which a boundary is not certain.
+OTHER_BLANKS = "[" + "".join(map(chr, (0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]"
 
 
 class Encoder:
@@ -64,27 +67,64 @@ class Encoder:
         self.model = self.whole.model
         self.code, self.dtype = ("H", np.dtype("<u2")) if self.whole.get_vocab_size() <= 1 << 16 else ("I", np.dtype("<u4"))
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.unsure = re.compile("|".join([OTHER_BLANKS, *map(re.escape, self.added)]))
+        self.by_piece = not any(BLANK.search(a) for a in self.added)  # else such a token may lie across pieces
         rest = iter(range(256, 512))
-        self.letters = {b: chr(b if b in PRINTABLE else next(rest)) for b in range(256)}
+        self.letters = "".join(chr(b if b in PRINTABLE else next(rest)) for b in range(256))
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # what was known before; what is met again comes back
 
     def pack(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """The ids of one text, packed as ``dtype``."""
-        if not text:
-            return b""
-        if OTHER_BLANKS.search(text) or any(a in text for a in self.added):
-            return self._whole(text)
-        words, known = PIECE.findall(text), self.known
-        if len(known) > CACHE_PIECES:
-            known.clear()
+        return self.encode_column(pa.array([text], pa.string()))[0]
+
+    def encode_column(self, texts: pa.Array) -> list[bytes]:
+        """The ids of every text of an Arrow column, packed as ``dtype``; null is the empty text. Each distinct piece is looked up once."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if not self.by_piece:
+            return [self._whole(t) for t in texts.to_pylist()]
+        at = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        if not len(texts) or at[0] == at[-1]:
+            return [b""] * len(texts)
+        data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[at[0]:at[-1]]
+        at = at - at[0]
+        blank = (data == 32) | (data == 10) | (data == 9) | (data == 13)
+        begins = blank.copy()
+        begins[1:] &= ~blank[:-1]
+        begins[at[:-1][at[:-1] < len(data)]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts, len(data)).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
+        which, found = words.indices, self._ids(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(found, pa.large_binary()).take(which)
+        joined, places = ids.buffers()[2], np.frombuffer(ids.buffers()[1], dtype=np.int64)[ids.offset:ids.offset + len(ids) + 1]
+        joined = joined.to_pybytes() if joined else b""
+        cuts = places[np.searchsorted(starts, at)].tolist()
+        out = [joined[a:b] for a, b in zip(cuts, cuts[1:])]
+        if None in found:
+            unsure = starts[np.array([x is None for x in found])[which.to_numpy()]]
+            for i in np.unique(np.searchsorted(at[:-1], unsure, "right") - 1).tolist():
+                out[i] = self._whole(texts[i].as_py())
+        return out
+
+    def _ids(self, words: list[str]) -> list[bytes | None]:
+        """The ids of distinct pieces; None where they depend on more of the text."""
+        if len(self.known) > CACHE_PIECES:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        sure = not self.unsure.search("".join(words))
         out = list(map(known.get, words))
         for i, ids in enumerate(out):
             if ids is None:
-                out[i] = known.get(words[i]) or self._piece(words[i])
-        return b"".join(out)
+                p = words[i]
+                if (ids := known.get(p) or older.get(p)) is not None:
+                    known[p] = out[i] = ids
+                elif sure or not self.unsure.search(p):
+                    out[i] = self._piece(p)
+        return out
 
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii() and max(piece) >= LATIN_END:
@@ -98,12 +138,13 @@ class Encoder:
             parts = [word, tail]
         else:
             parts = PRETOKEN.findall(piece)
-        out = b"".join([self.known.get(p) or self._pretoken(p) for p in parts])
+        out = b"".join([self.known.get(p) or self.older.get(p) or self._pretoken(p) for p in parts])
         self.known[piece] = out
         return out
 
     def _pretoken(self, p: str) -> bytes:
-        got = array(self.code, [t.id for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.letters))])
+        letters = codecs.charmap_decode(p.encode(), "strict", self.letters)[0]
+        got = array(self.code, [t.id for t in self.model.tokenize(letters)])
         if sys.byteorder == "big":
             got.byteswap()
         out = self.known[p] = got.tobytes()
@@ -118,6 +159,16 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def blocks(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``BLOCK_BYTES`` of the column ``text``."""
+    for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        cuts = np.flatnonzero(np.diff(size // BLOCK_BYTES)) + 1
+        for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
+            if i < j:
+                yield b.slice(i, j - i)
+
+
 def open_uri(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     """File system and path of a file in the shared folder, as the executors see it."""
     return arrow_fs.FileSystem.from_uri(uri)
@@ -234,8 +285,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = 2, dictiona
 
     def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
-        for b in pieces(batches, 64):
-            yield pa.RecordBatch.from_arrays([pa.array([enc.encode(t) + end for t in b.column(1).to_pylist()], pa.binary())], names=["ids"])
+        for b in blocks(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([ids + end for ids in enc.encode_column(b.column(1))], pa.binary())], names=["ids"])
 
     sample = few(src.where(F.length("text") <= sample_chars), sample_docs, ["doc_id", "text"])
     samples = sorted(bytes(r["ids"]) for r in sample.mapInArrow(serialized, "ids binary").collect())
@@ -253,9 +304,9 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = 2, dictiona
             return pa.RecordBatch.from_pylist([{"path": w.uri, "part": part, "shard": shard, "documents": len(w.ids), "tokens": sum(w.tokens)}], schema=schema)
 
         schema = pa.schema([("path", pa.string()), ("part", pa.int32()), ("shard", pa.int32()), ("documents", pa.int64()), ("tokens", pa.int64())])
-        for b in pieces(batches, 256):
-            for doc_id, t in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.encode(t.as_py()) + end
+        for b in blocks(batches):
+            for doc_id, ids in zip(b.column(0).to_pylist(), enc.encode_column(b.column(1))):
+                ids += end
                 w = w or ShardWriter(f"{root}/part-{part:06d}-{shard:05d}-{attempt}.tok", shared.value, enc.dtype.itemsize)
                 w.add(doc_id, len(ids) // enc.dtype.itemsize, zstd.compress(ids))
                 if w.offsets[-1] >= shard_bytes:

@@ -9,6 +9,7 @@ from collections import Counter
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -141,6 +142,37 @@ def test_encoder_is_the_tokenizer(whole):
         assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_columns_are_encoded_text_by_text(whole):
+    rng = np.random.default_rng(6)
+    parts = [" ", "\n", "\t", "word", "Ab,", "'s", "1", "\u00e9", "\u65e5", "\xa0", "<|endoftext|>", "\x0b", "\u3000"]
+    texts = [None, "", "<|endoftext|>", "\xa0", " "] + ["".join(rng.choice(parts, rng.integers(0, 9))) for _ in range(400)] + ["", None]
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    enc = tokenfile.Encoder(tokenizer("byte_bpe_50k.json"))
+    column = pa.array(["cut off", *texts, "cut off"]).slice(1, len(texts))
+    for kind in (pa.string(), pa.large_string()):
+        assert [np.frombuffer(ids, enc.dtype).tolist() for ids in enc.encode_column(column.cast(kind))] == want
+    assert enc.encode_column(pa.array([], pa.string())) == [] and enc.encode_column(pa.array([None, ""])) == [b"", b""]
+
+
+def test_frequent_pieces_are_merged_once(monkeypatch):
+    """Words of every text stay known while others come and go."""
+    monkeypatch.setattr(tokenfile, "CACHE_PIECES", 100)
+    enc, merged = tokenfile.Encoder(tokenizer("byte_bpe_50k.json")), Counter()
+    plain = enc._pretoken
+    enc._pretoken = lambda p: merged.update([p]) or plain(p)
+    for i in range(60):
+        enc.encode_column(pa.array([f"the same words and x{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}{j:c}y" for j in range(97, 117)]))
+    assert {merged[w] for w in ("the", " same", " words", " and")} == {1} and len(enc.known) + len(enc.older) < 300
+
+
+def test_blocks_keep_the_rows(monkeypatch):
+    monkeypatch.setattr(tokenfile, "BLOCK_BYTES", 10)
+    texts = [None, "", "x" * 35, "abc", None, "defg", "hijklm", "n", "o" * 10]
+    b = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], names=["doc_id", "text"])
+    got = list(tokenfile.blocks([b, b.slice(0, 0)]))
+    assert [t for x in got for t in x.column(1).to_pylist()] == texts and 2 < len(got) < 9
+
+
 # ── ranked search ────────────────────────────────────────────────────────
 def plain_terms(text: str | None) -> list[str]:
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
