@@ -122,7 +122,8 @@ FROM o GROUP BY run_id, vendor_id
 
 # The same rows as VIEWS["products"] with one shuffle and one sort of the line items: dealt by part, they meet the part's
 # price, their window by (vendor, part), its aggregate and the part's texts in one stage.  No part table is broadcast.  ``at`` grows with
-# the window's order; of rows equal in it the first is the largest, as the row_number of the reverse order has it.
+# the window's order; of rows equal in it the first is the largest, as the row_number of the reverse order has it. It is a struct, which no
+# hash map of an aggregate can hold: the aggregate goes through the rows as the window has sorted them and keeps one offer at a time.
 SPARK_VIEWS: dict[str, str] = {"products": """
 WITH prices AS (SELECT p_partkey, p_retailprice FROM part),
 l AS (
@@ -137,7 +138,7 @@ l AS (
   FROM lineitem JOIN prices ON l_partkey = p_partkey),
 o AS (
   SELECT *, lag(unit_price) OVER w AS prev_price,
-         shiftleft(CAST(rank() OVER w AS BIGINT), 32) - row_number() OVER w AS at
+         struct(rank() OVER w AS place, -row_number() OVER w AS back) AS at
   FROM l
   WINDOW w AS (PARTITION BY vendor_id, part_id ORDER BY captured_at, run_seq, run_line, case_price)),
 c AS (SELECT *, unit_price IS NOT NULL AND prev_price IS NOT NULL AND unit_price <> prev_price AS changed FROM o),

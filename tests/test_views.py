@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from pricelens.plans import fixtures as FX
 from pricelens.plans.registry import V
@@ -42,3 +43,12 @@ def test_snapshot_shuffles_line_items_once_and_broadcasts_no_part(spark, tables)
     plan = V(spark, tables)["products"]._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(l_partkey") == 1
     assert "BroadcastExchange" not in plan and plan.count("Exchange") == 3
+
+
+def test_snapshot_holds_one_offer_at_a_time(spark, tables):
+    """The aggregate takes the window's order as it is: no hash map of all offers of a task, no second sort of them."""
+    v = V(spark, tables)
+    for df in (v["products"], v["products"].groupBy("vendor_id").agg(F.count("unit_price"), F.count_if("in_stock"))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortAggregate(key=[vendor_id") == 2
+        assert not [x for x in plan.splitlines() if "HashAggregate" in x and "part_id" in x] and plan.count(" Sort [") == 1
