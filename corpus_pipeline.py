@@ -17,8 +17,10 @@ from pricelens.llm.queries import tokenizer
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the model does not know go; it learns from the documents' own languages."""
-    return language.keep_known(docs, language.train(docs))
+    """Documents get the language the model gives them, which their pieces have in the end; those whose language it does not know go.
+
+    It learns from the documents' own languages."""
+    return language.identify(docs, language.train(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +41,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All that is left, as pieces placed in sequences of at most 4096 tokens."""
-    return packing.pack(docs, tokenizer("word_bpe_49k.json"), size=4096)
+    """All that is left, as pieces placed in sequences of at most 4096 tokens, each with its language."""
+    return packing.pack(docs, tokenizer("word_bpe_49k.json"), size=4096, keep=("lang",))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

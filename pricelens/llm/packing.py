@@ -84,25 +84,32 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, piece, start, length, ids_crc32)``: every text's ids and the end id, cut where longer than ``size``."""
+def pieces(docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
+           keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, piece, start, length, ids_crc32)``: every text's ids and the end id, cut where longer than ``size``; then the columns ``keep`` of its row."""
     end = np.array([end_id], dtype="<u4").tobytes()
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         for b in batches:
-            out = []
-            for doc, t in zip(b.column(0).to_pylist(), b.column(1)):
+            out, rows = [], []
+            for row, (doc, t) in enumerate(zip(b.column(0).to_pylist(), b.column(1))):
                 ids = enc.encode(t.as_py()) + end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at:at + 4 * size]
                     out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
+                    rows.append(row)
             cols = zip(*out) if out else ([] for _ in names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=names)
+            cols = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*cols, *(c.take(pa.array(rows, pa.int64())) for c in b.columns[2:])], names=[*names, *keep])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
+    return src.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long" + kept_schema(docs, keep))
+
+
+def kept_schema(docs: DataFrame, keep: tuple[str, ...]) -> str:
+    return "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
 
 def patterns(units: int, most: int, present: np.ndarray) -> np.ndarray:
@@ -259,17 +266,17 @@ def slots(groups: list[Group]) -> dict[str, np.ndarray]:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096, grain: int = 32, most: int = 3, end_id: int = 1, group_rows: int = 100_000,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Pack all texts into as few sequences of at most ``size`` tokens as can be.
 
-    Returns one row per piece: ``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``. Null and empty texts
+    Returns one row per piece: ``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``, then the columns ``keep`` of its row. Null and empty texts
     are one piece of the end id. Texts are tokenized once and their pieces written; only the histogram of lengths - ``size``
     numbers - comes to the driver, which packs it into groups of equal sequences. Each piece finds its place by its
     rank among the pieces of its length. Ranks are counted in groups of about ``group_rows`` (a length with more is split by a hash), so
     a length that a third of all pieces have is not numbered in one task. The places sent out are bounded by the
     sequence size as well. Rows that repeat an id are pieces of their own; null ids are kept.
     """
-    rows = materialize(pieces(docs, tokenizer_path, size, end_id, id_col=id_col, text_col=text_col), "pack-pieces")
+    rows = materialize(pieces(docs, tokenizer_path, size, end_id, id_col=id_col, text_col=text_col, keep=keep), "pack-pieces")
     histogram = np.zeros(size + 1, dtype=np.int64)
     for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect():
         histogram[r["length"]] = r["n"]
@@ -283,7 +290,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096, grain: int = 32
     sizes = sizes.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = salted.withColumn("rank", F.row_number().over(order) - 1).join(sizes, ["length", "salt"])
-    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("skip")).alias("rank"))
+    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("skip")).alias("rank"), *keep)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = where.value
@@ -297,7 +304,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096, grain: int = 32
             k = rank - s["first"][at] if len(at) else rank
             copies = s["copies"][at] if len(at) else k
             sequence, offset = (s["base"][at] + k // copies, s["offset"][at] + k % copies * length) if len(at) else (k, k)
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(sequence), pa.array(offset)],
-                                             names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(sequence), pa.array(offset), *b.columns[6:]],
+                                             names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *keep])
 
-    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long" + kept_schema(docs, keep))

@@ -167,6 +167,24 @@ def test_language_stage_is_the_models_decision(spark):
     assert kept == {r["doc_id"] for r in held.where("doc_id >= 0 and text rlike '[A-Za-z]'").collect()}
 
 
+def test_language_stage_gives_its_language_to_what_follows(spark):
+    """Rows without a language or with a wrong one get the model's, up to the packed pieces; null and unknown texts go."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").where("length(text) between 500 and 20000").select("doc_id", "text", "lang")
+    learn, held = docs.where("doc_id % 4 <> 2"), docs.where("doc_id % 4 = 2").limit(60).localCheckpoint()
+    model = language.train(learn)
+    spoilt = held.withColumn("lang", F.when(F.col("doc_id") % 8 == 2, F.lit("xx"))).union(spark.createDataFrame([(-1, None, "en"), (-2, "12", "en"), (-3, "qzx wvk jjq xx zzq", "en")], held.schema))
+    got = language.identify(spoilt, model)
+    assert got.schema == docs.schema
+    want = {r["doc_id"]: r["lang"] for r in held.collect()}
+    out = {r["doc_id"]: r["lang"] for r in got.collect()}
+    assert out.keys() == want.keys() and sum(out[d] == want[d] for d in want) >= 0.98 * len(want)
+    assert out == {r["doc_id"]: r["lang_pred"] for r in language.predict(held, model).collect()}
+    packed = packing.pack(got, tokenizer("word_bpe_49k.json"), keep=("lang",))
+    assert packed.columns[-1] == "lang" and {(r["doc_id"], r["lang"]) for r in packed.collect()} == set(out.items())
+    assert language.identify(spoilt, None).where("lang = 'xx'").count() == spoilt.where("lang = 'xx'").count()
+    assert language.identify(spoilt.limit(0), model).count() == 0
+
+
 def test_sample_is_bounded_by_ids_and_rows(spark):
     """Classes that hold a third of all rows, and an id on many rows: at most the asked number, first by the hash."""
     rows = spark.range(60000).select((F.col("id") % 50000).alias("doc_id"), F.when(F.col("id") % 50000 < 20000, 1).otherwise(F.col("id") % 7 + 10).cast("int").alias("y"))
