@@ -8,7 +8,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import materialize, partitions, text_bytes, wide_key
@@ -82,7 +82,7 @@ def links(fps: DataFrame, max_bits: int = 2, hot: int = 64) -> DataFrame:
     some = v.join(buckets.where(F.col("n").between(3, hot)).select("key").hint("merge"), "key")
     p, q = some.alias("p"), some.alias("q")
     near = F.bit_count(F.col("p.fp").bitwiseXOR(F.col("q.fp"))) <= max_bits
-    mid = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.fp") < F.col("q.fp")) & near)
+    mid = p.join(q.hint("merge"), (F.col("p.key") == F.col("q.key")) & (F.col("p.fp") < F.col("q.fp")) & near)
     mid = mid.select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b"))
 
     big = v.join(buckets.where(F.col("n") > hot).select("key").hint("merge"), "key").select("fp").distinct()
@@ -90,8 +90,9 @@ def links(fps: DataFrame, max_bits: int = 2, hot: int = 64) -> DataFrame:
     masks = F.array(*[F.lit(m - (1 << BITS) if m >> (BITS - 1) else m) for m in masks])
     wide = big.select("fp", F.explode(masks).alias("mask"))
     wide = wide.select("fp", "mask", F.col("fp").bitwiseAND(F.bitwise_not("mask")).alias("rest"))
-    heads = wide.groupBy("mask", "rest").agg(F.count("*").alias("n"), F.min("fp").alias("b")).where("n > 1").drop("n")
-    star = wide.join(heads, ["mask", "rest"]).where(F.col("fp") != F.col("b")).select(F.col("fp").alias("a"), "b")
+    # a window, not a join with the smallest: the optimizer does not count the rows an explode makes, and would send them all out
+    # through the driver. What shares a rest differs in the blanked bits only, so a window holds 2 ** max_bits rows at most.
+    star = wide.select(F.col("fp").alias("a"), F.min("fp").over(Window.partitionBy("mask", "rest")).alias("b")).where("a <> b")
     return two.union(mid).union(star).distinct()
 
 

@@ -263,6 +263,19 @@ def test_simhash_links_of_close_fingerprints(spark, bits, hot):
     assert groups(find) == groups(lambda f: got.get(f, f))
 
 
+def test_simhash_links_are_not_sent_through_the_driver(spark, tmp_path):
+    """A bucket over ``hot`` is expanded by 2,016 masks, which no estimate of the plan counts: nothing of it may be broadcast."""
+    fps = sorted({1 << b | 1 << c for b in range(33, 50) for c in range(50, 64)} | {0, 1, 2, 3})  # one bucket of the low half for all
+    spark.createDataFrame([(f - 2 ** 64 if f >> 63 else f,) for f in fps], "fp long").write.parquet(f"{tmp_path}/fps")
+    out = simhash.links(spark.read.parquet(f"{tmp_path}/fps"), 2, 64)
+    got = {(r["a"], r["b"]) for r in out.collect()}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "isFinalPlan=true" in plan
+    assert all(1 <= ((a ^ b) % 2 ** 64).bit_count() <= 2 for a, b in got)
+    assert len({r["root"] for r in connected_components(out).collect()}) == 1
+    assert {x for e in got for x in e} == {f - 2 ** 64 if f >> 63 else f for f in fps}
+
+
 # ---------------------------------------------------------------- substring dedup
 
 
