@@ -267,6 +267,37 @@ def _first_groups(offers: DataFrame, baseline_slug: str, manual_price: float | N
     return g.orderBy(o_, F.col("group_key")).limit(limit).select("group_key")
 
 
+#: Vendors that are sent to every task; more are joined by a shuffle of the offers.
+VENDORS_SENT = 1 << 19
+#: Offers of a group that may meet in one task before one is chosen for each vendor.
+GROUP_OFFERS = 1 << 17
+
+_SHOWN = ["product_name", "product_id", "vendor_name", "sku", "upc", "unit_price", "case_price", "pack_size_raw",
+          "in_stock", "image_url", "product_url", "description"]
+
+
+def _by_group(offers: DataFrame) -> DataFrame:
+    """The offers' columns that the matrix needs, dealt by group; sorted before, so that equal texts stand together when written."""
+    cols = ["group_key", "vendor_id", "brand", "category", *[c for c in _SHOWN if c != "vendor_name"]]
+    s = offers.select(*cols).sortWithinPartitions("group_key", "sku", "vendor_id")
+    # the row number keeps the optimizer from leaving out the sort, whose order nothing later asks for
+    s = s.withColumn("_n", F.monotonically_increasing_id()).filter(F.col("_n") >= 0).drop("_n")
+    return s.repartition(int(offers.sparkSession.conf.get("spark.sql.shuffle.partitions")), "group_key")
+
+
+def _per_vendor(offers: DataFrame) -> DataFrame:
+    """One row per group and vendor.
+
+    One pass over the offers: the vendor's last offer in (product_name, product_id) order is its matrix entry, its first
+    offer is a candidate for the group's display fields (the group's first offer overall). Both structs begin with that
+    order, so nothing has to be carried beside them.
+    """
+    per = offers.groupBy("group_key", "vendor_slug").agg(
+        F.max(F.struct(*_SHOWN)).alias("_last"),
+        F.min(F.struct("product_name", "product_id", "brand", "category", "upc")).alias("_first"))
+    return per.select("group_key", "vendor_slug", *[F.col(f"_last.{c}").alias(c) for c in _SHOWN], "_first")
+
+
 def price_matrix(products: DataFrame, vendors: DataFrame, search: str, baseline_slug: str,
                  manual_price: float | None = None, category: str | None = None,
                  brand: str | None = None, sort_by: str = "name", limit: int | None = 50) -> DataFrame:
@@ -275,22 +306,30 @@ def price_matrix(products: DataFrame, vendors: DataFrame, search: str, baseline_
     Per group and vendor the offer last in name order wins; the group's display
     fields come from its first offer in name order.  Group-level figures are
     window aggregates over the chosen offers (one row per vendor per group).
+
+    Without a limit the texts are dealt once, by group, sorted before that, so that what a group's offers have in common
+    stands together and takes little room in the files of the shuffle. A group is then one task's; groups of over
+    ``GROUP_OFFERS`` offers, found by a count that runs while the plan is built, are dealt by group and vendor first.
     """
-    o = matrix_groups(matrix_offers(products, vendors, search, category, brand))
     if limit:
+        o = matrix_groups(matrix_offers(products, vendors, search, category, brand))
         # at most ``limit`` keys: a bounded broadcast; the other groups are left out before their texts are dealt
         top = _first_groups(o, baseline_slug, manual_price, sort_by, limit)
-        o = o.join(F.broadcast(top), "group_key", "left_semi")
-    # One pass over the offers per (group, vendor): the vendor's last offer in
-    # (product_name, product_id) order is its matrix entry, its first offer is a
-    # candidate for the group's display fields (the group's first offer overall).
-    # Both structs begin with that order, so nothing has to be carried beside them.
-    keep = ["product_name", "product_id", "vendor_name", "sku", "upc", "unit_price", "case_price", "pack_size_raw",
-            "in_stock", "image_url", "product_url", "description"]
-    per = o.groupBy("group_key", "vendor_slug").agg(
-        F.max(F.struct(*keep)).alias("_last"),
-        F.min(F.struct("product_name", "product_id", "brand", "category", "upc")).alias("_first"))
-    per = per.select("group_key", "vendor_slug", *[F.col(f"_last.{c}").alias(c) for c in keep], "_first")
+        per = _per_vendor(o.join(F.broadcast(top), "group_key", "left_semi"))
+    else:
+        o = matrix_groups(facet(search_name(products, search), category, brand))
+        v = vendors.select("vendor_id", F.col("slug").alias("vendor_slug"), F.col("name").alias("vendor_name"))
+        if v.limit(VENDORS_SENT + 1).count() <= VENDORS_SENT:
+            v = F.broadcast(v)  # at most ``VENDORS_SENT`` rows: the offers need not be dealt by vendor
+        counts = o.groupBy(F.col("group_key").alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+        large = [r["_key"] for r in counts.filter(F.col("_n") > GROUP_OFFERS).select("_key").collect()]
+        if large:
+            keys = F.broadcast(o.sparkSession.createDataFrame([(k,) for k in large], "_key string"))
+            same = F.col("group_key").eqNullSafe(F.col("_key"))
+            per = _per_vendor(_by_group(o.join(keys, same, "left_anti")).join(v, "vendor_id"))
+            per = per.unionByName(_per_vendor(o.join(keys, same, "left_semi").join(v, "vendor_id")))
+        else:
+            per = _per_vendor(_by_group(o).join(v, "vendor_id"))
     # Group-level figures as window aggregates over the per-vendor rows: after the
     # per-vendor pick a group holds at most one row per vendor, so a group is bounded
     # by the vendor count even when one UPC carries a third of all offers.

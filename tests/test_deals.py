@@ -87,6 +87,37 @@ def test_limited_matrix_leaves_groups_out_before_it_deals_their_texts(spark, cat
     assert any("LeftSemi" in x for x in plan[texts:]) and not any("LeftSemi" in x for x in plan[:texts])
 
 
+def test_whole_matrix_deals_its_texts_once(spark, catalog):
+    """One exchange carries the offers' texts; before, they were dealt by vendor (unless that was broadcast), by group and vendor, and by group."""
+    products, vendors = catalog
+    m = D.price_matrix(products, vendors, "oz", "base", limit=None)
+    plan = m._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [x for x in plan if "Exchange hashpartitioning(" in x]
+    assert len(dealt) == 1 and "hashpartitioning(group_key" in dealt[0]
+    below = plan[plan.index(dealt[0]) + 1:]
+    assert any("Sort [group_key" in x for x in below)  # else equal texts do not stand together in the files
+    assert m.count() > 0
+
+
+@pytest.mark.parametrize("vendors_sent,group_offers", [(0, 1 << 17), (1 << 19, 8), (0, 8), (1 << 19, 0)])
+def test_whole_matrix_of_large_groups_and_many_vendors(spark, catalog, monkeypatch, vendors_sent, group_offers):
+    """The same rows whatever is sent out and whichever groups are large; keys may be null or come twice."""
+    products, vendors = catalog
+    odd = [(v * 1000 + 100 + i, v, None, n, None, None if i == 1 else Decimal(v + i), None, "4 oz", u, None, None, None, None, None)
+           for v in (0, 3, 7, 99) for i, (n, u) in enumerate([("Odd one oz", "77"), ("Odd two oz", "77"), ("!", ""), ("", "8")])]
+    odd.append((None, 5, None, "!!", None, Decimal(3), None, None, None, None, None, None, None, None))  # its group key is null
+    products = products.unionByName(spark.createDataFrame([*odd, *odd], SCHEMA))
+    vendors = vendors.unionByName(vendors.limit(2)).unionByName(spark.createDataFrame([(7, None, "No slug")], vendors.schema))
+    rows = lambda: sorted(map(str, D.price_matrix(products, vendors, "", "base", limit=None).collect()))
+    want = rows()
+    assert any("group_key=None" in r for r in want) and any("group_key='upc:77'" in r for r in want)
+    monkeypatch.setattr(D, "VENDORS_SENT", vendors_sent)
+    monkeypatch.setattr(D, "GROUP_OFFERS", group_offers)
+    assert rows() == want
+    limited = sorted(map(str, D.price_matrix(products, vendors, "", "base", limit=10_000).collect()))
+    assert limited == [r for r in want if "group_key=None" not in r]  # a limit never had the group without a key
+
+
 def test_indexed_search_does_not_shuffle_the_rows_for_a_few_names(spark, catalog, tmp_path):
     from pricelens.operators.filters import search_indexed
     from pricelens.sinks.nameindex import NameIndex
